@@ -1,6 +1,8 @@
 """One query per operator, on the driver's tables."""
 
-from lakemill.catalogue import cleaning, joining, measures
+from lakemill.catalogue import changing, cleaning, entities, joining, measures, models, parsing, storage
 from lakemill.catalogue.registry import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "cleaning", "joining", "measures"]
+__all__ = [
+    "ORACLES", "QUERIES", "changing", "cleaning", "entities", "joining", "measures", "models", "parsing", "storage",
+]
