@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from lakemill.catalogue.registry import query, table
+from lakemill.catalogue.registry import query, table, wide_table
 from lakemill.functions import names, spans
 from lakemill.functions.minitext import split_labels
 from lakemill.functions.scalar import words
@@ -30,7 +30,7 @@ def rule_topics():
 
 
 def tagged(spark, sf):
-    return table(spark, sf, "documents").select(
+    return wide_table(spark, sf, "documents").select(
         "doc_id", "text", "lang", "source", "n_chars", rule_tags("text").alias("tags"), rule_topics().alias("topics")
     )
 

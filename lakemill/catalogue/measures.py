@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from lakemill.catalogue.joining import star
-from lakemill.catalogue.registry import mean2, mean6, query, table
+from lakemill.catalogue.registry import mean2, mean6, query, table, wide_table
 from lakemill.functions.minitext import parse_map, split_labels
 from lakemill.operators import aggregates as agg
 from lakemill.operators import joins, keys, windows
@@ -85,7 +85,7 @@ MAP_SIZE = "1 + CAST(l_returnflag = 'A' AS INTEGER) + CAST(l_linestatus = 'O' AS
 
 @query("map_size", f"SELECT {MAP_SIZE} AS n_entries, count(*) AS n FROM lineitem GROUP BY 1")
 def map_size(spark, sf):
-    return agg.map_size_distribution(table(spark, sf, "lineitem").select(parse_map(score_text()).alias("m")), "m")
+    return agg.map_size_distribution(wide_table(spark, sf, "lineitem").select(parse_map(score_text()).alias("m")), "m")
 
 
 @query(
@@ -160,7 +160,7 @@ def complete_group_sum(spark, sf):
 )
 def complete_map_sum(spark, sf):
     groups = spark.createDataFrame([(1, "Q-D"), (2, "Q-D-T"), (3, "Q"), (4, "Q-Z")], "grp int, combination string")
-    rows = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", parse_map(score_text()).alias("scores"))
+    rows = wide_table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", parse_map(score_text()).alias("scores"))
     members = agg.group_members(groups, "grp", "combination")
     return agg.complete_sum_of_maps(rows, ["l_orderkey", "l_linenumber", "l_partkey"], "scores", members, "grp", "total")
 

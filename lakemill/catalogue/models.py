@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from lakemill.catalogue.entities import TOKENS, rule_tags, span_sql, tag_sql
-from lakemill.catalogue.registry import query, table
+from lakemill.catalogue.registry import query, table, wide_table
 from lakemill.operators import evaluation, scoring, training
 
 GOOD, BAD = ["the", "la", "der"], ["of", "de", "die"]
@@ -40,7 +40,7 @@ TOPIC_WORDS = {"the": "UNIVERSITY", "les": "LANGUAGE", "und": "CAREER", "Of": "S
                CASE WHEN contains(text, '?') THEN 'ask' ELSE 'tell' END AS "Label_Intent" FROM c""",
 )
 def score_multitask(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", "text")
+    docs = wide_table(spark, sf, "documents").select("doc_id", "text")
     return scoring.score_posts(docs, "text", scoring.shape_scorer(TOPIC_WORDS)).drop("text")
 
 
@@ -66,7 +66,7 @@ def hash_split(spark, sf):
                round(acc, 6) AS accuracy FROM k""",
 )
 def eval_ner(spark, sf):
-    docs = table(spark, sf, "documents").select(rule_tags("text", 5).alias("truth"), rule_tags("text", 10).alias("predicted"))
+    docs = wide_table(spark, sf, "documents").select(rule_tags("text", 5).alias("truth"), rule_tags("text", 10).alias("predicted"))
     return evaluation.evaluate_ner(docs, "truth", "predicted")
 
 
@@ -115,7 +115,7 @@ def eval_weighted(spark, sf):
 @query("train_text_clf")
 def train_text_clf(spark, sf):
     """Learn the language of a text on the training part and predict it for all texts."""
-    docs = evaluation.hash_split(table(spark, sf, "documents").select("doc_id", "text", "lang"), "doc_id", {"train": 70, "test": 30})
+    docs = evaluation.hash_split(wide_table(spark, sf, "documents").select("doc_id", "text", "lang"), "doc_id", {"train": 70, "test": 30})
     model = training.fit_single_label(docs.filter("split = 'train'"), "text", "lang", features=1 << 12, iterations=10)
     return training.predict_single_label(model, docs, "predicted").select("doc_id", "lang", "split", "predicted")
 
@@ -123,11 +123,11 @@ def train_text_clf(spark, sf):
 @query("train_multi_label")
 def train_multi_label(spark, sf):
     """Learn two independent labels per text and predict the set of labels."""
-    rows = table(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id").select(
+    rows = wide_table(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id").select(
         "doc_id", "text",
         F.array_compact(F.array(F.when(F.col("quality") == 1, "good"), F.when(F.col("toxic") == 1, "toxic"))).alias("labels"),
     )
     names = ["good", "toxic"]
     model = training.fit_multi_label(rows, "text", "labels", names, features=1 << 12, iterations=10)
-    found = training.predict_multi_label(model, table(spark, sf, "documents").select("doc_id", "text"), names)
+    found = training.predict_multi_label(model, wide_table(spark, sf, "documents").select("doc_id", "text"), names)
     return found.select("doc_id", F.array_join("predicted", "|").alias("predicted"))

@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lakemill.session import spread
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -28,6 +30,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def wide_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table for work that is heavy per row: all cores take part."""
+    return spread(table(spark, sf_dir, name))
+
+
 def micro(total: str, n: str) -> str:
     """SQL for mean × 10⁶ rounded half up, in whole numbers, from a DECIMAL(…,2) total."""
     return f"((2 * CAST(({total}) * 100 AS BIGINT) * 10000 + {n}) // (2 * {n}))"

@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from lakemill.functions.scalar import NUMBER, _col, let, strip_space
 
+# A pair with a second colon, and all that follows it.
+BROKEN_PAIR = r"(?s)(?:^|,)[^,:]*:[^,:]*:.*$"
+
 
 def split_trim(c: Column | str, separator: str) -> Column:
     """Split on a regex, trim each part, drop blank parts."""
@@ -26,36 +29,26 @@ def parse_entries(c: Column | str) -> Column:
     Pairs without a colon and values that are no numbers are dropped, reading stops at
     a pair with a second colon, and the last of several equal keys wins.
     """
-    pairs = F.split(_col(c), ",")
-
-    def until_broken(p: Column) -> Column:
-        broken = F.transform(p, lambda x: F.size(F.split(x, ":")) > 2)
-        first = F.array_position(broken, True)
-        return F.when(first == 0, p).otherwise(F.slice(p, F.lit(1), F.greatest(first.cast("int") - 1, F.lit(0))))
+    readable = F.regexp_replace(_col(c), BROKEN_PAIR, "")
 
     def entry(x: Column) -> Column:
-        value = strip_space(F.get(F.split(x, ":"), F.lit(1)))
+        value = strip_space(F.substring_index(x, ":", -1))
         return F.struct(
-            strip_space(F.get(F.split(x, ":"), F.lit(0))).alias("key"),
-            F.when(value.rlike(NUMBER), value.try_cast("double")).alias("value"),
+            strip_space(F.substring_index(x, ":", 1)).alias("key"),
+            F.when(x.contains(":") & value.rlike(NUMBER), value.try_cast("double")).alias("value"),
         )
 
-    entries = F.filter(
-        F.transform(F.filter(let(pairs, until_broken), lambda x: x.contains(":")), entry),
-        lambda e: e["value"].isNotNull(),
-    )
+    entries = F.filter(F.transform(F.split(readable, ","), entry), lambda e: e["value"].isNotNull())
 
-    def last_wins(es: Column) -> Column:
-        keys = F.transform(es, lambda e: e["key"])
-        return let(
-            F.struct(es.alias("es"), keys.alias("keys")),
-            lambda s: F.filter(
-                s["es"],
-                lambda e, i: ~F.array_contains(F.slice(s["keys"], i + 2, F.size(s["keys"])), e["key"]),
-            ),
-        )
+    def last_wins(s: Column) -> Column:
+        es, keys = s["es"], s["keys"]
+        unique = F.filter(es, lambda e, i: ~F.array_contains(F.slice(keys, i + 2, F.size(keys)), e["key"]))
+        return F.when(F.size(F.array_distinct(keys)) == F.size(keys), es).otherwise(unique)
 
-    return F.coalesce(let(entries, last_wins), F.expr("cast(array() as array<struct<key:string,value:double>>)"))
+    kept = let(
+        let(entries, lambda es: F.struct(es.alias("es"), F.transform(es, lambda e: e["key"]).alias("keys"))), last_wins
+    )
+    return F.coalesce(kept, F.expr("cast(array() as array<struct<key:string,value:double>>)"))
 
 
 def parse_map(c: Column | str) -> Column:

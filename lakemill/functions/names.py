@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from lakemill.functions.scalar import _col, strip_space
+from lakemill.functions.scalar import _col, squeeze, strip_space
 
 # Words peeled off the front of a major's name.
 MAJOR_PREFIXES = ["ngành", "nghề", "học", "sv", "chuyên ngành", "chuyên viên"]
@@ -19,13 +19,12 @@ def normalize_org(c: Column | str) -> Column:
     c = F.regexp_replace(c, r"\([^)]*\)", "")
     c = F.regexp_replace(c, r"^[()]+|[()]+$", "")
     c = F.regexp_replace(c, r"(?U)[^\w\s\-]", " ")
-    c = F.regexp_replace(c, r"(?U)\s+", " ")
-    return F.coalesce(strip_space(c), F.lit(""))
+    return F.coalesce(strip_space(squeeze(c)), F.lit(""))
 
 
 def normalize_maj(c: Column | str) -> Column:
     """Lower case, single spaces, no double quotes, leading study words peeled up to five times."""
-    c = F.regexp_replace(strip_space(F.lower(_col(c))), r"(?U)\s+", " ")
+    c = squeeze(strip_space(F.lower(_col(c))))
     c = F.coalesce(F.replace(c, F.lit('"'), F.lit("")), F.lit(""))
     heads = "|".join(MAJOR_PREFIXES)
     first = strip_space(F.regexp_replace(c, f"^(?:{heads}) ", ""))

@@ -6,6 +6,8 @@ stated default, never an error.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -20,6 +22,9 @@ RELATIVE_WORD = "trước"
 DEFAULT_YEAR = "2025"
 DEFAULT_CLOCK = "00:00"
 
+# The white space that Python's ``strip`` and ``split`` know.
+SPACE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+
 NUMBER = r"^[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?$"
 
 
@@ -37,13 +42,19 @@ def let(value: Column, body) -> Column:
 
 
 def strip_space(c: Column | str) -> Column:
-    """Strip any Unicode white space at both ends (``trim`` strips only U+0020)."""
-    return F.regexp_replace(_col(c), r"(?U)^\s+|\s+$", "")
+    """Strip any Unicode white space at both ends (``trim`` alone strips only U+0020)."""
+    return F.btrim(_col(c), F.lit(SPACE))
+
+
+def squeeze(c: Column | str) -> Column:
+    """Each run of white space becomes one space."""
+    return F.regexp_replace(_col(c), f"[{SPACE}]+", " ")
 
 
 def words(c: Column | str) -> Column:
     """Split on runs of white space; blank text gives an empty array."""
-    return F.filter(F.split(_col(c), r"(?U)\s+"), lambda w: w != "")
+    parts = F.split(strip_space(c), f"[{SPACE}]+")
+    return let(parts, lambda p: F.when((F.size(p) == 1) & (p[0] == ""), F.slice(p, 1, 0)).otherwise(p))
 
 
 def strip_year_suffix(c: Column | str) -> Column:
@@ -150,9 +161,11 @@ def null_if_sentinel(c: Column | str, sentinels=("nan", "none")) -> Column:
 
 
 def floor_bin(value: Column | str, width: str) -> Column:
-    """Lower edge of the bin a value falls in, worked out in DECIMAL.
+    """Lower edge of the bin a value falls in; ``width`` is a decimal written as text.
 
-    In binary floats ``floor(0.6 / 0.2) * 0.2`` is 0.4; here it is 0.6.
+    Worked out in whole millionths: in binary floats ``floor(0.6 / 0.2) * 0.2`` is 0.4,
+    here it is 0.6. Values keep six decimals and may go up to 9 × 10¹².
     """
-    exact = _col(value).cast("decimal(18,6)")
-    return (exact - F.pmod(exact, F.lit(width).cast("decimal(18,6)"))).cast("double")
+    millionths = F.round(_col(value).cast("double") * 1_000_000).cast("bigint")
+    step = int(Decimal(width) * 1_000_000)
+    return (millionths - F.pmod(millionths, F.lit(step))) / F.lit(1_000_000.0)

@@ -16,8 +16,8 @@ def tag_types(tags: Column | str) -> Column:
 
 def aligned(tags: Column | str, text: Column | str) -> Column:
     """True where there are as many tags as tokens."""
-    a, b = words(tags), words(text)
-    return F.coalesce(a.isNotNull() & b.isNotNull() & (F.size(a) == F.size(b)), F.lit(False))
+    both = F.struct(words(tags).alias("a"), words(text).alias("b"))
+    return let(both, lambda s: s["a"].isNotNull() & s["b"].isNotNull() & (F.size(s["a"]) == F.size(s["b"])))
 
 
 def _type(tag: Column) -> Column:
