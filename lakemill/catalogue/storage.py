@@ -134,7 +134,7 @@ def append_table(spark, sf):
 def upsert_table(spark, sf):
     home = lake(spark, "upsert")
     rows = table(spark, sf, "customer").select("c_custkey", "c_name", "c_acctbal")
-    home.upsert("customer", rows.filter("c_nationkey <> 3") if "c_nationkey" in rows.columns else rows.filter("c_acctbal > 0"), ["c_custkey"], ["c_acctbal"])
+    home.upsert("customer", rows.filter("c_acctbal > 0"), ["c_custkey"], ["c_acctbal"])
     capped = rows.withColumn("c_acctbal", F.when(F.col("c_acctbal") > 5000, 0.0).otherwise(F.col("c_acctbal")))
     return home.upsert("customer", capped, ["c_custkey"], ["c_acctbal"])
 

@@ -24,6 +24,7 @@ DEFAULT_CLOCK = "00:00"
 
 # The white space that Python's ``strip`` and ``split`` know.
 SPACE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+SPACES = r"(?U)[\s\x1c-\x1f]+"
 
 NUMBER = r"^[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?$"
 
@@ -48,12 +49,12 @@ def strip_space(c: Column | str) -> Column:
 
 def squeeze(c: Column | str) -> Column:
     """Each run of white space becomes one space."""
-    return F.regexp_replace(_col(c), f"[{SPACE}]+", " ")
+    return F.regexp_replace(_col(c), SPACES, " ")
 
 
 def words(c: Column | str) -> Column:
     """Split on runs of white space; blank text gives an empty array."""
-    parts = F.split(strip_space(c), f"[{SPACE}]+")
+    parts = F.split(strip_space(c), SPACES)
     return let(parts, lambda p: F.when((F.size(p) == 1) & (p[0] == ""), F.slice(p, 1, 0)).otherwise(p))
 
 

@@ -10,6 +10,7 @@ from lakemill.functions.scalar import floor_bin, let
 from lakemill.operators.bounds import checked_broadcast, control_rows
 
 MONEY = "decimal(18,2)"
+SCORE = "decimal(18,4)"
 
 
 def group_count(df: DataFrame, by: list[str], name: str = "n") -> DataFrame:
@@ -88,7 +89,7 @@ def complete_sum(facts: DataFrame, by: list[str], member: str, value: str, membe
     ``members`` holds (group, member, n_members). Facts are summed per entity and member
     before the join.
     """
-    summed = facts.groupBy(*by, member).agg(F.sum(F.col(value).cast(MONEY)).alias("__v"))
+    summed = facts.groupBy(*by, member).agg(F.sum(F.col(value).cast(SCORE)).alias("__v"))
     joined = summed.join(checked_broadcast(members.withColumnRenamed("member", member)), member, "inner")
     totals = joined.groupBy(*by, group).agg(
         F.sum("__v").alias("__sum"), F.count("__v").alias("__have"), F.max("n_members").alias("__need")
@@ -114,9 +115,9 @@ def complete_sum_of_maps(df: DataFrame, keep: list[str], scores: str, members: D
 
     def total(m: Column) -> Column:
         def one(g: Column) -> Column:
-            zero = F.lit(0).cast("decimal(28,2)")
+            zero = F.lit(0).cast("decimal(28,4)")
             summed = F.aggregate(
-                g["m"], zero, lambda acc, k: (acc + F.try_element_at(m, k).cast(MONEY)).cast("decimal(28,2)")
+                g["m"], zero, lambda acc, k: (acc + F.try_element_at(m, k).cast(SCORE)).cast("decimal(28,4)")
             )
             return F.struct(g["g"].alias("g"), summed.cast("double").alias("total"))
 

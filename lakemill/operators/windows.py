@@ -20,14 +20,40 @@ def group_mean(df: DataFrame, by: list[str], value: str, name: str, digits: int
     return join_keys(df, means, by, "left")
 
 
-def period_delta(df: DataFrame, by: list[str], period: str, value: str, name: str, digits: int = 2) -> DataFrame:
+def period_delta(
+    df: DataFrame,
+    by: list[str],
+    period: str,
+    value: str,
+    name: str,
+    digits: int = 2,
+    ties: tuple[str, ...] = (),
+    group_rows: int = GROUP_ROWS,
+) -> DataFrame:
     """Change against the previous period that exists, 0 in the first.
 
-    Expects one row per group and period, so a group is as long as there are periods.
+    With one row per group and period a group is as long as there are periods. Where
+    rows share a period (unresolved NULL keys can pile up), ``ties`` orders them, and a
+    group too long for one task takes its predecessors from a distributed sort.
     """
-    window = Window.partitionBy(*by).orderBy(period)
-    change = F.col(value).cast(MONEY) - F.lag(F.col(value).cast(MONEY)).over(window)
-    return df.withColumn(name, F.coalesce(F.round(change, digits).cast("double"), F.lit(0.0)))
+    window = Window.partitionBy(*by).orderBy(period, *ties)
+    before = "__before"
+    hot = hot_groups(df, by, group_rows)
+    if hot is None:
+        paired = df.withColumn(before, F.lag(value).over(window))
+    else:
+        cold = join_keys(df, F.broadcast(hot), by, "left_anti").withColumn(before, F.lag(value).over(window))
+        large = join_keys(df, F.broadcast(hot), by, "left_semi")
+        paired = cold.unionByName(_lag_by_sort(large, by, [period, *ties], value, before, group_rows))
+    change = F.col(value).cast(MONEY) - F.col(before).cast(MONEY)
+    return paired.withColumn(name, F.coalesce(F.round(change, digits).cast("double"), F.lit(0.0))).drop(before)
+
+
+def _lag_by_sort(df: DataFrame, by: list[str], order: list[str], value: str, name: str, task_rows: int) -> DataFrame:
+    """The value one place earlier in a distributed sort, if that row is of the same group."""
+    placed = surrogate_key(df, "__place", [*by, *order], single_task_rows=task_rows)
+    earlier = placed.select((F.col("__place") + 1).alias("__place"), *by, F.col(value).alias(name))
+    return join_keys(placed, earlier, ["__place", *by], "left").drop("__place")
 
 
 def rank_in_group(

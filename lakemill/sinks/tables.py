@@ -10,14 +10,29 @@ from __future__ import annotations
 import math
 import os
 import uuid
+from functools import reduce
+from operator import and_, or_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakemill.operators import changes
+from lakemill.operators.bounds import control_rows
+from lakemill.session import cut
 
 COMPRESSION = "gzip"
+TOUCHED = 500
+
+
+def _any_of(columns: list[str], rows: list) -> Column:
+    """True for the listed value combinations, NULL included."""
+    if len(columns) == 1:
+        values = [r[0] for r in rows if r[0] is not None]
+        listed = F.col(columns[0]).isin(*values) if values else F.lit(False)
+        return (listed | F.col(columns[0]).isNull()) if len(values) < len(rows) else listed
+    each = [reduce(and_, [F.col(c).eqNullSafe(F.lit(r[c])) for c in columns]) for r in rows]
+    return reduce(or_, each)
 
 
 class Lake:
@@ -42,6 +57,17 @@ class Lake:
     def read_or_none(self, table: str) -> DataFrame | None:
         return self.read(table) if self.exists(table) else None
 
+    def fit(self, table: str, df: DataFrame) -> DataFrame:
+        """The registry's columns and types; absent ones are NULL, ``…_day`` columns are derived."""
+        schema, _ = self.schemas[table]
+        for f in schema.fields:
+            base = f.name.removesuffix("_day")
+            if f.name not in df.columns and base != f.name and base in df.columns:
+                df = with_day(df, base, f.name)
+        return df.select(
+            *[(F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.fields]
+        )
+
     def list_tables(self) -> list[str]:
         return sorted(t.name for t in self.spark.catalog.listTables(self.database))
 
@@ -69,37 +95,79 @@ class Lake:
 
     def replace(self, table: str, df: DataFrame, partition_by: list[str] | None = None, rows_per_file: int | None = None) -> DataFrame:
         """Write all rows to a fresh folder, then point the table at it."""
-        if partition_by is None and table in self.schemas:
-            partition_by = self.schemas[table][1]
+        if table in self.schemas:
+            df, partition_by = self.fit(table, df), partition_by or self.schemas[table][1]
         folder = self._fresh_folder(table)
         write(df, folder, partition_by=partition_by, rows_per_file=rows_per_file)
         self.drop(table)
-        self.spark.sql(f"CREATE TABLE {self.name(table)} USING parquet LOCATION '{folder}'")
+        by = f" PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
+        columns = ", ".join(
+            f"`{f.name}` {f.dataType.simpleString()}"
+            for f in sorted(df.schema.fields, key=lambda f: f.name in (partition_by or []))
+        )
+        self.spark.sql(f"CREATE TABLE {self.name(table)} ({columns}) USING parquet{by} LOCATION '{folder}'")
         if partition_by:
             self.spark.sql(f"MSCK REPAIR TABLE {self.name(table)}")
         return self.read(table)
 
     def append(self, table: str, df: DataFrame, partition_by: list[str] | None = None) -> DataFrame:
         """Add rows; the first call creates the table."""
+        if table in self.schemas:
+            df = self.fit(table, df)
         if not self.exists(table):
             return self.replace(table, df, partition_by)
-        target = self.read(table)
-        df.select(*target.columns).write.option("compression", COMPRESSION).insertInto(self.name(table))
+        self._insert(table, df, overwrite=False)
         return self.read(table)
 
     def upsert(self, table: str, source: DataFrame, keys: list[str], columns: list[str], inserts=None, order=None) -> DataFrame:
-        """First load creates the table, later ones update and insert."""
-        target = self.read_or_none(table)
-        if target is None:
-            first = changes.dedup_by(source, keys, order) if order else source
-            return self.replace(table, first.withColumns(inserts) if inserts else first)
-        return self.replace(table, changes.upsert(target, source, keys, columns, order, inserts))
-
-    def replace_by_key(self, table: str, batch: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-        target = self.read_or_none(table)
-        if target is None:
+        """First load creates the table, later ones update and insert.
+
+        The batch is written once to the shared folder, as several joins read it. If a
+        partition column is part of the key, only the batch's partitions are rewritten.
+        """
+        batch = changes.dedup_by(source, keys, order) if order else source
+        if not self.exists(table):
+            return self.replace(table, batch.withColumns(inserts) if inserts else batch)
+        return self._rewrite(table, cut(batch), keys, lambda t, b: changes.upsert(t, b, keys, columns, None, inserts))
+
+    def update(self, table: str, source: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
+        """Update matched rows only."""
+        return self._rewrite(table, cut(source), keys, lambda t, b: changes.merge_update(t, b, keys, columns))
+
+    def replace_by_key(self, table: str, batch: DataFrame, keys: list[str], order: list[str], home: list[str] | None = None) -> DataFrame:
+        """Drop rows whose key is in the batch, add the batch. ``home`` names partition
+        columns that the key settles, so other partitions cannot hold it."""
+        if not self.exists(table):
             return self.replace(table, changes.dedup_by(batch, keys, order))
-        return self.replace(table, changes.replace_by_key(target, batch, keys, order))
+        once = cut(changes.dedup_by(batch, keys, order))
+        if table in self.schemas:
+            once = self.fit(table, once)
+        return self._rewrite(table, once, [*keys, *(home or [])], lambda t, b: changes.replace_by_key(t, b, keys, keys))
+
+    def partitions(self, table: str) -> list[str]:
+        return [c.name for c in self.spark.catalog.listColumns(self.name(table)) if c.isPartition]
+
+    def _rewrite(self, table: str, batch: DataFrame, keys: list[str], change) -> DataFrame:
+        """Replace the table, or only the partitions the batch falls in where keys settle them."""
+        target = self.read(table)
+        by = self.partitions(table)
+        touched = control_rows(batch.select(*by).distinct(), TOUCHED) if by and set(by) <= set(keys) else None
+        if touched is None:
+            return self.replace(table, change(target, batch), by)
+        if not touched:
+            return target
+        # Values as literals, so the scan lists and reads these partitions only.
+        part = target.filter(_any_of(by, touched))
+        self._insert(table, cut(change(part, batch)), overwrite=True)
+        return self.read(table)
+
+    def _insert(self, table: str, df: DataFrame, overwrite: bool) -> None:
+        by = self.partitions(table)
+        df = df.select(*self.read(table).columns)
+        if by:
+            df = df.hint("rebalance", *by)
+        writer = df.write.option("compression", COMPRESSION).option("partitionOverwriteMode", "dynamic")
+        writer.insertInto(self.name(table), overwrite=overwrite)
 
     def _fresh_folder(self, table: str) -> str:
         return os.path.join(self.root, table, uuid.uuid4().hex)

@@ -12,6 +12,7 @@ import os
 import uuid
 from collections import defaultdict
 from collections.abc import Callable
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -72,9 +73,9 @@ def load_new_files(
     left out and not logged, so the next call tries it again. Files are taken in batches
     in path order until none is left; only a batch's paths are held by the driver.
     """
-    entries = read_ledger(spark, ledger)
-    for run, paths in _open_runs(entries).items():
-        _load(spark, paths, run, target, ledger, transform, key_column, run_ts)
+    for run, paths in _open_runs(read_ledger(spark, ledger)).items():
+        _load(spark, _headers_of(spark, paths), run, target, transform)
+        _log(spark, ledger, paths, run, LOADED, run_ts)
     passed_over: list[str] = []
     while True:
         pending = new_files(list_files(spark, folder, pattern), read_ledger(spark, ledger))
@@ -85,33 +86,37 @@ def load_new_files(
         if not paths:
             break
         run = uuid.uuid4().hex
-        heads = {r["path"]: r["header"] for r in headers(spark, paths).collect()}
-        known = {_plain(p): h for p, h in heads.items()}
-        readable = [p for p in paths if _plain(p) in known]
-        passed_over += [p for p in paths if _plain(p) not in known]
-        keyed = [p for p in readable if key_column in header_columns(known[_plain(p)])]
-        keyless = sorted(set(readable) - set(keyed))
+        heads = _headers_of(spark, paths)
+        passed_over += [p for p in paths if p not in heads]
+        keyed = {p: h for p, h in heads.items() if key_column in header_columns(h)}
+        keyless = [p for p in heads if p not in keyed]
         if keyless:
             _log(spark, ledger, keyless, run, NO_KEY, run_ts)
         if keyed:
-            _log(spark, ledger, keyed, run, PLANNED, run_ts)
-            _load(spark, keyed, run, target, ledger, transform, key_column, run_ts)
+            _log(spark, ledger, list(keyed), run, PLANNED, run_ts)
+            _load(spark, keyed, run, target, transform)
+            _log(spark, ledger, list(keyed), run, LOADED, run_ts)
     return read_ledger(spark, ledger).filter(F.col("status") != PLANNED)
 
 
 def _plain(path: str) -> str:
-    """``file:///a`` and ``file:/a`` name the same file."""
-    return path.replace("file:///", "file:/")
+    """``file:///a%20b``, as rows report their file, and ``file:/a b``, as listings do, are one."""
+    return unquote(path).replace("file:///", "file:/")
 
 
-def _load(spark, paths, run, target, ledger, transform, key_column, run_ts) -> None:
+def _headers_of(spark: SparkSession, paths: list[str]) -> dict[str, str]:
+    """Header line per readable file of one batch, by the listing's path."""
+    found = {_plain(r["path"]): r["header"] for r in headers(spark, paths).collect()}
+    return {p: found[p.replace("file:///", "file:/")] for p in paths if p.replace("file:///", "file:/") in found}
+
+
+def _load(spark: SparkSession, heads: dict[str, str], run: str, target: str, transform) -> None:
     layouts = defaultdict(list)
-    for r in headers(spark, paths).collect():
-        layouts[r["header"]].append(r["path"])
+    for path, header in heads.items():
+        layouts[header].append(path)
     if layouts:
         rows = transform(read_layouts(spark, dict(layouts)))
         rows.write.mode("overwrite").parquet(os.path.join(target, f"ingest_run={run}"))
-    _log(spark, ledger, paths, run, LOADED, run_ts)
 
 
 def stream_new_files(
