@@ -10,11 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakemill.operators import changes, quality
+from lakemill.operators.aggregates import null_counts
 from lakemill.plans import silver, social, star
 from lakemill.session import cut
 from lakemill.sinks.tables import Lake
 from lakemill.sources.csv_files import read_csv
-from lakemill.streaming.ledger import load_new_files
+from lakemill.streaming.ledger import LOADED, load_new_files, read_ledger
 
 
 @dataclass(frozen=True)
@@ -58,30 +59,42 @@ def load_benchmark(spark: SparkSession, lake: Lake, bronze: Bronze, run_ts: str)
     lake.upsert("benchmark", rows, silver.BENCHMARK_KEY, ["score", "updated_at"], inserts=silver.benchmark_id())
 
 
-def _ingest(spark: SparkSession, lake: Lake, folder: str, name: str, key_column: str, run_ts: str) -> DataFrame | None:
-    """Stage the rows of files not seen before and return those staged in this call."""
-    stage = os.path.join(lake.root, "_stage", name)
-    before = _runs(spark, stage)
-    load_new_files(
-        spark, folder, os.path.join(stage, "rows"), os.path.join(stage, "ledger"), lambda df: df, key_column, run_ts
-    )
-    fresh = sorted(_runs(spark, stage) - before)
-    if not fresh:
-        return None
-    paths = [os.path.join(stage, "rows", f"ingest_run={run}") for run in fresh]
-    return spark.read.option("mergeSchema", True).parquet(*paths)
+class Stage:
+    """Rows of new files, staged once each, until they are in their table.
 
+    A run that was staged but whose table write failed is handed out again by the next
+    call. Only a stop between a table write and ``done`` can repeat an append.
+    """
+
+    def __init__(self, spark: SparkSession, lake: Lake, folder: str, name: str, key_column: str, run_ts: str):
+        self.spark, self.run_ts = spark, run_ts
+        self.root = os.path.join(lake.root, "_stage", name)
+        self.merged = os.path.join(self.root, "merged")
+        load_new_files(
+            spark, folder, os.path.join(self.root, "rows"), os.path.join(self.root, "ledger"), lambda df: df, key_column, run_ts
+        )
+        staged = self._runs(os.path.join(self.root, "ledger"))
+        self.runs = sorted(staged - self._runs(self.merged))
 
-def _runs(spark: SparkSession, stage: str) -> set[str]:
-    from lakemill.streaming.ledger import LOADED, read_ledger
+    def _runs(self, ledger: str) -> set[str]:
+        done = read_ledger(self.spark, ledger).filter(F.col("status") == LOADED)
+        return {r["run"] for r in done.select("run").distinct().collect()}
 
-    done = read_ledger(spark, os.path.join(stage, "ledger")).filter(F.col("status") == LOADED)
-    return {r["run"] for r in done.select("run").distinct().collect()}
+    def rows(self) -> DataFrame | None:
+        if not self.runs:
+            return None
+        paths = [os.path.join(self.root, "rows", f"ingest_run={run}") for run in self.runs]
+        return self.spark.read.option("mergeSchema", True).parquet(*paths)
+
+    def done(self) -> None:
+        marks = self.spark.createDataFrame([(run, run, LOADED) for run in self.runs], "path string, run string, status string")
+        marks.withColumn("at", F.lit(self.run_ts).cast("timestamp")).coalesce(1).write.mode("append").parquet(self.merged)
 
 
 def load_student_scores(spark: SparkSession, lake: Lake, bronze: Bronze, run_ts: str) -> None:
     """New files only; students in them replace their earlier rows."""
-    raw = _ingest(spark, lake, bronze.student_scores, "student_scores", "SBD", run_ts)
+    stage = Stage(spark, lake, bronze.student_scores, "student_scores", "SBD", run_ts)
+    raw = stage.rows()
     if raw is None:
         return
     stamp = F.lit(run_ts).cast("timestamp")
@@ -89,22 +102,25 @@ def load_student_scores(spark: SparkSession, lake: Lake, bronze: Bronze, run_ts:
     rows = rows.withColumns({"created_at": stamp, "updated_at": stamp})
     # A student id ends in its year, so a student's rows are all in that partition.
     lake.replace_by_key("student_scores", rows, ["studentId"], ["studentId"], home=["year"])
+    stage.done()
 
 
 def load_articles(spark: SparkSession, lake: Lake, bronze: Bronze, run_ts: str) -> None:
     """TikTok posts are added; Facebook posts update the ones known by url."""
     if bronze.tiktok_posts:
-        raw = _ingest(spark, lake, bronze.tiktok_posts, "tiktok_posts", "ID", run_ts)
-        if raw is not None:
-            lake.append("article", silver.tiktok_posts(raw, run_ts))
+        stage = Stage(spark, lake, bronze.tiktok_posts, "tiktok_posts", "ID", run_ts)
+        if stage.runs:
+            lake.append("article", silver.tiktok_posts(stage.rows(), run_ts))
+            stage.done()
     if bronze.facebook_posts:
-        raw = _ingest(spark, lake, bronze.facebook_posts, "facebook_posts", "ID", run_ts)
-        if raw is not None:
-            posts = cut(lake.fit("article", silver.facebook_posts(raw, run_ts)))
+        stage = Stage(spark, lake, bronze.facebook_posts, "facebook_posts", "ID", run_ts)
+        if stage.runs:
+            posts = cut(lake.fit("article", silver.facebook_posts(stage.rows(), run_ts)))
             known = lake.read_or_none("article")
             if known is None:
                 known = posts.limit(0)
             lake.replace("article", silver.merge_facebook_posts(known.drop("timePublish_day"), posts.drop("timePublish_day")))
+            stage.done()
 
 
 def load_comments(spark: SparkSession, lake: Lake, bronze: Bronze, run_ts: str) -> None:
@@ -114,10 +130,13 @@ def load_comments(spark: SparkSession, lake: Lake, bronze: Bronze, run_ts: str)
         (bronze.facebook_comments, "facebook_comments", "Id_post", silver.facebook_comments),
     ]
     for folder, name, key_column, make in sources:
-        raw = _ingest(spark, lake, folder, name, key_column, run_ts) if folder else None
-        if raw is not None:
+        if not folder:
+            continue
+        stage = Stage(spark, lake, folder, name, key_column, run_ts)
+        if stage.runs:
             known = lake.read_or_none("comment")
-            lake.append("comment", silver.number_comments(make(raw, run_ts), known))
+            lake.append("comment", silver.number_comments(make(stage.rows(), run_ts), known))
+            stage.done()
 
 
 def bronze_to_silver(spark: SparkSession, lake: Lake, bronze: Bronze, run_ts: str) -> DataFrame:
@@ -201,8 +220,6 @@ def reset_names(gold: Lake, run_ts: str, kind: str | None = None) -> DataFrame:
 
 def name_status(gold: Lake) -> DataFrame:
     """Normalised and open names per entity type."""
-    from lakemill.operators.aggregates import null_counts
-
     joined = gold.read("Post_Entity").join(gold.read("Entity").select("entityID", "entityType"), "entityID")
     return null_counts(joined, ["entityType"], "entityNameNormalized").orderBy("entityType")
 
