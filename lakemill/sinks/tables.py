@@ -162,12 +162,20 @@ class Lake:
         return self.read(table)
 
     def _insert(self, table: str, df: DataFrame, overwrite: bool) -> None:
+        """Add rows, or overwrite just the partitions that ``df`` has rows for."""
         by = self.partitions(table)
         df = df.select(*self.read(table).columns)
-        if by:
-            df = df.hint("rebalance", *by)
-        writer = df.write.option("compression", COMPRESSION).option("partitionOverwriteMode", "dynamic")
-        writer.insertInto(self.name(table), overwrite=overwrite)
+        if not overwrite:
+            df = df.hint("rebalance", *by) if by else df
+            df.write.option("compression", COMPRESSION).insertInto(self.name(table))
+            return
+        write(df, self.location(table), partition_by=by, dynamic=True)
+        self.spark.sql(f"MSCK REPAIR TABLE {self.name(table)}")
+        self.spark.catalog.refreshTable(self.name(table))
+
+    def location(self, table: str) -> str:
+        rows = self.spark.sql(f"DESCRIBE FORMATTED {self.name(table)}").filter("col_name = 'Location'").collect()
+        return rows[0]["data_type"]
 
     def _fresh_folder(self, table: str) -> str:
         return os.path.join(self.root, table, uuid.uuid4().hex)
@@ -179,9 +187,11 @@ def write(
     mode: str = "overwrite",
     partition_by: list[str] | None = None,
     rows_per_file: int | None = None,
+    dynamic: bool = False,
 ) -> None:
     """Parquet with gzip. Rows of one partition are brought together before writing, and
-    Spark splits a partition that is too large for one task."""
+    Spark splits a partition that is too large for one task. ``dynamic`` leaves partitions
+    without new rows alone."""
     if partition_by:
         df = df.hint("rebalance", *partition_by)
     writer = df.write.mode(mode).option("compression", COMPRESSION)
@@ -189,6 +199,8 @@ def write(
         writer = writer.option("maxRecordsPerFile", rows_per_file)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
+    if dynamic:
+        writer = writer.option("partitionOverwriteMode", "dynamic")
     writer.parquet(path)
 
 
