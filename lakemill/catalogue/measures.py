@@ -292,9 +292,10 @@ def rank_across(spark, sf):
 def score_fact(spark, sf):
     """The flagship: star resolution, yearly means, change to the year before, two rankings."""
     scores = cut(yearly_scores(spark, sf))
-    gaps = windows.period_delta(scores, ["l_suppkey", "p_type"], "year", "score", "yearly_gap")
-    within = windows.rank_in_group(gaps, ["l_suppkey", "year"], ["-score", "p_type"], "rank_within", dense=True)
-    return windows.rank_in_group(within, ["p_type", "year"], ["-score", "l_suppkey"], "rank_across", dense=True)
+    n = scores.count()
+    gaps = windows.period_delta(scores, ["l_suppkey", "p_type"], "year", "score", "yearly_gap", n_rows=n)
+    within = windows.rank_in_group(gaps, ["l_suppkey", "year"], ["-score", "p_type"], "rank_within", dense=True, n_rows=n)
+    return windows.rank_in_group(within, ["p_type", "year"], ["-score", "l_suppkey"], "rank_across", dense=True, n_rows=n)
 
 
 @query(

@@ -54,10 +54,13 @@ def order_names(order: list[str]) -> list[str]:
     return [o.lstrip("-") for o in order]
 
 
-def hot_groups(df: DataFrame, by: list[str], limit: int = GROUP_ROWS) -> DataFrame | None:
+def hot_groups(df: DataFrame, by: list[str], limit: int = GROUP_ROWS, n_rows: int | None = None) -> DataFrame | None:
     """Keys of groups with more than ``limit`` rows, or None if there are none.
 
-    There can be no more than rows / limit of them, so the result is small.
+    There can be no more than rows / limit of them, so the result is small. Where the
+    number of all rows is known and within the limit, nothing is counted.
     """
+    if n_rows is not None and n_rows <= limit:
+        return None
     hot = df.groupBy(*by).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > limit).drop("__n")
     return None if hot.isEmpty() else cut(hot)

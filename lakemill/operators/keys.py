@@ -18,15 +18,17 @@ def surrogate_key(
     order: list[str],
     start: int = 1,
     single_task_rows: int = SINGLE_TASK_ROWS,
+    hold: bool = True,
 ) -> DataFrame:
     """Dense BIGINT numbers in the order given, which must be total (name tie-breaks).
 
-    The input is written once to the shared folder. A small one is numbered by one
-    window; a large one is sorted by ranges, numbered inside each range, and shifted by
-    the number of rows in earlier ranges. The ranges are written too, so that counting
-    them and numbering them see the same rows.
+    The input is written once to the shared folder; ``hold=False`` leaves that out for
+    input that is cheap to read twice, such as a stored table. A small input is numbered
+    by one window; a large one is sorted by ranges, numbered inside each range, and
+    shifted by the number of rows in earlier ranges. The ranges are written too, so that
+    counting them and numbering them see the same rows.
     """
-    held = cut(df)
+    held = cut(df) if hold else df
     if rows_within(held, single_task_rows):
         number = F.row_number().over(Window.orderBy(*order_columns(order)))
         return held.withColumn(name, number.cast("bigint") + F.lit(start - 1))

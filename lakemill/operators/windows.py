@@ -29,6 +29,7 @@ def period_delta(
     digits: int = 2,
     ties: tuple[str, ...] = (),
     group_rows: int = GROUP_ROWS,
+    n_rows: int | None = None,
 ) -> DataFrame:
     """Change against the previous period that exists, 0 in the first.
 
@@ -38,7 +39,7 @@ def period_delta(
     """
     window = Window.partitionBy(*by).orderBy(period, *ties)
     before = "__before"
-    hot = hot_groups(df, by, group_rows)
+    hot = hot_groups(df, by, group_rows, n_rows)
     if hot is None:
         paired = df.withColumn(before, F.lag(value).over(window))
     else:
@@ -63,6 +64,7 @@ def rank_in_group(
     name: str,
     dense: bool = False,
     group_rows: int = GROUP_ROWS,
+    n_rows: int | None = None,
 ) -> DataFrame:
     """``row_number`` (or ``dense_rank``) inside each group.
 
@@ -71,7 +73,7 @@ def rank_in_group(
     """
     window = Window.partitionBy(*by).orderBy(*order_columns(order))
     rank = F.dense_rank() if dense else F.row_number()
-    hot = hot_groups(df, by, group_rows)
+    hot = hot_groups(df, by, group_rows, n_rows)
     if hot is None:
         return df.withColumn(name, rank.over(window))
     cold = join_keys(df, F.broadcast(hot), by, "left_anti").withColumn(name, rank.over(window))

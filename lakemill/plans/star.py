@@ -17,7 +17,7 @@ from lakemill.session import cut
 def dimension(rows: DataFrame, key: str, natural: str, attributes: list[str]) -> DataFrame:
     """Key column, natural key and attributes, numbered in natural-key order."""
     order = [natural, *attributes]
-    return surrogate_key(rows.select(*order), key, order).select(F.col(key).cast("int"), *order)
+    return surrogate_key(rows.select(*order), key, order, hold=False).select(F.col(key).cast("int"), *order)
 
 
 def dim_time(benchmark: DataFrame) -> DataFrame:
@@ -65,19 +65,22 @@ def fact_benchmark(benchmark: DataFrame, dims: dict[str, DataFrame], group_rows:
             Dim(dims["dim_grading_scale"], "gradingScaleId", "gradingScaleId", ("gradingScaleKey",)),
         ],
     )
-    # Read by each of the steps below, so it is made once.
+    # Read by each of the steps below, so it is made once. No group has more rows than all.
     facts = cut(resolved)
+    n_rows = facts.count()
     method = ["selectionMethodKey", "gradingScaleKey"]
     facts = windows.group_mean(facts, ["timeKey", "schoolKey", "majorKey", *method], "score", "avgScoreByMajor")
     facts = windows.period_delta(
         facts, ["schoolKey", "majorKey", *method, "subjectGroupKey"], "timeKey", "avgScoreByMajor", "yearlyScoreGap",
-        ties=("schoolId", "majorId", "subjectGroupId", "score"), group_rows=group_rows,
+        ties=("schoolId", "majorId", "subjectGroupId", "score"), group_rows=group_rows, n_rows=n_rows,
     )
     facts = windows.rank_in_group(
-        facts, ["timeKey", "schoolKey", *method], ["-avgScoreByMajor", "majorKey"], "rankAmongMajors", dense=True, group_rows=group_rows
+        facts, ["timeKey", "schoolKey", *method], ["-avgScoreByMajor", "majorKey"], "rankAmongMajors", dense=True,
+        group_rows=group_rows, n_rows=n_rows,
     )
     facts = windows.rank_in_group(
-        facts, ["timeKey", "majorKey", *method], ["-avgScoreByMajor", "schoolKey"], "rankAmongSchools", dense=True, group_rows=group_rows
+        facts, ["timeKey", "majorKey", *method], ["-avgScoreByMajor", "schoolKey"], "rankAmongSchools", dense=True,
+        group_rows=group_rows, n_rows=n_rows,
     )
     order = ["timeKey", "schoolKey", "majorKey", *method, "subjectGroupKey", "score", "schoolId", "majorId"]
     return surrogate_key(facts, "benchmarkKey", order).select(
