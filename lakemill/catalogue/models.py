@@ -4,7 +4,9 @@ from pyspark.sql import functions as F
 
 from lakemill.catalogue.entities import TOKENS, rule_tags, span_sql, tag_sql
 from lakemill.catalogue.registry import query, table, wide_table
+from lakemill.functions.scalar import words
 from lakemill.operators import evaluation, scoring, training
+from lakemill.session import spread
 
 GOOD, BAD = ["the", "la", "der"], ["of", "de", "die"]
 
@@ -131,3 +133,13 @@ def train_multi_label(spark, sf):
     model = training.fit_multi_label(rows, "text", "labels", names, features=1 << 12, iterations=10)
     found = training.predict_multi_label(model, wide_table(spark, sf, "documents").select("doc_id", "text"), names)
     return found.select("doc_id", F.array_join("predicted", "|").alias("predicted"))
+
+
+@query("train_tags")
+def train_tags(spark, sf):
+    """Learn rule tags on conversations, one example per token, and tag them all again."""
+    rows = spread(table(spark, sf, "conversations")).select(
+        F.concat_ws("/", "conv_id", "turn").alias("id"), words("text").alias("tokens"), words(rule_tags("text")).alias("tags")
+    )
+    model = training.fit_tags(rows, "id", "tokens", "tags", features=1 << 10, iterations=5)
+    return training.predict_tags(model, rows, "id", "tokens")

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from lakemill.operators.bounds import join_keys
 from lakemill.operators.clean import dedup_by
+from lakemill.session import cut
 
 _SOURCE = "__s_"
 
@@ -59,11 +60,12 @@ def upsert(
 ) -> DataFrame:
     """Update matched rows, add the others.
 
-    ``order`` picks the survivor among source rows of one key. ``inserts`` gives the
+    ``order`` picks the survivor among source rows of one key; the survivors are written
+    to the shared folder, as three joins read them. ``inserts`` gives the
     columns a new row gets beyond those the source has, such as a hash id; remaining
     target columns are NULL.
     """
-    batch = dedup_by(source, keys, order) if order else source
+    batch = cut(dedup_by(source, keys, order)) if order else source
     updated = merge_update(target, batch, keys, columns)
     fresh = insert_absent(target, batch, keys)
     if inserts:

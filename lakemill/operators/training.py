@@ -6,9 +6,12 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import HashingTF, IDF, RegexTokenizer, StringIndexer
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakemill.functions.scalar import let
+from lakemill.session import cut
+
 FEATURES = 1 << 14
 
 
@@ -21,13 +24,14 @@ def _features(text: str, size: int) -> list:
 
 
 def fit_single_label(df: DataFrame, text: str, label: str, features: int = FEATURES, iterations: int = 20) -> PipelineModel:
-    """Intent head: one label per row."""
+    """Intent head: one label per row. The input is read in many passes, so it is held."""
+    held = cut(df.select(text, label))
     stages = [
         StringIndexer(inputCol=label, outputCol="__label", stringOrderType="alphabetAsc"),
         *_features(text, features),
         LogisticRegression(featuresCol="__features", labelCol="__label", maxIter=iterations, regParam=0.01),
     ]
-    return Pipeline(stages=stages).fit(df)
+    return Pipeline(stages=stages).fit(held)
 
 
 def predict_single_label(model: PipelineModel, df: DataFrame, name: str = "predicted") -> DataFrame:
@@ -41,10 +45,10 @@ def predict_single_label(model: PipelineModel, df: DataFrame, name: str = "predi
 
 def fit_multi_label(df: DataFrame, text: str, labels: str, names: list[str], features: int = FEATURES, iterations: int = 20):
     """Topic head: one classifier per label over shared features."""
-    shared = Pipeline(stages=_features(text, features)).fit(df)
-    ready = shared.transform(df).withColumns(
-        {f"__is_{i}": F.array_contains(labels, n).cast("double") for i, n in enumerate(names)}
-    )
+    held = cut(df.select(text, labels))
+    shared = Pipeline(stages=_features(text, features)).fit(held)
+    marks = {f"__is_{i}": F.array_contains(labels, n).cast("double") for i, n in enumerate(names)}
+    ready = shared.transform(held).withColumns(marks)
     heads = [
         LogisticRegression(
             featuresCol="__features", labelCol=f"__is_{i}", maxIter=iterations, regParam=0.01,
@@ -68,13 +72,35 @@ def predict_multi_label(model, df: DataFrame, names: list[str], threshold: float
 
 
 def token_rows(df: DataFrame, key: str, tokens: str, tags: str) -> DataFrame:
-    """One row per token with its neighbours, for the tag head."""
-    pairs = df.select(key, F.col(tokens).alias("__w"), F.posexplode(F.arrays_zip(F.col(tokens).alias("w"), F.col(tags).alias("t"))).alias("pos", "__z"))
-    around = F.concat_ws(
-        " ",
-        F.concat(F.lit("w="), F.lower(F.col("__z.w"))),
-        F.concat(F.lit("shape="), F.regexp_replace(F.regexp_replace("__z.w", r"\p{Lu}", "X"), r"\p{Ll}", "x")),
-        F.concat(F.lit("prev="), F.lower(F.coalesce(F.get("__w", F.col("pos") - 1), F.lit("<s>")))),
-        F.concat(F.lit("next="), F.lower(F.coalesce(F.get("__w", F.col("pos") + 1), F.lit("</s>")))),
-    )
-    return pairs.select(key, "pos", around.alias("context"), F.col("__z.t").alias("tag"))
+    """One row per token, described by itself and its neighbours, for the tag head.
+
+    The descriptions are made inside the row, so no token row carries the whole text.
+    """
+
+    def describe(s: Column) -> Column:
+        def one(w: Column, i: Column) -> Column:
+            shape = F.regexp_replace(F.regexp_replace(w, r"\p{Lu}", "X"), r"\p{Ll}", "x")
+            before = F.when(i > 0, F.lower(F.get(s["w"], i - 1))).otherwise("<s>")
+            after = F.lower(F.coalesce(F.get(s["w"], i + 1), F.lit("</s>")))
+            parts = {"w=": F.lower(w), "shape=": shape, "prev=": before, "next=": after}
+            context = F.concat_ws(" ", *[F.concat(F.lit(k), v) for k, v in parts.items()])
+            return F.struct(i.alias("pos"), context.alias("context"), F.get(s["t"], i).alias("tag"))
+
+        return F.transform(s["w"], one)
+
+    each = let(F.struct(F.col(tokens).alias("w"), F.col(tags).alias("t")), describe)
+    return df.select(key, F.explode(each).alias("__e")).select(key, "__e.*")
+
+
+def fit_tags(df: DataFrame, key: str, tokens: str, tags: str, features: int = FEATURES, iterations: int = 20) -> PipelineModel:
+    """Tag head: one label per token, from the token and its neighbours."""
+    return fit_single_label(token_rows(df, key, tokens, tags), "context", "tag", features, iterations)
+
+
+def predict_tags(model: PipelineModel, df: DataFrame, key: str, tokens: str, name: str = "predicted") -> DataFrame:
+    """(key, tag string) per row; a row's tags are put together again, so ``key`` must identify it."""
+    blank = F.transform(F.col(tokens), lambda _: F.lit(None).cast("string"))
+    rows = token_rows(df.withColumn("__none", blank), key, tokens, "__none")
+    found = predict_single_label(model, rows, "__tag")
+    ordered = F.array_sort(F.collect_list(F.struct("pos", "__tag")))
+    return found.groupBy(key).agg(F.array_join(F.transform(ordered, lambda x: x["__tag"]), " ").alias(name))

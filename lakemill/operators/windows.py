@@ -14,10 +14,30 @@ from lakemill.operators.bounds import GROUP_ROWS, hot_groups, join_keys, order_c
 from lakemill.operators.keys import surrogate_key
 
 
-def group_mean(df: DataFrame, by: list[str], value: str, name: str, digits: int = 2) -> DataFrame:
-    """Each row with its group's mean: an aggregate joined back, so no task holds a group."""
-    means = df.groupBy(*by).agg(F.round(F.avg(F.col(value).cast(MONEY)), digits).cast("double").alias(name))
-    return join_keys(df, means, by, "left")
+def group_mean(
+    df: DataFrame,
+    by: list[str],
+    value: str,
+    name: str,
+    digits: int = 2,
+    group_rows: int = GROUP_ROWS,
+    n_rows: int | None = None,
+) -> DataFrame:
+    """Each row with its group's mean.
+
+    A window, which shuffles the rows once. Groups too long for one task are aggregated
+    instead; they are few, so their means are broadcast back.
+    """
+    window = Window.partitionBy(*by)
+    exact = F.col(value).cast(MONEY)
+    hot = hot_groups(df, by, group_rows, n_rows)
+    if hot is None:
+        return df.withColumn(name, F.round(F.avg(exact).over(window), digits).cast("double"))
+    cold = join_keys(df, F.broadcast(hot), by, "left_anti")
+    cold = cold.withColumn(name, F.round(F.avg(exact).over(window), digits).cast("double"))
+    large = join_keys(df, F.broadcast(hot), by, "left_semi")
+    means = large.groupBy(*by).agg(F.round(F.avg(exact), digits).cast("double").alias(name))
+    return cold.unionByName(join_keys(large, F.broadcast(means), by, "inner"))
 
 
 def period_delta(

@@ -69,7 +69,7 @@ def fact_benchmark(benchmark: DataFrame, dims: dict[str, DataFrame], group_rows:
     facts = cut(resolved)
     n_rows = facts.count()
     method = ["selectionMethodKey", "gradingScaleKey"]
-    facts = windows.group_mean(facts, ["timeKey", "schoolKey", "majorKey", *method], "score", "avgScoreByMajor")
+    facts = windows.group_mean(facts, ["timeKey", "schoolKey", "majorKey", *method], "score", "avgScoreByMajor", group_rows=group_rows, n_rows=n_rows)
     facts = windows.period_delta(
         facts, ["schoolKey", "majorKey", *method, "subjectGroupKey"], "timeKey", "avgScoreByMajor", "yearlyScoreGap",
         ties=("schoolId", "majorId", "subjectGroupId", "score"), group_rows=group_rows, n_rows=n_rows,

@@ -29,6 +29,18 @@ def build_session(app: str = "lakemill", master: str | None = None, conf: dict[s
     return builder.getOrCreate()
 
 
+def s3a_conf(endpoint: str, access_key: str, secret_key: str, path_style: bool = True, tls: bool = False) -> dict[str, str]:
+    """Settings for an S3-like store, to pass to ``build_session``. Keys come from the caller."""
+    return {
+        "spark.hadoop.fs.s3a.endpoint": endpoint,
+        "spark.hadoop.fs.s3a.access.key": access_key,
+        "spark.hadoop.fs.s3a.secret.key": secret_key,
+        "spark.hadoop.fs.s3a.path.style.access": str(path_style).lower(),
+        "spark.hadoop.fs.s3a.connection.ssl.enabled": str(tls).lower(),
+        "spark.hadoop.fs.s3a.impl": "org.apache.hadoop.fs.s3a.S3AFileSystem",
+    }
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder all executors can reach, as named by ``spark.checkpoint.dir``.
 

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakemill.session import cut
 from lakemill.sources.csv_files import header_columns, headers, list_files, read_layouts
 
 LEDGER = "path string, run string, status string, at timestamp"
@@ -76,18 +77,16 @@ def load_new_files(
     for run, paths in _open_runs(read_ledger(spark, ledger)).items():
         _load(spark, _headers_of(spark, paths), run, target, transform)
         _log(spark, ledger, paths, run, LOADED, run_ts)
-    passed_over: list[str] = []
+    # Listed once; files that come in meanwhile are for the next call.
+    pending = cut(new_files(list_files(spark, folder, pattern), read_ledger(spark, ledger)).select("path"))
+    last = ""
     while True:
-        pending = new_files(list_files(spark, folder, pattern), read_ledger(spark, ledger))
-        if passed_over:
-            unreadable = spark.createDataFrame([(p,) for p in passed_over], "path string")
-            pending = pending.join(unreadable, "path", "left_anti")
-        paths = [r["path"] for r in pending.orderBy("path").limit(files_per_batch).select("path").collect()]
+        batch = pending.filter(F.col("path") > last).orderBy("path").limit(files_per_batch)
+        paths = [r["path"] for r in batch.collect()]
         if not paths:
             break
-        run = uuid.uuid4().hex
+        last, run = paths[-1], uuid.uuid4().hex
         heads = _headers_of(spark, paths)
-        passed_over += [p for p in paths if p not in heads]
         keyed = {p: h for p, h in heads.items() if key_column in header_columns(h)}
         keyless = [p for p in heads if p not in keyed]
         if keyless:

@@ -8,7 +8,7 @@ from check import connect, differences
 from .conftest import SMALL
 
 QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
-ROWS_ONLY = {"train_text_clf", "train_multi_label"}
+ROWS_ONLY = {"train_text_clf", "train_multi_label", "train_tags"}
 
 
 @pytest.fixture(scope="module")

@@ -63,11 +63,12 @@ def test_period_delta_skips_gap_years(spark):
     assert rows(windows.period_delta(df, ["k"], "y", "v", "d"), "k", "y", "d") == [("a", 2020, 0.0), ("a", 2023, 0.75), ("b", 2021, 0.0)]
 
 
-def test_group_mean_keeps_null_groups(spark):
+@pytest.mark.parametrize("group_rows", [100, 10**6])
+def test_group_mean_keeps_null_groups(spark, group_rows):
     df = skewed(spark)
     w = Window.partitionBy("grp")
     want = df.withColumn("m", F.round(F.avg(F.col("score").cast("decimal(18,2)")).over(w), 2).cast("double"))
-    assert rows(windows.group_mean(df, ["grp"], "score", "m"), "id", "m") == rows(want, "id", "m")
+    assert rows(windows.group_mean(df, ["grp"], "score", "m", group_rows=group_rows), "id", "m") == rows(want, "id", "m")
 
 
 @pytest.mark.parametrize("hot_rows", [100, 10**6])
