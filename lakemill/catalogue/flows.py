@@ -12,7 +12,7 @@ RUN_TS = "2025-01-01 00:00:00"
 
 
 def raw_benchmark(spark, sf):
-    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_returnflag", "l_linestatus")
+    lines = wide_table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_returnflag", "l_linestatus")
     orders = table(spark, sf, "orders").select("o_orderkey", "o_orderdate", "o_orderpriority")
     parts = table(spark, sf, "part").select("p_partkey", "p_type")
     rows = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(parts, F.col("l_partkey") == F.col("p_partkey"))

@@ -1,7 +1,8 @@
 """Lookups, star resolution and the anti-joins behind incremental loads.
 
-Dimension tables carry no broadcast hint: Spark reads their size from the files and
-broadcasts only what is under its threshold. Derived tables are counted first.
+A dimension is counted before it is broadcast. One within the bound is never shuffled,
+however few keys the fact rows pile up on; a larger one is left to Spark, which splits
+skewed partitions of the fact side.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ def left_lookup(fact: DataFrame, dim: DataFrame, fact_key: Column | str, dim_key
     fact_key = F.col(fact_key) if isinstance(fact_key, str) else fact_key
     dim_key = F.col(dim_key) if isinstance(dim_key, str) else dim_key
     slim = dim.select(dim_key.alias("__dim_key"), *take)
-    return fact.withColumn("__key", fact_key).join(slim, F.col("__key") == F.col("__dim_key"), "left").drop(
+    return fact.withColumn("__key", fact_key).join(checked_broadcast(slim), F.col("__key") == F.col("__dim_key"), "left").drop(
         "__key", "__dim_key"
     )
 
@@ -56,7 +57,7 @@ def star_resolve(fact: DataFrame, dims: list[Dim]) -> DataFrame:
     for i, d in enumerate(dims):
         on = f"__dim_{i}"
         slim = d.rows.select(F.col(d.dim_column).alias(on), *d.keep)
-        out = out.join(slim, out[d.fact_column] == slim[on], "left").drop(on)
+        out = out.join(checked_broadcast(slim), F.col(d.fact_column) == F.col(on), "left").drop(on)
     return out
 
 

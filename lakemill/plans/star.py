@@ -92,7 +92,10 @@ def fact_benchmark(benchmark: DataFrame, dims: dict[str, DataFrame], group_rows:
 
 def fact_score_distribution_by_subject(scores: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
     """Students per region, subject, year and 0.2 step. Counted first, keys resolved after."""
-    each = scores.select("regionId", "year", F.explode("scores").alias("subjectId", "score"))
+    # Exploded as entries: under an explode of a plain column Spark adds an emptiness
+    # filter, which would parse a map that is not stored yet once more.
+    entries = scores.select("regionId", "year", F.explode(F.map_entries("scores")).alias("__e"))
+    each = entries.select("regionId", "year", F.col("__e.key").alias("subjectId"), F.col("__e.value").alias("score"))
     counted = agg.histogram(each, "score", "0.2", ["regionId", "subjectId", "year"], "scoreThreshold", "quantity")
     facts = star_resolve(
         counted,
