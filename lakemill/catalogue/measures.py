@@ -260,21 +260,21 @@ def win_avg(spark, sf):
         ],
     )
     by = ["l_suppkey", "p_type", "year"]
-    fine = fine.groupBy(*by, "o_orderpriority").agg(
-        F.round(F.avg(F.col("l_extendedprice").cast(agg.MONEY)), 2).cast("double").alias("score")
-    )
-    return windows.group_mean(fine, by, "score", "avg_score")
+    score = F.round(F.avg(F.col("l_extendedprice").cast(agg.MONEY)), 2).cast("double").alias("score")
+    held = cut(fine.groupBy(*by, "o_orderpriority").agg(score))
+    return windows.group_mean(held, by, "score", "avg_score", n_rows=held.count())
 
 
 @query("lag_delta", f"WITH {YEARLY} SELECT *, {GAP} FROM yearly")
 def lag_delta(spark, sf):
-    return windows.period_delta(yearly_scores(spark, sf), ["l_suppkey", "p_type"], "year", "score", "yearly_gap")
+    scores = cut(yearly_scores(spark, sf))
+    return windows.period_delta(scores, ["l_suppkey", "p_type"], "year", "score", "yearly_gap", n_rows=scores.count())
 
 
 @query("rank_within", f"WITH {YEARLY} SELECT *, CAST({WITHIN.split(' AS ')[0]} AS INTEGER) AS rank_within FROM yearly")
 def rank_within(spark, sf):
     scores = cut(yearly_scores(spark, sf))
-    return windows.rank_in_group(scores, ["l_suppkey", "year"], ["-score", "p_type"], "rank_within", dense=True)
+    return windows.rank_in_group(scores, ["l_suppkey", "year"], ["-score", "p_type"], "rank_within", dense=True, n_rows=scores.count())
 
 
 @query("rank_across", f"WITH {YEARLY} SELECT *, CAST({ACROSS.split(' AS ')[0]} AS INTEGER) AS rank_across FROM yearly")

@@ -116,10 +116,10 @@ def load_articles(spark: SparkSession, lake: Lake, bronze: Bronze, run_ts: str)
         stage = Stage(spark, lake, bronze.facebook_posts, "facebook_posts", "ID", run_ts)
         if stage.runs:
             posts = cut(lake.fit("article", silver.facebook_posts(stage.rows(), run_ts)))
-            known = lake.read_or_none("article")
-            if known is None:
-                known = posts.limit(0)
-            lake.replace("article", silver.merge_facebook_posts(known.drop("timePublish_day"), posts.drop("timePublish_day")))
+            if lake.exists("article"):
+                lake.rewrite("article", posts, ["url", "type"], silver.merge_facebook_posts)
+            else:
+                lake.replace("article", silver.merge_facebook_posts(posts.limit(0), posts))
             stage.done()
 
 

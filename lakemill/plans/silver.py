@@ -211,5 +211,6 @@ def merge_facebook_posts(articles: DataFrame, posts: DataFrame) -> DataFrame:
     with_url = posts.filter(F.col("url").isNotNull())
     order = ["-timePublish", "-likeCount", "-commentCount", "-shareCount", "articleID", "description", "author"]
     columns = ["description", "timePublish", "likeCount", "shareCount", "commentCount", "updated_at"]
+    columns += [c for c in articles.columns if c == "timePublish_day"]
     merged = changes.upsert(articles, with_url, ["url", "type"], columns, order)
     return merged.unionByName(posts.filter(F.col("url").isNull()).select(*articles.columns))

@@ -12,13 +12,14 @@ import os
 import uuid
 from functools import reduce
 from operator import and_, or_
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakemill.operators import changes
-from lakemill.operators.bounds import control_rows
+from lakemill.operators.bounds import control_rows, join_keys
 from lakemill.session import cut
 
 COMPRESSION = "gzip"
@@ -122,17 +123,18 @@ class Lake:
     def upsert(self, table: str, source: DataFrame, keys: list[str], columns: list[str], inserts=None, order=None) -> DataFrame:
         """First load creates the table, later ones update and insert.
 
-        The batch is written once to the shared folder, as several joins read it. If a
-        partition column is part of the key, only the batch's partitions are rewritten.
+        The batch is written once to the shared folder, as several joins read it. Only
+        partitions the batch can reach are rewritten.
         """
         batch = changes.dedup_by(source, keys, order) if order else source
         if not self.exists(table):
             return self.replace(table, batch.withColumns(inserts) if inserts else batch)
-        return self._rewrite(table, cut(batch), keys, lambda t, b: changes.upsert(t, b, keys, columns, None, inserts))
+        once = cut(self.fit(table, batch) if table in self.schemas and not inserts else batch)
+        return self.rewrite(table, once, keys, lambda t, b: changes.upsert(t, b, keys, columns, None, inserts))
 
     def update(self, table: str, source: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
         """Update matched rows only."""
-        return self._rewrite(table, cut(source), keys, lambda t, b: changes.merge_update(t, b, keys, columns))
+        return self.rewrite(table, cut(source), keys, lambda t, b: changes.merge_update(t, b, keys, columns))
 
     def replace_by_key(self, table: str, batch: DataFrame, keys: list[str], order: list[str], home: list[str] | None = None) -> DataFrame:
         """Drop rows whose key is in the batch, add the batch. ``home`` names partition
@@ -142,25 +144,46 @@ class Lake:
         once = cut(changes.dedup_by(batch, keys, order))
         if table in self.schemas:
             once = self.fit(table, once)
-        return self._rewrite(table, once, [*keys, *(home or [])], lambda t, b: changes.replace_by_key(t, b, keys, keys))
+        return self.rewrite(table, once, [*keys, *(home or [])], lambda t, b: changes.replace_by_key(t, b, keys, keys))
 
     def partitions(self, table: str) -> list[str]:
         return [c.name for c in self.spark.catalog.listColumns(self.name(table)) if c.isPartition]
 
-    def _rewrite(self, table: str, batch: DataFrame, keys: list[str], change) -> DataFrame:
-        """Replace the table, or only the partitions the batch falls in where keys settle them."""
-        target = self.read(table)
-        by = self.partitions(table)
-        touched = control_rows(batch.select(*by).distinct(), TOUCHED) if by and set(by) <= set(keys) else None
+    def rewrite(self, table: str, batch: DataFrame, keys: list[str], change) -> DataFrame:
+        """Apply ``change(target, batch)``, rewriting only the partitions it can reach.
+
+        Those are the partitions of the batch's rows and, unless the key settles the
+        partition, of the target rows with the batch's keys; finding them reads just the
+        key columns. If there are too many the table is replaced as a whole.
+        """
+        target, by = self.read(table), self.partitions(table)
+        if not by:
+            return self.replace(table, change(target, batch))
+        reached = batch.select(*by)
+        if not set(by) <= set(keys):
+            reached = reached.unionByName(join_keys(target.select(*keys, *by), batch.select(*keys).distinct(), keys, "left_semi").select(*by))
+        touched = control_rows(reached.distinct(), TOUCHED)
         if touched is None:
             return self.replace(table, change(target, batch), by)
         if not touched:
             return target
         # Values as literals, so the scan lists and reads these partitions only.
         part = target.filter(_any_of(by, touched))
-        self._insert(table, cut(change(part, batch)), overwrite=True)
+        result = cut(change(part, batch))
+        held = {tuple(r) for r in result.select(*by).distinct().collect()}
+        left = [r for r in touched if tuple(r) not in held]
+        if left:
+            self._clear(table, target.filter(_any_of(by, left)), by)
+        self._insert(table, result, overwrite=True)
         return self.read(table)
 
+    def _clear(self, table: str, rows: DataFrame, by: list[str]) -> None:
+        """Empty the partitions the rows lie in: overwriting leaves a partition without new rows alone."""
+        folder = F.regexp_extract("_metadata.file_path", "^(.*)/", 1)
+        nothing = rows.drop(*by).limit(0)
+        for r in rows.select(folder.alias("folder")).distinct().collect():
+            nothing.write.mode("overwrite").parquet(unquote(r["folder"]))
+
     def _insert(self, table: str, df: DataFrame, overwrite: bool) -> None:
         """Add rows, or overwrite just the partitions that ``df`` has rows for."""
         by = self.partitions(table)

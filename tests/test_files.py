@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lakemill.catalog import GOLD_SOCIAL, GOLD_STAR, SILVER
 from lakemill.operators import clean
+from lakemill.plans import silver
 from lakemill.sinks.tables import Lake, compact, write
 from lakemill.sources import csv_files
 from lakemill.streaming import ledger
@@ -84,6 +85,27 @@ def test_replace_by_key_in_home_partition(spark, lake):
     assert rows(lake.read("student_scores"), "studentId", "regionId", "year") == [("12021", "01", 2021), ("22022", "02", 2022), ("32023", "03", 2023)]
 
 
+def test_a_row_that_moves_leaves_its_partition(spark, lake):
+    def posts(data):
+        df = spark.createDataFrame(data, "articleID string, url string, t string, likeCount int")
+        rows_ = df.select("articleID", "url", F.to_timestamp("t").alias("timePublish"), "likeCount")
+        return clean.with_audit(rows_.withColumn("type", F.lit("facebook")), RUN_TS)
+
+    def files(day):
+        return {r[0] for r in lake.read("article").filter(F.col("timePublish_day") == day).select("_metadata.file_path").distinct().collect()}
+
+    lake.append("article", posts([("a", "u/a", "2024-01-01 1:00:00", 1), ("b", "u/b", "2024-01-02 1:00:00", 2), ("c", "u/c", "2024-01-05 1:00:00", 3)]))
+    untouched = files("2024-01-05")
+    batch = lake.fit("article", posts([("a", "u/a", "2024-01-02 2:00:00", 9), ("n", "u/n", "2024-01-09 2:00:00", 4)]))
+    for _ in range(2):
+        lake.rewrite("article", batch, ["url", "type"], silver.merge_facebook_posts)
+        got = rows(lake.read("article"), "articleID", F.col("timePublish_day").cast("string"), "likeCount")
+        assert got == [("a", "2024-01-02", 9), ("b", "2024-01-02", 2), ("c", "2024-01-05", 3), ("n", "2024-01-09", 4)]
+        assert files("2024-01-05") == untouched
+    lake.append("article", posts([("d", "u/d", "2024-01-01 3:00:00", 5)]))
+    assert rows(lake.read("article").filter("timePublish_day = date'2024-01-01'"), "articleID") == [("d",)]
+
+
 def test_update_only(spark, lake):
     lake.replace("t", spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string"))
     lake.update("t", spark.createDataFrame([(2, None), (3, "c")], "k int, v string"), ["k"], ["v"])
