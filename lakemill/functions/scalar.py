@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 # Input formats the loaders must accept.
 YEAR_SUFFIX = r"\s*năm\s+\d{4}.*$"
+DAY_MONTH_YEAR = r"^\d{1,2}-\d{1,2}-\d{4}$"
 MONTH_WORD_DATE = r"(?:^|\D)(\d{1,2})\s+Tháng\s+(\d{1,2}),\s+(\d{4})"
 DAY_MONTH = r"(\d+)\s+Tháng\s+(\d+)"
 YEAR_AFTER_COMMA = r",\s*(\d{4})"
@@ -101,13 +102,11 @@ def parse_date(c: Column | str, default: Column | None = None) -> Column:
     Unparsed text gives ``default`` (NULL unless stated).
     """
     c = _col(c)
-    day, month, year = (F.regexp_extract(c, MONTH_WORD_DATE, i) for i in (1, 2, 3))
-    tries = [
-        F.try_to_timestamp(c, F.lit("dd-MM-yyyy")),
-        F.try_to_timestamp(c, F.lit("d-M-yyyy")),
-        F.try_to_timestamp(F.concat_ws("-", day, month, year), F.lit("d-M-yyyy")),
-    ]
-    return F.coalesce(*tries, *([default] if default is not None else []))
+    worded = F.concat_ws("-", *(F.regexp_extract(c, MONTH_WORD_DATE, i) for i in (1, 2, 3)))
+    # Only text of the right form is parsed: a parse that fails is slow.
+    text = F.when(c.rlike(DAY_MONTH_YEAR), c).when(c.rlike(MONTH_WORD_DATE), worded)
+    parsed = F.try_to_timestamp(text, F.lit("d-M-yyyy"))
+    return parsed if default is None else F.coalesce(parsed, default)
 
 
 def parse_comment_time(c: Column | str, default: Column | None = None) -> Column:
@@ -116,7 +115,7 @@ def parse_comment_time(c: Column | str, default: Column | None = None) -> Column
     pattern = r"(\d{1,2})[-/](\d{1,2})[-/](\d{4})"
     parts = F.concat_ws("-", *(F.regexp_extract(c, pattern, i) for i in (1, 2, 3)))
     tries = [
-        F.try_to_timestamp(parts, F.lit("d-M-yyyy")),
+        F.try_to_timestamp(F.when(c.rlike(pattern), parts), F.lit("d-M-yyyy")),
         F.when(c.contains(RELATIVE_WORD), F.lit("1970-01-01").cast("timestamp")),
     ]
     return F.coalesce(*tries, *([default] if default is not None else []))

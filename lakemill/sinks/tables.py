@@ -61,14 +61,19 @@ class Lake:
     def fit(self, table: str, df: DataFrame) -> DataFrame:
         """The registry's columns and types; absent ones are NULL, ``…_day`` columns are derived."""
         schema, _ = self.schemas[table]
-        for f in schema.fields:
-            base = f.name.removesuffix("_day")
-            if f.name not in df.columns and base != f.name and base in df.columns:
-                df = with_day(df, base, f.name)
+        df = self._with_days(table, df)
         return df.select(
             *[(F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.fields]
         )
 
+    def _with_days(self, table: str, df: DataFrame) -> DataFrame:
+        schema, _ = self.schemas.get(table, (T.StructType(), []))
+        for name in schema.names:
+            base = name.removesuffix("_day")
+            if name not in df.columns and base != name and base in df.columns:
+                df = with_day(df, base, name)
+        return df
+
     def list_tables(self) -> list[str]:
         return sorted(t.name for t in self.spark.catalog.listTables(self.database))
 
@@ -129,7 +134,7 @@ class Lake:
         batch = changes.dedup_by(source, keys, order) if order else source
         if not self.exists(table):
             return self.replace(table, batch.withColumns(inserts) if inserts else batch)
-        once = cut(self.fit(table, batch) if table in self.schemas and not inserts else batch)
+        once = cut(self._with_days(table, batch))
         return self.rewrite(table, once, keys, lambda t, b: changes.upsert(t, b, keys, columns, None, inserts))
 
     def update(self, table: str, source: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
