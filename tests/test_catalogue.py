@@ -4,10 +4,10 @@ import pytest
 
 import __spark_entry__ as entry
 from check import connect, differences
+from lakemill.catalogue import ORACLES, QUERIES
 
 from .conftest import SMALL
 
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
 ROWS_ONLY = {"train_text_clf", "train_multi_label", "train_tags"}
 
 
@@ -39,3 +39,8 @@ def test_query(spark, duck, name):
 
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
+
+
+def test_entry_lists_every_query():
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(ORACLES) <= set(entry.oracle_sql()) <= set(entry.queries())
