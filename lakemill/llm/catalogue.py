@@ -1,6 +1,6 @@
 """All queries of the package."""
 
-from lakemill.llm import queries_native
+from lakemill.llm import queries_free, queries_native
 from lakemill.llm.registry import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "queries_native"]
+__all__ = ["ORACLES", "QUERIES", "queries_free", "queries_native"]
