@@ -84,8 +84,10 @@ def mix(
 
     Null text: size 0, taken 0. Null source: a source of its own. Null ids and repeated
     ids: taken alike, as the draws depend on the id alone. A source without words: target
-    0. Empty table: empty result. Other columns are ignored unless in ``keep``.
+    0. Empty table: empty result. Other columns are ignored unless in ``keep``; those named
+    like a result are replaced.
     """
+    keep = tuple(c for c in keep if c not in (id_col, "size", "source_size", "target", "taken"))
     sized = docs.select(
         F.col(id_col).alias("__id"),
         F.col(source_col).alias("__source"),
