@@ -81,9 +81,11 @@ def doc_shard(ids: np.ndarray, shards: int) -> np.ndarray:
 
 def dealt(kind: str, shard: np.ndarray, fields, columns: list[np.ndarray]) -> list[tuple[int, str, bytes]]:
     """One packed blob for each shard that has rows; rows keep their order."""
+    if not len(shard):
+        return []
     order = np.argsort(shard, kind="stable")
     shard, columns = shard[order], [c[order] for c in columns]
-    cuts = np.flatnonzero(np.diff(shard, prepend=-1)) if len(shard) else np.empty(0, np.int64)
+    cuts = np.flatnonzero(np.diff(shard, prepend=-1))
     ends = np.append(cuts[1:], len(shard))
     return [(int(shard[a]), kind, pack(fields, [c[a:b] for c in columns])) for a, b in zip(cuts, ends, strict=True)]
 
