@@ -140,7 +140,7 @@ def parse(texts: list[str], model: Model) -> tuple[np.ndarray, np.ndarray]:
     keep[1:] |= codes[:-1] != 0
     first = np.concatenate([[0], ends[:-1]])
     first = first[first < len(codes)]
-    keep[first] |= codes[first] != 0
+    keep[first] = codes[first] != 0
     kept = np.concatenate([[0], np.cumsum(keep)])
     sums = np.concatenate([[0], np.cumsum(codes != 0)])
     bounds = np.concatenate([[0], ends])
