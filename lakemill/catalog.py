@@ -5,96 +5,98 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 _KINDS = {
-    "s": T.StringType(),
-    "i": T.IntegerType(),
-    "l": T.LongType(),
-    "d": T.DoubleType(),
-    "f": T.FloatType(),
-    "t": T.TimestampType(),
-    "day": T.DateType(),
-    "scores": T.MapType(T.IntegerType(), T.DoubleType()),
+    "string": T.StringType(),
+    "int": T.IntegerType(),
+    "bigint": T.LongType(),
+    "double": T.DoubleType(),
+    "float": T.FloatType(),
+    "timestamp": T.TimestampType(),
+    "date": T.DateType(),
+    "map<int,double>": T.MapType(T.IntegerType(), T.DoubleType()),
 }
-_AUDIT = "created_at:t updated_at:t"
+_AUDIT = "created_at timestamp, updated_at timestamp"
 
 
 def _table(columns: str, partition_by: str = "") -> tuple[T.StructType, list[str]]:
-    fields = [c.split(":") for c in columns.split()]
-    return T.StructType([T.StructField(n, _KINDS[k]) for n, k in fields]), partition_by.split()
+    """Schema of a column list as in DDL (no session needed), and the partition columns."""
+    fields = [c.split(" ") for c in columns.split(", ")]
+    return T.StructType([T.StructField(name, _KINDS[kind]) for name, kind in fields]), partition_by.split()
 
 
 # Table and column names of the data model.
 SILVER = {
-    "school": _table(f"schoolId:s schoolName:s province:s {_AUDIT}"),
-    "major": _table(f"majorId:s majorName:s {_AUDIT}"),
-    "major_group": _table(f"majorGroupId:i majorGroupName:s {_AUDIT}"),
-    "subject_group": _table(f"subjectGroupId:i subjectGroupName:s subjectCombination:s {_AUDIT}"),
-    "subject": _table(f"subjectId:i subjectName:s {_AUDIT}"),
-    "selection_method": _table(f"selectionMethodId:i selectionMethodName:s {_AUDIT}"),
-    "grading_scale": _table(f"gradingScaleId:i value:f description:s {_AUDIT}"),
-    "region": _table(f"regionId:s regionName:s {_AUDIT}"),
+    "school": _table(f"schoolId string, schoolName string, province string, {_AUDIT}"),
+    "major": _table(f"majorId string, majorName string, {_AUDIT}"),
+    "major_group": _table(f"majorGroupId int, majorGroupName string, {_AUDIT}"),
+    "subject_group": _table(f"subjectGroupId int, subjectGroupName string, subjectCombination string, {_AUDIT}"),
+    "subject": _table(f"subjectId int, subjectName string, {_AUDIT}"),
+    "selection_method": _table(f"selectionMethodId int, selectionMethodName string, {_AUDIT}"),
+    "grading_scale": _table(f"gradingScaleId int, value float, description string, {_AUDIT}"),
+    "region": _table(f"regionId string, regionName string, {_AUDIT}"),
     "benchmark": _table(
-        "benchmarkId:l schoolId:s majorId:s subjectGroupId:i selectionMethodId:i gradingScaleId:i "
-        f"score:d {_AUDIT} year:i",
+        "benchmarkId bigint, schoolId string, majorId string, subjectGroupId int, selectionMethodId int, gradingScaleId int, "
+        f"score double, {_AUDIT}, year int",
         "year",
     ),
-    "student_scores": _table(f"studentId:s regionId:s scores:scores {_AUDIT} year:i", "year"),
+    "student_scores": _table(f"studentId string, regionId string, scores map<int,double>, {_AUDIT}, year int", "year"),
     "article": _table(
-        "articleID:s description:s author:s url:s timePublish:t likeCount:i commentCount:i shareCount:i "
-        f"type:s {_AUDIT} timePublish_day:day",
+        "articleID string, description string, author string, url string, timePublish timestamp, likeCount int, commentCount int, shareCount int, "
+        f"type string, {_AUDIT}, timePublish_day date",
         "timePublish_day",
     ),
     # Partitioned by day only: a folder per article would make more folders than files are worth.
     "comment": _table(
-        "commentID:l articleID:s name:s tagName:s urlUser:s comment:s commentTime:t commentLike:i "
-        f"levelComment:i replyTo:s numberOfReply:i {_AUDIT} commentTime_day:day",
+        "commentID bigint, articleID string, name string, tagName string, urlUser string, comment string, commentTime timestamp, commentLike int, "
+        f"levelComment int, replyTo string, numberOfReply int, {_AUDIT}, commentTime_day date",
         "commentTime_day",
     ),
     "result_multi_model": _table(
-        "postID:s timePublish:t description_Normalized:s Label_NER:s Label_Topic:s Label_Intent:s "
-        f"likeCount:i commentCount:i shareCount:i type:s {_AUDIT} timePublish_day:day",
+        "postID string, timePublish timestamp, description_Normalized string, Label_NER string, Label_Topic string, Label_Intent string, "
+        f"likeCount int, commentCount int, shareCount int, type string, {_AUDIT}, timePublish_day date",
         "timePublish_day",
     ),
-    "student_scores_ingest_log": _table("path:s year:i processed_at:t"),
-    "tiktok_posts_files_log": _table("file_path:s load_time:t"),
-    "tiktok_comments_files_log": _table("file_path:s load_time:t"),
-    "fb_posts_files_log": _table("file_path:s load_time:t"),
-    "fb_comments_files_log": _table("file_path:s load_time:t"),
+    "student_scores_ingest_log": _table("path string, year int, processed_at timestamp"),
+    "tiktok_posts_files_log": _table("file_path string, load_time timestamp"),
+    "tiktok_comments_files_log": _table("file_path string, load_time timestamp"),
+    "fb_posts_files_log": _table("file_path string, load_time timestamp"),
+    "fb_comments_files_log": _table("file_path string, load_time timestamp"),
 }
 GOLD_STAR = {
-    "dim_time": _table("timeKey:i day:i month:i year:i"),
-    "dim_region": _table("regionKey:i regionId:s regionName:s"),
-    "dim_school": _table("schoolKey:i schoolId:s schoolName:s province:s"),
-    "dim_major": _table("majorKey:i majorId:s majorName:s"),
-    "dim_subject": _table("subjectKey:i subjectId:i subjectName:s"),
-    "dim_subject_group": _table("subjectGroupKey:i subjectGroupId:i subjectGroupName:s subjectCombination:s"),
-    "dim_selection_method": _table("selectionMethodKey:i selectionMethodId:i selectionMethodName:s"),
-    "dim_grading_scale": _table("gradingScaleKey:i gradingScaleId:i value:f description:s"),
+    "dim_time": _table("timeKey int, day int, month int, year int"),
+    "dim_region": _table("regionKey int, regionId string, regionName string"),
+    "dim_school": _table("schoolKey int, schoolId string, schoolName string, province string"),
+    "dim_major": _table("majorKey int, majorId string, majorName string"),
+    "dim_subject": _table("subjectKey int, subjectId int, subjectName string"),
+    "dim_subject_group": _table("subjectGroupKey int, subjectGroupId int, subjectGroupName string, subjectCombination string"),
+    "dim_selection_method": _table("selectionMethodKey int, selectionMethodId int, selectionMethodName string"),
+    "dim_grading_scale": _table("gradingScaleKey int, gradingScaleId int, value float, description string"),
     "fact_benchmark": _table(
-        "benchmarkKey:l subjectGroupKey:i majorKey:i schoolKey:i selectionMethodKey:i gradingScaleKey:i "
-        "score:f avgScoreByMajor:f yearlyScoreGap:f rankAmongMajors:i rankAmongSchools:i timeKey:i",
+        "benchmarkKey bigint, subjectGroupKey int, majorKey int, schoolKey int, selectionMethodKey int, gradingScaleKey int, "
+        "score float, avgScoreByMajor float, yearlyScoreGap float, rankAmongMajors int, rankAmongSchools int, timeKey int",
         "timeKey",
     ),
     "fact_score_distribution_by_subject": _table(
-        "SDBSKey:l regionKey:i subjectKey:i scoreThreshold:f quantity:f timeKey:i", "timeKey"
+        "SDBSKey bigint, regionKey int, subjectKey int, scoreThreshold float, quantity float, timeKey int", "timeKey"
     ),
     "fact_score_distribution_by_subject_group": _table(
-        "SDBSGKey:l regionKey:i subjectGroupKey:i scoreRange:f quantity:f timeKey:i", "timeKey"
+        "SDBSGKey bigint, regionKey int, subjectGroupKey int, scoreRange float, quantity float, timeKey int", "timeKey"
     ),
 }
 GOLD_SOCIAL = {
-    "Entity": _table(f"entityID:i entityType:s entityDetail:s {_AUDIT}"),
-    "Topic": _table(f"topicID:i topicName:s topicDetail:s {_AUDIT}"),
+    "Entity": _table(f"entityID int, entityType string, entityDetail string, {_AUDIT}"),
+    "Topic": _table(f"topicID int, topicName string, topicDetail string, {_AUDIT}"),
     "Post": _table(
-        f"postID:s description:s timePublish:t likeCount:i commentCount:i shareCount:i intent:s type:s {_AUDIT} "
-        "timePublish_day:day",
+        f"postID string, description string, timePublish timestamp, likeCount int, commentCount int, shareCount int, intent string, type string, {_AUDIT}, "
+        "timePublish_day date",
         "timePublish_day",
     ),
     "Post_Entity": _table(
-        f"postID:s entityID:i entityOrder:i entityName:s entityNameNormalized:s {_AUDIT}"
+        f"postID string, entityID int, entityOrder int, entityName string, entityNameNormalized string, {_AUDIT}",
+        "entityID",
     ),
-    "Post_Topic": _table(f"postID:s topicID:i {_AUDIT}"),
+    "Post_Topic": _table(f"postID string, topicID int, {_AUDIT}"),
     "Comment_Sentiment": _table(
-        "postID:s commentID:l comment:s sentiment:s commentTime:t commentLike:i levelComment:i "
-        f"numberOfReply:i {_AUDIT}"
+        "postID string, commentID bigint, comment string, sentiment string, commentTime timestamp, commentLike int, levelComment int, "
+        f"numberOfReply int, {_AUDIT}"
     ),
 }

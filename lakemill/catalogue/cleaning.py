@@ -20,7 +20,7 @@ def project_cast(spark, sf):
         {
             "customer_id": ("c_custkey", "string"),
             "customer_name": ("c_name", "string"),
-            "name_number": (F.substring("c_name", 10, 20), "bigint"),
+            "name_number": (F.substr("c_name", F.lit(10)), "bigint"),
             "segment_number": ("c_mktsegment", "int"),
             "nation": ("c_nationkey", "bigint"),
         },

@@ -78,7 +78,7 @@ def fact_benchmark(spark, sf):
     return star.fact_benchmark(scores, dims)
 
 
-SUBJECTS = {"Q": 1, "D": 2, "T": 3}
+SUBJECTS = [(1, "Q"), (2, "D"), (3, "T")]
 # The score text of measures.score_text, for the order of copies.
 TEXT = """concat_ws(',', 'Q:' || l_linenumber, CASE WHEN l_returnflag = 'A' THEN ' D : ' || l_linenumber || '.5' END,
     CASE WHEN l_linestatus = 'F' THEN 'T:x' END, CASE WHEN l_linestatus = 'O' THEN 'T:' || CAST(l_quantity AS INTEGER) END,
@@ -94,12 +94,12 @@ def students(spark, sf):
     number = F.concat(F.lpad(F.col("l_suppkey").cast("string"), 6, "0"), F.lit("-"), "l_orderkey", F.lit("-"), "l_linenumber")
     path = F.concat(F.lit("/bronze/"), F.year("l_shipdate"), F.lit("/scores.csv"))
     raw = lines.select(number.alias("SBD"), score_text().alias("DiemThi"), path.alias("path"))
-    return silver.student_scores(raw, SUBJECTS)
+    return silver.student_scores(raw, spark.createDataFrame(SUBJECTS, "subjectId int, subjectName string"))
 
 
 def score_dims(spark, sf):
     codes = table(spark, sf, "supplier").select(F.substring(F.lpad(F.col("s_suppkey").cast("string"), 6, "0"), 1, 2).alias("regionId"))
-    subjects = spark.createDataFrame(list(SUBJECTS.items()), "subjectName string, subjectId int")
+    subjects = spark.createDataFrame(SUBJECTS, "subjectId int, subjectName string")
     groups = spark.createDataFrame(
         [(7, "G1", "Q-D"), (8, "G2", "q - T"), (9, "G3", "Q-Z")], "subjectGroupId int, subjectGroupName string, subjectCombination string"
     )

@@ -7,7 +7,6 @@ from lakemill.catalogue.registry import mean2, mean6, query, table, wide_table
 from lakemill.functions.minitext import parse_map, split_labels
 from lakemill.operators import aggregates as agg
 from lakemill.operators import joins, keys, windows
-from lakemill.operators.bounds import control_rows
 from lakemill.session import cut
 
 DEC = "CAST({} AS DECIMAL(18,2))"
@@ -375,11 +374,3 @@ def sentiment_daily(spark, sf):
 def label_vocab(spark, sf):
     docs = table(spark, sf, "documents").select(split_labels(F.concat_ws("|", "lang", "source")).alias("labels"))
     return keys.surrogate_key(agg.vocabulary(docs, "labels"), "label_id", ["label"], start=0)
-
-
-def small_vocabulary(df, column, limit=10_000):
-    """Sorted label values of a vocabulary that is checked to be small."""
-    rows = control_rows(df.select(column).distinct(), limit)
-    if rows is None:
-        raise ValueError(f"more than {limit} labels")
-    return sorted(r[0] for r in rows)

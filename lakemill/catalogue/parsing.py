@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from lakemill.catalogue.measures import score_text, small_vocabulary
+from lakemill.catalogue.measures import score_text
 from lakemill.catalogue.registry import query, table, wide_table
 from lakemill.functions import minitext, scalar
 
@@ -162,17 +162,14 @@ def label_split(spark, sf):
 )
 def multi_hot(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", F.array("lang", "source").alias("labels"))
-    names = small_vocabulary(docs.select(F.explode("labels").alias("label")), "label")
-    vector = minitext.multi_hot("labels", F.array(*[F.lit(n) for n in names]))
-    return docs.select("doc_id", F.array_join(vector.cast("array<string>"), "").alias("vector"))
-
-
-TOPICS = ["MAJOR", "TUITION", "CAREER", "STUDY"]
+    known = docs.withColumn("known", minitext.sorted_values(docs.select(F.explode("labels").alias("label")), "label"))
+    vector = minitext.multi_hot("labels", F.col("known"))
+    return known.select("doc_id", F.array_join(vector.cast("array<string>"), "").alias("vector"))
 
 
 @query(
     "threshold_labels",
-    f"""SELECT vec_id, coalesce(nullif(array_to_string([n FOR n, i IN {TOPICS} IF embedding[i] > 0], '|'), ''), 'None') AS topics,
+    """SELECT vec_id, coalesce(nullif(array_to_string(['T' || CAST(i AS VARCHAR) FOR e, i IN embedding IF e > 0], '|'), ''), 'None') AS topics,
               CAST(list_position(embedding, list_max(embedding)) AS VARCHAR) AS best FROM embeddings""",
 )
 def threshold_labels(spark, sf):
@@ -181,6 +178,6 @@ def threshold_labels(spark, sf):
     chances = vectors.select("vec_id", "embedding", minitext.sigmoid("embedding").alias("p"))
     return chances.select(
         "vec_id",
-        minitext.labels_above("p", TOPICS).alias("topics"),
+        minitext.labels_above("p", [f"T{i + 1}" for i in range(size)]).alias("topics"),
         minitext.best_label("embedding", [str(i + 1) for i in range(size)]).alias("best"),
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakemill.functions.scalar import NUMBER, _col, let, strip_space
@@ -61,17 +61,32 @@ def parse_map(c: Column | str) -> Column:
     return F.map_from_entries(parse_entries(c))
 
 
-def parse_map_by_id(c: Column | str, ids: dict[str, int]) -> Column:
-    """``k:v`` list as MAP<INT, DOUBLE>, keys taken through a small lookup, unknown keys dropped."""
-    table = F.create_map(*[F.lit(x) for pair in ids.items() for x in pair]) if ids else F.expr(
-        "cast(map() as map<string,int>)"
-    )
+def parse_map_by_id(c: Column | str, ids: Column | dict[str, int]) -> Column:
+    """``k:v`` list as MAP<INT, DOUBLE>, keys taken through a map of ids, unknown keys dropped.
+
+    ``ids`` may be a column, such as ``lookup_map(…)`` of a dictionary table.
+    """
+    if isinstance(ids, dict):
+        pairs = [F.lit(x) for pair in ids.items() for x in pair]
+        ids = F.create_map(*pairs) if pairs else F.expr("cast(map() as map<string,int>)")
+    table = ids
     known = F.filter(parse_entries(c), lambda e: F.map_contains_key(table, e["key"]))
     return F.map_from_entries(
         F.transform(known, lambda e: F.struct(F.try_element_at(table, e["key"]).alias("key"), e["value"].alias("value")))
     )
 
 
+def lookup_map(dictionary: DataFrame, key: str, value: str) -> Column:
+    """A dictionary table as one MAP value of the query (a scalar subquery); of equal keys the highest value."""
+    unique = dictionary.filter(F.col(key).isNotNull()).groupBy(key).agg(F.max(value).alias("__v"))
+    return unique.agg(F.map_from_entries(F.collect_list(F.struct(key, "__v")))).scalar()
+
+
+def sorted_values(df: DataFrame, column: str) -> Column:
+    """Distinct values of a column, sorted, as one ARRAY value of the query (a scalar subquery)."""
+    return df.agg(F.sort_array(F.collect_set(column))).scalar()
+
+
 def multi_hot(labels: Column | str, vocabulary: Column) -> Column:
     """0/1 vector over a sorted vocabulary array."""
     labels = _col(labels)
@@ -82,11 +97,14 @@ def multi_hot(labels: Column | str, vocabulary: Column) -> Column:
 
 
 def labels_above(probabilities: Column | str, names: list[str], threshold: float = 0.5, none: str = "None") -> Column:
-    """Names whose probability exceeds the threshold joined by ``|``; none → ``None``."""
+    """Names whose probability exceeds the threshold joined by ``|``; none → ``None``.
+
+    NULL where there are not as many probabilities as names.
+    """
     table = F.array(*[F.lit(n) for n in names])
     chosen = F.filter(table, lambda _n, i: F.get(_col(probabilities), i) > threshold)
     text = F.array_join(chosen, "|")
-    return F.when(text == "", F.lit(none)).otherwise(text)
+    return F.when(F.size(_col(probabilities)) == len(names), F.when(text == "", F.lit(none)).otherwise(text))
 
 
 def best_label(scores: Column | str, names: list[str]) -> Column:

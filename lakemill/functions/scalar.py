@@ -19,6 +19,8 @@ DAY_MONTH = r"(\d+)\s+Tháng\s+(\d+)"
 YEAR_AFTER_COMMA = r",\s*(\d{4})"
 CLOCK = r"lúc\s+(\d{1,2}:\d{2})"
 PATH_YEAR = r"/(\d{4})/"
+COMMENT_DATE = r"(\d{1,2})[-/](\d{1,2})[-/](\d{4})"
+UNSIGNED_NUMBER = r"(\d+(?:\.\d+)?)"
 RELATIVE_WORD = "trước"
 DEFAULT_YEAR = "2025"
 DEFAULT_CLOCK = "00:00"
@@ -71,23 +73,24 @@ def strip_dot_zero(c: Column | str) -> Column:
 
 def first_number(c: Column | str) -> Column:
     """First unsigned number inside a text, as double; NULL if there is none."""
-    return F.regexp_extract(_col(c), r"(\d+(?:\.\d+)?)", 1).try_cast("double")
+    return F.regexp_extract(_col(c), UNSIGNED_NUMBER, 1).try_cast("double")
 
 
 def int_or(c: Column | str, default: int = 0) -> Column:
-    return F.coalesce(_col(c).try_cast("int"), F.lit(default))
+    """Whole number as BIGINT; the default where the text is none. Tables narrow it to their own type."""
+    return F.coalesce(_col(c).try_cast("bigint"), F.lit(default).cast("bigint"))
 
 
 def magnitude(c: Column | str) -> Column:
-    """``1.2K`` → 1200, ``3M`` → 3000000, ``15`` → 15, anything else → 0.
+    """``1.2K`` → 1200, ``3000M`` → 3000000000, ``15`` → 15, anything else → 0, as BIGINT.
 
     The factor is applied in DECIMAL, so ``8.7K`` is 8700 and not 8699.
     """
     c = _col(c)
 
     def scaled(suffix: str, factor: int) -> Column:
-        number = F.replace(c, F.lit(suffix), F.lit("")).try_cast("decimal(18,6)")
-        return F.coalesce((number * F.lit(factor)).try_cast("int"), F.lit(0))
+        number = F.replace(c, F.lit(suffix), F.lit("")).try_cast("decimal(28,6)")
+        return F.coalesce((number * F.lit(factor)).try_cast("bigint"), F.lit(0).cast("bigint"))
 
     return (
         F.when(c.contains("K"), scaled("K", 1_000))
@@ -112,10 +115,9 @@ def parse_date(c: Column | str, default: Column | None = None) -> Column:
 def parse_comment_time(c: Column | str, default: Column | None = None) -> Column:
     """``15-3-2024 …`` or ``15/3/2024 …``; relative text (``2 ngày trước``) gives 1970-01-01."""
     c = _col(c)
-    pattern = r"(\d{1,2})[-/](\d{1,2})[-/](\d{4})"
-    parts = F.concat_ws("-", *(F.regexp_extract(c, pattern, i) for i in (1, 2, 3)))
+    parts = F.concat_ws("-", *(F.regexp_extract(c, COMMENT_DATE, i) for i in (1, 2, 3)))
     tries = [
-        F.try_to_timestamp(F.when(c.rlike(pattern), parts), F.lit("d-M-yyyy")),
+        F.try_to_timestamp(F.when(c.rlike(COMMENT_DATE), parts), F.lit("d-M-yyyy")),
         F.when(c.contains(RELATIVE_WORD), F.lit("1970-01-01").cast("timestamp")),
     ]
     return F.coalesce(*tries, *([default] if default is not None else []))
@@ -163,9 +165,9 @@ def null_if_sentinel(c: Column | str, sentinels=("nan", "none")) -> Column:
 def floor_bin(value: Column | str, width: str) -> Column:
     """Lower edge of the bin a value falls in; ``width`` is a decimal written as text.
 
-    Worked out in whole millionths: in binary floats ``floor(0.6 / 0.2) * 0.2`` is 0.4,
-    here it is 0.6. Values keep six decimals and may go up to 9 × 10¹².
+    Worked out in DECIMAL: in binary floats ``floor(0.6 / 0.2) * 0.2`` is 0.4, here it is
+    0.6. Values keep ten decimals; beyond 10²⁷ there is no bin (NULL).
     """
-    millionths = F.round(_col(value).cast("double") * 1_000_000).cast("bigint")
-    step = int(Decimal(width) * 1_000_000)
-    return (millionths - F.pmod(millionths, F.lit(step))) / F.lit(1_000_000.0)
+    exact = _col(value).try_cast("decimal(37,10)")
+    step = F.lit(Decimal(width)).cast("decimal(37,10)")
+    return (exact - F.pmod(exact, step)).cast("double")

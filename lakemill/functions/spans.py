@@ -11,7 +11,7 @@ from lakemill.functions.scalar import _col, let, words
 def tag_types(tags: Column | str) -> Column:
     """Sorted distinct entity types in a tag string."""
     entity = F.filter(words(tags), lambda t: t.startswith("B-") | t.startswith("I-"))
-    return F.array_sort(F.array_distinct(F.transform(entity, lambda t: F.substring(t, 3, 1_000_000))))
+    return F.array_sort(F.array_distinct(F.transform(entity, lambda t: F.substr(t, F.lit(3)))))
 
 
 def aligned(tags: Column | str, text: Column | str) -> Column:
@@ -21,7 +21,7 @@ def aligned(tags: Column | str, text: Column | str) -> Column:
 
 
 def _type(tag: Column) -> Column:
-    return F.substring(tag, 3, 1_000_000)
+    return F.substr(tag, F.lit(3))
 
 
 def _spans(labels: Column, keep) -> Column:

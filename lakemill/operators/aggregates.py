@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakemill.functions.minitext import split_trim
-from lakemill.functions.scalar import floor_bin, let
-from lakemill.operators.bounds import checked_broadcast, control_rows
+from lakemill.functions.scalar import floor_bin
+from lakemill.operators.bounds import checked_broadcast
 
 MONEY = "decimal(18,2)"
 SCORE = "decimal(18,4)"
@@ -98,33 +98,23 @@ def complete_sum(facts: DataFrame, by: list[str], member: str, value: str, membe
 
 
 def complete_sum_of_maps(df: DataFrame, keep: list[str], scores: str, members: DataFrame, group: str, name: str) -> DataFrame:
-    """As ``complete_sum`` for rows that hold their values in a map: no shuffle at all.
+    """As ``complete_sum`` for rows that hold their values in a map; equal rows each get a result.
 
-    The group table is control data; above its bound the rows are joined instead, and
-    ``keep`` then has to identify a row.
+    A group is filed under its first member. Rows meet the groups that are filed under one
+    of their keys, carry their map along, and are tested and summed in the row, so rows
+    need no identity and nothing is grouped. A member whose value is NULL is missing.
     """
-    rows = control_rows(members.groupBy(group).agg(F.sort_array(F.collect_list("member")).alias("members")))
-    if rows is None:
-        long = df.select(*keep, F.explode(scores).alias("member", "__score"))
-        return complete_sum(long, keep, "member", "__score", members, group, name)
-    if not rows:
-        return df.select(*keep, F.lit(None).cast("int").alias(group), F.lit(0.0).alias(name)).limit(0)
-    table = F.array(
-        *[F.struct(F.lit(r[group]).alias("g"), F.array(*[F.lit(m) for m in r["members"]]).alias("m")) for r in rows]
+    listed = members.groupBy(group).agg(F.sort_array(F.collect_list("member")).alias("__members"))
+    filed = listed.withColumn("__first", F.col("__members")[0])
+    held = [c for c in keep if c != scores]
+    rows = df.select(*held, F.col(scores).alias("__map"), F.explode(F.map_keys(scores)).alias("__key"))
+    met = rows.join(checked_broadcast(filed), F.col("__key") == F.col("__first"))
+    complete = met.filter(F.forall("__members", lambda k: F.try_element_at(F.col("__map"), k).isNotNull()))
+    zero = F.lit(0).cast("decimal(28,4)")
+    total = F.aggregate(
+        "__members", zero, lambda acc, k: (acc + F.try_element_at(F.col("__map"), k).cast(SCORE)).cast("decimal(28,4)")
     )
-
-    def total(m: Column) -> Column:
-        def one(g: Column) -> Column:
-            zero = F.lit(0).cast("decimal(28,4)")
-            summed = F.aggregate(
-                g["m"], zero, lambda acc, k: (acc + F.try_element_at(m, k).cast(SCORE)).cast("decimal(28,4)")
-            )
-            return F.struct(g["g"].alias("g"), summed.cast("double").alias("total"))
-
-        return F.transform(F.filter(table, lambda g: F.forall(g["m"], lambda k: F.map_contains_key(m, k))), one)
-
-    found = df.select(*keep, F.explode(let(F.col(scores), total)).alias("__e"))
-    return found.select(*keep, F.col("__e.g").alias(group), F.col("__e.total").alias(name))
+    return complete.select(*[F.col("__map").alias(c) if c == scores else F.col(c) for c in keep], group, total.cast("double").alias(name))
 
 
 def vocabulary(df: DataFrame, labels: str, name: str = "label") -> DataFrame:

@@ -6,10 +6,12 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakemill.session import cut
 
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 64 << 20
 CONTROL_ROWS = 10_000
 GROUP_ROWS = 5_000_000
 
@@ -23,9 +25,18 @@ def rows_within(df: DataFrame, limit: int) -> bool:
     return df.select().offset(limit).isEmpty()
 
 
-def checked_broadcast(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark ``df`` for broadcast if it is small; else leave the join to Spark."""
-    return F.broadcast(df) if rows_within(df, limit) else df
+def bytes_within(df: DataFrame, limit: int) -> bool:
+    """True if the values of ``df`` take at most ``limit`` bytes; columns of fixed width are not read for that."""
+    wide = [f.name for f in df.schema.fields if not isinstance(f.dataType, (T.NumericType, T.BooleanType, T.DateType, T.TimestampType))]
+    if not wide:
+        return True
+    texts = [F.coalesce(F.octet_length(F.to_json(F.struct(F.col(f"`{c}`")))), F.lit(0)).cast("bigint") for c in wide]
+    return (df.agg(F.sum(reduce(lambda a, b: a + b, texts)).alias("n")).first()["n"] or 0) <= limit
+
+
+def checked_broadcast(df: DataFrame, limit: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> DataFrame:
+    """Mark ``df`` for broadcast if it is small, in rows and in bytes; else leave the join to Spark."""
+    return F.broadcast(df) if rows_within(df, limit) and bytes_within(df, size) else df
 
 
 def control_rows(df: DataFrame, limit: int = CONTROL_ROWS) -> list[Row] | None:

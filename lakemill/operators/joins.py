@@ -34,7 +34,7 @@ def skew_lookup(fact: DataFrame, dim: DataFrame, key: str, take: list[str], hot_
     if hot is None:
         return fact.join(slim, key, "left")
     few = checked_broadcast(hot.filter(F.col(key).isNotNull()))
-    hot_side = fact.join(few, key, "left_semi").join(F.broadcast(slim.join(few, key, "left_semi")), key, "left")
+    hot_side = fact.join(few, key, "left_semi").join(checked_broadcast(slim.join(few, key, "left_semi")), key, "left")
     cold_side = fact.filter(F.col(key).isNotNull()).join(few, key, "left_anti").join(slim, key, "left")
     kinds = {f.name: f.dataType for f in slim.schema.fields}
     no_key = fact.filter(F.col(key).isNull()).withColumns({c: F.lit(None).cast(kinds[c]) for c in take})

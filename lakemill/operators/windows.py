@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakemill.operators.aggregates import MONEY
-from lakemill.operators.bounds import GROUP_ROWS, hot_groups, join_keys, order_columns, order_names
+from lakemill.operators.bounds import GROUP_ROWS, checked_broadcast, hot_groups, join_keys, order_columns, order_names
 from lakemill.operators.keys import surrogate_key
 
 
@@ -33,11 +33,11 @@ def group_mean(
     hot = hot_groups(df, by, group_rows, n_rows)
     if hot is None:
         return df.withColumn(name, F.round(F.avg(exact).over(window), digits).cast("double"))
-    cold = join_keys(df, F.broadcast(hot), by, "left_anti")
+    cold = join_keys(df, checked_broadcast(hot), by, "left_anti")
     cold = cold.withColumn(name, F.round(F.avg(exact).over(window), digits).cast("double"))
-    large = join_keys(df, F.broadcast(hot), by, "left_semi")
+    large = join_keys(df, checked_broadcast(hot), by, "left_semi")
     means = large.groupBy(*by).agg(F.round(F.avg(exact), digits).cast("double").alias(name))
-    return cold.unionByName(join_keys(large, F.broadcast(means), by, "inner"))
+    return cold.unionByName(join_keys(large, checked_broadcast(means), by, "inner"))
 
 
 def period_delta(
@@ -63,8 +63,8 @@ def period_delta(
     if hot is None:
         paired = df.withColumn(before, F.lag(value).over(window))
     else:
-        cold = join_keys(df, F.broadcast(hot), by, "left_anti").withColumn(before, F.lag(value).over(window))
-        large = join_keys(df, F.broadcast(hot), by, "left_semi")
+        cold = join_keys(df, checked_broadcast(hot), by, "left_anti").withColumn(before, F.lag(value).over(window))
+        large = join_keys(df, checked_broadcast(hot), by, "left_semi")
         paired = cold.unionByName(_lag_by_sort(large, by, [period, *ties], value, before, group_rows))
     change = F.col(value).cast(MONEY) - F.col(before).cast(MONEY)
     return paired.withColumn(name, F.coalesce(F.round(change, digits).cast("double"), F.lit(0.0))).drop(before)
@@ -96,8 +96,8 @@ def rank_in_group(
     hot = hot_groups(df, by, group_rows, n_rows)
     if hot is None:
         return df.withColumn(name, rank.over(window))
-    cold = join_keys(df, F.broadcast(hot), by, "left_anti").withColumn(name, rank.over(window))
-    large = join_keys(df, F.broadcast(hot), by, "left_semi")
+    cold = join_keys(df, checked_broadcast(hot), by, "left_anti").withColumn(name, rank.over(window))
+    large = join_keys(df, checked_broadcast(hot), by, "left_semi")
     return cold.unionByName(_rank_by_sort(large, by, order, name, dense, group_rows))
 
 
@@ -106,8 +106,7 @@ def _rank_by_sort(df: DataFrame, by: list[str], order: list[str], name: str, den
     members = df.select(*ordered).distinct() if dense else df
     placed = surrogate_key(members, "__place", [*by, *order], single_task_rows=task_rows)
     firsts = placed.groupBy(*by).agg(F.min("__place").alias("__first"))
-    # One row per group, and only hot groups get here.
-    ranked = join_keys(placed, F.broadcast(firsts), by, "inner")
+    ranked = join_keys(placed, checked_broadcast(firsts), by, "inner")
     ranked = ranked.withColumn(name, (F.col("__place") - F.col("__first") + 1).cast("int")).drop("__place", "__first")
     return join_keys(df, ranked, ordered, "inner") if dense else ranked
 

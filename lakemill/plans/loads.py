@@ -44,9 +44,10 @@ def load_reference_tables(spark: SparkSession, lake: Lake, bronze: Bronze, run_t
     if bronze.major_groups:
         lake.replace("major_group", silver.major_group(read_csv(spark, bronze.major_groups), run_ts))
     lake.replace("subject_group", silver.subject_group(groups, run_ts))
-    lake.replace("subject", silver.subject(groups, run_ts))
-    lake.replace("selection_method", silver.selection_method(scores, run_ts))
-    lake.replace("grading_scale", silver.grading_scale(scores, run_ts))
+    # Other tables hold these ids, so members keep theirs for good.
+    lake.replace("subject", silver.subject(groups, run_ts, lake.read_or_none("subject")))
+    lake.replace("selection_method", silver.selection_method(scores, run_ts, lake.read_or_none("selection_method")))
+    lake.replace("grading_scale", silver.grading_scale(scores, run_ts, lake.read_or_none("grading_scale")))
     lake.replace("region", silver.region(read_csv(spark, bronze.regions), run_ts))
 
 
@@ -98,7 +99,7 @@ def load_student_scores(spark: SparkSession, lake: Lake, bronze: Bronze, run_ts:
     if raw is None:
         return
     stamp = F.lit(run_ts).cast("timestamp")
-    rows = silver.student_scores(raw, silver.subject_ids(lake.read("subject")), "source_file")
+    rows = silver.student_scores(raw, lake.read("subject"), "source_file")
     rows = rows.withColumns({"created_at": stamp, "updated_at": stamp})
     # A student id ends in its year, so a student's rows are all in that partition.
     lake.replace_by_key("student_scores", rows, ["studentId"], ["studentId"], home=["year"])
@@ -201,23 +202,27 @@ def load_social(silver_lake: Lake, gold: Lake, run_ts: str) -> DataFrame:
 
 def normalise_names(gold: Lake, aliases: DataFrame, kind: str, run_ts: str) -> DataFrame:
     """Fill the normalised names of one entity type and report records per name."""
-    filled = social.normalise_names(gold.read("Post_Entity"), gold.read("Entity"), aliases, kind, run_ts)
-    gold.replace("Post_Entity", filled)
+    entities = gold.read("Entity")
+    _of_kind(gold, kind, lambda bridge, _: social.normalise_names(bridge, entities, aliases, kind, run_ts))
     return quality.normalised_groups(gold.read("Post_Entity"), gold.read("Entity"), kind)
 
 
 def reset_names(gold: Lake, run_ts: str, kind: str | None = None) -> DataFrame:
     """Clear the normalised names, of one type or of all, and count what is left."""
     stamp = F.lit(run_ts).cast("timestamp")
-    bridge, entities = gold.read("Post_Entity"), gold.read("Entity")
     if kind is None:
-        cleared = changes.reset_column(bridge, "entityNameNormalized", stamp)
+        gold.replace("Post_Entity", changes.reset_column(gold.read("Post_Entity"), "entityNameNormalized", stamp))
     else:
-        cleared = changes.reset_by_type(bridge, entities, "entityID", "entityType", kind, "entityNameNormalized", stamp)
-    gold.replace("Post_Entity", cleared)
+        _of_kind(gold, kind, lambda bridge, _: changes.reset_column(bridge, "entityNameNormalized", stamp))
     return name_status(gold)
 
 
+def _of_kind(gold: Lake, kind: str, change: Callable) -> None:
+    """Change the bridge rows of one entity type: the bridge is partitioned by entity, so others are not touched."""
+    ids = gold.read("Entity").filter(F.col("entityType") == kind).select("entityID").distinct()
+    gold.rewrite("Post_Entity", ids, ["entityID"], change)
+
+
 def name_status(gold: Lake) -> DataFrame:
     """Normalised and open names per entity type."""
     joined = gold.read("Post_Entity").join(gold.read("Entity").select("entityID", "entityType"), "entityID")

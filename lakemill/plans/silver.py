@@ -10,11 +10,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakemill.functions import scalar as s
-from lakemill.functions.minitext import parse_map_by_id, split_trim
+from lakemill.functions.minitext import lookup_map, parse_map_by_id, split_trim
 from lakemill.operators import changes, clean, joins
 from lakemill.operators.aggregates import mean_of_distinct
-from lakemill.operators.bounds import control_rows
-from lakemill.operators.keys import continue_ids, hash_key, surrogate_key
+from lakemill.operators.keys import continue_ids, grow_dictionary, hash_key
 
 BENCHMARK_KEY = ["schoolId", "majorId", "subjectGroupId", "selectionMethodId", "gradingScaleId", "year"]
 BENCHMARK_NULLS = {"subjectGroupId": -1}
@@ -49,26 +48,36 @@ def subject_group(raw: DataFrame, run_ts: str) -> DataFrame:
     return clean.with_audit(clean.dedup_by(kept, names[1:], names[:1]), run_ts)
 
 
-def subject(raw: DataFrame, run_ts: str) -> DataFrame:
-    """Subjects named in the group combinations, numbered in lower-case order."""
+def _grown(names: DataFrame, known: DataFrame | None, key: str, id_name: str) -> DataFrame:
+    """Known members with their ids, and new ones numbered after the highest id: an id is never given out again."""
+    fresh = grow_dictionary(known, names, key, id_name).select(F.col(id_name).cast("int").alias(id_name), key)
+    return fresh if known is None else known.select(F.col(id_name).cast("int").alias(id_name), key).unionByName(fresh)
+
+
+def subject(raw: DataFrame, run_ts: str, known: DataFrame | None = None) -> DataFrame:
+    """Subjects named in the group combinations; new ones are numbered in lower-case order after the known."""
     combination = F.col(f"`{raw.columns[2]}`")
     names = clean.dedup_ignore_case(raw.select(F.explode(split_trim(combination, "-")).alias("subjectName")), "subjectName")
-    numbered = surrogate_key(names.withColumn("low", F.lower("subjectName")), "subjectId", ["low"])
-    return clean.with_audit(numbered.select(F.col("subjectId").cast("int"), "subjectName"), run_ts)
+    lowered = names.withColumn("low", F.lower("subjectName"))
+    if known is not None:
+        lowered = lowered.join(known.select(F.lower("subjectName").alias("low")), "low", "left_anti")
+    numbered = grow_dictionary(known.withColumn("low", F.lower("subjectName")) if known is not None else None, lowered, "low", "subjectId")
+    fresh = numbered.select(F.col("subjectId").cast("int").alias("subjectId"), "subjectName")
+    rows = fresh if known is None else known.select(F.col("subjectId").cast("int").alias("subjectId"), "subjectName").unionByName(fresh)
+    return clean.with_audit(rows, run_ts)
 
 
-def selection_method(raw: DataFrame, run_ts: str) -> DataFrame:
+def selection_method(raw: DataFrame, run_ts: str, known: DataFrame | None = None) -> DataFrame:
     names = raw.select(s.strip_year_suffix("PhuongThuc").alias("selectionMethodName"))
     distinct = clean.non_blank(names, ["selectionMethodName"]).distinct()
-    numbered = surrogate_key(distinct, "selectionMethodId", ["selectionMethodName"])
-    return clean.with_audit(numbered.select(F.col("selectionMethodId").cast("int"), "selectionMethodName"), run_ts)
+    return clean.with_audit(_grown(distinct, known, "selectionMethodName", "selectionMethodId"), run_ts)
 
 
-def grading_scale(raw: DataFrame, run_ts: str) -> DataFrame:
+def grading_scale(raw: DataFrame, run_ts: str, known: DataFrame | None = None) -> DataFrame:
     names = clean.non_blank(raw.select(F.trim("PhanLoaiThangDiem").alias("description")), ["description"]).distinct()
-    numbered = surrogate_key(names, "gradingScaleId", ["description"])
+    rows = _grown(names, known, "description", "gradingScaleId")
     value = s.first_number("description").cast("float").alias("value")
-    return clean.with_audit(numbered.select(F.col("gradingScaleId").cast("int"), value, "description"), run_ts)
+    return clean.with_audit(rows.select("gradingScaleId", value, "description"), run_ts)
 
 
 def region(raw: DataFrame, run_ts: str) -> DataFrame:
@@ -100,16 +109,11 @@ def benchmark_id():
     return {"benchmarkId": hash_key(BENCHMARK_KEY, BENCHMARK_NULLS)}
 
 
-def subject_ids(subjects: DataFrame) -> dict[str, int]:
-    """Subject names and ids as control data, checked to be few."""
-    rows = control_rows(subjects.select("subjectName", "subjectId"))
-    if rows is None:
-        raise ValueError("too many subjects for a lookup held with the plan")
-    return {r["subjectName"]: r["subjectId"] for r in rows}
+def student_scores(raw: DataFrame, subjects: DataFrame, path: str = "path") -> DataFrame:
+    """One row per student and year; of copies the one from the last file stays.
 
-
-def student_scores(raw: DataFrame, subjects: dict[str, int], path: str = "path") -> DataFrame:
-    """One row per student and year; of copies the one from the last file stays."""
+    Subject names become ids through the subject table, read as the query runs.
+    """
     rows = raw.select(
         F.concat("SBD", s.path_year(path).cast("string")).alias("studentId"),
         s.code_prefix("SBD").alias("regionId"),
@@ -118,7 +122,8 @@ def student_scores(raw: DataFrame, subjects: dict[str, int], path: str = "path")
         F.col(path).alias("path"),
     )
     kept = clean.dedup_by(clean.require(rows, ["studentId", "year"]), ["studentId"], ["-path", "-DiemThi"])
-    return kept.select("studentId", "regionId", "year", parse_map_by_id("DiemThi", subjects).alias("scores"))
+    known = kept.withColumn("__ids", lookup_map(subjects, "subjectName", "subjectId"))
+    return known.select("studentId", "regionId", "year", parse_map_by_id("DiemThi", F.col("__ids")).alias("scores"))
 
 
 def _time(c, run_ts: str | None):

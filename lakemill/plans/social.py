@@ -18,8 +18,10 @@ COUNTS = ["likeCount", "commentCount", "shareCount"]
 
 
 def model_results(articles: DataFrame, done: DataFrame | None, factory: Callable, run_ts: str) -> DataFrame:
-    """Scored rows for the articles not scored yet."""
-    new = articles if done is None else joins.new_rows(articles, done, "articleID", "postID")
+    """Scored rows for the articles not scored yet. Rows without an id cannot be told apart
+    from scored ones and are refused (``quality.refused`` counts them)."""
+    known = clean.require(articles, ["articleID"])
+    new = known if done is None else joins.new_rows(known, done, "articleID", "postID")
     posts = new.select(
         F.col("articleID").alias("postID"), "timePublish", *[int_or(c).alias(c) for c in COUNTS], "type", "description"
     )
@@ -27,8 +29,9 @@ def model_results(articles: DataFrame, done: DataFrame | None, factory: Callable
 
 
 def new_results(results: DataFrame, posts: DataFrame | None) -> DataFrame:
-    """Results whose post is not loaded yet; if there are none the load adds nothing."""
-    return results if posts is None else joins.new_rows(results, posts, "postID")
+    """Results whose post is not loaded yet; if there are none the load adds nothing. Results without an id are refused."""
+    known = clean.require(results, ["postID"])
+    return known if posts is None else joins.new_rows(known, posts, "postID")
 
 
 def grow_entities(results: DataFrame, known: DataFrame | None, run_ts: str) -> DataFrame:
@@ -86,8 +89,11 @@ def normalise_names(bridge: DataFrame, entities: DataFrame, aliases: DataFrame,
 
 
 def comment_sentiment(comments: DataFrame, done: DataFrame | None, factory: Callable, run_ts: str, size: int | None = None) -> DataFrame:
-    """Sentiment of the comments not scored yet, all of them or the next ``size`` in id order."""
-    new = clean.non_blank(comments, ["comment"])
+    """Sentiment of the comments not scored yet, all of them or the next ``size`` in id order.
+
+    Comments without an id are refused.
+    """
+    new = clean.require(clean.non_blank(comments, ["comment"]), ["commentID"])
     if done is not None:
         new = joins.new_rows(new, done, "commentID")
     if size is not None:

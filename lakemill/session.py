@@ -77,10 +77,16 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+SPREAD_BYTES = 8 << 20
+
+
 def spread(df: DataFrame) -> DataFrame:
-    """Deal rows out evenly where the input has fewer files than there are cores.
+    """Deal rows of a small input out evenly, for work that is heavy per row.
 
-    For work that is heavy per row. Large inputs have many files and are left as they are.
+    Only where the scan, by Spark's own estimate, has less than ``SPREAD_BYTES`` for each
+    core: such an input can be one file with one row group, which no split size divides.
+    Anything larger is left to the scan's splits and is not shuffled.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(cores) if size < cores * SPREAD_BYTES else df

@@ -10,30 +10,17 @@ from __future__ import annotations
 import math
 import os
 import uuid
-from functools import reduce
-from operator import and_, or_
 from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakemill.operators import changes
-from lakemill.operators.bounds import control_rows, join_keys
+from lakemill.operators.bounds import checked_broadcast, join_keys
 from lakemill.session import cut
 
 COMPRESSION = "gzip"
-TOUCHED = 500
-
-
-def _any_of(columns: list[str], rows: list) -> Column:
-    """True for the listed value combinations, NULL included."""
-    if len(columns) == 1:
-        values = [r[0] for r in rows if r[0] is not None]
-        listed = F.col(columns[0]).isin(*values) if values else F.lit(False)
-        return (listed | F.col(columns[0]).isNull()) if len(values) < len(rows) else listed
-    each = [reduce(and_, [F.col(c).eqNullSafe(F.lit(r[c])) for c in columns]) for r in rows]
-    return reduce(or_, each)
 
 
 class Lake:
@@ -59,13 +46,23 @@ class Lake:
         return self.read(table) if self.exists(table) else None
 
     def fit(self, table: str, df: DataFrame) -> DataFrame:
-        """The registry's columns and types; absent ones are NULL, ``…_day`` columns are derived."""
+        """The registry's columns and types; absent ones are NULL, ``…_day`` columns are derived.
+
+        A value that its column cannot hold becomes NULL; ``misfits`` counts such values.
+        """
         schema, _ = self.schemas[table]
         df = self._with_days(table, df)
         return df.select(
-            *[(F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.fields]
+            *[(F.col(f.name) if f.name in df.columns else F.lit(None)).try_cast(f.dataType).alias(f.name) for f in schema.fields]
         )
 
+    def misfits(self, table: str, df: DataFrame) -> DataFrame:
+        """Per column, how many values ``fit`` would turn into NULL."""
+        schema, _ = self.schemas[table]
+        shared = [f for f in schema.fields if f.name in df.columns]
+        counts = [F.count_if(F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull()).alias(f.name) for f in shared]
+        return df.agg(*counts).unpivot([], [f.name for f in shared], "column", "n_misfits")
+
     def _with_days(self, table: str, df: DataFrame) -> DataFrame:
         schema, _ = self.schemas.get(table, (T.StructType(), []))
         for name in schema.names:
@@ -100,19 +97,30 @@ class Lake:
         self.spark.sql(f"DROP TABLE IF EXISTS {self.name(table)}")
 
     def replace(self, table: str, df: DataFrame, partition_by: list[str] | None = None, rows_per_file: int | None = None) -> DataFrame:
-        """Write all rows to a fresh folder, then point the table at it."""
+        """Write all rows to a fresh folder, then point the table at it.
+
+        A table that keeps its columns stays in the catalog throughout. Only a change of
+        columns or partitioning drops the entry and makes a new one.
+        """
         if table in self.schemas:
             df, partition_by = self.fit(table, df), partition_by or self.schemas[table][1]
+        by = partition_by or []
         folder = self._fresh_folder(table)
-        write(df, folder, partition_by=partition_by, rows_per_file=rows_per_file)
+        write(df, folder, partition_by=by, rows_per_file=rows_per_file)
+        fields = sorted(df.schema.fields, key=lambda f: by.index(f.name) if f.name in by else -1)
+        shape = [(f.name, f.dataType.simpleString()) for f in fields]
+        if self.exists(table) and self.read(table).dtypes == shape and self.partitions(table) == by:
+            if by:
+                self._repoint(table, folder, by, self.read(table).select(*by).distinct().collect())
+            else:
+                self.spark.sql(f"ALTER TABLE {self.name(table)} SET LOCATION '{folder}'")
+                self.spark.catalog.refreshTable(self.name(table))
+            return self.read(table)
         self.drop(table)
-        by = f" PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
-        columns = ", ".join(
-            f"`{f.name}` {f.dataType.simpleString()}"
-            for f in sorted(df.schema.fields, key=lambda f: f.name in (partition_by or []))
-        )
-        self.spark.sql(f"CREATE TABLE {self.name(table)} ({columns}) USING parquet{by} LOCATION '{folder}'")
-        if partition_by:
+        parts = f" PARTITIONED BY ({', '.join(by)})" if by else ""
+        columns = ", ".join(f"`{n}` {kind}" for n, kind in shape)
+        self.spark.sql(f"CREATE TABLE {self.name(table)} ({columns}) USING parquet{parts} LOCATION '{folder}'")
+        if by:
             self.spark.sql(f"MSCK REPAIR TABLE {self.name(table)}")
         return self.read(table)
 
@@ -122,7 +130,7 @@ class Lake:
             df = self.fit(table, df)
         if not self.exists(table):
             return self.replace(table, df, partition_by)
-        self._insert(table, df, overwrite=False)
+        self._insert(table, df)
         return self.read(table)
 
     def upsert(self, table: str, source: DataFrame, keys: list[str], columns: list[str], inserts=None, order=None) -> DataFrame:
@@ -157,53 +165,65 @@ class Lake:
     def rewrite(self, table: str, batch: DataFrame, keys: list[str], change) -> DataFrame:
         """Apply ``change(target, batch)``, rewriting only the partitions it can reach.
 
-        Those are the partitions of the batch's rows and, unless the key settles the
-        partition, of the target rows with the batch's keys; finding them reads just the
-        key columns. If there are too many the table is replaced as a whole.
+        Those are the partitions of the batch's rows, where the batch has them, and, unless
+        the key settles the partition, of the target rows with the batch's keys; finding
+        them reads just the key columns. The new rows are complete in a folder of their own
+        before any partition is pointed at it, so a failed change leaves the table whole.
         """
         target, by = self.read(table), self.partitions(table)
         if not by:
             return self.replace(table, change(target, batch))
-        reached = batch.select(*by)
-        if not set(by) <= set(keys):
-            reached = reached.unionByName(join_keys(target.select(*keys, *by), batch.select(*keys).distinct(), keys, "left_semi").select(*by))
-        touched = control_rows(reached.distinct(), TOUCHED)
-        if touched is None:
-            return self.replace(table, change(target, batch), by)
-        if not touched:
-            return target
-        # Values as literals, so the scan lists and reads these partitions only.
-        part = target.filter(_any_of(by, touched))
-        result = cut(change(part, batch))
-        held = {tuple(r) for r in result.select(*by).distinct().collect()}
-        left = [r for r in touched if tuple(r) not in held]
-        if left:
-            self._clear(table, target.filter(_any_of(by, left)), by)
-        self._insert(table, result, overwrite=True)
+        placed = set(by) <= set(batch.columns)
+        found = [batch.select(*by)] if placed else []
+        if not (placed and set(by) <= set(keys)):
+            found.append(join_keys(target.select(*dict.fromkeys([*keys, *by])), batch.select(*keys).distinct(), keys, "left_semi").select(*by))
+        reached = found[0] if len(found) == 1 else found[0].unionByName(found[1])
+        touched = cut(reached.distinct())
+        # Joined, not listed: Spark prunes the scan by the values that the join's small side turns out to hold.
+        part = join_keys(target, checked_broadcast(touched), by, "left_semi")
+        folder = self._fresh_folder(table)
+        write(change(part, batch).select(*target.columns), folder, partition_by=by)
+        self._repoint(table, folder, by, touched.collect())
         return self.read(table)
 
-    def _clear(self, table: str, rows: DataFrame, by: list[str]) -> None:
-        """Empty the partitions the rows lie in: overwriting leaves a partition without new rows alone."""
-        folder = F.regexp_extract("_metadata.file_path", "^(.*)/", 1)
-        nothing = rows.drop(*by).limit(0)
-        for r in rows.select(folder.alias("folder")).distinct().collect():
-            nothing.write.mode("overwrite").parquet(unquote(r["folder"]))
+    def _repoint(self, table: str, folder: str, by: list[str], old: list[Row]) -> None:
+        """Point partitions at their new folders, and those of ``old`` without new rows at empty ones.
 
-    def _insert(self, table: str, df: DataFrame, overwrite: bool) -> None:
-        """Add rows, or overwrite just the partitions that ``df`` has rows for."""
+        One catalog call for each partition touched, as the catalog knows no larger step. A
+        partition is not dropped: its old folder would come back with the next row for it.
+        """
+        schema = self.read(table).schema
+        home = F.regexp_extract("_metadata.file_path", "^(.*)/", 1)
+        new = self.spark.read.schema(schema).parquet(folder).groupBy(*by).agg(F.first(home).alias("home")).collect()
+        name = self.name(table)
+
+        def spec(row: Row) -> str:
+            values = ["null" if row[c] is None else "'" + str(row[c]).replace("\\", "\\\\").replace("'", "\\'") + "'" for c in by]
+            return "PARTITION (" + ", ".join(f"`{c}` = {v}" for c, v in zip(by, values, strict=True)) + ")"
+
+        known = {tuple(r[c] for c in by) for r in old}
+        for r in new:
+            path = unquote(r["home"]).replace("'", "\\'")
+            if tuple(r[c] for c in by) not in known:
+                self.spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {spec(r)} LOCATION '{path}'")
+            else:
+                self.spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {spec(r)}")
+            self.spark.sql(f"ALTER TABLE {name} {spec(r)} SET LOCATION '{path}'")
+        held = {tuple(r[c] for c in by) for r in new}
+        nothing = self.read(table).drop(*by).limit(0)
+        for i, r in enumerate(r for r in old if tuple(r[c] for c in by) not in held):
+            empty = os.path.join(folder, "emptied", str(i))
+            nothing.write.parquet(empty)
+            self.spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {spec(r)}")
+            self.spark.sql(f"ALTER TABLE {name} {spec(r)} SET LOCATION '{empty}'")
+        self.spark.catalog.refreshTable(name)
+
+    def _insert(self, table: str, df: DataFrame) -> None:
+        """Add rows."""
         by = self.partitions(table)
         df = df.select(*self.read(table).columns)
-        if not overwrite:
-            df = df.hint("rebalance", *by) if by else df
-            df.write.option("compression", COMPRESSION).insertInto(self.name(table))
-            return
-        write(df, self.location(table), partition_by=by, dynamic=True)
-        self.spark.sql(f"MSCK REPAIR TABLE {self.name(table)}")
-        self.spark.catalog.refreshTable(self.name(table))
-
-    def location(self, table: str) -> str:
-        rows = self.spark.sql(f"DESCRIBE FORMATTED {self.name(table)}").filter("col_name = 'Location'").collect()
-        return rows[0]["data_type"]
+        df = df.hint("rebalance", *by) if by else df
+        df.write.option("compression", COMPRESSION).insertInto(self.name(table))
 
     def _fresh_folder(self, table: str) -> str:
         return os.path.join(self.root, table, uuid.uuid4().hex)
@@ -215,11 +235,9 @@ def write(
     mode: str = "overwrite",
     partition_by: list[str] | None = None,
     rows_per_file: int | None = None,
-    dynamic: bool = False,
 ) -> None:
     """Parquet with gzip. Rows of one partition are brought together before writing, and
-    Spark splits a partition that is too large for one task. ``dynamic`` leaves partitions
-    without new rows alone."""
+    Spark splits a partition that is too large for one task."""
     if partition_by:
         df = df.hint("rebalance", *partition_by)
     writer = df.write.mode(mode).option("compression", COMPRESSION)
@@ -227,8 +245,6 @@ def write(
         writer = writer.option("maxRecordsPerFile", rows_per_file)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    if dynamic:
-        writer = writer.option("partitionOverwriteMode", "dynamic")
     writer.parquet(path)
 
 

@@ -14,9 +14,11 @@ from lakemill.functions.scalar import path_year
 def read_csv(spark: SparkSession, paths: str | list[str], infer: bool = False, schema: T.StructType | str | None = None) -> DataFrame:
     """UTF-8 CSV with a header. All columns are strings unless a schema is given or inferred.
 
-    Inference reads the files once more; give a schema where they are large.
+    Columns go by name: files whose header names other columns, or the same in another
+    order, make the read fail instead of mixing columns up (``read_layouts`` reads such
+    files). Inference reads the files once more; give a schema where they are large.
     """
-    reader = spark.read.option("header", True).option("encoding", "UTF-8").option("mode", "PERMISSIVE")
+    reader = spark.read.option("header", True).option("encoding", "UTF-8").option("mode", "PERMISSIVE").option("enforceSchema", False)
     if schema is not None:
         return reader.schema(schema).csv(paths)
     return reader.option("inferSchema", infer).csv(paths)

@@ -21,10 +21,11 @@ from pyspark.sql import types as T
 from lakemill.session import cut
 from lakemill.sources.csv_files import header_columns, headers, list_files, read_layouts
 
-LEDGER = "path string, run string, status string, at timestamp"
+LEDGER = "path string, run string, status string, at timestamp, reason string"
 FILES_PER_BATCH = 5_000
 
-PLANNED, LOADED, NO_KEY = "planned", "loaded", "no_key_column"
+PLANNED, LOADED, NO_KEY, UNREADABLE = "planned", "loaded", "no_key_column", "unreadable"
+NO_HEADER = "no header line could be read"
 
 
 def read_ledger(spark: SparkSession, ledger: str) -> DataFrame:
@@ -37,15 +38,21 @@ def read_ledger(spark: SparkSession, ledger: str) -> DataFrame:
         return spark.createDataFrame([], LEDGER)
 
 
-def _log(spark: SparkSession, ledger: str, paths: list[str], run: str, status: str, run_ts: str) -> None:
-    rows = spark.createDataFrame([(p, run, status) for p in paths], "path string, run string, status string")
-    rows.withColumn("at", F.lit(run_ts).cast("timestamp")).coalesce(1).write.mode("append").parquet(ledger)
+def _log(spark: SparkSession, ledger: str, paths: list[str] | dict[str, str], run: str, status: str, run_ts: str) -> None:
+    """Add a line per file; a dict gives each file's reason."""
+    if not paths:
+        return
+    reasons = paths if isinstance(paths, dict) else {}
+    data = [(p, run, status, reasons.get(p)) for p in paths]
+    rows = spark.createDataFrame(data, "path string, run string, status string, reason string")
+    dated = rows.select("path", "run", "status", F.lit(run_ts).cast("timestamp").alias("at"), "reason")
+    dated.coalesce(1).write.mode("append").parquet(ledger)
 
 
 def _open_runs(entries: DataFrame) -> dict[str, list[str]]:
     """Runs that were planned and not finished, with their files (at most a batch each)."""
-    done = entries.filter(F.col("status") == LOADED).select("run").distinct()
-    rows = entries.filter(F.col("status") == PLANNED).join(done, "run", "left_anti").orderBy("run", "path").collect()
+    settled = entries.filter(F.col("status").isin(LOADED, UNREADABLE)).select("run", "path").distinct()
+    rows = entries.filter(F.col("status") == PLANNED).join(settled, ["run", "path"], "left_anti").orderBy("run", "path").collect()
     runs = defaultdict(list)
     for r in rows:
         runs[r["run"]].append(r["path"])
@@ -71,12 +78,18 @@ def load_new_files(
     """Load all files not yet in the ledger and return what was done per file.
 
     A file without ``key_column`` is logged and skipped. A file that cannot be read is
-    left out and not logged, so the next call tries it again. Files are taken in batches
-    in path order until none is left; only a batch's paths are held by the driver.
+    logged as unreadable, with the reason, and the other files of its batch are loaded.
+    Files are taken in batches in path order until none is left; only a batch's paths are
+    held by the driver.
     """
+
+    def finish(run: str, paths: list[str], heads: dict[str, str]) -> None:
+        bad = {p: NO_HEADER for p in paths if p not in heads} | _load(spark, heads, run, target, transform)
+        _log(spark, ledger, bad, run, UNREADABLE, run_ts)
+        _log(spark, ledger, [p for p in paths if p not in bad], run, LOADED, run_ts)
+
     for run, paths in _open_runs(read_ledger(spark, ledger)).items():
-        _load(spark, _headers_of(spark, paths), run, target, transform)
-        _log(spark, ledger, paths, run, LOADED, run_ts)
+        finish(run, paths, _headers_of(spark, paths))
     # Listed once; files that come in meanwhile are for the next call.
     pending = cut(new_files(list_files(spark, folder, pattern), read_ledger(spark, ledger)).select("path"))
     last = ""
@@ -88,13 +101,11 @@ def load_new_files(
         last, run = paths[-1], uuid.uuid4().hex
         heads = _headers_of(spark, paths)
         keyed = {p: h for p, h in heads.items() if key_column in header_columns(h)}
-        keyless = [p for p in heads if p not in keyed]
-        if keyless:
-            _log(spark, ledger, keyless, run, NO_KEY, run_ts)
+        _log(spark, ledger, [p for p in heads if p not in keyed], run, NO_KEY, run_ts)
+        _log(spark, ledger, {p: NO_HEADER for p in paths if p not in heads}, run, UNREADABLE, run_ts)
         if keyed:
             _log(spark, ledger, list(keyed), run, PLANNED, run_ts)
-            _load(spark, keyed, run, target, transform)
-            _log(spark, ledger, list(keyed), run, LOADED, run_ts)
+            finish(run, list(keyed), keyed)
     return read_ledger(spark, ledger).filter(F.col("status") != PLANNED)
 
 
@@ -109,13 +120,44 @@ def _headers_of(spark: SparkSession, paths: list[str]) -> dict[str, str]:
     return {p: found[p.replace("file:///", "file:/")] for p in paths if p.replace("file:///", "file:/") in found}
 
 
-def _load(spark: SparkSession, heads: dict[str, str], run: str, target: str, transform) -> None:
+def _layouts(heads: dict[str, str]) -> dict[str, list[str]]:
     layouts = defaultdict(list)
     for path, header in heads.items():
         layouts[header].append(path)
-    if layouts:
-        rows = transform(read_layouts(spark, dict(layouts)))
-        rows.write.mode("overwrite").parquet(os.path.join(target, f"ingest_run={run}"))
+    return dict(layouts)
+
+
+def _load(spark: SparkSession, heads: dict[str, str], run: str, target: str, transform) -> dict[str, str]:
+    """Write the rows of a batch; returns the files that cannot be read, which are left out, with the reasons."""
+    out = os.path.join(target, f"ingest_run={run}")
+    bad: dict[str, str] = {}
+    if not heads:
+        return bad
+    try:
+        transform(read_layouts(spark, _layouts(heads))).write.mode("overwrite").parquet(out)
+    except Exception:
+        bad = _unreadable(spark, heads)
+        if not bad:
+            raise
+        good = {p: h for p, h in heads.items() if p not in bad}
+        if good:
+            transform(read_layouts(spark, _layouts(good))).write.mode("overwrite").parquet(out)
+    return bad
+
+
+def _unreadable(spark: SparkSession, heads: dict[str, str]) -> dict[str, str]:
+    """Files whose rows cannot be read, found by halving: a few jobs for each bad file, not one for each file."""
+    bad, open_groups = {}, [sorted(heads)]
+    while open_groups:
+        group = open_groups.pop()
+        try:
+            read_layouts(spark, _layouts({p: heads[p] for p in group})).write.format("noop").mode("overwrite").save()
+        except Exception as e:
+            if len(group) == 1:
+                bad[group[0]] = str(e).split("\n", 1)[0][:500]
+            else:
+                open_groups += [group[: len(group) // 2], group[len(group) // 2 :]]
+    return bad
 
 
 def stream_new_files(
@@ -128,19 +170,39 @@ def stream_new_files(
     pattern: str = "*.csv",
     files_per_batch: int = 1_000,
 ) -> None:
-    """Load all files that are new to ``checkpoint``, then stop."""
-    rows = (
-        spark.readStream.schema(schema)
-        .option("header", True)
+    """Load all files that are new to ``checkpoint``, then stop.
+
+    The stream is of file names; each batch is read by header, so files may have their
+    columns in any order, and columns get the types of ``schema`` (NULL where a file lacks
+    the column or a value does not fit). Files that cannot be read are left out and listed,
+    with the reasons, in the folder ``<target>_unreadable``.
+    """
+    kinds = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    files = (
+        spark.readStream.format("binaryFile")
+        .schema("path string, modificationTime timestamp, length bigint, content binary")
         .option("pathGlobFilter", pattern)
         .option("recursiveFileLookup", True)
         .option("maxFilesPerTrigger", files_per_batch)
-        .csv(folder)
-        .withColumn("source_file", F.col("_metadata.file_path"))
+        .load(folder)
+        .select("path")
     )
 
+    def typed(rows: DataFrame) -> DataFrame:
+        return transform(
+            rows.select(
+                *[(F.col(f.name) if f.name in rows.columns else F.lit(None)).try_cast(f.dataType).alias(f.name) for f in kinds.fields],
+                "source_file",
+            )
+        )
+
     def put(batch: DataFrame, number: int) -> None:
-        transform(batch).write.mode("overwrite").parquet(os.path.join(target, f"ingest_run={number}"))
+        paths = [r["path"] for r in batch.collect()]  # at most files_per_batch names
+        heads = _headers_of(spark, paths)
+        bad = {p: NO_HEADER for p in paths if p not in heads} | _load(spark, heads, str(number), target, typed)
+        if bad:
+            listed = spark.createDataFrame(list(bad.items()), "path string, reason string")
+            listed.coalesce(1).write.mode("overwrite").parquet(os.path.join(f"{target}_unreadable", f"ingest_run={number}"))
 
-    query = rows.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query = files.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
