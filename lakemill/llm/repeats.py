@@ -72,6 +72,8 @@ def unpack(fields, blobs: list[bytes]) -> list[np.ndarray]:
 
 
 def shard_of(hashes: np.ndarray, shards: int) -> np.ndarray:
+    """Shards by hash. Anchors are least hashes and so lie low: they are mixed again before."""
+    hashes = mixed(hashes, 37)
     return (((hashes >> np.uint64(32)) * np.uint64(shards)) >> np.uint64(32)).astype(np.int64)
 
 
