@@ -1,8 +1,8 @@
 """One query per operator, on the driver's tables."""
 
-from lakemill.catalogue import changing, cleaning, entities, flows, joining, measures, models, parsing, storage
+from lakemill.catalogue import changing, cleaning, entities, flows, incremental, joining, measures, models, parsing, storage
 from lakemill.catalogue.registry import ORACLES, QUERIES
 
 __all__ = [
-    "ORACLES", "QUERIES", "changing", "cleaning", "entities", "flows", "joining", "measures", "models", "parsing", "storage",
+    "ORACLES", "QUERIES", "changing", "cleaning", "entities", "flows", "incremental", "joining", "measures", "models", "parsing", "storage",
 ]

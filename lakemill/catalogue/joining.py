@@ -134,9 +134,9 @@ def batch_limit(spark, sf):
 
 @query(
     "insert_absent",
-    "SELECT c_custkey AS cust, c_name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)",
+    "SELECT c_custkey AS cust, c_name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'F')",
 )
 def insert_absent(spark, sf):
-    target = table(spark, sf, "orders").select(F.col("o_custkey").alias("cust"))
+    target = table(spark, sf, "orders").filter("o_orderstatus = 'F'").select(F.col("o_custkey").alias("cust"))
     source = table(spark, sf, "customer").select(F.col("c_custkey").alias("cust"), "c_name")
     return changes.insert_absent(target, source, ["cust"])

@@ -114,32 +114,53 @@ def eval_weighted(spark, sf):
     return evaluation.evaluate_weighted(rows, "truth", "predicted")
 
 
-@query("train_text_clf")
+SPLIT_SQL = "CASE WHEN CAST('0x' || substr(md5('42:' || {}), 1, 8) AS BIGINT) % 100 < 70 THEN 'train' ELSE 'test' END AS split"
+
+
+def with_bar(df, good, name="good"):
+    """Every row with the verdict of a one-row report."""
+    return df.withColumn(name, good.scalar())
+
+
+@query("train_text_clf", f"SELECT doc_id, {SPLIT_SQL.format('doc_id')}, true AS known, true AS good FROM documents")
 def train_text_clf(spark, sf):
-    """Learn the language of a text on the training part and predict it for all texts."""
+    """Learn the language of a text on the training part, predict it for all texts, and hold
+    the accuracy on the other part against a bar."""
     docs = evaluation.hash_split(wide_table(spark, sf, "documents").select("doc_id", "text", "lang"), "doc_id", {"train": 70, "test": 30})
     model = training.fit_single_label(docs.filter("split = 'train'"), "text", "lang", features=1 << 12, iterations=10)
-    return training.predict_single_label(model, docs, "predicted").select("doc_id", "lang", "split", "predicted")
+    found = training.predict_single_label(model, docs, "predicted")
+    right = found.filter("split = 'test'").agg((F.avg((F.col("predicted") == F.col("lang")).cast("int")) >= 0.85).alias("good"))
+    known = F.col("predicted").isNotNull()
+    return with_bar(found.select("doc_id", "split", known.alias("known")), right)
 
 
-@query("train_multi_label")
+@query("train_multi_label", f"SELECT doc_id, {SPLIT_SQL.format('doc_id')}, true AS good FROM documents JOIN labels USING (doc_id)")
 def train_multi_label(spark, sf):
-    """Learn two independent labels per text and predict the set of labels."""
+    """Learn two independent labels per text on the training part, predict the sets, and hold
+    the F1 on the other part against a bar."""
     rows = wide_table(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id").select(
         "doc_id", "text",
         F.array_compact(F.array(F.when(F.col("quality") == 1, "good"), F.when(F.col("toxic") == 1, "toxic"))).alias("labels"),
     )
     names = ["good", "toxic"]
-    model = training.fit_multi_label(rows, "text", "labels", names, features=1 << 12, iterations=10)
-    found = training.predict_multi_label(model, wide_table(spark, sf, "documents").select("doc_id", "text"), names)
-    return found.select("doc_id", F.array_join("predicted", "|").alias("predicted"))
+    parts = evaluation.hash_split(rows, "doc_id", {"train": 70, "test": 30})
+    model = training.fit_multi_label(parts.filter("split = 'train'"), "text", "labels", names, features=1 << 12, iterations=10)
+    found = training.predict_multi_label(model, parts, names)
+    quality = evaluation.evaluate_multilabel(found.filter("split = 'test'"), "labels", "predicted")
+    return with_bar(found.select("doc_id", "split"), quality.select((F.col("f1") >= 0.7).alias("good")))
 
 
-@query("train_tags")
+@query("train_tags", f"SELECT conv_id || '/' || turn AS id, {SPLIT_SQL.format("conv_id || '/' || turn")}, true AS aligned, true AS good FROM conversations")
 def train_tags(spark, sf):
-    """Learn rule tags on conversations, one example per token, and tag them all again."""
+    """Learn rule tags on a part of the conversations, one example per token, tag them all,
+    and hold the F1 on the other part against a bar."""
     rows = spread(table(spark, sf, "conversations")).select(
         F.concat_ws("/", "conv_id", "turn").alias("id"), words("text").alias("tokens"), words(rule_tags("text")).alias("tags")
     )
-    model = training.fit_tags(rows, "id", "tokens", "tags", features=1 << 10, iterations=5)
-    return training.predict_tags(model, rows, "id", "tokens")
+    parts = evaluation.hash_split(rows, "id", {"train": 70, "test": 30})
+    model = training.fit_tags(parts.filter("split = 'train'"), "id", "tokens", "tags", features=1 << 12, iterations=10)
+    tagged = parts.join(training.predict_tags(model, parts, "id", "tokens"), "id", "left")
+    truth = tagged.filter("split = 'test'").select(F.array_join("tags", " ").alias("truth"), "predicted")
+    quality = evaluation.evaluate_ner(truth, "truth", "predicted")
+    aligned = F.size(words(F.coalesce("predicted", F.lit("")))) == F.size("tokens")
+    return with_bar(tagged.select("id", "split", aligned.alias("aligned")), quality.select((F.col("f1") >= 0.6).alias("good")))

@@ -104,7 +104,10 @@ def ledger_ingest(spark, sf):
 def stream_ingest(spark, sf):
     path = scratch_path(spark, "stream")
     orders = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
-    orders.write.option("header", True).csv(os.path.join(path, "in"))
+    # Two folders whose files have their columns in opposite orders.
+    orders.filter("o_orderstatus = 'F'").write.option("header", True).csv(os.path.join(path, "in/one"))
+    other = orders.filter("o_orderstatus <> 'F'").select(*reversed(orders.columns))
+    other.write.option("header", True).csv(os.path.join(path, "in/two"))
     for _ in range(2):
         ledger.stream_new_files(
             spark, os.path.join(path, "in"), os.path.join(path, "rows"), os.path.join(path, "checkpoint"),
@@ -139,6 +142,21 @@ def upsert_table(spark, sf):
     return home.upsert("customer", capped, ["c_custkey"], ["c_acctbal"])
 
 
+@query(
+    "update_partitioned",
+    """SELECT o_orderkey, o_orderstatus, CASE o_orderpriority WHEN '1-URGENT' THEN 2 * o_totalprice ELSE o_totalprice END AS o_totalprice
+       FROM orders""",
+)
+def update_partitioned(spark, sf):
+    """The batch does not say in which partition its rows lie."""
+    home = lake(spark, "update")
+    orders = table(spark, sf, "orders")
+    home.replace("orders", orders.select("o_orderkey", "o_totalprice", "o_orderstatus"), ["o_orderstatus"])
+    urgent = orders.filter("o_orderpriority = '1-URGENT'").select("o_orderkey", (2 * F.col("o_totalprice")).alias("o_totalprice"))
+    home.update("orders", urgent, ["o_orderkey"], ["o_totalprice"])
+    return home.read("orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+
+
 @query("partitioned_write", "SELECT event_id, event_type, CAST(ts AS DATE) AS ts_day, value FROM events")
 def partitioned_write(spark, sf):
     path = scratch_path(spark, "days")

@@ -23,6 +23,22 @@ def loaded(tables: dict[str, DataFrame], least: int = 1) -> DataFrame:
     return row_counts(tables).withColumn("ok", F.col("n_rows") >= least)
 
 
+def refused(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows that lack one of the columns a load requires, per column."""
+    return df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns]).unpivot([], columns, "column", "n_refused")
+
+
+def social_reports(entities: DataFrame, post_entity: DataFrame, topics: DataFrame, post_topic: DataFrame, posts: DataFrame) -> dict[str, DataFrame]:
+    """The profile of a social load: mentions, topics, intents, names and samples."""
+    return {
+        "mentions_per_type": mention_distribution(entities, post_entity),
+        "posts_per_topic": topic_distribution(topics, post_topic),
+        "posts_per_intent": intent_distribution(posts),
+        "most_mentioned": most_mentioned(entities, post_entity),
+        "samples_per_type": samples_per_type(entities, post_entity),
+    }
+
+
 def mention_distribution(entities: DataFrame, bridge: DataFrame, n: int = 20) -> DataFrame:
     """Mentions per entity type, types without any included."""
     counted = count_children(entities, bridge, "entityID", ["entityType", "entityDetail"], "mention_count")

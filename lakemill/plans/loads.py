@@ -200,6 +200,11 @@ def load_social(silver_lake: Lake, gold: Lake, run_ts: str) -> DataFrame:
     return quality.loaded({t: gold.read(t) for t in gold.list_tables()}, least=0)
 
 
+def social_reports(gold: Lake) -> dict[str, DataFrame]:
+    """The profile to look at when a social load has ended."""
+    return quality.social_reports(*[gold.read(t) for t in ("Entity", "Post_Entity", "Topic", "Post_Topic", "Post")])
+
+
 def normalise_names(gold: Lake, aliases: DataFrame, kind: str, run_ts: str) -> DataFrame:
     """Fill the normalised names of one entity type and report records per name."""
     entities = gold.read("Entity")

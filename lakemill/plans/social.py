@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from lakemill.functions.names import normalize_maj, normalize_org
 from lakemill.functions.scalar import int_or
-from lakemill.operators import clean, joins, scoring, social
+from lakemill.operators import clean, heads, joins, scoring, social
+from lakemill.operators.aggregates import counts_by_label
 from lakemill.operators.aliases import MAJ_RULES, ORG_RULES, match_names, org_label
 from lakemill.operators.bounds import checked_broadcast
 from lakemill.operators.keys import grow_dictionary
@@ -17,15 +18,22 @@ from lakemill.operators.keys import grow_dictionary
 COUNTS = ["likeCount", "commentCount", "shareCount"]
 
 
-def model_results(articles: DataFrame, done: DataFrame | None, factory: Callable, run_ts: str) -> DataFrame:
-    """Scored rows for the articles not scored yet. Rows without an id cannot be told apart
-    from scored ones and are refused (``quality.refused`` counts them)."""
+def model_results(articles: DataFrame, done: DataFrame | None, factory: Callable | heads.PostHeads, run_ts: str) -> DataFrame:
+    """Scored rows for the articles not scored yet, by fitted heads or by a plug-in scorer.
+
+    Rows without an id cannot be told apart from scored ones and are refused
+    (``quality.refused`` counts them).
+    """
     known = clean.require(articles, ["articleID"])
     new = known if done is None else joins.new_rows(known, done, "articleID", "postID")
     posts = new.select(
         F.col("articleID").alias("postID"), "timePublish", *[int_or(c).alias(c) for c in COUNTS], "type", "description"
     )
-    return clean.with_audit(scoring.score_posts(posts, "description", factory).drop("description"), run_ts)
+    if isinstance(factory, heads.PostHeads):
+        scored = heads.score_posts(posts, "postID", "description", factory)
+    else:
+        scored = scoring.score_posts(posts, "description", factory)
+    return clean.with_audit(scored.drop("description"), run_ts)
 
 
 def new_results(results: DataFrame, posts: DataFrame | None) -> DataFrame:
@@ -88,6 +96,11 @@ def normalise_names(bridge: DataFrame, entities: DataFrame, aliases: DataFrame,
     return outside.unionByName(filled.select(*bridge.columns))
 
 
+def sentiment_report(scored: DataFrame) -> DataFrame:
+    """Comments of each sentiment per post and day."""
+    return counts_by_label(scored, ["postID", F.to_date("commentTime").alias("day")], "sentiment", ["POS", "NEG", "NEU"])
+
+
 def comment_sentiment(comments: DataFrame, done: DataFrame | None, factory: Callable, run_ts: str, size: int | None = None) -> DataFrame:
     """Sentiment of the comments not scored yet, all of them or the next ``size`` in id order.
 

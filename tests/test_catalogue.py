@@ -8,7 +8,7 @@ from lakemill.catalogue import ORACLES, QUERIES
 
 from .conftest import SMALL
 
-ROWS_ONLY = {"train_text_clf", "train_multi_label", "train_tags"}
+ROWS_ONLY: set[str] = set()
 
 
 @pytest.fixture(scope="module")
