@@ -182,7 +182,7 @@ LINE = ["l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discou
 )
 def fact_key(spark, sf):
     lines = table(spark, sf, "lineitem")
-    numbered = keys.surrogate_key(lines, "fact_key", ["l_shipdate", "l_suppkey", "l_partkey", *LINE], single_task_rows=0)
+    numbered = keys.surrogate_key(lines, "fact_key", ["l_shipdate", "l_suppkey", "l_partkey", *LINE])
     return numbered.select("l_shipdate", "l_suppkey", "l_partkey", "l_orderkey", "l_linenumber", "l_extendedprice", "fact_key")
 
 

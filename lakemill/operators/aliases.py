@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from lakemill.functions.scalar import let, words
 from lakemill.operators.bounds import checked_broadcast
 from lakemill.operators.joins import skew_lookup
+from lakemill.session import cut
 
 
 @dataclass(frozen=True)
@@ -167,7 +168,9 @@ def match_names(names: DataFrame, column: str, aliases: DataFrame, rules: AliasR
     tokens = distinct.select("__raw", "__name", F.explode(let(name, lambda n: _name_tokens(n, rules))).alias("__t")).select(
         "__raw", "__name", F.col("__t.kind").alias("kind"), F.col("__t.token").alias("token")
     )
-    pairs = tokens.join(checked_broadcast(alias_index(aliases, rules)), ["kind", "token"], "inner")
+    # Measured and joined, so made once.
+    index = cut(alias_index(aliases, rules))
+    pairs = tokens.join(checked_broadcast(index), ["kind", "token"], "inner")
     best = pairs.filter(_passes(name, rules)).groupBy("__raw").agg(
         F.min(F.struct("tier", "key_ord", "var_ord", "grp")).alias("__best")
     )

@@ -78,4 +78,5 @@ def hot_groups(df: DataFrame, by: list[str], limit: int = GROUP_ROWS, n_rows: in
     if n_rows is not None and n_rows <= limit:
         return None
     hot = df.groupBy(*by).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > limit).drop("__n")
-    return None if hot.isEmpty() else cut(hot)
+    held = cut(hot)
+    return None if held.isEmpty() else held

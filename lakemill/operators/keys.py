@@ -5,34 +5,21 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakemill.operators.bounds import order_columns, rows_within
+from lakemill.operators.bounds import order_columns
 from lakemill.session import cut
 
-SINGLE_TASK_ROWS = 1_000_000
 _ROW_BITS = 33
 
 
-def surrogate_key(
-    df: DataFrame,
-    name: str,
-    order: list[str],
-    start: int = 1,
-    single_task_rows: int = SINGLE_TASK_ROWS,
-    hold: bool = True,
-) -> DataFrame:
+def surrogate_key(df: DataFrame, name: str, order: list[str], start: int = 1) -> DataFrame:
     """Dense BIGINT numbers in the order given, which must be total (name tie-breaks).
 
-    The input is written once to the shared folder; ``hold=False`` leaves that out for
-    input that is cheap to read twice, such as a stored table. A small input is numbered
-    by one window; a large one is sorted by ranges, numbered inside each range, and
-    shifted by the number of rows in earlier ranges. The ranges are written too, so that
-    counting them and numbering them see the same rows.
+    Rows are sorted by ranges, numbered inside each range, and shifted by the number of rows
+    in earlier ranges. The sorted rows are written once to the shared folder, so that
+    counting the ranges and numbering them see the same rows; no task sees all of them,
+    whatever their number. Give slim rows where the others can be joined back.
     """
-    held = cut(df) if hold else df
-    if rows_within(held, single_task_rows):
-        number = F.row_number().over(Window.orderBy(*order_columns(order)))
-        return held.withColumn(name, number.cast("bigint") + F.lit(start - 1))
-    ranged = held.repartitionByRange(*order_columns(order)).sortWithinPartitions(*order_columns(order))
+    ranged = df.repartitionByRange(*order_columns(order)).sortWithinPartitions(*order_columns(order))
     placed = cut(ranged.withColumn("__sk_place", F.monotonically_increasing_id()))
     part = F.shiftright("__sk_place", _ROW_BITS).alias("__sk_part")
     row = F.col("__sk_place").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))

@@ -65,14 +65,14 @@ def period_delta(
     else:
         cold = join_keys(df, checked_broadcast(hot), by, "left_anti").withColumn(before, F.lag(value).over(window))
         large = join_keys(df, checked_broadcast(hot), by, "left_semi")
-        paired = cold.unionByName(_lag_by_sort(large, by, [period, *ties], value, before, group_rows))
+        paired = cold.unionByName(_lag_by_sort(large, by, [period, *ties], value, before))
     change = F.col(value).cast(MONEY) - F.col(before).cast(MONEY)
     return paired.withColumn(name, F.coalesce(F.round(change, digits).cast("double"), F.lit(0.0))).drop(before)
 
 
-def _lag_by_sort(df: DataFrame, by: list[str], order: list[str], value: str, name: str, task_rows: int) -> DataFrame:
+def _lag_by_sort(df: DataFrame, by: list[str], order: list[str], value: str, name: str) -> DataFrame:
     """The value one place earlier in a distributed sort, if that row is of the same group."""
-    placed = surrogate_key(df, "__place", [*by, *order], single_task_rows=task_rows)
+    placed = surrogate_key(df, "__place", [*by, *order])
     earlier = placed.select((F.col("__place") + 1).alias("__place"), *by, F.col(value).alias(name))
     return join_keys(placed, earlier, ["__place", *by], "left").drop("__place")
 
@@ -98,13 +98,13 @@ def rank_in_group(
         return df.withColumn(name, rank.over(window))
     cold = join_keys(df, checked_broadcast(hot), by, "left_anti").withColumn(name, rank.over(window))
     large = join_keys(df, checked_broadcast(hot), by, "left_semi")
-    return cold.unionByName(_rank_by_sort(large, by, order, name, dense, group_rows))
+    return cold.unionByName(_rank_by_sort(large, by, order, name, dense))
 
 
-def _rank_by_sort(df: DataFrame, by: list[str], order: list[str], name: str, dense: bool, task_rows: int) -> DataFrame:
+def _rank_by_sort(df: DataFrame, by: list[str], order: list[str], name: str, dense: bool) -> DataFrame:
     ordered = [*by, *order_names(order)]
     members = df.select(*ordered).distinct() if dense else df
-    placed = surrogate_key(members, "__place", [*by, *order], single_task_rows=task_rows)
+    placed = surrogate_key(members, "__place", [*by, *order])
     firsts = placed.groupBy(*by).agg(F.min("__place").alias("__first"))
     ranked = join_keys(placed, checked_broadcast(firsts), by, "inner")
     ranked = ranked.withColumn(name, (F.col("__place") - F.col("__first") + 1).cast("int")).drop("__place", "__first")

@@ -42,10 +42,10 @@ def test_totals_of_rows_and_of_maps_agree_on_both_sides_of_the_bound(spark, limi
     assert rows(one, "id", "grp", "total") == rows(other, "id", "grp", "total") != []
 
 
-@pytest.mark.parametrize("limit", [1, 10**6])
-def test_numbers_do_not_depend_on_the_bound(spark, limit):
-    df = spark.createDataFrame([(i * 7 % 101, str(i)) for i in range(101)], "k int, v string").repartition(5)
-    assert sorted(rows(keys.surrogate_key(df, "n", ["k"], single_task_rows=limit), "k", "n")) == [(k, k + 1) for k in range(101)]
+@pytest.mark.parametrize("parts", [1, 9])
+def test_numbers_do_not_depend_on_the_partitions(spark, parts):
+    df = spark.createDataFrame([(i * 7 % 101, str(i)) for i in range(101)], "k int, v string").repartition(parts)
+    assert sorted(rows(keys.surrogate_key(df, "n", ["k"]), "k", "n")) == [(k, k + 1) for k in range(101)]
 
 
 @pytest.mark.parametrize("limit", [3, 10**6])
