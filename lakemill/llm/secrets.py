@@ -10,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakemill.session import cut
+
 
 class Rule(NamedTuple):
     """``pattern``'s matches count if group ``group`` has at least ``least`` characters.
@@ -112,7 +114,8 @@ def findings(versions: DataFrame, ledger: DataFrame, path_col: str, text_col: st
         F.filter("all", lambda f: F.array_contains(current, F.concat(f["kind"], F.lit("@"), f["version"].cast("string")))),
         lambda f: F.struct(f["start"].alias("start"), F.array_position(kinds, f["kind"]).alias("place"), f["end"].alias("end"), f["kind"].alias("kind")),
     )
-    per_blob = per_blob.select("known", F.array_sort(ranked).alias("found"))
+    # Written, so that the join has plain shuffles on both sides and Spark can split a hot blob.
+    per_blob = cut(per_blob.select("known", F.array_sort(ranked).alias("found")))
     own = versions.select(F.col(path_col), blob_of(F.col(text_col)).alias("blob"))
     return own.join(per_blob, F.col("blob") == F.col("known"), "left").drop("known")
 
