@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakemill.session import cut
+
 MIN_CHARS = 20
 MIN_DOCS = 3
 BLANKS = " \t\n\x0b\x0c\r"
@@ -62,6 +64,8 @@ def drop_shared_lines(
         .filter(F.col("n_docs") >= min_docs)
         .select(F.col("h").alias("sh"), "home")
     )
+    # Written, so that the join has plain shuffles on both sides and Spark can split a line that very many documents hold.
+    shared = cut(shared)
     away = lines.join(shared, F.col("h") == F.col("sh")).filter(~F.col("id").eqNullSafe(F.col("home")))
     verdicts = away.groupBy(F.col("id").alias("__id"), F.col("tag").alias("__tag")).agg(F.collect_set("pos").alias("__gone"))
     marked = base.withColumn("__mark", F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
