@@ -21,8 +21,9 @@ from lakemill.llm.textarrays import ALNUM, NONE, lists, runs_of, sliding, stretc
 
 SPAN = 13
 GRAM = 5
-#: Test items are indexed in blocks of at most about this much text, so that what is broadcast has a bound.
-BLOCK_BYTES = 16 << 20
+#: Test items are indexed in blocks of at most about this much text, so that what is broadcast has a bound: some 20
+#: bytes of index for each byte of text, as a window spells out its words.
+BLOCK_BYTES = 4 << 20
 ADDED = "n_words bigint, hits array<struct<s:int,e:int>>, item_ids array<string>"
 
 

@@ -22,8 +22,10 @@ UNKNOWN = "und"
 SAMPLE_ROWS = 64
 EXCERPT_CHARS = 2_000
 LANGUAGE_CHARS = 30_000
-#: All automata together are built from at most this many characters, so many languages get less each.
-ALL_CHARS = 1_000_000
+#: All automata together are built from at most this many characters, so many languages get less each. That bounds
+#: what is broadcast: at most two states a character, one number per letter code and state (some 490 MB with 255 codes,
+#: 20 to 40 MB with the letters of four European languages).
+ALL_CHARS = 240_000
 #: Letters with codes of their own; rarer ones share code 1, everything else is code 0.
 LETTERS = 253
 #: Phrases end after this many symbols, in texts of any length, so that stretches of a text can be parsed side by side.
