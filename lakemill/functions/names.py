@@ -11,14 +11,20 @@ from lakemill.functions.scalar import _col, squeeze, strip_space
 MAJOR_PREFIXES = ["ngành", "nghề", "học", "sv", "chuyên ngành", "chuyên viên"]
 MAJOR_ROUNDS = 5
 
+# What is taken out of an organisation's name, in this order.
+CLOSING_PUNCTUATION = r"[.,;:)(!?]+$"
+BRACKETED = r"\([^)]*\)"
+OUTER_BRACKETS = r"^[()]+|[()]+$"
+NO_WORD_CHARACTER = r"(?U)[^\w\s\-]"
+
 
 def normalize_org(c: Column | str) -> Column:
     """Lower case, no closing punctuation, no bracketed text, only word characters and ``-``."""
     c = strip_space(F.lower(_col(c)))
-    c = F.regexp_replace(c, r"[.,;:)(!?]+$", "")
-    c = F.regexp_replace(c, r"\([^)]*\)", "")
-    c = F.regexp_replace(c, r"^[()]+|[()]+$", "")
-    c = F.regexp_replace(c, r"(?U)[^\w\s\-]", " ")
+    c = F.regexp_replace(c, CLOSING_PUNCTUATION, "")
+    c = F.regexp_replace(c, BRACKETED, "")
+    c = F.regexp_replace(c, OUTER_BRACKETS, "")
+    c = F.regexp_replace(c, NO_WORD_CHARACTER, " ")
     return F.coalesce(strip_space(squeeze(c)), F.lit(""))
 
 

@@ -21,9 +21,10 @@ SENTIMENT_DEFAULT = "NEU"
 
 
 def _guarded(score: Scorer, texts: pd.Series, defaults: dict[str, str], keep_text: str | None) -> pd.DataFrame:
-    """Score a batch; if it fails, score row by row and give failing rows the defaults."""
+    """Score a batch; if it fails, score row by row, give failing rows the defaults and mark them."""
     blank = texts.isna() | (texts.str.strip() == "")
     out = pd.DataFrame({k: pd.Series([v] * len(texts), index=texts.index, dtype=object) for k, v in defaults.items()})
+    out["failed"] = False
     todo = texts[~blank]
     if todo.empty:
         return out
@@ -35,14 +36,17 @@ def _guarded(score: Scorer, texts: pd.Series, defaults: dict[str, str], keep_tex
             try:
                 out.loc[i, columns] = score(pd.Series([text]))[columns].to_numpy()[0]
             except Exception:
+                out.loc[i, "failed"] = True
                 if keep_text:
                     out.loc[i, keep_text] = text
     return out
 
 
-def score_text(df: DataFrame, text: str, factory: Callable[[], Scorer], defaults: dict[str, str], keep_text: str | None = None) -> DataFrame:
-    """``df`` with one string column per entry of ``defaults``."""
-    schema = ", ".join(f"{k} string" for k in defaults)
+def score_text(
+    df: DataFrame, text: str, factory: Callable[[], Scorer], defaults: dict[str, str], keep_text: str | None = None, failed: str | None = None
+) -> DataFrame:
+    """``df`` with one string column per entry of ``defaults``, and, under the name ``failed``, whether the model failed on the row."""
+    schema = ", ".join([*(f"{k} string" for k in defaults), "failed boolean"])
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         score = factory()
@@ -51,17 +55,18 @@ def score_text(df: DataFrame, text: str, factory: Callable[[], Scorer], defaults
 
     scored = F.pandas_udf(run, schema)
     held = df.withColumn("__scored", scored(F.col(text)))
-    return held.select(*df.columns, *[F.col("__scored")[k].alias(k) for k in defaults])
+    marks = [F.col("__scored")["failed"].alias(failed)] if failed else []
+    return held.select(*df.columns, *[F.col("__scored")[k].alias(k) for k in defaults], *marks)
 
 
-def score_posts(df: DataFrame, text: str, factory: Callable[[], Scorer]) -> DataFrame:
+def score_posts(df: DataFrame, text: str, factory: Callable[[], Scorer], failed: str | None = None) -> DataFrame:
     """Normalised text, tags, topics and intent; a failing row keeps its own text."""
-    return score_text(df, text, factory, POST_DEFAULTS, keep_text="description_Normalized")
+    return score_text(df, text, factory, POST_DEFAULTS, "description_Normalized", failed)
 
 
-def score_sentiment(df: DataFrame, text: str, factory: Callable[[], Scorer]) -> DataFrame:
+def score_sentiment(df: DataFrame, text: str, factory: Callable[[], Scorer], failed: str | None = None) -> DataFrame:
     """POS, NEG or NEU per row; blank or failing rows are NEU."""
-    return score_text(df, text, factory, {"sentiment": SENTIMENT_DEFAULT})
+    return score_text(df, text, factory, {"sentiment": SENTIMENT_DEFAULT}, failed=failed)
 
 
 def lexicon_scorer(positive: list[str], negative: list[str]) -> Callable[[], Scorer]:

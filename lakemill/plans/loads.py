@@ -74,12 +74,12 @@ class Stage:
         load_new_files(
             spark, folder, os.path.join(self.root, "rows"), os.path.join(self.root, "ledger"), lambda df: df, key_column, run_ts
         )
-        staged = self._runs(os.path.join(self.root, "ledger"))
-        self.runs = sorted(staged - self._runs(self.merged))
+        staged, merged = self._runs(os.path.join(self.root, "ledger")), self._runs(self.merged)
+        # Only the runs still to be merged come to the driver.
+        self.runs = sorted(r["run"] for r in staged.join(merged, "run", "left_anti").collect())
 
-    def _runs(self, ledger: str) -> set[str]:
-        done = read_ledger(self.spark, ledger).filter(F.col("status") == LOADED)
-        return {r["run"] for r in done.select("run").distinct().collect()}
+    def _runs(self, ledger: str) -> DataFrame:
+        return read_ledger(self.spark, ledger).filter(F.col("status") == LOADED).select("run").distinct()
 
     def rows(self) -> DataFrame | None:
         if not self.runs:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -47,10 +48,13 @@ def with_path_year(df: DataFrame, name: str = "year", path: str = "path") -> Dat
     return with_file(df, path).withColumn(name, path_year(path))
 
 
-def read_tagged(spark: SparkSession, sources: dict[object, str | list[str]], tag: str, infer: bool = False) -> DataFrame:
+def read_tagged(
+    spark: SparkSession, sources: dict[object, str | list[str]], tag: str, infer: bool = False, skipped: dict[object, str] | None = None
+) -> DataFrame:
     """Read several sources, mark each row with its source's tag, union by name.
 
-    A source that cannot be read is left out; if none can, the last error is raised.
+    A source that cannot be read is left out with a warning, and its reason is put into
+    ``skipped``; if none can, the last error is raised.
     """
     parts, error = [], None
     for value, paths in sources.items():
@@ -58,6 +62,9 @@ def read_tagged(spark: SparkSession, sources: dict[object, str | list[str]], tag
             parts.append(read_csv(spark, paths, infer=infer).withColumn(tag, F.lit(value)))
         except Exception as e:
             error = e
+            warnings.warn(f"source {value!r} cannot be read and is left out: {str(e)[:200]}", stacklevel=2)
+            if skipped is not None:
+                skipped[value] = str(e)
     if not parts:
         raise error or ValueError("no sources")
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)

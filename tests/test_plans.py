@@ -238,5 +238,7 @@ def test_a_failing_scorer_gives_defaults_for_its_row_only(spark):
         return score
 
     df = spark.createDataFrame([(1, "ok"), (2, "boom"), (3, " "), (4, None)], "id int, t string").coalesce(1)
+    marked = scoring.score_posts(df, "t", factory, failed="failed")
+    assert rows(marked.filter("failed"), "id") == [(2,)]
     got = rows(scoring.score_posts(df, "t", factory), "id", "description_Normalized", "Label_NER", "Label_Intent")
     assert got == [(1, "OK", "B-A", "I"), (2, "boom", "O", "Unknown"), (3, "", "O", "Unknown"), (4, "", "O", "Unknown")]
