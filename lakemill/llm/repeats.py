@@ -153,7 +153,7 @@ def _anchors(shards: int, span: int):
             both = mixed(h ^ (u << np.uint64(1) | u >> np.uint64(63)), 31)
             near = np.argsort(both, kind="stable")
             again = np.zeros(len(both), dtype=bool)
-            again[near[1:]] = both[near[1:]] == both[near[:-1]]
+            again[near[1:]] = (h[near[1:]] == h[near[:-1]]) & (u[near[1:]] == u[near[:-1]])
             fresh = ~again
             parts = dealt("run", shard_of(h[fresh], shards), RUN, [c[fresh] for c in (h, u, ids, tags, lo, n)])
             parts += dealt("span", doc_shard(ids[again], shards), FOUND, [c[again] for c in (ids, tags, lo, lo + n - 1 + span)])
