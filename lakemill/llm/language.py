@@ -30,7 +30,7 @@ ALL_CHARS = 240_000
 LETTERS = 253
 #: Phrases end after this many symbols, in texts of any length, so that stretches of a text can be parsed side by side.
 STRETCH = 2_048
-BATCH_CHARS = 4 << 20
+BATCH_CHARS = 2 << 20
 SEED = 1
 
 

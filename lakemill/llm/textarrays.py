@@ -10,7 +10,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Texts are worked on in stretches of about this many bytes; a longer text is a stretch of its own.
-STRETCH = 4 << 20
+STRETCH = 1 << 20
 
 _rng = np.random.Generator(np.random.PCG64(20240229))
 #: Fixed random numbers: a value for each byte, a factor for each word of a run, the base of rolling hashes.
