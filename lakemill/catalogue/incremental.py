@@ -6,7 +6,7 @@ from lakemill.catalogue.entities import rule_tags
 from lakemill.catalogue.models import SPLIT_SQL, with_bar
 from lakemill.catalogue.registry import ORACLES, query, table
 from lakemill.functions.scalar import words
-from lakemill.operators import evaluation, heads, scoring, social
+from lakemill.operators import evaluation, heads, scoring, social, training
 from lakemill.plans import silver
 from lakemill.plans import social as social_plan
 from lakemill.session import cut
@@ -80,14 +80,18 @@ def describe_types(spark, sf):
 )
 def sentiment_per_day(spark, sf):
     """Comments scored, then counted per post and day."""
+    scored = social_plan.comment_sentiment(comments_of(spark, sf), None, scoring.lexicon_scorer(["the", "la"], ["of", "die"]), RUN_TS)
+    return social_plan.sentiment_report(scored)
+
+
+def comments_of(spark, sf):
+    """Conversation turns as comments, two a day."""
     start = F.lit("2024-01-01").cast("date")
-    comments = table(spark, sf, "conversations").select(
+    return table(spark, sf, "conversations").select(
         F.col("conv_id").cast("string").alias("articleID"), (F.col("conv_id") * 1000 + F.col("turn")).alias("commentID"), F.col("text").alias("comment"),
         F.date_add(start, F.floor(F.col("turn") / 2).cast("int")).cast("timestamp").alias("commentTime"), F.lit(0).alias("commentLike"),
         F.lit(1).alias("levelComment"), F.lit(0).alias("numberOfReply"), F.lit(RUN_TS).cast("timestamp").alias("created_at"),
     )
-    scored = social_plan.comment_sentiment(comments, None, scoring.lexicon_scorer(["the", "la"], ["of", "die"]), RUN_TS)
-    return social_plan.sentiment_report(scored)
 
 
 def corpus(spark, sf):
@@ -118,6 +122,23 @@ def train_heads(spark, sf):
     return with_bar(found.select("id", "split", scored.alias("scored")), good)
 
 
+@query(
+    "sentiment_head",
+    """SELECT conv_id * 1000 + turn AS "commentID", CAST(conv_id AS VARCHAR) AS "postID", true AS known, true AS good FROM conversations""",
+)
+def sentiment_head(spark, sf):
+    """Fit a sentiment head on a part of the comments, score all with it, and hold its accuracy on the other part against a bar."""
+    has = lambda w: F.array_contains(words(F.lower("comment")), w)
+    comments = comments_of(spark, sf).withColumn("truth", F.when(has("the"), "POS").when(has("de"), "NEG").otherwise("NEU"))
+    parts = cut(evaluation.hash_split(comments, "commentID", {"train": 70, "test": 30}))
+    model = training.fit_single_label(parts.filter("split = 'train'"), "comment", "truth", features=1 << 12, iterations=15)
+    scored = social_plan.comment_sentiment(parts, None, model, RUN_TS)
+    judged = scored.join(parts.filter("split = 'test'").select("commentID", "truth"), "commentID")
+    good = judged.agg((F.avg((F.col("sentiment") == F.col("truth")).cast("int")) >= 0.5).alias("good"))
+    known = F.col("sentiment").isin("POS", "NEG", "NEU")
+    return with_bar(scored.select("commentID", "postID", known.alias("known")), good)
+
+
 @query(
     "overall_f1",
     f"""SELECT round((a.f1 + b.f1 + c.f1) / 3, 6) AS overall_f1

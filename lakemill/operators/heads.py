@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from lakemill.functions.minitext import split_labels, split_trim
 from lakemill.functions.scalar import squeeze, strip_space, words
 from lakemill.operators import evaluation, training
-from lakemill.operators.scoring import POST_DEFAULTS
+from lakemill.operators.scoring import POST_DEFAULTS, SENTIMENT_DEFAULT
 
 
 @dataclass(frozen=True)
@@ -58,6 +58,13 @@ def score_posts(df: DataFrame, key: str, text: str, heads: PostHeads) -> DataFra
     )
 
 
+def score_sentiment(df: DataFrame, text: str, model: PipelineModel, name: str = "sentiment") -> DataFrame:
+    """``df`` with the label of a single-label head that was fitted on a column named ``text``; blank texts are NEU."""
+    found = training.predict_single_label(model, df.withColumn(text, F.coalesce(text, F.lit(""))), "__label")
+    blank = strip_space(text) == ""
+    return found.withColumn(name, F.when(blank, F.lit(SENTIMENT_DEFAULT)).otherwise(F.col("__label"))).drop("__label")
+
+
 def evaluate_heads(scored: DataFrame, tags: str, topics: str, intent: str) -> DataFrame:
     """F1 of each head, and their mean, of scored rows that also hold the true labels."""
     ner = evaluation.evaluate_ner(scored, tags, "Label_NER")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -101,9 +102,10 @@ def sentiment_report(scored: DataFrame) -> DataFrame:
     return counts_by_label(scored, ["postID", F.to_date("commentTime").alias("day")], "sentiment", ["POS", "NEG", "NEU"])
 
 
-def comment_sentiment(comments: DataFrame, done: DataFrame | None, factory: Callable, run_ts: str, size: int | None = None) -> DataFrame:
+def comment_sentiment(comments: DataFrame, done: DataFrame | None, factory: Callable | PipelineModel, run_ts: str, size: int | None = None) -> DataFrame:
     """Sentiment of the comments not scored yet, all of them or the next ``size`` in id order.
 
+    Labels come from a head fitted on a column ``comment``, or from a plug-in scorer.
     Comments without an id are refused.
     """
     new = clean.require(clean.non_blank(comments, ["comment"]), ["commentID"])
@@ -115,4 +117,5 @@ def comment_sentiment(comments: DataFrame, done: DataFrame | None, factory: Call
         F.col("articleID").alias("postID"), "commentID", "comment", "commentTime",
         *[int_or(c).alias(c) for c in ("commentLike", "levelComment", "numberOfReply")], "created_at",
     )
-    return scoring.score_sentiment(rows, "comment", factory).withColumn("updated_at", F.lit(run_ts).cast("timestamp"))
+    score = heads.score_sentiment if isinstance(factory, PipelineModel) else scoring.score_sentiment
+    return score(rows, "comment", factory).withColumn("updated_at", F.lit(run_ts).cast("timestamp"))

@@ -194,3 +194,12 @@ def test_files_are_gzip(spark, tmp_path):
     write(spark.range(10), path)
     name = next(f for f in os.listdir(path) if f.endswith(".parquet"))
     assert pq.ParquetFile(f"{path}/{name}").metadata.row_group(0).column(0).compression == "GZIP"
+
+
+def test_object_store_settings():
+    from lakemill.session import s3a_conf
+
+    conf = s3a_conf("http://store:9000", "key", "word", tls=True)
+    assert conf["spark.hadoop.fs.s3a.endpoint"] == "http://store:9000"
+    assert (conf["spark.hadoop.fs.s3a.access.key"], conf["spark.hadoop.fs.s3a.secret.key"]) == ("key", "word")
+    assert conf["spark.hadoop.fs.s3a.connection.ssl.enabled"] == "true" == conf["spark.hadoop.fs.s3a.path.style.access"]
