@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakemill.llm.textarrays import BYTE_VALUES, mixed, powers, sliding, stretches
-from lakemill.session import scratch_path
+from lakemill.session import cut
 
 SPAN = 100
 GRAM = 32
@@ -464,9 +464,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         F.coalesce(F.col(id_col).cast("bigint"), F.lit(_LOWEST)).alias("key"), F.pmod(F.xxhash64(text), F.lit(1 << 16)).cast("int").alias("tag"), text.alias("text")
     )
     runs = own.mapInArrow(_anchors(shards, span), PART)
-    path = scratch_path(spark, "repeats")
-    runs.repartition(shards, "shard").mapInArrow(_first_of_equal(span, hot), DOC).write.parquet(path)
-    known = spark.read.schema(DOC).parquet(path)
+    known = cut(runs.repartition(shards, "shard").mapInArrow(_first_of_equal(span, hot), DOC))
     opened = known.filter(F.length("reps") > 0).groupBy(F.col("key").alias("k"), F.col("tag").alias("t")).agg(F.collect_list("reps").alias("all"))
     same = (F.col("key") == F.col("k")) & (F.col("tag") == F.col("t"))
     wide = own.join(opened, same).select("key", "tag", "text", F.col("all").alias("reps"))
