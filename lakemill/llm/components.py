@@ -37,13 +37,13 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     order, and links are rewritten to the merged nodes, without repeats and loops. The
     hashed order leaves no long chains, so links and nodes fall by a factor from round to
     round. Firsts are taken on the map side, so a node with very many neighbours is no
-    burden. A round's links and labels are written to the shared folder. Self loops and
+    burden. A round's links and steps are written to the shared folder. Self loops and
     repeated links are harmless; an empty table gives an empty result.
     """
     links = cut(edges.select(F.col(a).alias("a"), F.col(b).alias("b")).filter(F.col("a") != F.col("b")).distinct())
+    rank = lambda c: F.struct(F.xxhash64(F.lit(7), c).alias("h"), c.alias("x"))
     labels = None
     while labels is None or not links.isEmpty():
-        rank = lambda c: F.struct(F.xxhash64(F.lit(7), c).alias("h"), c.alias("x"))
         both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
         first = both.groupBy("a").agg(F.least(rank(F.first("a")), F.min(rank(F.col("b"))))["x"].alias("to"))
         merged = cut(first.select(F.col("a").alias("of"), "to"))
@@ -53,7 +53,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         if labels is None:
             labels = merged.select(F.col("of").alias("node"), F.col("to").alias("root"))
         else:
-            moved = labels.join(merged, F.col("root") == F.col("of"), "left")
-            labels = cut(moved.select("node", F.coalesce("to", "root").alias("root")))
+            # Rounds are few, so their steps are put together in one plan at the end.
+            labels = labels.join(merged, F.col("root") == F.col("of"), "left").select("node", F.coalesce("to", "root").alias("root"))
+    labels = cut(labels)
     least = labels.groupBy(F.col("root").alias("r")).agg(F.min("node").alias("least"))
     return labels.join(least, F.col("root") == F.col("r")).select("node", F.col("least").alias("root"))
