@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lakemill.llm.textarrays import mixed, unmixed
 from lakemill.session import cut
 
+LINKS = "a bigint, b bigint"
+
 
 def contract(pairs: np.ndarray) -> np.ndarray:
     """The links of one batch as stars: each node with the least node of its component within the batch."""
@@ -30,31 +36,52 @@ def contract(pairs: np.ndarray) -> np.ndarray:
     return np.stack([nodes[own], nodes[roots[own]]], axis=1)
 
 
+def _mapped(change):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values = [change(c.to_numpy().view(np.uint64)).view(np.int64) for c in batch.columns]
+            yield pa.RecordBatch.from_arrays([pa.array(v) for v in values], batch.schema.names)
+
+    return run
+
+
+def _contract_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    parts = [np.stack([c.to_numpy() for c in batch.columns], axis=1) for batch in batches if batch.num_rows]
+    if parts:
+        stars = contract(np.concatenate(parts))
+        yield pa.RecordBatch.from_arrays([pa.array(stars[:, 0]), pa.array(stars[:, 1])], ["a", "b"])
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """``node`` and ``root`` (the least node of its component) for every node of ``edges``.
 
-    Each round, every node is merged into the first of itself and its neighbours in a hashed
-    order, and links are rewritten to the merged nodes, without repeats and loops. The
-    hashed order leaves no long chains, so links and nodes fall by a factor from round to
-    round. Firsts are taken on the map side, so a node with very many neighbours is no
-    burden. A round's links and steps are written to the shared folder. Self loops and
-    repeated links are harmless; an empty table gives an empty result.
+    Nodes are numbered anew by a one-to-one mix of their bits, so that their order is
+    random and leaves no long chains. Each round deals links out by node and contracts those
+    of a partition to stars; then every node is merged into the least of itself and its
+    neighbours, and links are rewritten to the merged nodes. Links and nodes fall by a
+    factor from round to round. Least neighbours are taken on the map side, so a node with
+    very many neighbours is no burden. A round's links and steps are written to the shared
+    folder. Self loops and repeated links are harmless; an empty table gives an empty result.
     """
-    links = cut(edges.select(F.col(a).alias("a"), F.col(b).alias("b")).filter(F.col("a") != F.col("b")).distinct())
-    rank = lambda c: F.struct(F.xxhash64(F.lit(7), c).alias("h"), c.alias("x"))
+    shards = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def contracted(links: DataFrame) -> DataFrame:
+        return cut(links.repartition(shards, "a").mapInArrow(_contract_partition, LINKS))
+
+    apart = edges.select(F.col(a).cast("bigint").alias("a"), F.col(b).cast("bigint").alias("b")).filter(F.col("a") != F.col("b"))
+    links = contracted(apart.mapInArrow(_mapped(mixed), LINKS))
     labels = None
     while labels is None or not links.isEmpty():
         both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        first = both.groupBy("a").agg(F.least(rank(F.first("a")), F.min(rank(F.col("b"))))["x"].alias("to"))
-        merged = cut(first.select(F.col("a").alias("of"), "to"))
+        merged = cut(both.groupBy(F.col("a").alias("of")).agg(F.least(F.first("a"), F.min("b")).alias("to")))
         left = links.join(merged, F.col("a") == F.col("of")).select(F.col("to").alias("a"), "b")
         right = left.join(merged, F.col("b") == F.col("of")).select("a", F.col("to").alias("b"))
-        links = cut(right.filter(F.col("a") != F.col("b")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+        links = contracted(right.filter(F.col("a") != F.col("b")))
         if labels is None:
             labels = merged.select(F.col("of").alias("node"), F.col("to").alias("root"))
         else:
             # Rounds are few, so their steps are put together in one plan at the end.
             labels = labels.join(merged, F.col("root") == F.col("of"), "left").select("node", F.coalesce("to", "root").alias("root"))
-    labels = cut(labels)
-    least = labels.groupBy(F.col("root").alias("r")).agg(F.min("node").alias("least"))
-    return labels.join(least, F.col("root") == F.col("r")).select("node", F.col("least").alias("root"))
+    named = cut(labels.mapInArrow(_mapped(unmixed), "node bigint, root bigint"))
+    least = named.groupBy(F.col("root").alias("r")).agg(F.min("node").alias("least"))
+    return named.join(least, F.col("root") == F.col("r")).select("node", F.col("least").alias("root"))

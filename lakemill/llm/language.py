@@ -103,19 +103,20 @@ def build(samples: dict[str, list[str]], language_chars: int = LANGUAGE_CHARS, a
         if not (text > 0).any():
             continue
         go = automaton(text.tolist())
-        root = np.zeros(n_codes, dtype=np.int64)
+        root = np.zeros(n_codes, dtype=np.int32)
         root[list(go[0])] = list(go[0].values())
         # A symbol that does not go on begins a new phrase from the root; so does any symbol at the root.
         table = np.tile((at + root * n_codes) * 2 + 1, (len(go), 1))
         for state, moves in enumerate(go[1:], 1):
-            table[state, list(moves)] = (at + np.fromiter(moves.values(), np.int64) * n_codes) * 2
+            table[state, list(moves)] = (at + np.fromiter(moves.values(), np.int32) * n_codes) * 2
         langs.append(lang)
         tables.append(table.reshape(-1))
         roots.append(at)
         scale.append(math.log2(1 + len(text)))
         at += table.size
-    table = np.concatenate(tables) if tables else np.empty(0, np.int64)
-    return Model(langs, codes, table.astype(np.int32 if 2 * at < 1 << 31 else np.int64), np.array(roots, np.int64), np.array(scale))
+    # Offsets fit into 32 bits by the bound on all characters.
+    table = np.concatenate(tables) if tables else np.empty(0, np.int32)
+    return Model(langs, codes, table, np.array(roots, np.int64), np.array(scale))
 
 
 def count_phrases(lanes: np.ndarray, lengths: np.ndarray, model: Model) -> np.ndarray:

@@ -32,6 +32,13 @@ def mixed(h: np.ndarray, seed: int = 0) -> np.ndarray:
     return h ^ (h >> np.uint64(33))
 
 
+def unmixed(h: np.ndarray) -> np.ndarray:
+    """What ``mixed`` with seed 0 was given."""
+    for factor in (0xC4CEB9FE1A85EC53, 0xFF51AFD7ED558CCD):
+        h = (h ^ (h >> np.uint64(33))) * np.uint64(pow(factor, -1, 1 << 64))
+    return h ^ (h >> np.uint64(33))
+
+
 class Alphabet(NamedTuple):
     """Which bytes belong to words, and the value of each byte with A-Z taken as a-z."""
 
