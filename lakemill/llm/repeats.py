@@ -44,15 +44,16 @@ _LOWEST = -(1 << 63)
 _PLACE_BITS = np.uint64(24)
 _PLACES = np.uint64((1 << 24) - 1)
 
-RUN = (("h", "u8"), ("u", "u8"), ("id", "i8"), ("tag", "u2"), ("lo", "i4"), ("n", "u2"))
-REP = (("h", "u8"), ("id", "i8"), ("tag", "u2"), ("lo", "i4"), ("n", "u2"))
-WINDOW = (("a", "u8"), ("b", "u8"), ("id", "i8"), ("tag", "u2"), ("lo", "i4"))
-FOUND = (("id", "i8"), ("tag", "u2"), ("lo", "i4"), ("hi", "i4"))
+#: A document is an id and 64 bits of its text's hash, as null and repeated ids have many texts.
+RUN = (("h", "u8"), ("u", "u8"), ("id", "i8"), ("tag", "i8"), ("lo", "i4"), ("n", "u2"))
+REP = (("h", "u8"), ("id", "i8"), ("tag", "i8"), ("lo", "i4"), ("n", "u2"))
+WINDOW = (("a", "u8"), ("b", "u8"), ("id", "i8"), ("tag", "i8"), ("lo", "i4"))
+FOUND = (("id", "i8"), ("tag", "i8"), ("lo", "i4"), ("hi", "i4"))
 #: Per document, row by row: spans, and stretches still open.
 SPANS = np.dtype([("lo", "<i4"), ("hi", "<i4")])
 OPEN = np.dtype([("h", "<u8"), ("lo", "<i4"), ("n", "<u2"), ("hot", "u1")])
 PART = "shard int, kind string, blob binary"
-DOC = "key bigint, tag int, spans binary, reps binary"
+DOC = "key bigint, tag bigint, spans binary, reps binary"
 
 
 def pack(fields, columns: list[np.ndarray]) -> bytes:
@@ -77,8 +78,9 @@ def shard_of(hashes: np.ndarray, shards: int) -> np.ndarray:
     return (((hashes >> np.uint64(32)) * np.uint64(shards)) >> np.uint64(32)).astype(np.int64)
 
 
-def doc_shard(ids: np.ndarray, shards: int) -> np.ndarray:
-    return shard_of(mixed(ids.view(np.uint64) if ids.dtype == np.int64 else ids.astype(np.int64).view(np.uint64), 23), shards)
+def doc_shard(ids: np.ndarray, tags: np.ndarray, shards: int) -> np.ndarray:
+    ids, tags = (c.astype(np.int64, copy=False).view(np.uint64) for c in (ids, tags))
+    return shard_of(mixed(ids, 23) ^ mixed(tags, 41), shards)
 
 
 def dealt(kind: str, shard: np.ndarray, fields, columns: list[np.ndarray]) -> list[tuple[int, str, bytes]]:
@@ -141,7 +143,7 @@ def _anchors(shards: int, span: int):
         for batch in batches:
             key, tag = batch.column("key").to_numpy(), batch.column("tag").to_numpy()
             order = np.lexsort((tag, key))
-            key, tag, texts = key[order], tag[order].astype(np.uint16), batch.column("text").take(pa.array(order))
+            key, tag, texts = key[order], tag[order], batch.column("text").take(pa.array(order))
             got = []
             for first, _, data, offsets in stretches(texts, PIECE):
                 lo, n, h, u = anchored(data, offsets, span)
@@ -156,7 +158,7 @@ def _anchors(shards: int, span: int):
             again[near[1:]] = (h[near[1:]] == h[near[:-1]]) & (u[near[1:]] == u[near[:-1]])
             fresh = ~again
             parts = dealt("run", shard_of(h[fresh], shards), RUN, [c[fresh] for c in (h, u, ids, tags, lo, n)])
-            parts += dealt("span", doc_shard(ids[again], shards), FOUND, [c[again] for c in (ids, tags, lo, lo + n - 1 + span)])
+            parts += dealt("span", doc_shard(ids[again], tags[again], shards), FOUND, [c[again] for c in (ids, tags, lo, lo + n - 1 + span)])
             if parts:
                 yield _part_batch(parts)
 
@@ -180,7 +182,7 @@ def _by_document(found: list[np.ndarray], opened: list[np.ndarray]) -> pa.Record
     doc = np.empty(len(order), dtype=np.int64)
     doc[order] = np.cumsum(new) - 1
     n_docs, n_spans = int(new.sum()), len(found[0])
-    columns = [pa.array(ids[order][new]), pa.array(tags[order][new].astype(np.int32))]
+    columns = [pa.array(ids[order][new]), pa.array(tags[order][new])]
     for own, kind, values in ((doc[:n_spans], SPANS, found[2:]), (doc[n_spans:], OPEN, opened[2:])):
         by = np.argsort(own, kind="stable")
         rows = np.empty(len(own), dtype=kind)
@@ -190,7 +192,7 @@ def _by_document(found: list[np.ndarray], opened: list[np.ndarray]) -> pa.Record
     return pa.RecordBatch.from_arrays(columns, ["key", "tag", "spans", "reps"])
 
 
-NOTHING_OPEN = [np.empty(0, t) for t in ("i8", "u2", "u8", "i4", "u2", "u1")]
+NOTHING_OPEN = [np.empty(0, t) for t in ("i8", "i8", "u8", "i4", "u2", "u1")]
 
 
 def pairs(lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
@@ -268,7 +270,7 @@ def _texts_of_open(shards: int, span: int):
                 columns = [np.array(c, dtype=t) for c, (_, t) in zip(zip(*windows, strict=True), WINDOW, strict=True)]
                 found, first = _first_windows(columns, span)
                 parts += dealt("window", shard_of(columns[0][first], shards), WINDOW, [c[first] for c in columns])
-                parts += dealt("span", doc_shard(found[0], shards), FOUND, found)
+                parts += dealt("span", doc_shard(found[0], found[1], shards), FOUND, found)
             if parts:
                 yield _part_batch(parts)
 
@@ -451,7 +453,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     stretches of an anchor on its windows are dealt one by one; the result is the same.
 
     Null or empty text: no bytes. Null ids: before all others. Rows with one id and
-    different texts: different documents, ordered by a hash; rows that repeat an id and its
+    different texts: different documents, told apart and ordered by a hash of 64 bits; rows that repeat an id and its
     text: one document, so each gets the same result. Empty table: empty result. Other
     columns are ignored.
     """
@@ -461,14 +463,14 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
     text = F.coalesce(F.col(text_col), F.lit(""))
     own = docs.select(
-        F.coalesce(F.col(id_col).cast("bigint"), F.lit(_LOWEST)).alias("key"), F.pmod(F.xxhash64(text), F.lit(1 << 16)).cast("int").alias("tag"), text.alias("text")
+        F.coalesce(F.col(id_col).cast("bigint"), F.lit(_LOWEST)).alias("key"), F.xxhash64(text).alias("tag"), text.alias("text")
     )
     runs = own.mapInArrow(_anchors(shards, span), PART)
     known = cut(runs.repartition(shards, "shard").mapInArrow(_first_of_equal(span, hot), DOC))
     opened = known.filter(F.length("reps") > 0).groupBy(F.col("key").alias("k"), F.col("tag").alias("t")).agg(F.collect_list("reps").alias("all"))
     same = (F.col("key") == F.col("k")) & (F.col("tag") == F.col("t"))
     wide = own.join(opened, same).select("key", "tag", "text", F.col("all").alias("reps"))
-    late = wide.mapInArrow(_texts_of_open(shards, span), PART).repartition(shards, "shard").mapInArrow(_indexed(span), "key bigint, tag int, spans binary")
+    late = wide.mapInArrow(_texts_of_open(shards, span), PART).repartition(shards, "shard").mapInArrow(_indexed(span), "key bigint, tag bigint, spans binary")
     spans = known.select("key", "tag", "spans").filter(F.length("spans") > 0).unionByName(late)
     gathered = spans.groupBy(F.col("key").alias("k"), F.col("tag").alias("t")).agg(F.collect_list("spans").alias("spans"))
     done = own.join(gathered, same, "left").select("key", "text", "spans")

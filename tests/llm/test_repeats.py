@@ -97,3 +97,17 @@ def test_run_index_against_search(seed):
             seen.add(t[p : p + 12])
     assert [x.tolist() for x in index.seen_before()] == want
     assert len(index.starts) < len(b"".join(texts))
+
+
+@pytest.mark.parametrize("hot", [repeats.HOT, 1])
+def test_many_texts_without_id_are_documents_of_their_own(spark, hot):
+    rng = random.Random(11)
+    letters = lambda low, high: "".join(rng.choices("abcdefghij", k=rng.randint(low, high)))
+    pairs = [(letters(0, 150), letters(0, 150), letters(110, 300), letters(0, 150), letters(0, 150)) for _ in range(2_000)]
+    rows = [(None, f"{a}A{p}B{b}") for a, _, p, b, _ in pairs] + [(None, f"{c}C{p}D{d}") for _, c, p, _, d in pairs]
+    got = [bytes(r["kept"]).decode() for r in repeats.remove_repeats(spark.createDataFrame(rows, DOCS).repartition(5), keep_bytes=True, hot=hot).collect()]
+    assert len(got) == len(rows)
+    kept = set(got)
+    for a, c, p, b, d in pairs:
+        first, second = {f"{a}A{p}B{b}", f"{c}CD{d}"} <= kept, {f"{a}AB{b}", f"{c}C{p}D{d}"} <= kept
+        assert first != second
