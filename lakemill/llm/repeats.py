@@ -9,6 +9,7 @@ it can match, and only what is still open is indexed:
    one anchor make a stretch of text. Stretches, known by hashes of the anchor and of the
    whole, are dealt by anchor; all but the first of equal ones are repeats as a whole. Each
    batch keeps only the first of its equal stretches, so copies do not pile up in a task.
+   A document given in several rows is judged once: equal places of it are one place.
 2. Index. Where an anchor has several different stretches, one text of each is sent, dealt
    by anchor again. A task sorts the suffixes of such texts, forms their Burrows-Wheeler
    transform, compresses it to runs, and samples positions at the ends of runs and the first
@@ -94,6 +95,17 @@ def dealt(kind: str, shard: np.ndarray, fields, columns: list[np.ndarray]) -> li
     return [(int(shard[a]), kind, pack(fields, [c[a:b] for c in columns])) for a, b in zip(cuts, ends, strict=True)]
 
 
+def _distinct(columns: list[np.ndarray]) -> np.ndarray:
+    """Places of the distinct rows of some columns, in the rows' order. A row of documents given twice is one place."""
+    order = np.lexsort(columns[::-1])
+    new = np.zeros(len(order), dtype=bool)
+    new[:1] = True
+    for c in columns:
+        c = c[order]
+        new[1:] |= c[1:] != c[:-1]
+    return order[new]
+
+
 def _part_batch(parts: list[tuple[int, str, bytes]]) -> pa.RecordBatch:
     arrays = [pa.array([p[0] for p in parts], pa.int32()), pa.array([p[1] for p in parts], pa.string()), pa.array([p[2] for p in parts], pa.binary())]
     return pa.RecordBatch.from_arrays(arrays, ["shard", "kind", "blob"])
@@ -142,7 +154,7 @@ def _anchors(shards: int, span: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             key, tag = batch.column("key").to_numpy(), batch.column("tag").to_numpy()
-            order = np.lexsort((tag, key))
+            order = _distinct([key, tag])
             key, tag, texts = key[order], tag[order], batch.column("text").take(pa.array(order))
             got = []
             for first, _, data, offsets in stretches(texts, PIECE):
@@ -222,7 +234,7 @@ def _first_of_equal(span: int, hot: int):
         if not blobs:
             return
         h, u, ids, tags, lo, n = unpack(RUN, blobs.get("run", []))
-        order = np.lexsort((lo, tags, ids, u, h))
+        order = _distinct([h, u, ids, tags, lo])
         h, u, ids, tags, lo, n = (c[order] for c in (h, u, ids, tags, lo, n))
         new_h = np.ones(len(h), dtype=bool)
         new_h[1:] = h[1:] != h[:-1]
@@ -233,6 +245,8 @@ def _first_of_equal(span: int, hot: int):
         opened = new & (kinds[group] > 1)
         far = lo.astype(np.int64) + n + (span - 1)
         known = unpack(FOUND, blobs.get("span", []))
+        once = _distinct(known)
+        known = [c[once] for c in known]
         found = [np.concatenate([k, c[~new]]) for k, c in zip(known, (ids, tags, lo, far.astype(np.int32)), strict=True)]
         yield _by_document(found, [*(c[opened] for c in (ids, tags, h, lo, n)), (kinds[group[opened]] > hot).astype(np.uint8)])
 
@@ -244,10 +258,14 @@ def _texts_of_open(shards: int, span: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, texts, windows = [], [], []
+            rows, texts, windows, seen = [], [], [], set()
             columns = (batch.column(c) for c in ("key", "tag", "text", "reps"))
             for key, tag, text, reps in zip(*columns, strict=True):
-                data, doc = text.as_py().encode(), (key.as_py(), tag.as_py())
+                doc = (key.as_py(), tag.as_py())
+                if doc in seen:
+                    continue
+                seen.add(doc)
+                data = text.as_py().encode()
                 for h, lo, n, hot in np.frombuffer(b"".join(reps.as_py()), dtype=OPEN).tolist():
                     if hot:
                         for at in range(lo, lo + n):
@@ -280,7 +298,7 @@ def _texts_of_open(shards: int, span: int):
 def _first_windows(columns: list[np.ndarray], span: int) -> tuple[list[np.ndarray], np.ndarray]:
     """Spans of all but the first of equal windows, and the places of the first ones."""
     a, b, ids, tags, lo = columns
-    order = np.lexsort((lo, tags, ids, b, a))
+    order = _distinct(columns)
     new = np.ones(len(order), dtype=bool)
     new[1:] = (a[order][1:] != a[order][:-1]) | (b[order][1:] != b[order][:-1])
     later = order[~new]
@@ -389,14 +407,16 @@ def _indexed(span: int):
         blobs = _blobs(batches)
         if not blobs:
             return
-        found = [unpack(FOUND, blobs.get("span", []))]
+        spans = unpack(FOUND, blobs.get("span", []))
+        once = _distinct(spans)
+        found = [[c[once] for c in spans]]
         if "window" in blobs:
             found.append(_first_windows(unpack(WINDOW, blobs["window"]), span)[0])
         (h, ids, tags, lo, n), texts = _open_texts(blobs.get("text", []))
         sizes = n.astype(np.int64) + (span - 1)
         data = np.frombuffer(b"".join(texts), dtype=np.uint8)
         begins = np.cumsum(sizes) - sizes
-        order = np.lexsort((lo, tags, ids, h))
+        order = _distinct([h, ids, tags, lo])
         heads = np.append(np.flatnonzero(np.diff(h[order], prepend=h[order][:1] ^ np.uint64(1))), len(order)) if len(order) else np.zeros(1, np.int64)
         filled = np.append(0, np.cumsum(sizes[order]))
         a = 0

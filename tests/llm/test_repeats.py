@@ -111,3 +111,21 @@ def test_many_texts_without_id_are_documents_of_their_own(spark, hot):
     for a, c, p, b, d in pairs:
         first, second = {f"{a}A{p}B{b}", f"{c}CD{d}"} <= kept, {f"{a}AB{b}", f"{c}C{p}D{d}"} <= kept
         assert first != second
+
+
+@pytest.mark.parametrize("hot", [repeats.HOT, 1])
+def test_rows_given_twice_are_one_document(spark, hot):
+    rows = sample(8)
+    want = brute(rows)
+    given = rows + rows[::2] + rows[::2] + rows[::5]
+    for df in (spark.createDataFrame(given, DOCS).repartition(5), spark.createDataFrame(sorted(given, key=lambda r: r[0]), DOCS).coalesce(1)):
+        got = repeats.remove_repeats(df, hot=hot).collect()
+        assert sorted(r["doc_id"] for r in got) == sorted(i for i, _ in given)
+        assert all(tuple(r)[1:] == want[r["doc_id"]] for r in got)
+
+
+def test_long_row_given_twice_keeps_its_bytes(spark):
+    text = "".join(random.Random(12).choices("abcdefghij", k=500))
+    df = spark.createDataFrame([(1, text), (1, text), (2, "-" + text[100:400]), (None, text + "+"), (None, text + "+")], DOCS).repartition(4)
+    got = sorted((r["doc_id"] or 0, r["n_bytes"], r["n_removed"]) for r in repeats.remove_repeats(df).collect())
+    assert got == [(0, 501, 0), (0, 501, 0), (1, 500, 500), (1, 500, 500), (2, 301, 300)]
