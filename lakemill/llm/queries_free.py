@@ -1,11 +1,11 @@
-"""Queries of the language, contamination, repeat, secret, near-copy and toxicity operators."""
+"""Queries of the language, contamination, repeat, secret, near-copy, toxicity and fingerprint-distance operators."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemill.llm import contamination, jaccard, language, repeats, secrets, toxicity
+from lakemill.llm import contamination, jaccard, language, repeats, secrets, simhash, toxicity
 from lakemill.llm.registry import query, table
 
 OP2_SQL = r"""
@@ -100,3 +100,8 @@ def toxic_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     model = toxicity.fit(docs, labels, "doc_id", "text", "toxic", ~held_out("lid"))
     return toxicity.score(docs, model, carry=["doc_id"]).withColumn("held_out", held_out("doc_id"))
+
+
+@query("op13_simhash_near_dedup")
+def simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.link_by_simhash(table(spark, sf_dir, "documents"))

@@ -99,10 +99,9 @@ class Words(NamedTuple):
     firsts: np.ndarray
 
 
-def words(data: np.ndarray, offsets: np.ndarray, letters: Alphabet) -> Words:
+def word_edges(data: np.ndarray, offsets: np.ndarray, letters: Alphabet) -> tuple[np.ndarray, np.ndarray]:
+    """Where each word begins and ends; words end with their row."""
     n = len(data)
-    if n == 0:
-        return Words(np.empty(0, np.uint64), np.empty(0, np.int64), np.zeros(len(offsets), np.int64))
     inside = letters.is_word[data]
     begins, ends = inside.copy(), inside.copy()
     begins[1:] &= ~inside[:-1]
@@ -110,7 +109,14 @@ def words(data: np.ndarray, offsets: np.ndarray, letters: Alphabet) -> Words:
     edges = offsets[(offsets > 0) & (offsets < n)]
     begins[edges] = inside[edges]
     ends[edges - 1] = inside[edges - 1]
-    starts, stops = np.flatnonzero(begins), np.flatnonzero(ends) + 1
+    return np.flatnonzero(begins), np.flatnonzero(ends) + 1
+
+
+def words(data: np.ndarray, offsets: np.ndarray, letters: Alphabet) -> Words:
+    n = len(data)
+    if n == 0:
+        return Words(np.empty(0, np.uint64), np.empty(0, np.int64), np.zeros(len(offsets), np.int64))
+    starts, stops = word_edges(data, offsets, letters)
     up, down = powers(n + 1)
     sums = np.empty(n + 1, dtype=np.uint64)
     sums[0] = 0
