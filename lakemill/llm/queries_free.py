@@ -1,11 +1,11 @@
-"""Queries of the language, contamination, repeat, secret, near-copy, toxicity and fingerprint-distance operators."""
+"""Queries of the language, contamination, repeat, secret, near-copy, toxicity, alignment, collocation and fingerprint-distance operators."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemill.llm import contamination, jaccard, language, repeats, secrets, simhash, toxicity
+from lakemill.llm import alignment, collocations, contamination, jaccard, language, repeats, secrets, simhash, toxicity
 from lakemill.llm.registry import query, table
 
 OP2_SQL = r"""
@@ -46,6 +46,37 @@ SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, r.least AS component_id
 FROM docs d LEFT JOIN sizes s USING (doc_id) JOIN (SELECT x, min(y) AS least FROM reach GROUP BY x) r ON r.x = d.doc_id
 """
 
+OP12_SQL = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(unnest(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')), '[^\x20\x09]+') AS ws FROM documents),
+totals AS (SELECT lang, CAST(sum(len(ws)) AS HUGEINT) AS n FROM pieces GROUP BY lang),
+grams AS (
+  SELECT lang, k, array_to_string(ws[i : i + k - 1], ' ') AS phrase, CAST(count(*) AS HUGEINT) AS f
+  FROM (SELECT lang, ws, k, unnest(generate_series(1, len(ws) - k + 1)) AS i FROM pieces, (SELECT unnest([1, 2, 3, 4, 5]) AS k) WHERE len(ws) >= k)
+  GROUP BY ALL HAVING count(*) >= 100),
+found AS (SELECT lang, k, phrase, f, string_split(phrase, ' ') AS ws FROM grams WHERE k >= 2),
+cuts AS (
+  SELECT lang, phrase, f AS a, j, array_to_string(ws[1 : j], ' ') AS x, array_to_string(ws[j + 1 : k], ' ') AS y
+  FROM (SELECT *, unnest(generate_series(1, k - 1)) AS j FROM found)),
+scored AS (
+  SELECT c.lang, c.phrase, c.a, c.j, p.f AS l, q.f AS r, t.n, (1000 * c.a * t.n) // (p.f * q.f) AS score
+  FROM cuts c JOIN grams p ON p.lang = c.lang AND p.phrase = c.x JOIN grams q ON q.lang = c.lang AND q.phrase = c.y JOIN totals t ON t.lang = c.lang),
+least AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+inner_of AS (
+  SELECT lang, f, k, m, array_to_string(ws[i : i + m - 1], ' ') AS phrase, i
+  FROM (SELECT *, unnest(generate_series(1, k - m + 1)) AS i FROM (SELECT *, unnest(generate_series(2, k - 1)) AS m FROM found WHERE k > 2))),
+around AS (
+  SELECT lang, phrase, max(f) AS most, count(*) FILTER (WHERE m = k - 1 AND i = 2) AS n_left, count(*) FILTER (WHERE m = k - 1 AND i = 1) AS n_right
+  FROM inner_of GROUP BY lang, phrase),
+kept AS (
+  SELECT s.*, coalesce(o.n_left, 0) AS n_left, coalesce(o.n_right, 0) AS n_right FROM least s LEFT JOIN around o USING (lang, phrase)
+  WHERE o.most IS NULL OR 100 * o.most < 100 * s.a),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM kept)
+SELECT lang, rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score,
+  n_left, n_right FROM ranked WHERE rank <= 2000
+"""
+
 
 def held_out(id_col: str) -> Column:
     """The fold that no label is learned from."""
@@ -102,6 +133,19 @@ def toxic_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model, carry=["doc_id"]).withColumn("held_out", held_out("doc_id"))
 
 
+@query("op11_tokenizer_alignment")
+def tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    aligned = alignment.align(table(spark, sf_dir, "documents"))
+    digest = F.when(F.col("n_groups") > 0, F.sha2("groups", 256)).otherwise(F.lit("")).alias("groups_sha256")
+    slim = aligned.select(F.col("id").alias("doc_id"), "n_a", "n_b", "n_groups", "n_links", digest, "link_pairs", "link_counts")
+    return alignment.score_links(slim)
+
+
+@query("op12_phrase_collocations", OP12_SQL)
+def phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 @query("op13_simhash_near_dedup")
 def simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.link_by_simhash(table(spark, sf_dir, "documents"))

@@ -112,18 +112,20 @@ def word_edges(data: np.ndarray, offsets: np.ndarray, letters: Alphabet) -> tupl
     return np.flatnonzero(begins), np.flatnonzero(ends) + 1
 
 
+def word_hashes(data: np.ndarray, starts: np.ndarray, stops: np.ndarray, letters: Alphabet) -> np.ndarray:
+    up, down = powers(len(data) + 1)
+    sums = np.empty(len(data) + 1, dtype=np.uint64)
+    sums[0] = 0
+    np.cumsum(letters.values[data] * up[: len(data)], out=sums[1:])
+    return mixed((sums[stops] - sums[starts]) * down[starts])
+
+
 def words(data: np.ndarray, offsets: np.ndarray, letters: Alphabet) -> Words:
-    n = len(data)
-    if n == 0:
+    if len(data) == 0:
         return Words(np.empty(0, np.uint64), np.empty(0, np.int64), np.zeros(len(offsets), np.int64))
     starts, stops = word_edges(data, offsets, letters)
-    up, down = powers(n + 1)
-    sums = np.empty(n + 1, dtype=np.uint64)
-    sums[0] = 0
-    np.cumsum(letters.values[data] * up[:n], out=sums[1:])
-    hashes = mixed((sums[stops] - sums[starts]) * down[starts])
     firsts = np.searchsorted(starts, offsets)
-    return Words(hashes, np.repeat(np.arange(len(offsets) - 1), np.diff(firsts)), firsts)
+    return Words(word_hashes(data, starts, stops, letters), np.repeat(np.arange(len(offsets) - 1), np.diff(firsts)), firsts)
 
 
 def runs_of(hashes: np.ndarray, k: int, at: np.ndarray | None = None) -> np.ndarray:
