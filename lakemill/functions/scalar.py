@@ -162,12 +162,26 @@ def null_if_sentinel(c: Column | str, sentinels=("nan", "none")) -> Column:
     return F.when(~F.lower(c).isin(*sentinels), c)
 
 
+MILLION = 1_000_000
+
+
 def floor_bin(value: Column | str, width: str) -> Column:
     """Lower edge of the bin a value falls in; ``width`` is a decimal written as text.
 
-    Worked out in DECIMAL: in binary floats ``floor(0.6 / 0.2) * 0.2`` is 0.4, here it is
+    Worked out in decimals: in binary floats ``floor(0.6 / 0.2) * 0.2`` is 0.4, here it is
     0.6. Values keep ten decimals; beyond 10²⁷ there is no bin (NULL).
+
+    Values below 10⁵ that have at most six decimals go through whole millionths, which
+    gives the same bin and stays in long arithmetic: a double tells all such
+    values apart, so one that equals its millionths is that number.
     """
     exact = _col(value).try_cast("decimal(37,10)")
     step = F.lit(Decimal(width)).cast("decimal(37,10)")
-    return (exact - F.pmod(exact, step)).cast("double")
+    wide = (exact - F.pmod(exact, step)).cast("double")
+    step_millionths = Decimal(width) * MILLION
+    if step_millionths != int(step_millionths):
+        return wide
+    plain = _col(value).try_cast("double")
+    millionths = F.rint(plain * MILLION)
+    narrow = millionths.cast("bigint") - F.pmod(millionths.cast("bigint"), F.lit(int(step_millionths)))
+    return F.when((F.abs(plain) < 100_000) & (millionths / MILLION == plain), narrow / F.lit(float(MILLION))).otherwise(wide)

@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakemill.functions.minitext import split_trim
-from lakemill.functions.scalar import floor_bin
-from lakemill.operators.bounds import checked_broadcast
+from lakemill.functions.scalar import floor_bin, let
+from lakemill.operators.bounds import checked_broadcast, rows_within
+from lakemill.session import cut
 
 MONEY = "decimal(18,2)"
 SCORE = "decimal(18,4)"
@@ -71,10 +72,11 @@ def map_size_distribution(df: DataFrame, column: str) -> DataFrame:
     return df.groupBy(F.size(column).alias("n_entries")).agg(F.count(F.lit(1)).alias("n"))
 
 
-def histogram(df: DataFrame, value: str, width: str, by: list[str], bin_name: str, count_name: str) -> DataFrame:
-    """Rows per group and bin of the width given (a decimal written as text)."""
-    binned = df.select(*by, floor_bin(value, width).alias(bin_name))
-    return binned.groupBy(*by, bin_name).agg(F.count(F.lit(1)).alias(count_name))
+def histogram(df: DataFrame, value: str, width: str, by: list[str], bin_name: str, count_name: str, weight: str | None = None) -> DataFrame:
+    """Rows (or the sum of ``weight``) per group and bin of the width given (a decimal written as text)."""
+    binned = df.select(*by, floor_bin(value, width).alias(bin_name), *([weight] if weight else []))
+    counted = F.sum(weight).cast("bigint") if weight else F.count(F.lit(1))
+    return binned.groupBy(*by, bin_name).agg(counted.alias(count_name))
 
 
 def group_members(groups: DataFrame, group: str, combination: str) -> DataFrame:
@@ -97,24 +99,57 @@ def complete_sum(facts: DataFrame, by: list[str], member: str, value: str, membe
     return totals.filter("__have = __need").select(*by, group, F.col("__sum").cast("double").alias(name))
 
 
-def complete_sum_of_maps(df: DataFrame, keep: list[str], scores: str, members: DataFrame, group: str, name: str) -> DataFrame:
+#: First members up to which the index of groups is looked up inside the row.
+INDEX_MEMBERS = 200
+
+
+def group_index(members: DataFrame, group: str) -> DataFrame:
+    """(first, groups) — an inverted index: each group, with its members, under the one that fewest groups have."""
+    share = members.groupBy("member").agg(F.count(F.lit(1)).alias("__share"))
+    listed = members.join(share, "member").groupBy(group).agg(F.array_sort(F.collect_list(F.struct("__share", "member"))).alias("__by_share"))
+    entry = F.struct(F.col(group).alias("group"), F.transform("__by_share", lambda x: x["member"]).alias("members"))
+    return listed.groupBy(F.col("__by_share")[0]["member"].alias("first")).agg(F.collect_list(entry).alias("groups"))
+
+
+def complete_sum_of_maps(df: DataFrame, keep: list[str], scores: str, members: DataFrame, group: str, name: str, index_members: int = INDEX_MEMBERS) -> DataFrame:
     """As ``complete_sum`` for rows that hold their values in a map; equal rows each get a result.
 
-    A group is filed under its first member. Rows meet the groups that are filed under one
-    of their keys, carry their map along, and are tested and summed in the row, so rows
-    need no identity and nothing is grouped. A member whose value is NULL is missing.
+    Groups are found through an inverted index on their rarest members, by the map's keys
+    alone. An index with few entries is looked up in the row. With a larger one the
+    distinct sets of keys are joined to it, which are far fewer than the rows, and the
+    rows to what their set holds. Either way sums are made in the row, before the groups
+    found are exploded, so no map is copied. A member whose value is NULL is missing.
     """
-    listed = members.groupBy(group).agg(F.sort_array(F.collect_list("member")).alias("__members"))
-    filed = listed.withColumn("__first", F.col("__members")[0])
-    held = [c for c in keep if c != scores]
-    rows = df.select(*held, F.col(scores).alias("__map"), F.explode(F.map_keys(scores)).alias("__key"))
-    met = rows.join(checked_broadcast(filed), F.col("__key") == F.col("__first"))
-    complete = met.filter(F.forall("__members", lambda k: F.try_element_at(F.col("__map"), k).isNotNull()))
+    index = group_index(members, group)
+    keys = F.map_keys(F.map_filter(scores, lambda _k, v: v.isNotNull()))
+    has_all = lambda held, g: F.forall(g["members"], lambda k: F.array_contains(held, k))
+    if rows_within(index, index_members):
+        entries = index.agg(F.collect_list(F.struct("first", "groups"))).scalar()
+        found = let(
+            F.struct(F.col("__keys").alias("k"), F.col("__index").alias("e")),
+            lambda s: F.filter(
+                F.flatten(F.transform(F.filter(s["e"], lambda e: F.array_contains(s["k"], e["first"])), lambda e: e["groups"])),
+                lambda g: has_all(s["k"], g),
+            ),
+        )
+        looked = df.select(*keep, F.col(scores).alias("__map"), keys.alias("__keys"), entries.alias("__index"))
+        met = looked.select(*keep, "__map", found.alias("__found"))
+    else:
+        keyed = df.select(*keep, F.col(scores).alias("__map"), F.array_sort(keys).alias("__keys"))
+        sets = keyed.select("__keys").distinct().select("__keys", F.explode("__keys").alias("__key"))
+        held = sets.join(index, F.col("__key") == F.col("first")).select("__keys", F.explode("groups").alias("__g")).filter(has_all(F.col("__keys"), F.col("__g")))
+        # Written once: it is measured, then joined.
+        complete = cut(held.groupBy("__keys").agg(F.collect_list("__g").alias("__found")))
+        met = keyed.join(checked_broadcast(complete), "__keys")
     zero = F.lit(0).cast("decimal(28,4)")
-    total = F.aggregate(
-        "__members", zero, lambda acc, k: (acc + F.try_element_at(F.col("__map"), k).cast(SCORE)).cast("decimal(28,4)")
-    )
-    return complete.select(*[F.col("__map").alias(c) if c == scores else F.col(c) for c in keep], group, total.cast("double").alias(name))
+
+    def total(held: Column, g: Column) -> Column:
+        add = lambda acc, k: (acc + F.try_element_at(held, k).cast(SCORE)).cast("decimal(28,4)")
+        return F.struct(g["group"].alias("group"), F.aggregate(g["members"], zero, add).alias("total"))
+
+    sums = let(F.struct(F.col("__map").alias("m"), F.col("__found").alias("f")), lambda s: F.transform(s["f"], lambda g: total(s["m"], g)))
+    each = met.select(*keep, F.explode(sums).alias("__sum"))
+    return each.select(*keep, F.col("__sum.group").alias(group), F.col("__sum.total").cast("double").alias(name))
 
 
 def vocabulary(df: DataFrame, labels: str, name: str = "label") -> DataFrame:

@@ -4,9 +4,11 @@ Tiers, best first: the name is a group's key; it is one of its variants; a varia
 inside the name or the name inside a variant; enough of a variant's words are in the
 name. The lowest tier wins, then the dictionary's order.
 
-No tier compares every name with every variant. Each variant is filed under tokens that
-any match must share with the name (a rare n-gram, the name's first letters, a rare
-word); names are joined on those tokens and the pairs found are then tested in full.
+No tier compares every name with every variant. A match must share tokens (n-grams or
+words), and one of them is enough to find it: where the variant lies in the name, the
+variant's rarest n-gram; where the name lies in the variant, the name's rarest; where words
+are shared, the variant's rarest words. Rare means few variants hold it, so a popular beginning
+or word finds no more than the rare ones do. The pairs found are then tested in full.
 """
 
 from __future__ import annotations
@@ -58,7 +60,8 @@ PUBLIC_BODIES = [
 SCHOOL_PREFIX = "trường - "
 BODY_PREFIX = "tổ chức - "
 
-HEAD = 3
+#: Letters of the n-grams by which a name is looked for inside variants; a shorter name is its own.
+PART = 3
 
 
 def org_label(key: Column) -> Column:
@@ -114,11 +117,11 @@ def alias_index(aliases: DataFrame, rules: AliasRules) -> DataFrame:
     inside = _rarest(long_enough, _grams(text, rules.variant_in_name), F.lit(1)).withColumns(
         {"kind": F.lit("gram"), "tier": F.lit(3)}
     )
-    sizes = range(rules.name_in_variant, HEAD + 1)
-    heads = F.concat(*[_grams(text, n) for n in sizes])
+    sizes = range(rules.name_in_variant, PART + 1)
+    grams = F.concat(*[_grams(text, n) for n in sizes])
     around_from = long_enough if rules.one_substring_tier else base
-    around = around_from.select("*", F.explode(F.array_distinct(heads)).alias("token")).withColumns(
-        {"kind": F.lit("head"), "tier": F.lit(3 if rules.one_substring_tier else 4)}
+    around = around_from.select("*", F.explode(F.array_distinct(grams)).alias("token")).withColumns(
+        {"kind": F.lit("part"), "tier": F.lit(3 if rules.one_substring_tier else 4)}
     )
     shared = _rarest(base.filter(F.size(spread) > 0), spread, F.size(spread) - needed + 1).withColumns(
         {"kind": F.lit("word"), "tier": F.lit(5)}
@@ -132,17 +135,24 @@ def alias_index(aliases: DataFrame, rules: AliasRules) -> DataFrame:
 
 
 def _name_tokens(name: Column, rules: AliasRules) -> Column:
-    head = F.when(F.length(name) >= rules.name_in_variant, F.array(F.substring(name, 1, HEAD))).otherwise(
-        F.expr("cast(array() as array<string>)")
-    )
     return F.concat(
         _tagged("whole", F.array(name)),
         _tagged("gram", _grams(name, rules.variant_in_name)),
-        _tagged("head", head),
         _tagged("word", F.array_distinct(words(name))),
     )
 
 
+def _rarest_parts(distinct: DataFrame, index: DataFrame, rules: AliasRules) -> DataFrame:
+    """Each name under its n-gram that fewest variants hold. A name with one that none holds is in no variant."""
+    name = F.col("__name")
+    parts = F.when(F.length(name) >= PART, _grams(name, PART)).otherwise(F.array(name))
+    each = distinct.filter(F.length(name) >= rules.name_in_variant).select("__raw", "__name", F.explode(parts).alias("token"))
+    share = index.filter("kind = 'part'").groupBy("token").agg(F.count(F.lit(1)).alias("share"))
+    met = each.join(checked_broadcast(share), "token", "left")
+    rarest = met.groupBy("__raw", "__name").agg(F.min(F.struct(F.coalesce("share", F.lit(0)).alias("share"), "token")).alias("least"))
+    return rarest.filter("least.share > 0").select("__raw", "__name", F.lit("part").alias("kind"), F.col("least.token").alias("token"))
+
+
 def _passes(name: Column, rules: AliasRules) -> Column:
     kind, variant = F.col("kind"), F.col("variant")
     ratio = let(
@@ -152,13 +162,13 @@ def _passes(name: Column, rules: AliasRules) -> Column:
     return (
         F.when(kind == "whole", F.lit(True))
         .when(kind == "gram", name.contains(variant))
-        .when(kind == "head", variant.contains(name))
+        .when(kind == "part", variant.contains(name))
         .otherwise(ratio >= rules.overlap)
     )
 
 
-def match_names(names: DataFrame, column: str, aliases: DataFrame, rules: AliasRules) -> DataFrame:
-    """(column, grp) for each distinct name that matches some group."""
+def candidate_pairs(names: DataFrame, column: str, aliases: DataFrame, rules: AliasRules) -> DataFrame:
+    """(__raw, __name) of each distinct name beside the dictionary rows it must be tested against."""
     name = F.col("__name")
     distinct = (
         names.select(F.trim(F.lower(F.col(column))).alias("__name"), F.col(column).alias("__raw"))
@@ -170,8 +180,14 @@ def match_names(names: DataFrame, column: str, aliases: DataFrame, rules: AliasR
     )
     # Measured and joined, so made once.
     index = cut(alias_index(aliases, rules))
-    pairs = tokens.join(checked_broadcast(index), ["kind", "token"], "inner")
-    best = pairs.filter(_passes(name, rules)).groupBy("__raw").agg(
+    asked = tokens.unionByName(_rarest_parts(distinct, index, rules))
+    return asked.join(checked_broadcast(index), ["kind", "token"], "inner")
+
+
+def match_names(names: DataFrame, column: str, aliases: DataFrame, rules: AliasRules) -> DataFrame:
+    """(column, grp) for each distinct name that matches some group."""
+    pairs = candidate_pairs(names, column, aliases, rules)
+    best = pairs.filter(_passes(F.col("__name"), rules)).groupBy("__raw").agg(
         F.min(F.struct("tier", "key_ord", "var_ord", "grp")).alias("__best")
     )
     return best.select(F.col("__raw").alias(column), F.col("__best.grp").alias("grp"))

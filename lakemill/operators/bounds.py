@@ -26,17 +26,36 @@ def rows_within(df: DataFrame, limit: int) -> bool:
 
 
 def bytes_within(df: DataFrame, limit: int) -> bool:
-    """True if the values of ``df`` take at most ``limit`` bytes; columns of fixed width are not read for that."""
-    wide = [f.name for f in df.schema.fields if not isinstance(f.dataType, (T.NumericType, T.BooleanType, T.DateType, T.TimestampType))]
-    if not wide:
-        return True
-    texts = [F.coalesce(F.octet_length(F.to_json(F.struct(F.col(f"`{c}`")))), F.lit(0)).cast("bigint") for c in wide]
-    return (df.agg(F.sum(reduce(lambda a, b: a + b, texts)).alias("n")).first()["n"] or 0) <= limit
+    """True if the values of ``df`` take at most ``limit`` bytes."""
+    return _measured(df)["n_bytes"] <= limit
+
+
+def _measured(df: DataFrame) -> Row:
+    """Rows, and bytes of their values, in one job. Columns of fixed width are not read for that."""
+    fixed = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType)
+    wide = [f for f in df.schema.fields if not isinstance(f.dataType, fixed)]
+    text = lambda f: F.col(f"`{f.name}`") if isinstance(f.dataType, (T.StringType, T.BinaryType)) else F.to_json(F.struct(F.col(f"`{f.name}`")))
+    sizes = [F.coalesce(F.octet_length(text(f)), F.lit(0)).cast("bigint") for f in wide]
+    row = reduce(lambda a, b: a + b, sizes, F.lit(8 * (len(df.columns) - len(wide))).cast("bigint"))
+    return df.agg(F.count(F.lit(1)).alias("n_rows"), F.coalesce(F.sum(row), F.lit(0)).alias("n_bytes")).first()
+
+
+def input_bytes(df: DataFrame) -> int:
+    """Bytes of all that ``df`` is made from, by Spark's own estimate: for a scan the bytes of its files."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
 
 
 def checked_broadcast(df: DataFrame, limit: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> DataFrame:
-    """Mark ``df`` for broadcast if it is small, in rows and in bytes; else leave the join to Spark."""
-    return F.broadcast(df) if rows_within(df, limit) and bytes_within(df, size) else df
+    """Mark ``df`` for broadcast if it is small, in rows and in bytes; else leave the join to Spark.
+
+    What is made from little is measured in one job. Of anything else rows are counted
+    first, up to the bound, so that a large table is not read through.
+    """
+    if input_bytes(df) > size and not rows_within(df, limit):
+        return df
+    found = _measured(df)
+    return F.broadcast(df) if found["n_rows"] <= limit and found["n_bytes"] <= size else df
 
 
 def control_rows(df: DataFrame, limit: int = CONTROL_ROWS) -> list[Row] | None:

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from lakemill.operators import changes, quality
 from lakemill.operators.aggregates import null_counts
-from lakemill.plans import silver, social, star
+from lakemill.operators.clean import dedup_by
+from lakemill.plans import feeds, silver, social, star
 from lakemill.session import cut
 from lakemill.sinks.tables import Lake
 from lakemill.sources.csv_files import read_csv
@@ -81,29 +82,29 @@ class Stage:
     def _runs(self, ledger: str) -> DataFrame:
         return read_ledger(self.spark, ledger).filter(F.col("status") == LOADED).select("run").distinct()
 
-    def rows(self) -> DataFrame | None:
+    def rows(self, run: str | None = None) -> DataFrame | None:
+        """Rows of one run, or of all that are left."""
         if not self.runs:
             return None
-        paths = [os.path.join(self.root, "rows", f"ingest_run={run}") for run in self.runs]
+        paths = [os.path.join(self.root, "rows", f"ingest_run={r}") for r in ([run] if run else self.runs)]
         return self.spark.read.option("mergeSchema", True).parquet(*paths)
 
-    def done(self) -> None:
-        marks = self.spark.createDataFrame([(run, run, LOADED) for run in self.runs], "path string, run string, status string")
+    def done(self, run: str | None = None) -> None:
+        marks = self.spark.createDataFrame([(r, r, LOADED) for r in ([run] if run else self.runs)], "path string, run string, status string")
         marks.withColumn("at", F.lit(self.run_ts).cast("timestamp")).coalesce(1).write.mode("append").parquet(self.merged)
 
 
 def load_student_scores(spark: SparkSession, lake: Lake, bronze: Bronze, run_ts: str) -> None:
-    """New files only; students in them replace their earlier rows."""
+    """New files only; students in them replace their earlier rows. What changes is noted for the counts that follow it."""
     stage = Stage(spark, lake, bronze.student_scores, "student_scores", "SBD", run_ts)
-    raw = stage.rows()
-    if raw is None:
-        return
     stamp = F.lit(run_ts).cast("timestamp")
-    rows = silver.student_scores(raw, lake.read("subject"), "source_file")
-    rows = rows.withColumns({"created_at": stamp, "updated_at": stamp})
     # A student id ends in its year, so a student's rows are all in that partition.
-    lake.replace_by_key("student_scores", rows, ["studentId"], ["studentId"], home=["year"])
-    stage.done()
+    key, home = ["studentId"], ["year"]
+    for run in stage.runs:
+        rows = silver.student_scores(stage.rows(run), lake.read("subject"), "source_file").withColumns({"created_at": stamp, "updated_at": stamp})
+        batch = feeds.put_changes(lake, "student_scores", run, lake.fit("student_scores", dedup_by(rows, key, key)), key, home)
+        lake.replace_by_key("student_scores", batch, key, key, home=home)
+        stage.done(run)
 
 
 def load_articles(spark: SparkSession, lake: Lake, bronze: Bronze, run_ts: str) -> None:
@@ -151,6 +152,30 @@ def bronze_to_silver(spark: SparkSession, lake: Lake, bronze: Bronze, run_ts: st
     return quality.loaded({t: lake.read(t) for t in lake.list_tables()})
 
 
+def student_counts(silver_lake: Lake, gold: Lake) -> tuple[DataFrame, DataFrame]:
+    """Students per subject and per group, bin by bin.
+
+    Counts of earlier loads are kept, and only the changes since are counted: students that came
+    in, and, taken off, those they replaced. Counts per group also depend on the groups; other
+    groups begin counts of their own, from the first change on. A table that was loaded without a
+    feed is counted whole.
+    """
+    log = feeds.feed(silver_lake, "student_scores")
+    members = star.members_by_id(silver_lake.read("subject_group"), silver_lake.read("subject"))
+    if not log.complete():
+        scores = silver_lake.read("student_scores")
+        return star.count_by_subject(scores), star.count_by_group(scores, members)
+    listed = F.array_sort(F.collect_list(F.struct("subjectGroupId", "member")))
+    version = members.agg(F.sha2(F.to_json(listed), 256).alias("v")).first()["v"]
+    by_subject = feeds.follow(
+        feeds.Runs(gold, "_counts", "by_subject"), log, lambda rows: star.count_by_subject(rows, feeds.SIGN), star.BY_SUBJECT
+    )
+    by_group = feeds.follow(
+        feeds.Runs(gold, "_counts", f"by_group-{version}"), log, lambda rows: star.count_by_group(rows, members, feeds.SIGN), star.BY_GROUP
+    )
+    return by_subject, by_group
+
+
 def silver_to_star(silver_lake: Lake, gold: Lake) -> DataFrame:
     """Dimensions, then the facts that use them."""
     read = silver_lake.read
@@ -165,12 +190,9 @@ def silver_to_star(silver_lake: Lake, gold: Lake) -> DataFrame:
     dims = {t: gold.read(t) for t in gold.list_tables() if t.startswith("dim_")}
     gold.replace("fact_benchmark", star.fact_benchmark(read("benchmark"), dims))
     if silver_lake.exists("student_scores"):
-        scores = read("student_scores")
-        gold.replace("fact_score_distribution_by_subject", star.fact_score_distribution_by_subject(scores, dims))
-        gold.replace(
-            "fact_score_distribution_by_subject_group",
-            star.fact_score_distribution_by_subject_group(scores, read("subject_group"), read("subject"), dims),
-        )
+        by_subject, by_group = student_counts(silver_lake, gold)
+        gold.replace("fact_score_distribution_by_subject", star.distribution_by_subject(by_subject, dims))
+        gold.replace("fact_score_distribution_by_subject_group", star.distribution_by_group(by_group, dims))
     return quality.loaded({t: gold.read(t) for t in gold.list_tables()})
 
 

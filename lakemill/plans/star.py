@@ -90,13 +90,22 @@ def fact_benchmark(benchmark: DataFrame, dims: dict[str, DataFrame], group_rows:
     )
 
 
-def fact_score_distribution_by_subject(scores: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
-    """Students per region, subject, year and 0.2 step. Counted first, keys resolved after."""
+#: Students per key and bin: what the two distributions are made from. Counts of changes add up to the counts of the table.
+BY_SUBJECT = ["regionId", "subjectId", "year", "scoreThreshold"]
+BY_GROUP = ["regionId", "subjectGroupId", "year", "scoreRange"]
+
+
+def count_by_subject(scores: DataFrame, weight: str | None = None) -> DataFrame:
+    """``BY_SUBJECT`` and quantity, over 0.2 steps."""
     # Exploded as entries: under an explode of a plain column Spark adds an emptiness
     # filter, which would parse a map that is not stored yet once more.
-    entries = scores.select("regionId", "year", F.explode(F.map_entries("scores")).alias("__e"))
-    each = entries.select("regionId", "year", F.col("__e.key").alias("subjectId"), F.col("__e.value").alias("score"))
-    counted = agg.histogram(each, "score", "0.2", ["regionId", "subjectId", "year"], "scoreThreshold", "quantity")
+    weights = [weight] if weight else []
+    entries = scores.select("regionId", "year", *weights, F.explode(F.map_entries("scores")).alias("__e"))
+    each = entries.select("regionId", "year", *weights, F.col("__e.key").alias("subjectId"), F.col("__e.value").alias("score"))
+    return agg.histogram(each, "score", "0.2", BY_SUBJECT[:3], BY_SUBJECT[3], "quantity", weight)
+
+
+def distribution_by_subject(counted: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
     facts = star_resolve(
         counted,
         [
@@ -112,6 +121,11 @@ def fact_score_distribution_by_subject(scores: DataFrame, dims: dict[str, DataFr
     )
 
 
+def fact_score_distribution_by_subject(scores: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
+    """Students per region, subject, year and 0.2 step. Counted first, keys resolved after."""
+    return distribution_by_subject(count_by_subject(scores), dims)
+
+
 def members_by_id(groups: DataFrame, subjects: DataFrame) -> DataFrame:
     """(subjectGroupId, member, n_members) with subject ids.
 
@@ -126,13 +140,14 @@ def members_by_id(groups: DataFrame, subjects: DataFrame) -> DataFrame:
     return members.join(sizes, "subjectGroupId")
 
 
-def fact_score_distribution_by_subject_group(scores: DataFrame, groups: DataFrame, subjects: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
-    """Students per region, group, year and whole total, over students who have all the
-    group's subjects."""
-    totals = agg.complete_sum_of_maps(
-        scores, ["studentId", "regionId", "year"], "scores", members_by_id(groups, subjects), "subjectGroupId", "total"
-    )
-    counted = agg.histogram(totals, "total", "1", ["regionId", "subjectGroupId", "year"], "scoreRange", "quantity")
+def count_by_group(scores: DataFrame, members: DataFrame, weight: str | None = None) -> DataFrame:
+    """``BY_GROUP`` and quantity, over whole totals of the students who have all of a group's subjects."""
+    keep = ["regionId", "year", *([weight] if weight else [])]
+    totals = agg.complete_sum_of_maps(scores, keep, "scores", members, "subjectGroupId", "total")
+    return agg.histogram(totals, "total", "1", BY_GROUP[:3], BY_GROUP[3], "quantity", weight)
+
+
+def distribution_by_group(counted: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
     facts = star_resolve(
         counted,
         [
@@ -146,3 +161,9 @@ def fact_score_distribution_by_subject_group(scores: DataFrame, groups: DataFram
         "SDBSGKey", "regionKey", "subjectGroupKey", "timeKey",
         F.col("scoreRange").cast("float"), F.col("quantity").cast("float"),
     )
+
+
+def fact_score_distribution_by_subject_group(scores: DataFrame, groups: DataFrame, subjects: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
+    """Students per region, group, year and whole total, over students who have all the
+    group's subjects."""
+    return distribution_by_group(count_by_group(scores, members_by_id(groups, subjects)), dims)

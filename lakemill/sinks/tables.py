@@ -1,8 +1,12 @@
 """Tables in the session's catalog: create, replace, append, partition, compact.
 
 A table is a folder of Parquet files plus a catalog entry. Replacing one writes a fresh
-folder first and then points the entry at it, so a failed job leaves the old table as it
-was, and a table may be replaced by a query that reads it. One writer per table at a time.
+folder first and then points the entry at it; changing some partitions writes them beside the
+old ones and swaps them in when the job commits. So a failed job leaves the old table as it
+was, and a table may be changed by a query that reads it. One writer per table at a time.
+
+Where the catalog's tables have row-level changes of their own, ``upsert`` and ``update`` hand
+it a MERGE instead.
 """
 
 from __future__ import annotations
@@ -10,9 +14,11 @@ from __future__ import annotations
 import math
 import os
 import uuid
+from collections.abc import Iterator
+from itertools import islice
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,6 +27,11 @@ from lakemill.operators.bounds import checked_broadcast, join_keys
 from lakemill.session import cut
 
 COMPRESSION = "gzip"
+#: Table formats whose catalogs carry out MERGE.
+ROW_LEVEL = {"iceberg", "delta", "hudi"}
+#: Partitions named in one catalog statement.
+SPECS = 1_000
+_OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
 
 class Lake:
@@ -110,11 +121,12 @@ class Lake:
         fields = sorted(df.schema.fields, key=lambda f: by.index(f.name) if f.name in by else -1)
         shape = [(f.name, f.dataType.simpleString()) for f in fields]
         if self.exists(table) and self.read(table).dtypes == shape and self.partitions(table) == by:
+            for some in self._specs(table, by):
+                self.spark.sql(f"ALTER TABLE {self.name(table)} DROP IF EXISTS {', '.join(some)}")
+            self.spark.sql(f"ALTER TABLE {self.name(table)} SET LOCATION '{folder}'")
             if by:
-                self._repoint(table, folder, by, self.read(table).select(*by).distinct().collect())
-            else:
-                self.spark.sql(f"ALTER TABLE {self.name(table)} SET LOCATION '{folder}'")
-                self.spark.catalog.refreshTable(self.name(table))
+                self.spark.sql(f"MSCK REPAIR TABLE {self.name(table)}")
+            self.spark.catalog.refreshTable(self.name(table))
             return self.read(table)
         self.drop(table)
         parts = f" PARTITIONED BY ({', '.join(by)})" if by else ""
@@ -143,10 +155,16 @@ class Lake:
         if not self.exists(table):
             return self.replace(table, batch.withColumns(inserts) if inserts else batch)
         once = cut(self._with_days(table, batch))
+        if self.provider(table) in ROW_LEVEL:
+            rows = once.withColumns(inserts) if inserts else once
+            named = [c for c in self.read(table).columns if c in rows.columns]
+            return self._merge(table, rows, keys, columns, {f"`{c}`": f"s.`{c}`" for c in named})
         return self.rewrite(table, once, keys, lambda t, b: changes.upsert(t, b, keys, columns, None, inserts))
 
     def update(self, table: str, source: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
         """Update matched rows only."""
+        if self.provider(table) in ROW_LEVEL:
+            return self._merge(table, source, keys, columns, None)
         return self.rewrite(table, cut(source), keys, lambda t, b: changes.merge_update(t, b, keys, columns))
 
     def replace_by_key(self, table: str, batch: DataFrame, keys: list[str], order: list[str], home: list[str] | None = None) -> DataFrame:
@@ -159,6 +177,30 @@ class Lake:
             once = self.fit(table, once)
         return self.rewrite(table, once, [*keys, *(home or [])], lambda t, b: changes.replace_by_key(t, b, keys, keys))
 
+    def provider(self, table: str) -> str:
+        """Format of a table, as its catalog names it."""
+        told = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.name(table)}").filter("col_name = 'Provider'").first()
+        return told["data_type"].lower() if told else ""
+
+    def _merge(self, table: str, source: DataFrame, keys: list[str], columns: list[str], inserts: dict[str, str] | None) -> DataFrame:
+        """Have the catalog carry out the change."""
+        view = f"merge_{uuid.uuid4().hex}"
+        source.createOrReplaceTempView(view)
+        try:
+            self.spark.sql(changes.merge_statement(self.name(table), view, keys, columns, inserts))
+        finally:
+            self.spark.catalog.dropTempView(view)
+        return self.read(table)
+
+    def read_between(self, table: str, column: str, since: str, before: str) -> DataFrame:
+        """Rows with ``since`` <= column < ``before`` (timestamps as text), reading only the days of a derived ``…_day`` partition."""
+        df, first, last = self.read(table), F.lit(since).cast("timestamp"), F.lit(before).cast("timestamp")
+        day = f"{column}_day"
+        inside = (F.col(column) >= first) & (F.col(column) < last)
+        if day in self.partitions(table):
+            inside = inside & (F.col(day) >= F.to_date(first)) & (F.col(day) <= F.to_date(last))
+        return df.filter(inside)
+
     def partitions(self, table: str) -> list[str]:
         return [c.name for c in self.spark.catalog.listColumns(self.name(table)) if c.isPartition]
 
@@ -167,63 +209,59 @@ class Lake:
 
         Those are the partitions of the batch's rows, where the batch has them, and, unless
         the key settles the partition, of the target rows with the batch's keys; finding
-        them reads just the key columns. The new rows are complete in a folder of their own
-        before any partition is pointed at it, so a failed change leaves the table whole.
+        them reads just the key columns. The new partitions take the place of the old ones
+        when the job commits, however many they are; a failed change leaves the table whole.
         """
         target, by = self.read(table), self.partitions(table)
         if not by:
             return self.replace(table, change(target, batch))
         placed = set(by) <= set(batch.columns)
         found = [batch.select(*by)] if placed else []
-        if not (placed and set(by) <= set(keys)):
+        settled = placed and set(by) <= set(keys)
+        if not settled:
             found.append(join_keys(target.select(*dict.fromkeys([*keys, *by])), batch.select(*keys).distinct(), keys, "left_semi").select(*by))
         reached = found[0] if len(found) == 1 else found[0].unionByName(found[1])
         touched = cut(reached.distinct())
         # Joined, not listed: Spark prunes the scan by the values that the join's small side turns out to hold.
         part = join_keys(target, checked_broadcast(touched), by, "left_semi")
-        folder = self._fresh_folder(table)
-        write(change(part, batch).select(*target.columns), folder, partition_by=by)
-        self._repoint(table, folder, by, touched.collect())
+        changed = change(part, batch).select(*target.columns)
+        # Where rows can leave a partition, it may end up empty, and nothing would be written in its place.
+        left = None if settled else cut(changed.select(*by).distinct())
+        self._insert(table, changed, overwrite=True)
+        if left is not None:
+            nothing = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()})" for f in target.schema.fields if f.name not in by)
+            for some in self._specs(table, by, join_keys(touched, left, by, "left_anti")):
+                for spec in some:
+                    self.spark.sql(f"INSERT OVERWRITE TABLE {self.name(table)} {spec} SELECT {nothing} WHERE false")
+        self.spark.catalog.refreshTable(self.name(table))
         return self.read(table)
 
-    def _repoint(self, table: str, folder: str, by: list[str], old: list[Row]) -> None:
-        """Point partitions at their new folders, and those of ``old`` without new rows at empty ones.
-
-        One catalog call for each partition touched, as the catalog knows no larger step. A
-        partition is not dropped: its old folder would come back with the next row for it.
-        """
-        schema = self.read(table).schema
-        home = F.regexp_extract("_metadata.file_path", "^(.*)/", 1)
-        new = self.spark.read.schema(schema).parquet(folder).groupBy(*by).agg(F.first(home).alias("home")).collect()
-        name = self.name(table)
-
-        def spec(row: Row) -> str:
-            values = ["null" if row[c] is None else "'" + str(row[c]).replace("\\", "\\\\").replace("'", "\\'") + "'" for c in by]
-            return "PARTITION (" + ", ".join(f"`{c}` = {v}" for c, v in zip(by, values, strict=True)) + ")"
-
-        known = {tuple(r[c] for c in by) for r in old}
-        for r in new:
-            path = unquote(r["home"]).replace("'", "\\'")
-            if tuple(r[c] for c in by) not in known:
-                self.spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {spec(r)} LOCATION '{path}'")
-            else:
-                self.spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {spec(r)}")
-            self.spark.sql(f"ALTER TABLE {name} {spec(r)} SET LOCATION '{path}'")
-        held = {tuple(r[c] for c in by) for r in new}
-        nothing = self.read(table).drop(*by).limit(0)
-        for i, r in enumerate(r for r in old if tuple(r[c] for c in by) not in held):
-            empty = os.path.join(folder, "emptied", str(i))
-            nothing.write.parquet(empty)
-            self.spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {spec(r)}")
-            self.spark.sql(f"ALTER TABLE {name} {spec(r)} SET LOCATION '{empty}'")
-        self.spark.catalog.refreshTable(name)
-
-    def _insert(self, table: str, df: DataFrame) -> None:
-        """Add rows."""
-        by = self.partitions(table)
+    def _specs(self, table: str, by: list[str], of: DataFrame | None = None) -> Iterator[list[str]]:
+        """PARTITION clauses of the catalog's partitions, or of the rows given, some at a time."""
+        if not by:
+            return
+        if of is None:
+            listed = self.spark.sql(f"SHOW PARTITIONS {self.name(table)}").toLocalIterator()
+            values = ([part.split("=", 1)[1] for part in r["partition"].split("/")] for r in listed)
+            values = ([None if v == "__HIVE_DEFAULT_PARTITION__" else unquote(v) for v in row] for row in values)
+        else:
+            values = ([r[c] for c in by] for r in of.toLocalIterator())
+        text = lambda v: "null" if v is None else "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
+        specs = ("PARTITION (" + ", ".join(f"`{c}` = {text(v)}" for c, v in zip(by, row, strict=True)) + ")" for row in values)
+        while some := list(islice(specs, SPECS)):
+            yield some
+
+    def _insert(self, table: str, df: DataFrame, overwrite: bool = False) -> None:
+        """Add rows, or put them in place of all rows of their partitions."""
+        by, conf = self.partitions(table), self.spark.conf
         df = df.select(*self.read(table).columns)
         df = df.hint("rebalance", *by) if by else df
-        df.write.option("compression", COMPRESSION).insertInto(self.name(table))
+        before = conf.get(_OVERWRITE_MODE)
+        conf.set(_OVERWRITE_MODE, "dynamic")
+        try:
+            df.write.option("compression", COMPRESSION).insertInto(self.name(table), overwrite=overwrite)
+        finally:
+            conf.set(_OVERWRITE_MODE, before)
 
     def _fresh_folder(self, table: str) -> str:
         return os.path.join(self.root, table, uuid.uuid4().hex)

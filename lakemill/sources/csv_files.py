@@ -5,7 +5,7 @@ from __future__ import annotations
 import warnings
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,7 +16,7 @@ def read_csv(spark: SparkSession, paths: str | list[str], infer: bool = False, s
     """UTF-8 CSV with a header. All columns are strings unless a schema is given or inferred.
 
     Columns go by name: files whose header names other columns, or the same in another
-    order, make the read fail instead of mixing columns up (``read_layouts`` reads such
+    order, make the read fail instead of mixing columns up (``parse_lines`` reads such
     files). Inference reads the files once more; give a schema where they are large.
     """
     reader = spark.read.option("header", True).option("encoding", "UTF-8").option("mode", "PERMISSIVE").option("enforceSchema", False)
@@ -70,34 +70,48 @@ def read_tagged(
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
-def headers(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """(path, header) of each readable file: the first line of its first block.
+def read_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """(path, begins, line, value) of every line that is not blank, from one scan of the files.
 
-    Files that cannot be read give no row.
+    ``line`` orders the lines of a block; ``begins`` marks those of a file's first block.
+    Write the result before use: header lines and rows then come from one reading.
     """
-    lines = spark.read.option("ignoreCorruptFiles", True).option("ignoreMissingFiles", True).text(paths)
-    first_block = lines.select(
+    lines = spark.read.text(paths).select(
         F.col("_metadata.file_path").alias("path"),
-        F.col("_metadata.file_block_start").alias("start"),
+        (F.col("_metadata.file_block_start") == 0).alias("begins"),
         F.monotonically_increasing_id().alias("line"),
         "value",
-    ).filter("start = 0")
-    heads = first_block.groupBy("path").agg(F.min_by("value", "line").alias("header"))
-    return heads.select("path", F.regexp_replace("header", "^﻿", "").alias("header"))
+    )
+    return lines.filter(F.col("value").rlike(r"[^\x00-\x20]"))
+
+
+def headers(lines: DataFrame) -> DataFrame:
+    """(path, header, line) of each file: its first line, without a byte order mark."""
+    heads = lines.filter("begins").groupBy("path").agg(F.min_by("value", "line").alias("header"), F.min("line").alias("line"))
+    return heads.withColumn("header", F.regexp_replace("header", "^\ufeff", ""))
 
 
 def header_columns(header: str) -> list[str]:
     return [c.strip().strip('"') for c in header.rstrip("\r\n").split(",")]
 
 
-def read_layouts(spark: SparkSession, layouts: dict[str, list[str]]) -> DataFrame:
-    """Read files grouped by their header line, one scan per layout, union by name.
+def parse_lines(lines: DataFrame, heads: dict[str, tuple[str, int]]) -> DataFrame:
+    """Rows of the files of ``heads`` (path to header and its line): strings by column name, NULL where a file lacks a column.
 
-    Spark matches CSV columns by place, so files whose headers differ must not share a scan.
+    Lines are parsed once, by place, and columns are picked by each file's layout, so files
+    whose headers differ share one pass. Of equal names in a header the first counts.
     """
-    parts = []
-    for header, paths in layouts.items():
-        schema = T.StructType([T.StructField(c, T.StringType()) for c in header_columns(header)])
-        part = spark.read.option("header", True).option("encoding", "UTF-8").schema(schema).csv(paths)
-        parts.append(part.withColumn("source_file", F.col("_metadata.file_path")))
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    layouts = {header: i for i, header in enumerate(dict.fromkeys(h for h, _ in heads.values()))}
+    known = [(path, line, layouts[header]) for path, (header, line) in heads.items()]
+    # A row for each file of the batch, as the caller holds them already.
+    table = F.broadcast(lines.sparkSession.createDataFrame(known, "path string, head bigint, layout int"))
+    columns = [header_columns(h) for h in layouts]
+    fields = ", ".join(f"f{i} string" for i in range(max(map(len, columns))))
+    body = lines.join(table, "path").filter(F.col("line") != F.col("head"))
+    parsed = body.select("path", "layout", F.from_csv("value", fields).alias("row"))
+
+    def column(name: str) -> Column:
+        held = [F.when(F.col("layout") == i, F.col(f"row.f{c.index(name)}")) for i, c in enumerate(columns) if name in c]
+        return F.coalesce(*held).alias(name)
+
+    return parsed.select(*[column(n) for n in dict.fromkeys(n for c in columns for n in c)], F.col("path").alias("source_file"))

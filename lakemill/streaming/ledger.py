@@ -1,7 +1,8 @@
 """Load each source file exactly once.
 
-``load_new_files`` works in batches over a ledger table; ``stream_new_files`` leaves the
-bookkeeping to a Structured Streaming checkpoint. Both write each batch to its own
+Files are read once: their lines are staged in the shared folder, and headers and rows
+come from there. ``load_new_files`` works in batches over a ledger table; ``stream_new_files``
+leaves the bookkeeping to a Structured Streaming checkpoint. Both write each batch to its own
 ``ingest_run=…`` folder with overwrite, so a batch that is run again after a failure
 replaces its own rows instead of adding them twice.
 """
@@ -12,6 +13,7 @@ import os
 import uuid
 from collections import defaultdict
 from collections.abc import Callable
+from typing import NamedTuple
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakemill.session import cut
-from lakemill.sources.csv_files import header_columns, headers, list_files, read_layouts
+from lakemill.sources.csv_files import header_columns, headers, list_files, parse_lines, read_lines
 
 LEDGER = "path string, run string, status string, at timestamp, reason string"
 FILES_PER_BATCH = 5_000
@@ -83,13 +85,17 @@ def load_new_files(
     held by the driver.
     """
 
-    def finish(run: str, paths: list[str], heads: dict[str, str]) -> None:
-        bad = {p: NO_HEADER for p in paths if p not in heads} | _load(spark, heads, run, target, transform)
-        _log(spark, ledger, bad, run, UNREADABLE, run_ts)
-        _log(spark, ledger, [p for p in paths if p not in bad], run, LOADED, run_ts)
+    def finish(run: str, staged: Staged, paths: list[str]) -> None:
+        _write(staged, paths, run, target, transform)
+        _log(spark, ledger, paths, run, LOADED, run_ts)
+
+    def refuse(run: str, staged: Staged) -> None:
+        _log(spark, ledger, staged.bad, run, UNREADABLE, run_ts)
 
     for run, paths in _open_runs(read_ledger(spark, ledger)).items():
-        finish(run, paths, _headers_of(spark, paths))
+        staged = _stage(spark, paths)
+        refuse(run, staged)
+        finish(run, staged, list(staged.heads))
     # Listed once; files that come in meanwhile are for the next call.
     pending = cut(new_files(list_files(spark, folder, pattern), read_ledger(spark, ledger)).select("path"))
     last = ""
@@ -99,13 +105,13 @@ def load_new_files(
         if not paths:
             break
         last, run = paths[-1], uuid.uuid4().hex
-        heads = _headers_of(spark, paths)
-        keyed = {p: h for p, h in heads.items() if key_column in header_columns(h)}
-        _log(spark, ledger, [p for p in heads if p not in keyed], run, NO_KEY, run_ts)
-        _log(spark, ledger, {p: NO_HEADER for p in paths if p not in heads}, run, UNREADABLE, run_ts)
+        staged = _stage(spark, paths)
+        keyed = [p for p, head in staged.heads.items() if key_column in header_columns(head[1])]
+        _log(spark, ledger, [p for p in staged.heads if p not in set(keyed)], run, NO_KEY, run_ts)
+        refuse(run, staged)
         if keyed:
-            _log(spark, ledger, list(keyed), run, PLANNED, run_ts)
-            finish(run, list(keyed), keyed)
+            _log(spark, ledger, keyed, run, PLANNED, run_ts)
+            finish(run, staged, keyed)
     return read_ledger(spark, ledger).filter(F.col("status") != PLANNED)
 
 
@@ -114,44 +120,46 @@ def _plain(path: str) -> str:
     return unquote(path).replace("file:///", "file:/")
 
 
-def _headers_of(spark: SparkSession, paths: list[str]) -> dict[str, str]:
-    """Header line per readable file of one batch, by the listing's path."""
-    found = {_plain(r["path"]): r["header"] for r in headers(spark, paths).collect()}
-    return {p: found[p.replace("file:///", "file:/")] for p in paths if p.replace("file:///", "file:/") in found}
-
+class Staged(NamedTuple):
+    """Lines of a batch, written once; per readable file, by the listing's path, the path its rows report, its header and
+    that line's place; the files that cannot be read, with the reasons."""
 
-def _layouts(heads: dict[str, str]) -> dict[str, list[str]]:
-    layouts = defaultdict(list)
-    for path, header in heads.items():
-        layouts[header].append(path)
-    return dict(layouts)
+    lines: DataFrame | None
+    heads: dict[str, tuple[str, str, int]]
+    bad: dict[str, str]
 
 
-def _load(spark: SparkSession, heads: dict[str, str], run: str, target: str, transform) -> dict[str, str]:
-    """Write the rows of a batch; returns the files that cannot be read, which are left out, with the reasons."""
-    out = os.path.join(target, f"ingest_run={run}")
+def _stage(spark: SparkSession, paths: list[str]) -> Staged:
+    """Read files once. What one of them breaks is done again without it."""
     bad: dict[str, str] = {}
-    if not heads:
-        return bad
     try:
-        transform(read_layouts(spark, _layouts(heads))).write.mode("overwrite").parquet(out)
+        lines = cut(read_lines(spark, paths))
     except Exception:
-        bad = _unreadable(spark, heads)
+        bad = _unreadable(spark, paths)
         if not bad:
             raise
-        good = {p: h for p, h in heads.items() if p not in bad}
-        if good:
-            transform(read_layouts(spark, _layouts(good))).write.mode("overwrite").parquet(out)
-    return bad
+        good = [p for p in paths if p not in bad]
+        lines = cut(read_lines(spark, good)) if good else None
+    # One row for each file of the batch.
+    found = {_plain(r["path"]): tuple(r) for r in headers(lines).collect()} if lines is not None else {}
+    named = {p: found[p.replace("file:///", "file:/")] for p in paths if p.replace("file:///", "file:/") in found}
+    return Staged(lines, named, bad | {p: NO_HEADER for p in paths if p not in named and p not in bad})
+
+
+def _write(staged: Staged, paths: list[str], run: str, target: str, transform) -> None:
+    """Write the rows of some files of a batch to the run's own folder."""
+    if paths:
+        heads = {staged.heads[p][0]: staged.heads[p][1:] for p in paths}
+        transform(parse_lines(staged.lines, heads)).write.mode("overwrite").parquet(os.path.join(target, f"ingest_run={run}"))
 
 
-def _unreadable(spark: SparkSession, heads: dict[str, str]) -> dict[str, str]:
-    """Files whose rows cannot be read, found by halving: a few jobs for each bad file, not one for each file."""
-    bad, open_groups = {}, [sorted(heads)]
+def _unreadable(spark: SparkSession, paths: list[str]) -> dict[str, str]:
+    """Files whose lines cannot be read, found by halving: a few jobs for each bad file, not one for each file."""
+    bad, open_groups = {}, [sorted(paths)]
     while open_groups:
         group = open_groups.pop()
         try:
-            read_layouts(spark, _layouts({p: heads[p] for p in group})).write.format("noop").mode("overwrite").save()
+            read_lines(spark, group).write.format("noop").mode("overwrite").save()
         except Exception as e:
             if len(group) == 1:
                 bad[group[0]] = str(e).split("\n", 1)[0][:500]
@@ -198,8 +206,9 @@ def stream_new_files(
 
     def put(batch: DataFrame, number: int) -> None:
         paths = [r["path"] for r in batch.collect()]  # at most files_per_batch names
-        heads = _headers_of(spark, paths)
-        bad = {p: NO_HEADER for p in paths if p not in heads} | _load(spark, heads, str(number), target, typed)
+        staged = _stage(spark, paths)
+        _write(staged, list(staged.heads), str(number), target, typed)
+        bad = staged.bad
         if bad:
             listed = spark.createDataFrame(list(bad.items()), "path string, reason string")
             listed.coalesce(1).write.mode("overwrite").parquet(os.path.join(f"{target}_unreadable", f"ingest_run={number}"))

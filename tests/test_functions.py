@@ -1,5 +1,6 @@
 """Hand-written cases for the small text formats."""
 
+import random
 from datetime import datetime
 
 import pytest
@@ -107,6 +108,21 @@ def test_floor_bin(spark, number, want):
     assert value(spark, scalar.floor_bin(F.col("t").cast("double"), "0.2"), t=number) == want
 
 
+@pytest.mark.parametrize("width", ["0.2", "1", "0.25", "5", "0.0000001"])
+def test_floor_bin_by_millionths_and_by_decimals_agree(spark, width):
+    from decimal import Decimal
+
+    rng = random.Random(1)
+    numbers = [rng.choice([rng.uniform(-20, 20), round(rng.uniform(0, 99_999), rng.randint(0, 8)), rng.randint(-5, 10**7) / 10, rng.uniform(0, 1e12)]) for _ in range(400)]
+    numbers += [0.5999999, 0.59999999999, 0.6, -0.2, 99_999.9, 100_000.2, 0.0, 1e-9]
+    df = spark.createDataFrame([(n,) for n in numbers], "v double")
+    for n, got in df.select("v", scalar.floor_bin("v", width)).collect():
+        exact = Decimal(repr(n)).quantize(Decimal("1e-10"), rounding="ROUND_HALF_UP")
+        assert got == pytest.approx(float(exact - exact % Decimal(width) - (Decimal(width) if exact < 0 and exact % Decimal(width) else 0)), abs=1e-12), n
+    special = spark.createDataFrame([(float("nan"),), (float("inf"),), (None,), (1e30,)], "v double")
+    assert [r[0] for r in special.select(scalar.floor_bin("v", width)).collect()] == [None] * 4
+
+
 def test_floor_bin_is_right_at_every_tenth(spark):
     tenths = spark.range(101).select("id", scalar.floor_bin(F.col("id") / 10, "0.2").alias("bin"))
     for r in tenths.collect():

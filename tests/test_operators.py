@@ -154,6 +154,30 @@ def test_complete_sum_needs_every_member(spark):
     assert rows(aggregates.complete_sum(long, ["s"], "member", "v", members, "g", "t"), "s", "g", "t") == want
 
 
+@pytest.mark.parametrize("index_members", [200, 0])
+def test_complete_sums_of_maps_against_all_groups(spark, index_members):
+    rng = random.Random(5)
+    subjects = [f"s{i}" for i in range(9)]
+    groups = {i: rng.sample(subjects, rng.randint(1, 4)) for i in range(60)}
+    students = [(i, rng.randrange(3), {s: rng.choice([None, 0.0, 1.25, 7.4]) for s in rng.sample(subjects, rng.randint(0, 7))}) for i in range(150)]
+    students += students[:5]
+    df = spark.createDataFrame(students, "id int, year int, m map<string,double>")
+    members = aggregates.group_members(spark.createDataFrame([(g, "-".join(m)) for g, m in groups.items()], "g int, c string"), "g", "c")
+    got = rows(aggregates.complete_sum_of_maps(df, ["id", "year"], "m", members, "g", "t", index_members), "id", "year", "g", "t")
+    want = [(i, y, g, round(sum(m[k] for k in ks), 4)) for i, y, m in students for g, ks in groups.items() if all(m.get(k) is not None for k in ks)]
+    assert got == sorted(want, key=repr) and len(want) > 500
+
+
+def test_no_map_is_exploded_for_its_keys(spark):
+    members = aggregates.group_members(spark.createDataFrame([(1, "a-b"), (2, "c")], "g int, c string"), "g", "c")
+    df = spark.createDataFrame([(1, {"a": 1.0, "b": 2.0})], "id int, m map<string,double>")
+    for bound in (200, 0):
+        plan = aggregates.complete_sum_of_maps(df, ["id"], "m", members, "g", "t", bound)._jdf.queryExecution().optimizedPlan().toString()
+        for line in plan.split("\n"):
+            if "Generate" in line:
+                assert "__map" not in line.split("[")[-1]
+
+
 def decode(tags, tokens):
     """Spans by walking the tags, as plain Python."""
     out, kind, held = [], None, []
@@ -229,6 +253,18 @@ def test_alias_ties_go_to_the_first_in_the_dictionary(spark):
     assert got == sorted([("abcd", "one"), ("abcd x y", "one"), ("a", None), (None, None)], key=repr)
 
 
+@pytest.mark.parametrize("rules", [aliases.ORG_RULES, aliases.MAJ_RULES])
+def test_names_that_begin_alike_meet_few_variants(spark, rules):
+    variants = [("g", 0, f"đại học {chr(97 + i % 26)}{i}z{i * 7} tỉnh", i) for i in range(300)]
+    alias_df = spark.createDataFrame(variants, "grp string, key_ord int, variant string, var_ord int")
+    tested = []
+    for n in (500, 10_000):
+        names = spark.createDataFrame([(f"đại học qq{i}w{i * 13}",) for i in range(n)], "name string")
+        pairs = aliases.candidate_pairs(names, "name", alias_df, rules)
+        tested.append(pairs.filter("kind = 'part'").count())
+    assert tested[0] <= 500 and tested[1] <= 10_000
+
+
 def test_org_label(spark):
     df = spark.createDataFrame([("bộ y tế",), ("đại học x",), ("khoa - y",), (None,)], "k string")
     got = [r[0] for r in df.select(aliases.org_label(F.col("k"))).collect()]
