@@ -12,7 +12,8 @@
    their counts; the interval in the other index shrinks to match. Phrases grow to the
    left and to the right in turn, all of a length at once, down to single occurrences.
 4. Counts are summed across shards; only then is a phrase called rare. Scores, longer phrases
-   that take a phrase in, and ranks are worked out from the sums.
+   that take a phrase in, and ranks are worked out from the sums. Words are known by ids until the
+   end; how the words of the best phrases are spelt is looked up in the texts once more.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakemill.llm.textarrays import alphabet, lists, mixed, stretches, word_edges, word_hashes
+from lakemill.llm.textarrays import alphabet, key_groups, lists, mixed, stretches, word_edges, word_hashes
 from lakemill.session import cut
 
 LEAST = 100
@@ -104,26 +105,29 @@ def make_filter(ids: DataFrame, column: str, size: int = FILTER_BITS) -> np.ndar
 
 
 def _count_words(limits: Limits):
-    """Rows (lang, null, n) for all words of a language and (null, id, n) for a word; a task adds up what it can hold."""
+    """Rows (lang, null, n) for all words of a language and (lang, id, n) for a word; a task adds up what it can hold."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n_held, totals = [], 0, {}
 
         def passed_on() -> pa.RecordBatch:
-            ids, place = np.unique(np.concatenate([h[0] for h in held]), return_inverse=True)
+            every = np.concatenate([h[0] for h in held])
+            ids, once, place = np.unique(every, return_index=True, return_inverse=True)
             n = np.zeros(len(ids), np.int64)
             np.add.at(n, place, np.concatenate([h[1] for h in held]))
-            return pa.RecordBatch.from_arrays([pa.nulls(len(ids), pa.string()), pa.array(ids.view(np.int64)), pa.array(n)], ["lang", "wid", "n"])
+            langs = pa.chunked_array([h[2] for h in held]).take(pa.array(once)).combine_chunks()
+            return pa.RecordBatch.from_arrays([langs, pa.array(ids.view(np.int64)), pa.array(n)], ["lang", "wid", "n"])
 
         for read, names in _read_batches(batches):
             for code, n in zip(*np.unique(read.langs, return_counts=True), strict=True):
                 totals[names[code]] = totals.get(names[code], 0) + int(n)
-            held.append(np.unique(read.ids, return_counts=True))
-            n_held += len(held[-1][0])
+            ids, once, n = np.unique(read.ids, return_index=True, return_counts=True)
+            held.append((ids, n, pa.array(names, pa.string()).take(pa.array(read.langs[once].astype(np.int64)))))
+            n_held += len(ids)
             if n_held > limits.held:
                 yield passed_on()
                 held, n_held = [], 0
-        if held:
+        if n_held:
             yield passed_on()
         if totals:
             rows = [pa.array(list(totals), pa.string()), pa.nulls(len(totals), pa.int64()), pa.array(list(totals.values()), pa.int64())]
@@ -139,72 +143,56 @@ def pair_ids(read: Read, frequent: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return at, mixed(read.ids[at] * _PAIR[0] + read.ids[at + 1] * _PAIR[1], 29)
 
 
-PAIRS = "shard int, wid bigint, lang string, word string, blob binary"
+#: A pair's shard follows from the high half of its id. Within a shard the low half stands for the pair: that two share one
+#: costs work and changes no result, and is as rare with many shards as with few.
+_LOW = np.uint64(32)
 
 
 def _count_pairs(frequent, least: int, shards: int, limits: Limits):
-    """Per task: frequent words by name, once each; and counts of pairs up to ``least``, packed by shard."""
+    """Counts of pairs of neighbours up to ``least``, packed by shard."""
     kind = np.min_scalar_type(least)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits, seen, held, n_held = frequent.value, np.empty(0, np.uint64), [], 0
+        bits, held, n_held = frequent.value, [], 0
 
-        def passed_on() -> Iterator[pa.RecordBatch]:
+        def passed_on() -> pa.RecordBatch:
             pairs, n = np.unique(np.concatenate(held), return_counts=True)
-            shard = ((pairs >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int64)
+            shard = ((pairs >> _LOW) * np.uint64(shards) >> _LOW).astype(np.int64)
             ends = np.searchsorted(shard, np.arange(shards + 1))
-            counts = np.minimum(n, least).astype(kind)
+            low, counts = pairs.astype(np.uint32), np.minimum(n, least).astype(kind)
             full = [s for s in range(shards) if ends[s] < ends[s + 1]]
-            blobs = [pairs[ends[s] : ends[s + 1]].tobytes() + counts[ends[s] : ends[s + 1]].tobytes() for s in full]
-            none = [pa.nulls(len(full), t) for t in (pa.int64(), pa.string(), pa.string())]
-            yield pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), *none, pa.array(blobs, pa.binary())], ["shard", "wid", "lang", "word", "blob"])
+            blobs = [low[ends[s] : ends[s + 1]].tobytes() + counts[ends[s] : ends[s + 1]].tobytes() for s in full]
+            return pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), pa.array(blobs, pa.binary())], ["shard", "blob"])
 
-        for read, names in _read_batches(batches):
-            ids, once = np.unique(read.ids, return_index=True)
-            new = in_filter(bits, ids) & ~np.isin(ids, seen, assume_unique=True)
-            if new.any():
-                seen = np.union1d(seen, ids[new])
-                at = once[new]
-                text = read.data.tobytes()
-                spelt = [text[a:b].lower().decode() for a, b in zip(read.starts[at].tolist(), read.stops[at].tolist(), strict=True)]
-                langs = pa.array([names[c] for c in read.langs[at]], pa.string())
-                shard = pa.array((ids[new].view(np.int64) % shards).astype(np.int32))
-                yield pa.RecordBatch.from_arrays([shard, pa.array(ids[new].view(np.int64)), langs, pa.array(spelt), pa.nulls(len(at), pa.binary())], ["shard", "wid", "lang", "word", "blob"])
+        for read, _ in _read_batches(batches):
             _, pairs = pair_ids(read, bits)
             held.append(pairs)
             n_held += len(pairs)
             if n_held > limits.held:
-                yield from passed_on()
+                yield passed_on()
                 held, n_held = [], 0
         if n_held:
-            yield from passed_on()
+            yield passed_on()
 
     return run
 
 
-KNOWN = "wid bigint, lang string, word string, pair bigint"
-
-
 def _merge_pairs(least: int):
-    """Frequent words as they are, and the pairs that reach ``least`` in a partition, which has all counts of its pairs."""
+    """Low halves, as leading bits, of the pairs that reach ``least``. Rows come by shard, and a shard's are in one partition."""
     kind = np.dtype(np.min_scalar_type(least))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pairs, counts = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
-        for batch in batches:
-            named = batch.filter(pc.is_null(batch.column("blob")))
-            yield pa.RecordBatch.from_arrays([*[named.column(c) for c in ("wid", "lang", "word")], pa.nulls(len(named), pa.int64())], ["wid", "lang", "word", "pair"])
-            for blob in batch.column("blob").drop_null():
-                data = blob.as_py()
-                n = len(data) // (8 + kind.itemsize)
-                pairs.append(np.frombuffer(data, np.uint64, n))
-                counts.append(np.frombuffer(data, kind, n, 8 * n).astype(np.int64))
-        distinct, place = np.unique(np.concatenate(pairs), return_inverse=True)
+    def frequent(blobs: list[bytes]) -> pa.RecordBatch:
+        sizes = [len(b) // (4 + kind.itemsize) for b in blobs]
+        pairs = np.concatenate([np.frombuffer(b, np.uint32, n) for b, n in zip(blobs, sizes, strict=True)])
+        counts = np.concatenate([np.frombuffer(b, kind, n, 4 * n) for b, n in zip(blobs, sizes, strict=True)]).astype(np.int64)
+        distinct, place = np.unique(pairs, return_inverse=True)
         sums = np.zeros(len(distinct), np.int64)
-        np.add.at(sums, place, np.concatenate(counts))
-        found = distinct[sums >= least].view(np.int64)
-        none = [pa.nulls(len(found), t) for t in (pa.int64(), pa.string(), pa.string())]
-        yield pa.RecordBatch.from_arrays([*none, pa.array(found)], ["wid", "lang", "word", "pair"])
+        np.add.at(sums, place, counts)
+        return pa.RecordBatch.from_arrays([pa.array((distinct[sums >= least].astype(np.uint64) << _LOW).view(np.int64))], ["pair"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in key_groups(batches, "shard"):
+            yield frequent(rows.column("blob").to_pylist())
 
     return run
 
@@ -291,7 +279,7 @@ def _count_phrases(words_ok, pairs_ok, longest: int, limits: Limits):
         for read, _ in _read_batches(batches):
             at, found = pair_ids(read, frequent)
             first = np.zeros(len(read.ids), bool)
-            first[at[in_filter(pairs, found)]] = True
+            first[at[in_filter(pairs, found << _LOW)]] = True
             used = first.copy()
             used[1:] |= first[:-1]
             ends = np.flatnonzero(used & ~first)
@@ -308,23 +296,38 @@ def _count_phrases(words_ok, pairs_ok, longest: int, limits: Limits):
     return run
 
 
+def _spell(wanted):
+    """Each word that passes the filter, once a task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits, seen = wanted.value, np.empty(0, np.uint64)
+        for read, _ in _read_batches(batches):
+            ids, once = np.unique(read.ids, return_index=True)
+            new = in_filter(bits, ids)
+            new[new] = ~np.isin(ids[new], seen, assume_unique=True)
+            if new.any():
+                seen, at, text = np.union1d(seen, ids[new]), once[new], read.data.tobytes()
+                spelt = [text[a:b].lower().decode() for a, b in zip(read.starts[at].tolist(), read.stops[at].tolist(), strict=True)]
+                yield pa.RecordBatch.from_arrays([pa.array(ids[new].view(np.int64)), pa.array(spelt, pa.string())], ["wid", "word"])
+
+    return run
+
+
 def count_phrases(
-    docs: DataFrame, text_col: str, lang_col: str, least: int, longest: int, filter_bits: int = FILTER_BITS, limits: Limits = Limits()
+    own: DataFrame, least: int, longest: int, filter_bits: int = FILTER_BITS, limits: Limits = Limits()
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Totals (lang, n), words (wid, lang, word, f) and phrases (ids of their words, f) with ``f`` >= ``least``; each is written once."""
-    spark = docs.sparkSession
+    """Totals (lang, n), words (lang, wid, f) and phrases (ids of their words, f) of (text, lang), with ``f`` >= ``least``."""
+    spark = own.sparkSession
     shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    own = docs.select(F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"))
     counted = own.mapInArrow(_count_words(limits), "lang string, wid bigint, n bigint").groupBy("lang", "wid").agg(F.sum("n").alias("n"))
-    kept = cut(counted.filter((F.col("n") >= least) | F.col("lang").isNotNull()))
-    totals, frequent = kept.filter("lang is not null").select("lang", "n"), kept.filter("wid is not null").select("wid", F.col("n").alias("f"))
-    words_ok = spark.sparkContext.broadcast(make_filter(frequent, "wid", filter_bits))
-    paired = own.mapInArrow(_count_pairs(words_ok, least, shards, limits), PAIRS).repartition(shards, "shard")
-    known = cut(paired.mapInArrow(_merge_pairs(least), KNOWN))
-    pairs_ok = spark.sparkContext.broadcast(make_filter(known.filter("pair is not null"), "pair", filter_bits))
-    spelt = known.filter("wid is not null").groupBy("wid").agg(F.min("lang").alias("lang"), F.min("word").alias("word"))
+    kept = cut(counted.filter((F.col("n") >= least) | F.col("wid").isNull()))
+    totals, known = kept.filter("wid is null").select("lang", "n"), kept.filter("wid is not null").select("lang", "wid", F.col("n").alias("f"))
+    words_ok = spark.sparkContext.broadcast(make_filter(known, "wid", filter_bits))
+    packed = own.mapInArrow(_count_pairs(words_ok, least, shards, limits), "shard int, blob binary").repartition(shards, "shard")
+    pairs = packed.sortWithinPartitions("shard").mapInArrow(_merge_pairs(least), "pair bigint")
+    pairs_ok = spark.sparkContext.broadcast(make_filter(pairs, "pair", filter_bits))
     summed = own.mapInArrow(_count_phrases(words_ok, pairs_ok, longest, limits), "phrase array<bigint>, n bigint").groupBy("phrase").agg(F.sum("n").alias("f"))
-    return totals, cut(frequent.join(spelt, "wid")), cut(summed.filter(F.col("f") >= least))
+    return totals, known, cut(summed.filter(F.col("f") >= least))
 
 
 def _exact(c: str) -> Column:
@@ -332,7 +335,7 @@ def _exact(c: str) -> Column:
 
 
 def score_phrases(totals: DataFrame, known: DataFrame, found: DataFrame, scale: int = SCALE, subsumed: int = SUBSUMED) -> DataFrame:
-    """lang, phrase, a, l, r, n, score, n_left, n_right of every phrase that no longer one takes in.
+    """lang, phrase (ids), a, l, r, n, score, n_left, n_right of every phrase that no longer one takes in.
 
     ``n_left`` and ``n_right``: frequent phrases that are longer by a word on that side.
     """
@@ -347,16 +350,26 @@ def score_phrases(totals: DataFrame, known: DataFrame, found: DataFrame, scale:
     above, below = F.lit(scale).cast("decimal(10,0)") * (_exact("a") * _exact("n")), _exact("l") * _exact("r")
     cuts = cuts.withColumns({"above": above, "below": below}).withColumn("score", F.expr("above div below"))
     scored = cuts.groupBy("phrase").agg(F.min(F.struct("score", "k", "l", "r", "a", "n", "lang")).alias("least"))
-    longer = found.filter(size > 2).select(
-        F.explode(F.array(F.struct(F.slice("phrase", F.lit(2), size - 1).alias("inner"), F.lit(1).alias("side")), F.struct(F.slice("phrase", F.lit(1), size - 1).alias("inner"), F.lit(2).alias("side")))).alias("x"), "f"
-    ).select("x.inner", "x.side", "f")
-    around = longer.groupBy("inner").agg(F.max("f").alias("most"), F.sum((F.col("side") == 1).cast("bigint")).alias("n_left"), F.sum((F.col("side") == 2).cast("bigint")).alias("n_right"))
+    inner = lambda start, side: F.struct(F.slice("phrase", F.lit(start), size - 1).alias("inner"), F.lit(side).alias("side"))
+    longer = found.filter(size > 2).select(F.explode(F.array(inner(2, "left"), inner(1, "right"))).alias("x"), "f").select("x.inner", "x.side", "f")
+    around = longer.groupBy("inner").agg(
+        F.max("f").alias("most"), F.count_if(F.col("side") == "left").alias("n_left"), F.count_if(F.col("side") == "right").alias("n_right")
+    )
     met = scored.join(around, F.col("phrase") == F.col("inner"), "left")
     kept = met.filter(F.coalesce(100 * F.col("most") < subsumed * F.col("least.a"), F.lit(True)))
-    spelt = kept.select("phrase", F.posexplode("phrase").alias("at", "wid")).join(known.select("wid", "word"), "wid")
-    named = spelt.groupBy("phrase").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "word"))), lambda x: x["word"]), " ").alias("spelt"))
     zero = lambda c: F.coalesce(c, F.lit(0).cast("bigint")).alias(c)
-    return kept.join(named, "phrase").select("least.lang", F.col("spelt").alias("phrase"), "least.a", "least.l", "least.r", "least.n", "least.score", zero("n_left"), zero("n_right"))
+    return kept.select("least.lang", "phrase", "least.a", "least.l", "least.r", "least.n", "least.score", zero("n_left"), zero("n_right"))
+
+
+def spell_phrases(own: DataFrame, scored: DataFrame, filter_bits: int = FILTER_BITS) -> DataFrame:
+    """``scored`` with phrases as text. Words are looked up in the texts; of the ids only a bitmap is sent out."""
+    wids = scored.select(F.explode("phrase").alias("wid"))
+    wanted = own.sparkSession.sparkContext.broadcast(make_filter(wids, "wid", filter_bits))
+    spelt = own.mapInArrow(_spell(wanted), "wid bigint, word string").groupBy("wid").agg(F.min("word").alias("word"))
+    each = scored.select("phrase", F.posexplode("phrase").alias("at", "wid")).join(spelt, "wid")
+    listed = F.array_sort(F.collect_list(F.struct("at", "word")))
+    named = each.groupBy("phrase").agg(F.array_join(F.transform(listed, lambda x: x["word"]), " ").alias("spelt"))
+    return scored.join(named, "phrase").drop("phrase").withColumnRenamed("spelt", "phrase")
 
 
 def collocations(
@@ -384,7 +397,11 @@ def collocations(
     no words. Null language: ``und``. Repeated rows count each; ids and other columns are not
     looked at. A very long text is one shard. Empty table: empty result.
     """
-    scored = score_phrases(*count_phrases(docs, text_col, lang_col, least, longest, filter_bits, limits), scale, subsumed)
+    own = docs.select(F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"))
+    scored = score_phrases(*count_phrases(own, least, longest, filter_bits, limits), scale, subsumed)
+    # Ties at the end of the list stay until their phrases are spelt. Spark cuts languages to the best below the shuffle.
+    by_score = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"))
+    best = cut(scored.withColumn("place", F.rank().over(by_score)).filter(F.col("place") <= top).drop("place"))
     order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = scored.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top)
+    ranked = spell_phrases(own, best, filter_bits).withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top)
     return ranked.select("lang", F.col("rank").cast("bigint").alias("rank"), "phrase", "a", "l", "r", "n", "score", "n_left", "n_right")
