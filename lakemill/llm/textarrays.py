@@ -79,14 +79,14 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return have
 
 
-def stretches(column: pa.Array, limit: int = STRETCH) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """First row, row after the last, bytes and row offsets (from 0) of runs of rows. Null is empty."""
+def stretches(column: pa.Array, limit: int = STRETCH, rows: int = 1 << 62) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """First row, row after the last, bytes and row offsets (from 0) of runs of at most ``rows`` rows. Null is empty."""
     filled = pc.fill_null(column.cast(pa.large_string()), "")
     offsets = np.frombuffer(filled.buffers()[1], dtype=np.int64)[filled.offset : filled.offset + len(filled) + 1]
     data = np.frombuffer(filled.buffers()[2] or b"", dtype=np.uint8)
     first = 0
     while first < len(filled):
-        last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + limit, side="right")) - 1)
+        last = min(first + rows, max(first + 1, int(np.searchsorted(offsets, offsets[first] + limit, side="right")) - 1))
         yield first, last, data[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first]
         first = last
 
