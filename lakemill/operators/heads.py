@@ -18,7 +18,7 @@ from lakemill.operators.scoring import POST_DEFAULTS, SENTIMENT_DEFAULT
 class PostHeads:
     """Fitted heads: entity tags per word, topics per post, intent per post."""
 
-    tags: PipelineModel
+    tags: training.TagHead
     topics: tuple
     topic_names: tuple[str, ...]
     intent: PipelineModel
