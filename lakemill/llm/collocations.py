@@ -1,16 +1,17 @@
 """Phrase collocations: FM-indexes over word ids, extended in both directions, counts summed across shards.
 
-1. Words are counted per language. A phrase occurs no more often than any of its words or pairs,
-   so the rest of the work needs only words, and pairs of neighbours, that are frequent enough.
-   Which ones are is sent out as bitmaps of a fixed size: a bit may stand for more than one
-   word, which costs work and changes no result.
+1. Words are counted per language. A phrase occurs no more often than any words, pairs or triples
+   of neighbours in it, so the rest of the work needs only those that are frequent enough.
+   Which ones are is found out one after the other and sent out as bitmaps of a fixed size: a bit
+   may stand for more than one of them, which costs work and changes no result.
 2. A shard is what a task reads, in pieces of bounded length: runs of frequent words whose
    neighbouring pairs are frequent, too. Over a shard's word ids two indexes are built, of the
    text and of the text read backwards, with suffixes in order up to the longest phrase.
 3. Extension. All phrases of a length are intervals in both indexes. The symbols before an
    interval (in its Burrows-Wheeler transform) are the words that extend it on that side, with
    their counts; the interval in the other index shrinks to match. Phrases grow to the
-   left and to the right in turn, all of a length at once, down to single occurrences.
+   left and to the right in turn, all of a length at once, as far as their triples are frequent,
+   and down to single occurrences.
 4. Counts are summed across shards; only then is a phrase called rare. Scores, longer phrases
    that take a phrase in, and ranks are worked out from the sums. Words are known by ids until the
    end; how the words of the best phrases are spelt is looked up in the texts once more.
@@ -136,38 +137,55 @@ def _count_words(limits: Limits):
     return run
 
 
-def pair_ids(read: Read, frequent: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places of words that, like the next one of their piece, pass the filter, and ids of the pairs."""
-    ok = in_filter(frequent, read.ids)
+def pair_ids(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    return mixed(left * _PAIR[0] + right * _PAIR[1], 29)
+
+
+def triple_ids(first: np.ndarray, second: np.ndarray, third: np.ndarray) -> np.ndarray:
+    return mixed(pair_ids(first, second) * _PAIR[0] + pair_ids(second, third) * _PAIR[1], 31)
+
+
+def frequent_pairs(read: Read, words_ok: np.ndarray, pairs_ok: np.ndarray | None = None) -> np.ndarray:
+    """Places of words that, like the next one of their piece, pass the filter, and as pairs the other one, if it is given."""
+    ok = in_filter(words_ok, read.ids)
     at = np.flatnonzero(read.goes_on[:-1] & ok[:-1] & ok[1:]) if len(ok) > 1 else np.empty(0, np.int64)
-    return at, mixed(read.ids[at] * _PAIR[0] + read.ids[at + 1] * _PAIR[1], 29)
+    return at if pairs_ok is None else at[in_filter(pairs_ok, pair_ids(read.ids[at], read.ids[at + 1]) << _LOW)]
 
 
-#: A pair's shard follows from the high half of its id. Within a shard the low half stands for the pair: that two share one
-#: costs work and changes no result, and is as rare with many shards as with few.
+#: The shard of a pair or triple follows from the high half of its id. Within a shard the low half stands for it: that two
+#: share one costs work and changes no result, and is as rare with many shards as with few.
 _LOW = np.uint64(32)
 
 
-def _count_pairs(frequent, least: int, shards: int, limits: Limits):
-    """Counts of pairs of neighbours up to ``least``, packed by shard."""
+def _shards(ids: np.ndarray, shards: int) -> np.ndarray:
+    return ((ids >> _LOW) * np.uint64(shards) >> _LOW).astype(np.int64)
+
+
+def _count_grams(words_ok, pairs_ok, least: int, shards: int, limits: Limits):
+    """Counts of pairs of neighbours, or of triples whose pairs pass the filter, up to ``least``, packed by shard."""
     kind = np.min_scalar_type(least)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits, held, n_held = frequent.value, [], 0
+        held, n_held = [], 0
 
         def passed_on() -> pa.RecordBatch:
-            pairs, n = np.unique(np.concatenate(held), return_counts=True)
-            shard = ((pairs >> _LOW) * np.uint64(shards) >> _LOW).astype(np.int64)
-            ends = np.searchsorted(shard, np.arange(shards + 1))
-            low, counts = pairs.astype(np.uint32), np.minimum(n, least).astype(kind)
+            grams, n = np.unique(np.concatenate(held), return_counts=True)
+            ends = np.searchsorted(_shards(grams, shards), np.arange(shards + 1))
+            low, counts = grams.astype(np.uint32), np.minimum(n, least).astype(kind)
             full = [s for s in range(shards) if ends[s] < ends[s + 1]]
             blobs = [low[ends[s] : ends[s + 1]].tobytes() + counts[ends[s] : ends[s + 1]].tobytes() for s in full]
             return pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), pa.array(blobs, pa.binary())], ["shard", "blob"])
 
         for read, _ in _read_batches(batches):
-            _, pairs = pair_ids(read, bits)
-            held.append(pairs)
-            n_held += len(pairs)
+            if pairs_ok is None:
+                at = frequent_pairs(read, words_ok.value)
+                grams = pair_ids(read.ids[at], read.ids[at + 1])
+            else:
+                at = frequent_pairs(read, words_ok.value, pairs_ok.value)
+                at = at[:-1][at[1:] == at[:-1] + 1] if len(at) > 1 else at[:0]
+                grams = triple_ids(read.ids[at], read.ids[at + 1], read.ids[at + 2])
+            held.append(grams)
+            n_held += len(grams)
             if n_held > limits.held:
                 yield passed_on()
                 held, n_held = [], 0
@@ -177,18 +195,16 @@ def _count_pairs(frequent, least: int, shards: int, limits: Limits):
     return run
 
 
-def _merge_pairs(least: int):
-    """Low halves, as leading bits, of the pairs that reach ``least``. Rows come by shard, and a shard's are in one partition."""
+def _merge_grams(least: int):
+    """Low halves, as leading bits, of the pairs or triples that reach ``least``. Rows come by shard, and a shard's are in one partition."""
     kind = np.dtype(np.min_scalar_type(least))
 
     def frequent(blobs: list[bytes]) -> pa.RecordBatch:
         sizes = [len(b) // (4 + kind.itemsize) for b in blobs]
-        pairs = np.concatenate([np.frombuffer(b, np.uint32, n) for b, n in zip(blobs, sizes, strict=True)])
+        grams = np.concatenate([np.frombuffer(b, np.uint32, n) for b, n in zip(blobs, sizes, strict=True)])
         counts = np.concatenate([np.frombuffer(b, kind, n, 4 * n) for b, n in zip(blobs, sizes, strict=True)]).astype(np.int64)
-        distinct, place = np.unique(pairs, return_inverse=True)
-        sums = np.zeros(len(distinct), np.int64)
-        np.add.at(sums, place, counts)
-        return pa.RecordBatch.from_arrays([pa.array((distinct[sums >= least].astype(np.uint64) << _LOW).view(np.int64))], ["pair"])
+        distinct, sums = _summed(grams, counts)
+        return pa.RecordBatch.from_arrays([pa.array((distinct[sums >= least].astype(np.uint64) << _LOW).view(np.int64))], ["gram"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in key_groups(batches, "shard"):
@@ -197,6 +213,13 @@ def _merge_pairs(least: int):
     return run
 
 
+def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    distinct, place = np.unique(keys, return_inverse=True)
+    sums = np.zeros(len(distinct), np.int64)
+    np.add.at(sums, place, counts)
+    return distinct, sums
+
+
 class FmIndex:
     """Suffixes of a text of symbols, in order up to ``depth`` symbols, as a transform and the step to the symbol before.
 
@@ -244,8 +267,11 @@ class FmIndex:
         return owner[heads], symbol[heads], self.step[place[heads]], counts[real], smaller[real]
 
 
-def phrases(text: np.ndarray, longest: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Per length from 2 on: all phrases of a text of symbols (a row each) and how often they occur."""
+def phrases(text: np.ndarray, longest: int, may=None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Per length from 2 on: all phrases of a text of symbols (a row each) and how often they occur.
+
+    ``may`` tells which triples of symbols to go on with: phrases around others are left out.
+    """
     ahead, back = FmIndex(text, longest), FmIndex(np.concatenate([text[-2::-1], text[-1:]]), longest)
     symbols = np.arange(1, len(ahead.firsts) - 1)
     low, size = ahead.firsts[symbols], np.diff(ahead.firsts)[symbols]
@@ -259,34 +285,47 @@ def phrases(text: np.ndarray, longest: int) -> Iterator[tuple[np.ndarray, np.nda
             owner, symbol, low_back, size, smaller = back.extend(low_back, size)
             low = low[owner] + smaller
             found = np.concatenate([found[owner], symbol[:, None]], axis=1)
+        if may is not None and length > 2:
+            # One triple is new, at the end that has grown.
+            ok = may(found[:, :3] if length % 2 == 0 else found[:, -3:])
+            low, low_back, size, found = low[ok], low_back[ok], size[ok], found[ok]
         yield found, size
 
 
-def _count_phrases(words_ok, pairs_ok, longest: int, limits: Limits):
-    """Counts of all phrases of each shard."""
+COUNTED = "shard int, size int, blob binary"
+
+
+def _count_phrases(words_ok, pairs_ok, triples_ok, longest: int, shards: int, limits: Limits):
+    """Counts of the phrases of each shard of text, packed by the shard that sums them up and by length."""
 
     def counted(runs: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        ids, text = np.unique(np.concatenate(runs), return_inverse=True)
         # Runs end with 0, which is the least id: its symbol is 0, too.
-        for found, n in phrases(text, longest):
-            for at in range(0, len(n), 1 << 18):
-                part = ids[found[at : at + (1 << 18)]].view(np.int64)
-                sizes = np.full(len(part), part.shape[1])
-                yield pa.RecordBatch.from_arrays([lists(sizes, pa.array(part.reshape(-1))), pa.array(n[at : at + (1 << 18)].astype(np.int64))], ["phrase", "n"])
+        ids, text = np.unique(np.concatenate(runs), return_inverse=True)
+        may = lambda t: in_filter(triples_ok.value, triple_ids(ids[t[:, 0]], ids[t[:, 1]], ids[t[:, 2]]) << _LOW)
+        for found, n in phrases(text, longest, may):
+            spread = np.zeros(len(n), np.uint64)
+            for column in found.T:
+                spread = mixed(spread * _PAIR[0] + ids[column], 37)
+            shard = _shards(spread, shards)
+            order = np.argsort(shard, kind="stable")
+            ends = np.searchsorted(shard[order], np.arange(shards + 1))
+            rows, n = ids[found[order]], n[order].astype(np.int64)
+            full = [s for s in range(shards) if ends[s] < ends[s + 1]]
+            blobs = [rows[ends[s] : ends[s + 1]].tobytes() + n[ends[s] : ends[s + 1]].tobytes() for s in full]
+            sizes = pa.array([found.shape[1]] * len(full), pa.int32())
+            yield pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), sizes, pa.array(blobs, pa.binary())], ["shard", "size", "blob"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frequent, pairs, runs, n_held = words_ok.value, pairs_ok.value, [], 0
+        runs, n_held = [], 0
         for read, _ in _read_batches(batches):
-            at, found = pair_ids(read, frequent)
             first = np.zeros(len(read.ids), bool)
-            first[at[in_filter(pairs, found << _LOW)]] = True
+            first[frequent_pairs(read, words_ok.value, pairs_ok.value)] = True
             used = first.copy()
             used[1:] |= first[:-1]
             ends = np.flatnonzero(used & ~first)
             kept = np.flatnonzero(used)
-            run_ids = np.insert(read.ids[kept], np.searchsorted(kept, ends) + 1, 0)
-            runs.append(run_ids)
-            n_held += len(run_ids)
+            runs.append(np.insert(read.ids[kept], np.searchsorted(kept, ends) + 1, 0))
+            n_held += len(runs[-1])
             if n_held >= limits.shard:
                 yield from counted(runs)
                 runs, n_held = [], 0
@@ -296,6 +335,26 @@ def _count_phrases(words_ok, pairs_ok, longest: int, limits: Limits):
     return run
 
 
+def _sum_phrases(least: int):
+    """Phrases whose counts reach ``least`` in all. Rows come by shard, and a shard's are in one partition."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in key_groups(batches, "shard"):
+            by_size: dict[int, list[bytes]] = {}
+            for k, blob in zip(rows.column("size").to_pylist(), rows.column("blob").to_pylist(), strict=True):
+                by_size.setdefault(k, []).append(blob)
+            for k, blobs in by_size.items():
+                sizes = [len(b) // (8 * k + 8) for b in blobs]
+                keys = np.concatenate([np.frombuffer(b, np.dtype((np.void, 8 * k)), n) for b, n in zip(blobs, sizes, strict=True)])
+                counts = np.concatenate([np.frombuffer(b, np.int64, n, 8 * k * n) for b, n in zip(blobs, sizes, strict=True)])
+                distinct, sums = _summed(keys, counts)
+                often = distinct[sums >= least]
+                words_of = np.frombuffer(often.tobytes(), np.int64)
+                yield pa.RecordBatch.from_arrays([lists(np.full(len(often), k), pa.array(words_of)), pa.array(sums[sums >= least])], ["phrase", "f"])
+
+    return run
+
+
 def _spell(wanted):
     """Each word that passes the filter, once a task."""
 
@@ -322,12 +381,18 @@ def count_phrases(
     counted = own.mapInArrow(_count_words(limits), "lang string, wid bigint, n bigint").groupBy("lang", "wid").agg(F.sum("n").alias("n"))
     kept = cut(counted.filter((F.col("n") >= least) | F.col("wid").isNull()))
     totals, known = kept.filter("wid is null").select("lang", "n"), kept.filter("wid is not null").select("lang", "wid", F.col("n").alias("f"))
-    words_ok = spark.sparkContext.broadcast(make_filter(known, "wid", filter_bits))
-    packed = own.mapInArrow(_count_pairs(words_ok, least, shards, limits), "shard int, blob binary").repartition(shards, "shard")
-    pairs = packed.sortWithinPartitions("shard").mapInArrow(_merge_pairs(least), "pair bigint")
-    pairs_ok = spark.sparkContext.broadcast(make_filter(pairs, "pair", filter_bits))
-    summed = own.mapInArrow(_count_phrases(words_ok, pairs_ok, longest, limits), "phrase array<bigint>, n bigint").groupBy("phrase").agg(F.sum("n").alias("f"))
-    return totals, known, cut(summed.filter(F.col("f") >= least))
+    send = spark.sparkContext.broadcast
+    by_shard = lambda df: df.repartition(shards, "shard").sortWithinPartitions("shard")
+
+    def grams_ok(pairs_ok):
+        packed = own.mapInArrow(_count_grams(words_ok, pairs_ok, least, shards, limits), "shard int, blob binary")
+        return send(make_filter(by_shard(packed).mapInArrow(_merge_grams(least), "gram bigint"), "gram", filter_bits))
+
+    words_ok = send(make_filter(known, "wid", filter_bits))
+    pairs_ok = grams_ok(None)
+    triples_ok = grams_ok(pairs_ok)
+    counts = own.mapInArrow(_count_phrases(words_ok, pairs_ok, triples_ok, longest, shards, limits), COUNTED)
+    return totals, known, cut(by_shard(counts).mapInArrow(_sum_phrases(least), "phrase array<bigint>, f bigint"))
 
 
 def _exact(c: str) -> Column:

@@ -90,6 +90,13 @@ def test_extension_finds_all_phrases(seed, symbols, longest):
     assert got == want
 
 
+def test_extension_goes_on_only_with_the_triples_it_is_given():
+    text = np.array([1, 2, 3, 1, 2, 3, 1, 0, 2, 3, 1, 2, 0])
+    may = lambda t: ~((t == [2, 3, 1]).all(axis=1))
+    got = {tuple(p): c for found, n in collocations.phrases(text, 4, may) for p, c in zip(found.tolist(), n.tolist(), strict=True)}
+    assert got == {(1, 2): 3, (2, 3): 3, (3, 1): 3, (1, 2, 3): 2, (3, 1, 2): 2, (3, 1, 2, 3): 1}
+
+
 def test_products_beyond_64_bits(spark):
     totals = spark.createDataFrame([("en", 10**14)], "lang string, n bigint")
     known = spark.createDataFrame([("en", 1, 10**13 + 1), ("en", 2, 10**13 + 3)], "lang string, wid bigint, f bigint")
