@@ -14,6 +14,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -194,14 +195,18 @@ def fit(docs: DataFrame, trainable: Column, id_col: str = "doc_id", text_col: st
 
     Per language, the ``sample_rows`` rows first in seeded hash order, found from ids and
     labels alone (each partition keeps no more than that many per language before the
-    shuffle), and ``excerpt`` characters of each.
+    shuffle), and ``excerpt`` characters of each. Of an id's rows, or of those without one, the
+    text of least hash counts, so no more than ``sample_rows`` rows a language reach the driver.
     """
     labelled = docs.filter(trainable & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     order = Window.partitionBy("lang").orderBy("rank", "lid")
     ids = labelled.select(F.col(lang_col).alias("lang"), F.col(id_col).alias("lid"), F.xxhash64(F.lit(SEED), id_col).alias("rank"))
     picked = ids.withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= sample_rows).select("lid", F.col("lang").alias("as"), "rank").distinct()
     excerpts = labelled.join(F.broadcast(picked), F.col(id_col).eqNullSafe(F.col("lid")) & (F.col(lang_col) == F.col("as")))
-    rows = excerpts.select("as", "rank", F.substring(text_col, 1, excerpt).alias("t")).distinct().orderBy("as", "rank", "t").collect()
+    # An id may have very many rows: the text of least hash is taken where the rows are.
+    start = F.struct(F.xxhash64(text_col).alias("h"), F.substring(text_col, 1, excerpt).alias("t"))
+    single = excerpts.groupBy("as", "rank", "lid").agg(F.min(start)["t"].alias("t"))
+    rows = single.select("as", "rank", "t").orderBy("as", "rank", "t").collect()
     samples: dict[str, list[str]] = {}
     for r in rows:
         samples.setdefault(r["as"], []).append(r["t"])
@@ -218,27 +223,24 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", carry: list[
     """
     added = ["lang_pred", "score", "phrases_per_letter"]
     keep = [c for c in (docs.columns if carry is None else carry) if c not in added]
-    source = docs.select(*keep, F.coalesce(F.col(text_col), F.lit("")).alias("__text"))
+    # A text that is carried anyway goes out once.
+    source = docs.select(*keep) if text_col in keep else docs.select(*keep, text_col)
+    place = source.columns.index(text_col)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
         for batch in batches:
-            langs, scores, density = [], [], []
-            pile, size = [], 0
-            column = batch.column("__text")
-            for i, text in enumerate(column):
-                pile.append(text.as_py())
-                size += len(pile[-1])
-                if size >= BATCH_CHARS or i + 1 == len(column):
-                    lang, score, dense = judge(pile, own)
-                    langs += lang
-                    scores.append(score)
-                    density.append(dense)
-                    pile, size = [], 0
-            kept = [c for c, n in zip(batch.columns, batch.schema.names, strict=True) if n != "__text"]
-            new = [pa.array(langs, pa.string()), *(pa.array(np.concatenate(x) if x else [], pa.float64()) for x in (scores, density))]
-            yield pa.RecordBatch.from_arrays([*kept, *new], [*keep, *added])
-
-    schema = source.drop("__text").schema.add("lang_pred", "string").add("score", "double").add("phrases_per_letter", "double")
+            begin, size, column = 0, 0, batch.column(place)
+            for i, n in enumerate(pc.fill_null(pc.utf8_length(column), 0).to_numpy(zero_copy_only=False)):
+                size += n
+                if size < BATCH_CHARS and i + 1 < len(column):
+                    continue
+                part = batch.slice(begin, i + 1 - begin)
+                langs, scores, density = judge([t or "" for t in part.column(place).to_pylist()], own)
+                new = [pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(density, pa.float64())]
+                yield pa.RecordBatch.from_arrays([*part.columns[: len(keep)], *new], [*keep, *added])
+                begin, size = i + 1, 0
+
+    schema = docs.select(*keep).schema.add("lang_pred", "string").add("score", "double").add("phrases_per_letter", "double")
     return source.mapInArrow(run, schema)
