@@ -42,7 +42,7 @@ BASE_RULES = (
 #: Kinds beyond the base, each with a version of its own.
 MORE_RULES = (
     Rule("pem", 1, r"-----BEGIN [A-Z ]*PRIVATE KEY-----", 0, 0, 1, ("-----BEGIN ",)),
-    Rule("jwt", 1, r"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", 0, 0, 40, ("eyJ",)),
+    Rule("jwt", 2, r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]++\.[A-Za-z0-9_-]++\.[A-Za-z0-9_-]+", 0, 0, 40, ("eyJ",)),
     Rule("forge", 1, r"gh[oprsu]_[A-Za-z0-9]+", 0, 0, 40, ("gho_", "ghp_", "ghr_", "ghs_", "ghu_")),
 )
 RULES = BASE_RULES + MORE_RULES
@@ -60,8 +60,11 @@ def _scan(rules: tuple[Rule, ...]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compiled = [(r, re.compile(r.pattern, r.flags)) for r in rules]
         found_type = pa.list_(pa.struct([("kind", pa.string()), ("version", pa.int32()), ("start", pa.int32()), ("end", pa.int32())]))
+        seen: set[str] = set()
         for batch in batches:
-            found = []
+            # Rows that repeat a path and its text come to one task: their blob is scanned once.
+            once = [i for i, b in enumerate(batch.column("blob").to_pylist()) if not (b in seen or seen.add(b))]
+            batch, found = batch.take(pa.array(once, pa.int64())), []
             for text, todo in zip(batch.column("text"), batch.column("todo"), strict=True):
                 own, names = text.as_py(), set(todo.as_py())
                 found.append([(r.kind, r.version, a, b) for r, c in compiled if r.name in names for a, b in spans(own, r, c)])
@@ -96,7 +99,6 @@ def scan_unseen(versions: DataFrame, path_col: str, text_col: str, ledger: DataF
         lacking = F.array_except(every, F.coalesce("seen", F.array().cast("array<string>")))
         todo = blobs.join(seen, F.col("blob") == F.col("known"), "left").select("blob", "home", lacking.alias("todo")).filter(F.size("todo") > 0)
     todo = todo.withColumnRenamed("blob", "key")
-    # Rows that repeat a path and its text would be scanned alike; the findings are grouped by readers.
     texts = own.join(todo, (F.col("blob") == F.col("key")) & F.col("path").eqNullSafe(F.col("home"))).select("blob", "text", "todo")
     return texts.mapInArrow(_scan(rules), LEDGER)
 

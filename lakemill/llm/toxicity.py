@@ -95,14 +95,17 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_co
     """Fit on the first ``sample_rows`` labelled ids (of those ``trainable`` allows) in hash order.
 
     The ids are picked from the labels alone; their texts become sorted lists of feature
-    places on the executors, and only these lists reach the driver. Null labels and ids that
+    places on the executors, and only these lists reach the driver, one for each id. Null labels and ids that
     ``docs`` lacks are passed over; without any row the model says 0.5 to everything.
     """
     known = labels.select(F.col(id_col).alias("lid"), F.col(label_col).cast("int").alias("label")).filter("label is not null and lid is not null")
     known = known.filter(trainable).groupBy("lid").agg(F.max("label").alias("label"))
     picked = known.withColumn("rank", F.xxhash64(F.lit(SEED), "lid")).orderBy("rank", "lid").limit(sample_rows)
     texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    chosen = texts.join(F.broadcast(picked), F.col("id") == F.col("lid")).select("rank", "label", "text")  # at most sample_rows rows
+    met = texts.join(F.broadcast(picked), F.col("id") == F.col("lid"))
+    # An id may have very many rows: the text of least hash is taken where the rows are, so at most ``sample_rows`` rows are left.
+    least = F.min(F.struct(F.xxhash64("text").alias("h"), "text"))["text"].alias("text")
+    chosen = met.groupBy("lid", "rank", "label").agg(least).select("rank", "label", "text")
     got = chosen.mapInArrow(_feature_rows(bits), "rank bigint, label int, places array<int>").toArrow()
     order = np.lexsort((got.column("label").to_numpy(), got.column("rank").to_numpy())) if got.num_rows else []
     places = got.column("places").combine_chunks()

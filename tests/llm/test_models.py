@@ -2,6 +2,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from lakemill.llm import language, queries_free, toxicity
 from lakemill.llm.registry import table
@@ -115,3 +116,20 @@ def test_skip_grams_stay_in_their_text(gap):
     data = np.frombuffer(b"a b c" + b"d e", dtype=np.uint8)
     places, rows = toxicity.features(data, np.array([0, 5, 8]))
     assert np.bincount(rows).tolist() == [3 + 2 + 1, 2 + 1]
+
+
+@pytest.mark.parametrize("one_id", [None, 4])
+def test_a_hot_id_brings_one_text_to_the_driver(spark, monkeypatch, one_id):
+    texts = [(one_id, f"ceci est un texte numéro {i} " * 3, "fr") for i in range(300)] + [(100 + i, f"this is text number {i} " * 3, "en") for i in range(40)]
+    df = spark.createDataFrame(texts, "doc_id bigint, text string, lang string").repartition(4)
+    taken = []
+    real = language.build
+    monkeypatch.setattr(language, "build", lambda samples: (taken.append(samples), real(samples))[1])
+    language.fit(df, F.lit(True))
+    assert len(taken[0]["fr"]) == 1 and len(taken[0]["en"]) == 40
+    if one_id is not None:
+        labels = spark.createDataFrame([(one_id, 1)] + [(100 + i, 0) for i in range(40)], "doc_id bigint, toxic int")
+        fitted = []
+        monkeypatch.setattr(toxicity, "ftrl", lambda examples, bits: fitted.extend(examples))
+        toxicity.fit(df, labels, "doc_id", "text", "toxic", F.lit(True))
+        assert len(fitted) == 41

@@ -68,3 +68,22 @@ def test_odd_rows(spark):
     assert len(got) == 11
     assert all(r["found"] == [] for r in got)
     assert secrets.scan(empty(spark)).count() == 0
+
+
+def test_rows_without_id_and_with_one_text_are_scanned_once(spark):
+    rows = [(None, "token = abcdefgh12")] * 500 + [(i, "token = abcdefgh12") for i in range(3)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(6)
+    ledger = secrets.scan_unseen(df, "doc_id", "text")
+    assert ledger.count() == 1
+    assert secrets.scan(df).filter("size(found) = 1").count() == 503
+
+
+def test_long_runs_are_scanned_in_one_go():
+    import re
+
+    (rule,) = [r for r in secrets.MORE_RULES if r.kind == "jwt"]
+    compiled = re.compile(rule.pattern)
+    for text in ("eyJ" * 400_000, "eyJ." * 300_000, "eyJa.b" * 200_000):
+        secrets.spans(text, rule, compiled)
+    token = "eyJ" + "a" * 20 + "." + "b" * 20 + "." + "c" * 9
+    assert secrets.spans(f"x {token} eyJ", rule, compiled) == [(2, 2 + len(token))]
