@@ -77,9 +77,14 @@ def upsert(
     return updated.unionByName(fresh)
 
 
-def replace_by_key(target: DataFrame, batch: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """Drop the target's rows whose key is in the batch, then add the batch, one row per key."""
-    kept = join_keys(target, batch.select(*keys).distinct(), keys, "left_anti")
+def replace_by_key(target: DataFrame, batch: DataFrame, keys: list[str], order: list[str], null_safe: bool = True) -> DataFrame:
+    """Drop the target's rows whose key is in the batch, then add the batch, one row per key.
+
+    With ``null_safe=False`` a NULL key matches nothing; only then can a target that is
+    bucketed by its key be joined as it lies.
+    """
+    known = batch.select(*keys).distinct()
+    kept = join_keys(target, known, keys, "left_anti") if null_safe else target.join(known, keys, "left_anti").select(*target.columns)
     return kept.unionByName(dedup_by(batch, keys, order))
 
 

@@ -37,11 +37,21 @@ _OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 class Lake:
     """A database whose tables lie under one root folder."""
 
-    def __init__(self, spark: SparkSession, database: str, root: str, schemas: dict[str, tuple[T.StructType, list[str]]] | None = None):
+    def __init__(
+        self,
+        spark: SparkSession,
+        database: str,
+        root: str,
+        schemas: dict[str, tuple[T.StructType, list[str]]] | None = None,
+        buckets: dict[str, tuple[int, list[str]]] | None = None,
+    ):
+        """``buckets`` gives, by table, how many buckets rows are dealt to and the key columns by which. Joins and changes on
+        that key then read the table as it lies, whatever the size of the other side."""
         self.spark = spark
         self.database = database
         self.root = root
         self.schemas = schemas or {}
+        self.buckets = buckets or {}
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{root}'")
 
     def name(self, table: str) -> str:
@@ -97,9 +107,15 @@ class Lake:
         folder = self._fresh_folder(table)
         self.spark.sql(
             f"CREATE TABLE IF NOT EXISTS {self.name(table)} ({columns}) USING parquet"
-            f"{by} LOCATION '{folder}' TBLPROPERTIES ('compression' = '{COMPRESSION}')"
+            f"{by}{self._clustered(table)} LOCATION '{folder}' TBLPROPERTIES ('compression' = '{COMPRESSION}')"
         )
 
+    def _clustered(self, table: str) -> str:
+        if table not in self.buckets:
+            return ""
+        n, keys = self.buckets[table]
+        return f" CLUSTERED BY ({', '.join(f'`{k}`' for k in keys)}) INTO {n} BUCKETS"
+
     def create_all(self) -> None:
         for table in self.schemas:
             self.create(table)
@@ -117,9 +133,21 @@ class Lake:
             df, partition_by = self.fit(table, df), partition_by or self.schemas[table][1]
         by = partition_by or []
         folder = self._fresh_folder(table)
-        write(df, folder, partition_by=by, rows_per_file=rows_per_file)
         fields = sorted(df.schema.fields, key=lambda f: by.index(f.name) if f.name in by else -1)
         shape = [(f.name, f.dataType.simpleString()) for f in fields]
+        parts = f" PARTITIONED BY ({', '.join(by)})" if by else ""
+        columns = ", ".join(f"`{n}` {kind}" for n, kind in shape)
+        made = f"({columns}) USING parquet{parts}{self._clustered(table)} LOCATION '{folder}'"
+        if table in self.buckets:
+            # Spark writes buckets only through a table: one that is given up once its files are complete.
+            draft = f"{table}_{uuid.uuid4().hex}"
+            self.spark.sql(f"CREATE TABLE {self.name(draft)} {made}")
+            try:
+                self._insert(draft, df, buckets=self.buckets[table])
+            finally:
+                self.drop(draft)
+        else:
+            write(df, folder, partition_by=by, rows_per_file=rows_per_file)
         if self.exists(table) and self.read(table).dtypes == shape and self.partitions(table) == by:
             for some in self._specs(table, by):
                 self.spark.sql(f"ALTER TABLE {self.name(table)} DROP IF EXISTS {', '.join(some)}")
@@ -129,9 +157,7 @@ class Lake:
             self.spark.catalog.refreshTable(self.name(table))
             return self.read(table)
         self.drop(table)
-        parts = f" PARTITIONED BY ({', '.join(by)})" if by else ""
-        columns = ", ".join(f"`{n}` {kind}" for n, kind in shape)
-        self.spark.sql(f"CREATE TABLE {self.name(table)} ({columns}) USING parquet{parts} LOCATION '{folder}'")
+        self.spark.sql(f"CREATE TABLE {self.name(table)} {made}")
         if by:
             self.spark.sql(f"MSCK REPAIR TABLE {self.name(table)}")
         return self.read(table)
@@ -175,6 +201,10 @@ class Lake:
         once = cut(changes.dedup_by(batch, keys, order))
         if table in self.schemas:
             once = self.fit(table, once)
+        plain = table in self.buckets and self.buckets[table][1] == keys
+        if plain:
+            # A row without a key is no bucket's: it replaces nothing and is not replaced.
+            return self.rewrite(table, once, [*keys, *(home or [])], lambda t, b: changes.replace_by_key(t, b, keys, keys, null_safe=False))
         return self.rewrite(table, once, [*keys, *(home or [])], lambda t, b: changes.replace_by_key(t, b, keys, keys))
 
     def provider(self, table: str) -> str:
@@ -251,11 +281,15 @@ class Lake:
         while some := list(islice(specs, SPECS)):
             yield some
 
-    def _insert(self, table: str, df: DataFrame, overwrite: bool = False) -> None:
+    def _insert(self, table: str, df: DataFrame, overwrite: bool = False, buckets: tuple[int, list[str]] | None = None) -> None:
         """Add rows, or put them in place of all rows of their partitions."""
-        by, conf = self.partitions(table), self.spark.conf
+        by, conf, buckets = self.partitions(table), self.spark.conf, buckets or self.buckets.get(table)
         df = df.select(*self.read(table).columns)
-        df = df.hint("rebalance", *by) if by else df
+        if buckets:
+            # As the table deals them, so that a bucket is one file a partition.
+            df = df.repartition(buckets[0], *buckets[1])
+        elif by:
+            df = df.hint("rebalance", *by)
         before = conf.get(_OVERWRITE_MODE)
         conf.set(_OVERWRITE_MODE, "dynamic")
         try:

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lakemill.catalog import GOLD_STAR, SILVER
-from lakemill.operators import clean
+from lakemill.operators import changes, clean, joins
 from lakemill.plans import feeds, loads, star
 from lakemill.sinks.tables import Lake
 from lakemill.sources import csv_files
@@ -159,3 +159,41 @@ def test_files_are_read_once(spark, tmp_path, monkeypatch):
     got = rows(spark.read.parquet(f"{base}/rows"), "ID", "v", "w")
     want = [("1", "2", None), ("x, y", "5", None), ("2", "1", None), ("5", "x, y", None), ("1", "3", "2"), ("x, y", None, "5"), ("2", "1", None), ("5", "x, y", None)]
     assert got == sorted(want, key=repr)
+
+
+@pytest.mark.parametrize("by", [None, ["year"]])
+def test_a_bucketed_target_is_not_shuffled(spark, tmp_path, by):
+    lake = Lake(spark, f"buckets_{tmp_path.name}", str(tmp_path / "lake"), buckets={"s": (8, ["id"])})
+    people = spark.range(3000).select("id", (F.col("id") % 3).cast("int").alias("year"), F.lit("old").alias("v"))
+    lake.replace("s", people, partition_by=by)
+    batch = spark.range(2900, 3100).select("id", (F.col("id") % 3).cast("int").alias("year"), F.lit("new").alias("v"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for changed, side in (
+            (changes.replace_by_key(lake.read("s"), batch, ["id"], ["id"], null_safe=False), "batch"),
+            (joins.new_rows(lake.read("s"), batch, "id"), "batch"),
+            (joins.new_rows(batch, lake.read("s"), "id"), "table"),
+        ):
+            plan = spark.sparkContext._jvm.PythonSQLUtils.explainString(changed._jdf.queryExecution(), "simple")
+            lines = plan.split("\n")
+            scan = next(i for i, line in enumerate(lines) if "FileScan" in line)
+            above = [line for line in lines[:scan] if len(line) - len(line.lstrip(" :+-")) < len(lines[scan]) - len(lines[scan].lstrip(" :+-"))]
+            on_path, depth = [], len(lines[scan]) - len(lines[scan].lstrip(" :+-*()0123456789"))
+            for line in reversed(above):
+                d = len(line) - len(line.lstrip(" :+-*()0123456789"))
+                if d < depth:
+                    on_path.append(line)
+                    depth = d
+            join = next(i for i, line in enumerate(on_path) if "Join" in line)
+            assert not any("Exchange" in line for line in on_path[:join]), (side, plan)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    lake.replace_by_key("s", batch, ["id"], ["id"], home=by)
+    assert rows(lake.read("s").groupBy("v").count()) == [("new", 200), ("old", 2900)]
+    lake.append("s", batch.filter("id > 3090").select(*lake.read("s").columns))
+    assert lake.read("s").count() == 3109
+    # Every key is still in its own bucket.
+    bucket = F.regexp_extract(F.col("_metadata.file_path"), r"_(\d{5})\.c000", 1)
+    placed = lake.read("s").select("id", bucket.alias("b")).groupBy("id").agg(F.count_distinct("b").alias("n"))
+    assert placed.filter("n <> 1").count() == 0 and lake.read("s").select(bucket).distinct().count() == 8
