@@ -105,10 +105,12 @@ class TagHead:
     """A label for each token, and what each label adds to the next one: log odds of it there against anywhere.
 
     ``steps[i][j]`` is for label j after label i, ``first[j]`` for label j at the beginning.
+    ``strict``: the corpus holds to ``may_follow``, and so do predictions.
     """
 
     model: PipelineModel
     labels: tuple[str, ...]
+    strict: bool
     first: tuple[float, ...]
     steps: tuple[tuple[float, ...], ...]
 
@@ -118,20 +120,22 @@ def may_follow(tag: str, before: str | None) -> bool:
     return not tag.startswith("I-") or (before is not None and before[:2] in ("B-", "I-") and before[2:] == tag[2:])
 
 
-def step_weights(df: DataFrame, tags: str, labels: list[str]) -> tuple[tuple[float, ...], tuple[tuple[float, ...], ...]]:
-    """Weights of labels at the beginning and after each other, from how often they stand there (one is added to each count)."""
+def step_weights(df: DataFrame, tags: str, labels: list[str]) -> tuple[bool, tuple[float, ...], tuple[tuple[float, ...], ...]]:
+    """Whether all tags stand where they may, and weights of labels at the beginning and after each other, from how often they
+    stand there (one is added to each count)."""
     pairs = F.transform(tags, lambda t, i: F.struct(F.when(i > 0, F.get(tags, i - 1)).alias("before"), t.alias("tag")))
     counted = df.select(F.explode(pairs).alias("p")).groupBy("p.before", "p.tag").agg(F.count(F.lit(1)).alias("n"))
     # A row for each pair of labels at most.
     n = {(r["before"], r["tag"]): r["n"] for r in counted.collect()}
+    strict = all(may_follow(t, b) for b, t in n)
     everywhere = {t: sum(c for (_, x), c in n.items() if x == t) + 1 for t in labels}
 
     def weights(before: str | None) -> tuple[float, ...]:
         here = {t: n.get((before, t), 0) + 1 for t in labels}
         gain = lambda t: log(here[t] / sum(here.values())) - log(everywhere[t] / sum(everywhere.values()))
-        return tuple(gain(t) if may_follow(t, before) else NEVER for t in labels)
+        return tuple(NEVER if strict and not may_follow(t, before) else gain(t) for t in labels)
 
-    return weights(None), tuple(weights(b) for b in labels)
+    return strict, weights(None), tuple(weights(b) for b in labels)
 
 
 def fit_tags(df: DataFrame, key: str, tokens: str, tags: str, features: int = FEATURES, iterations: int = 20) -> TagHead:
@@ -178,7 +182,7 @@ def predict_tags(head: TagHead, df: DataFrame, key: str, tokens: str, name: str
     """(key, tag string) per row; a row's tags are put together again, so ``key`` must identify it.
 
     Labels are chosen together, up to ``piece`` tokens at a time, so that a long text is no
-    burden; a span that goes on into a piece where it cannot stand begins anew there.
+    burden. In a strict head a span that goes on into a piece where it cannot stand begins anew there.
     """
     blank = F.transform(F.col(tokens), lambda _: F.lit(None).cast("string"))
     out = token_rows(df.withColumn("__none", blank), key, tokens, "__none")
@@ -200,4 +204,4 @@ def predict_tags(head: TagHead, df: DataFrame, key: str, tokens: str, name: str
         stands = ~t.startswith("I-") | (before.rlike("^[BI]-") & (F.substring(before, 3, 1 << 30) == F.substring(t, 3, 1 << 30)))
         return F.when(stands, t).otherwise(F.concat(F.lit("B-"), F.substring(t, 3, 1 << 30)))
 
-    return whole.select(key, F.array_join(F.transform("__tags", mended), " ").alias(name))
+    return whole.select(key, F.array_join(F.transform("__tags", mended) if head.strict else F.col("__tags"), " ").alias(name))
