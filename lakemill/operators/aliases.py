@@ -18,6 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakemill.functions.canonical import compose
 from lakemill.functions.scalar import let, words
 from lakemill.operators.bounds import checked_broadcast
 from lakemill.operators.joins import skew_lookup
@@ -102,7 +103,7 @@ def alias_index(aliases: DataFrame, rules: AliasRules) -> DataFrame:
 
     ``aliases``: (grp, key_ord, variant, var_ord), each group's variants in order.
     """
-    base = aliases.select("grp", "key_ord", "variant", "var_ord")
+    base = aliases.select("grp", "key_ord", compose("variant").alias("variant"), "var_ord")
     keys = aliases.select("grp", "key_ord").distinct()
     text = F.col("variant")
     spread = F.array_distinct(words(text))
@@ -110,7 +111,7 @@ def alias_index(aliases: DataFrame, rules: AliasRules) -> DataFrame:
 
     exact_key = keys.select(
         "grp", "key_ord", F.col("grp").alias("variant"), F.lit(0).alias("var_ord"),
-        F.col("grp").alias("token"), F.lit("whole").alias("kind"), F.lit(1).alias("tier"),
+        compose("grp").alias("token"), F.lit("whole").alias("kind"), F.lit(1).alias("tier"),
     )
     exact_variant = base.withColumns({"token": text, "kind": F.lit("whole"), "tier": F.lit(2)})
     long_enough = base.filter(F.length(text) >= rules.variant_in_name)
@@ -171,7 +172,7 @@ def candidate_pairs(names: DataFrame, column: str, aliases: DataFrame, rules: Al
     """(__raw, __name) of each distinct name beside the dictionary rows it must be tested against."""
     name = F.col("__name")
     distinct = (
-        names.select(F.trim(F.lower(F.col(column))).alias("__name"), F.col(column).alias("__raw"))
+        names.select(F.trim(F.lower(compose(column))).alias("__name"), F.col(column).alias("__raw"))
         .filter(F.length("__name") >= rules.min_name)
         .distinct()
     )

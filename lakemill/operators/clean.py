@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lakemill.functions.canonical import compose
 from lakemill.operators.bounds import order_columns
 
 
@@ -68,5 +69,5 @@ def dedup_by(df: DataFrame, keys: list[str | Column], order: list[str]) -> DataF
 
 
 def dedup_ignore_case(df: DataFrame, column: str) -> DataFrame:
-    """Distinct values compared without case; the smallest spelling stays."""
-    return df.groupBy(F.lower(F.col(column)).alias("__key")).agg(F.min(column).alias(column)).drop("__key")
+    """Distinct values compared without case, and with letters composed; the smallest spelling stays."""
+    return df.groupBy(F.lower(compose(column)).alias("__key")).agg(F.min(column).alias(column)).drop("__key")

@@ -12,6 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakemill.functions.canonical import compose
 from lakemill.operators.bounds import GROUP_ROWS, checked_broadcast, hot_groups
 
 
@@ -79,8 +80,8 @@ def next_batch(df: DataFrame, known: DataFrame, key: str, size: int, known_key:
 
 
 def dictionary_join(df: DataFrame, dictionary: DataFrame, column: str, take: list[str]) -> DataFrame:
-    """Inner join to a small dictionary on ``lower(trim(…))``, without fan-out."""
-    norm = F.lower(F.trim(F.col(column)))
+    """Inner join to a small dictionary on ``lower(trim(…))`` of the composed text, without fan-out."""
+    norm = F.lower(F.trim(compose(column)))
     slim = dictionary.select(norm.alias("__norm"), *take).distinct()
     return df.withColumn("__norm", norm).join(checked_broadcast(slim), "__norm", "inner").drop("__norm")
 

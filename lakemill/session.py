@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
@@ -77,6 +78,16 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def release(spark: SparkSession) -> None:
+    """Let go of what earlier steps shuffled, in a long job whose steps are cut from each other.
+
+    Spark removes shuffle files once the driver no longer refers to their plans, and finds
+    that out when the driver's memory is collected, which it is asked for here.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 SPREAD_BYTES = 8 << 20
 
 

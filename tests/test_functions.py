@@ -1,12 +1,14 @@
 """Hand-written cases for the small text formats."""
 
 import random
+import unicodedata
 from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
-from lakemill.functions import minitext, names, scalar, spans
+from lakemill.functions import canonical, minitext, names, scalar, spans
+from lakemill.operators import aliases, clean
 
 
 def value(spark, expr, **columns):
@@ -186,3 +188,28 @@ def test_label_decisions(spark):
     assert value(spark, minitext.labels_above(F.array(F.lit(0.1)), ["a"])) == "None"
     assert value(spark, minitext.best_label(chances, ["a", "b", "c"])) == "c"
     assert value(spark, minitext.multi_hot(F.array(F.lit("b")), F.array(F.lit("a"), F.lit("b")))) == [0, 1]
+
+
+def test_compose_is_nfc_for_vietnamese(spark):
+    letters = [c for c in map(chr, [*range(0x41, 0x250), *range(0x1E00, 0x1F00)]) if unicodedata.is_normalized("NFC", c)]
+    rng = random.Random(3)
+    texts = [unicodedata.normalize("NFD", c) for c in letters if set(unicodedata.normalize("NFD", c)[1:]) <= set(canonical.MARKS)]
+    texts += [rng.choice("aeiouyAEOUdx1 ") + "".join(rng.sample(canonical.MARKS, rng.randint(1, 3))) + rng.choice(["", "n", " ", "\u0301"]) for _ in range(300)]
+    texts += ["".join(rng.sample(texts, 6)) for _ in range(100)] + ["", "\u0301", "\u0323a\u0302", "Đại học", "\U0001f600\u0301"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", canonical.compose("t").alias("c"))
+    for text, got in df.collect():
+        assert unicodedata.normalize("NFC", got) == unicodedata.normalize("NFC", text)
+        # Where all marks find their letter, the spelling is NFC's.
+        if not set(unicodedata.normalize("NFC", text)) & set(canonical.MARKS):
+            assert got == unicodedata.normalize("NFC", text), [hex(ord(c)) for c in text]
+    assert value(spark, canonical.compose("t"), t=None) is None
+
+
+@pytest.mark.parametrize("form", ["NFC", "NFD"])
+def test_spellings_of_a_name_meet(spark, form):
+    alias_df = spark.createDataFrame([("đại học bách khoa", 0, unicodedata.normalize("NFC", "bách khoa hà nội"), 0)], "grp string, key_ord int, variant string, var_ord int")
+    df = spark.createDataFrame([(unicodedata.normalize(form, n),) for n in ("Đại học Bách Khoa", "Trường Bách khoa Hà Nội")], "name string")
+    normal = df.withColumn("n", names.normalize_org("name"))
+    found = aliases.alias_match(normal, "n", alias_df, aliases.ORG_RULES, "g")
+    assert [r["g"] for r in found.collect()] == ["đại học bách khoa"] * 2
+    assert clean.dedup_ignore_case(df.unionByName(spark.createDataFrame([("ĐẠI HỌC BÁCH KHOA",)], "name string")), "name").count() == 2
