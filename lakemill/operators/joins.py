@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakemill.functions.canonical import compose
-from lakemill.operators.bounds import GROUP_ROWS, checked_broadcast, hot_groups
+from lakemill.functions.minitext import lookup_map, parse_entries, parse_map_by_id
+from lakemill.operators.bounds import GROUP_ROWS, checked_broadcast, hot_groups, rows_within
 
 
 def left_lookup(fact: DataFrame, dim: DataFrame, fact_key: Column | str, dim_key: Column | str, take: list[str]) -> DataFrame:
@@ -42,6 +43,32 @@ def skew_lookup(fact: DataFrame, dim: DataFrame, key: str, take: list[str], hot_
     return cold_side.unionByName(hot_side).unionByName(no_key)
 
 
+#: Rows of a dictionary up to which it is one value that entries are looked up in.
+LOOKUP_ROWS = 1_000
+
+
+def maps_by_dictionary(df: DataFrame, column: str, dictionary: DataFrame, key: str, value: str, name: str, limit: int = LOOKUP_ROWS) -> DataFrame:
+    """``df`` with a map made of a ``k:v`` list: keys are taken through a dictionary table, unknown ones dropped.
+
+    A dictionary within the bound is one value of the query. With a larger one the entries of
+    distinct texts are joined to it, and rows to what their text holds. Of equal keys the
+    highest value counts; blank or NULL text gives an empty map.
+    """
+    if rows_within(dictionary, limit):
+        known = df.withColumn("__ids", lookup_map(dictionary, key, value))
+        return known.withColumn(name, parse_map_by_id(column, F.col("__ids"))).drop("__ids")
+    unique = dictionary.filter(F.col(key).isNotNull()).groupBy(F.col(key).alias("__known")).agg(F.max(value).alias("__id"))
+    texts = df.select(F.col(column).alias("__text")).filter("__text is not null").distinct()
+    entries = texts.select("__text", F.posexplode(parse_entries("__text")).alias("__at", "__e"))
+    met = entries.join(unique, F.col("__e.key") == F.col("__known"))
+    listed = F.array_sort(F.collect_list(F.struct("__at", "__id", F.col("__e.value").alias("v"))))
+    made = F.map_from_entries(F.transform(listed, lambda x: F.struct(x["__id"], x["v"])))
+    maps = met.groupBy("__text").agg(made.alias(name)).withColumnRenamed("__text", column)
+    found = skew_lookup(df, maps, column, [name])
+    kind = found.schema[name].dataType.simpleString()
+    return found.withColumn(name, F.coalesce(name, F.expr(f"cast(map() as {kind})")))
+
+
 @dataclass(frozen=True)
 class Dim:
     """A dimension: rows, the fact column, the dimension's column, the keys to keep."""

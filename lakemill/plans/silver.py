@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakemill.functions import scalar as s
-from lakemill.functions.minitext import lookup_map, parse_map_by_id, split_trim
+from lakemill.functions.minitext import split_trim
 from lakemill.operators import changes, clean, joins
 from lakemill.operators.aggregates import mean_of_distinct
 from lakemill.operators.keys import continue_ids, grow_dictionary, hash_key
@@ -122,8 +122,7 @@ def student_scores(raw: DataFrame, subjects: DataFrame, path: str = "path") -> D
         F.col(path).alias("path"),
     )
     kept = clean.dedup_by(clean.require(rows, ["studentId", "year"]), ["studentId"], ["-path", "-DiemThi"])
-    known = kept.withColumn("__ids", lookup_map(subjects, "subjectName", "subjectId"))
-    return known.select("studentId", "regionId", "year", parse_map_by_id("DiemThi", F.col("__ids")).alias("scores"))
+    return joins.maps_by_dictionary(kept, "DiemThi", subjects, "subjectName", "subjectId", "scores").select("studentId", "regionId", "year", "scores")
 
 
 def _time(c, run_ts: str | None):

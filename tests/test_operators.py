@@ -168,6 +168,15 @@ def test_complete_sums_of_maps_against_all_groups(spark, index_members):
     assert got == sorted(want, key=repr) and len(want) > 500
 
 
+@pytest.mark.parametrize("limit", [1000, 0])
+def test_maps_by_dictionary_of_any_size(spark, limit):
+    dictionary = spark.createDataFrame([("T", 1), ("T", 4), ("L", 2), (None, 9)], "s string, i int")
+    texts = ["T:1,L:2", "X:3", "", None, "L:0.5,T:2", "T:1,L:2"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, t string")
+    got = {r["id"]: r["m"] for r in joins.maps_by_dictionary(df, "t", dictionary, "s", "i", "m", limit).collect()}
+    assert got == {0: {4: 1.0, 2: 2.0}, 1: {}, 2: {}, 3: {}, 4: {2: 0.5, 4: 2.0}, 5: {4: 1.0, 2: 2.0}}
+
+
 def test_no_map_is_exploded_for_its_keys(spark):
     members = aggregates.group_members(spark.createDataFrame([(1, "a-b"), (2, "c")], "g int, c string"), "g", "c")
     df = spark.createDataFrame([(1, {"a": 1.0, "b": 2.0})], "id int, m map<string,double>")
