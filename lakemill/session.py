@@ -89,6 +89,19 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+BATCH_BYTES = 8 << 20
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Have whole texts go to Python in batches of at most ``BATCH_BYTES``, unless the session says how large they may be.
+
+    Batches are bounded in rows by default, and ten thousand texts can be many megabytes, which are held on both sides.
+    """
+    if int(spark.conf.get(_BATCH_SETTING, "-1")) <= 0:
+        spark.conf.set(_BATCH_SETTING, str(BATCH_BYTES))
+
+
 SPREAD_BYTES = 8 << 20
 
 
