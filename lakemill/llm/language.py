@@ -18,6 +18,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lakemill.session import bound_batches
+
 UNKNOWN = "und"
 #: Per language, the model sees at most this many rows (first in seeded hash order), this many characters of each, and this many in all.
 SAMPLE_ROWS = 64
@@ -226,6 +228,7 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", carry: list[
     # A text that is carried anyway goes out once.
     source = docs.select(*keep) if text_col in keep else docs.select(*keep, text_col)
     place = source.columns.index(text_col)
+    bound_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
