@@ -2,7 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from lakemill.catalogue.registry import query, table
+from lakemill.catalogue.registry import query, table, wide_table
+from lakemill.functions.canonical import compose
 from lakemill.functions.scalar import code_prefix, int_or, pad_code, yes_level
 from lakemill.operators import clean
 
@@ -173,3 +174,14 @@ def dedup_key(spark, sf):
 def dedup_ci(spark, sf):
     name = F.when(F.col("p_type") == "SMALL", F.upper("p_name")).otherwise(F.col("p_name"))
     return clean.dedup_ignore_case(table(spark, sf, "part").select(name.alias("name")), "name")
+
+
+@query("composed_text", "SELECT doc_id, sha256(nfc_normalize(text)) AS composed, text <> nfc_normalize(replace(text, 'e', 'e' || chr(769))) AS changed FROM documents")
+def composed_text(spark, sf):
+    """Texts whose accents are written as marks, composed again; and texts in which every e gets one."""
+    docs = wide_table(spark, sf, "documents").select("doc_id", "text")
+    marked = F.col("text")
+    for letter, base, mark in (("é", "e", "\u0301"), ("è", "e", "\u0300"), ("ñ", "n", "\u0303"), ("ó", "o", "\u0301"), ("ê", "e", "\u0302")):
+        marked = F.replace(marked, F.lit(letter), F.lit(base + mark))
+    accented = compose(F.replace("text", F.lit("e"), F.lit("e\u0301")))
+    return docs.select("doc_id", F.sha2(compose(marked), 256).alias("composed"), (F.col("text") != accented).alias("changed"))

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from lakemill.catalogue.registry import query, table
 from lakemill.operators import clean, quality
+from lakemill.plans import feeds
 from lakemill.session import scratch_path
 from lakemill.sinks.tables import Lake, compact, with_day, write
 from lakemill.sources import csv_files
@@ -14,9 +15,9 @@ from lakemill.streaming import ledger
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
 
-def lake(spark, label, schemas=None):
+def lake(spark, label, schemas=None, buckets=None):
     path = scratch_path(spark, label)
-    return Lake(spark, os.path.basename(path).replace("-", "_"), path, schemas)
+    return Lake(spark, os.path.basename(path).replace("-", "_"), path, schemas, buckets)
 
 
 @query("dq_counts", " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS n_rows FROM {t}" for t in TABLES))
@@ -201,3 +202,47 @@ def ddl_registry(spark, sf):
     widths = {t: len(home.read(t).columns) for t in home.list_tables()}
     table_of = F.create_map(*[F.lit(x) for pair in widths.items() for x in pair])
     return counts.withColumn("n_columns", F.try_element_at(table_of, "table_name"))
+
+
+@query(
+    "time_range",
+    """SELECT event_id, event_type, value FROM events
+       WHERE ts >= TIMESTAMP '2024-01-05 06:30:00' AND ts < TIMESTAMP '2024-01-19 12:00:00'""",
+)
+def time_range(spark, sf):
+    """Events stored by day, read for a range of times: other days' files are not opened."""
+    home = lake(spark, "range")
+    home.replace("events", with_day(table(spark, sf, "events"), "ts"), partition_by=["ts_day"])
+    return home.read_between("events", "ts", "2024-01-05 06:30:00", "2024-01-19 12:00:00").select("event_id", "event_type", "value")
+
+
+@query(
+    "bucketed_replace",
+    """WITH one AS (SELECT o_custkey AS cust, o_totalprice AS amount,
+                    row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS rn FROM orders)
+       SELECT c_custkey AS cust, c_acctbal AS amount FROM customer WHERE c_custkey NOT IN (SELECT cust FROM one)
+       UNION ALL SELECT cust, amount FROM one WHERE rn = 1""",
+)
+def bucketed_replace(spark, sf):
+    """Each customer's row gives way to its largest order, in a table that lies in buckets by customer."""
+    home = lake(spark, "buckets", buckets={"accounts": (8, ["cust"])})
+    home.replace("accounts", table(spark, sf, "customer").select(F.col("c_custkey").alias("cust"), F.col("c_acctbal").alias("amount"), F.lit(None).cast("bigint").alias("o_orderkey")))
+    batch = table(spark, sf, "orders").select(F.col("o_custkey").alias("cust"), F.col("o_totalprice").alias("amount"), "o_orderkey")
+    return home.replace_by_key("accounts", batch, ["cust"], ["-amount", "o_orderkey"]).select("cust", "amount")
+
+
+@query(
+    "followed_counts",
+    """SELECT CASE WHEN o_custkey IS NULL THEN c_mktsegment ELSE 'BUYER' END AS segment, count(*) AS quantity
+       FROM customer LEFT JOIN (SELECT DISTINCT o_custkey FROM orders) ON c_custkey = o_custkey GROUP BY 1""",
+)
+def followed_counts(spark, sf):
+    """Customers per segment, kept up from two loads' changes: all customers, then those who ordered under another segment."""
+    home = lake(spark, "followed")
+    customers = table(spark, sf, "customer").select("c_custkey", F.col("c_mktsegment").alias("segment"))
+    buyers = table(spark, sf, "orders").select(F.col("o_custkey").alias("c_custkey"), F.lit("BUYER").alias("segment")).distinct()
+    log, counts = feeds.feed(home, "customers"), feeds.Runs(home, "_counts", "by_segment")
+    for run, batch in (("1", customers), ("2", buyers.join(customers, "c_custkey", "left_semi"))):
+        home.replace_by_key("customers", feeds.put_changes(home, "customers", run, batch, ["c_custkey"], []), ["c_custkey"], ["c_custkey"])
+        found = feeds.follow(counts, log, lambda rows: rows.groupBy("segment").agg(F.sum(feeds.SIGN).alias("quantity")), ["segment"])
+    return found
