@@ -98,7 +98,7 @@ def bound_batches(spark: SparkSession) -> None:
 
     Batches are bounded in rows by default, and ten thousand texts can be many megabytes, which are held on both sides.
     """
-    if spark.conf.get(_BATCH_SETTING, "-1") == "-1":
+    if spark.conf.get(_BATCH_SETTING, None) is None:
         spark.conf.set(_BATCH_SETTING, str(BATCH_BYTES))
 
 
