@@ -38,6 +38,14 @@ def test_line_threshold_counts_documents_not_lines(spark):
     assert lines.drop_shared_lines(df).agg(F.sum("n_dropped")).first()[0] == 0
 
 
+def test_a_text_of_very_many_shared_lines_takes_time_in_proportion(spark):
+    text = "\n".join(f"a line that is long enough, number {i}" for i in range(100_000))
+    rows = [(i, f"{text}\nline {i}") for i in range(3)]
+    got = {r["doc_id"]: r for r in lines.drop_shared_lines(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert [got[i]["n_dropped"] for i in range(3)] == [100_000, 100_000, 0]
+    assert (got[0]["kept_text"], got[2]["kept_text"]) == ("line 0", rows[2][1])
+
+
 def test_lines_of_odd_rows(spark):
     got = lines.drop_shared_lines(odd(spark, ["kept_text", "n_lines"])).collect()
     assert len(got) == 11
