@@ -81,13 +81,20 @@ def format_turns(turns: DataFrame) -> DataFrame:
 
 
 def examples(pieces: DataFrame) -> DataFrame:
-    """One row per assistant turn: the context is all text before it, only the reply is trained."""
+    """One row per assistant turn: the context is all text before it, only the reply is trained.
+
+    ``reply`` is the trained part of the formatted text, [``loss_start``, ``loss_end``); the
+    example reads [0, ``end``). Rows keep the order of ``pieces``. Assistant turns that are
+    repeated rows give an example each; no assistant turn, or an empty table: no row.
+    """
+    within = F.col("loss_start") - F.col("start") + 1
     return pieces.filter("trained").select(
         "conv_id",
         F.col("turn_no").alias("target_turn"),
         "loss_start",
         "loss_end",
         (F.col("start") + F.length("piece")).alias("end"),
+        F.col("piece").substr(within.cast("int"), (F.col("loss_end") - F.col("loss_start")).cast("int")).alias("reply"),
     )
 
 
@@ -103,42 +110,82 @@ def render(pieces: DataFrame, chosen: DataFrame) -> DataFrame:
     )
 
 
-def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = ("conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars", "n_examples", "example_chars")
-    kinds = (pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64())
-    now, state = object(), None
+class _Turns:
+    """What the formatted turns of a conversation say, as they come."""
 
-    def row(conv, s):
-        return (conv, s["turns"], s["all"].hexdigest(), s["loss_chars"], s["loss"].hexdigest(), s["chars"], s["examples"], s["example_chars"])
+    schema = "conv_id bigint, n_turns bigint, turns_sha256 string, formatted_chars bigint"
 
-    for batch in batches:
-        done = []
-        columns = (batch.column(c).to_pylist() for c in ("conv_id", "piece", "start", "loss_start", "loss_end"))
-        for conv, piece, start, loss_start, loss_end in zip(*columns, strict=True):
-            if state is None or conv != now:
-                if state is not None:
-                    done.append(row(now, state))
-                now, state = conv, dict(turns=0, all=hashlib.sha256(), loss=hashlib.sha256(), loss_chars=0, chars=0, examples=0, example_chars=0)
-            role, text = parse_piece(piece)
-            state["turns"] += 1
-            state["all"].update(f"{role}\n{text}\n".encode())
-            state["chars"] += len(piece)
-            if loss_start is not None:
-                reply = unescape(piece[loss_start - start : loss_end - start])
-                state["loss"].update(reply.encode())
-                state["loss_chars"] += len(reply)
-                state["examples"] += 1
-                state["example_chars"] += state["chars"]
-        if done:
-            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(zip(*done, strict=True), kinds, strict=True)], list(names))
-    if state is not None:
-        yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row(now, state), kinds, strict=True)], list(names))
+    def __init__(self):
+        self.turns, self.digest, self.chars = 0, hashlib.sha256(), 0
+
+    def add(self, piece: str) -> None:
+        role, text = parse_piece(piece)
+        self.digest.update(f"{role}\n{text}\n".encode())
+        self.turns, self.chars = self.turns + 1, self.chars + len(piece)
+
+    def row(self) -> tuple:
+        return self.turns, self.digest.hexdigest(), self.chars
+
+
+class _Replies:
+    """What the examples of a conversation train, as they come."""
+
+    schema = "conv_id bigint, loss_chars bigint, loss_sha256 string, n_examples bigint, example_chars bigint"
+
+    def __init__(self):
+        self.chars, self.digest, self.examples, self.example_chars = 0, hashlib.sha256(), 0, 0
+
+    def add(self, reply: str, end: int) -> None:
+        text = unescape(reply)
+        self.digest.update(text.encode())
+        self.chars, self.examples, self.example_chars = self.chars + len(text), self.examples + 1, self.example_chars + end
+
+    def row(self) -> tuple:
+        return self.chars, self.digest.hexdigest(), self.examples, self.example_chars
+
+
+def _by_conversation(rows: DataFrame, kind: type) -> DataFrame:
+    """One row for each run of rows of one conversation; one ``kind`` is held at a time, the first column being conv_id."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = [part.split()[0] for part in kind.schema.split(", ")]
+        types = [pa.string() if name.endswith("sha256") else pa.int64() for name in names]
+        give = lambda done: pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(zip(*done, strict=True), types, strict=True)], names)
+        now, state = None, None
+        for batch in batches:
+            done = []
+            for conv, *values in zip(*(column.to_pylist() for column in batch.columns), strict=True):
+                if state is None or conv != now:
+                    if state is not None:
+                        done.append((now, *state.row()))
+                    now, state = conv, kind()
+                state.add(*values)
+            if done:
+                yield give(done)
+        if state is not None:
+            yield give([(now, *state.row())])
+
+    return rows.mapInArrow(run, kind.schema)
 
 
 def read_back(pieces: DataFrame) -> DataFrame:
-    """Per conversation, what the formatted text and the loss spans say, roles and texts unescaped.
+    """Per conversation, what its formatted turns say and what its examples train, unescaped.
 
-    Takes the rows as ``format_turns`` leaves them, in order; what is held is two running digests.
+    Takes the rows as ``format_turns`` leaves them, in order: turns and ``examples`` are
+    streamed by conversation, so what is held is a running digest. A conversation without assistant
+    turns has no example: 0 characters, the digest of nothing. Null conv_id: one conversation. Repeated
+    rows count as they are; empty table: empty result.
     """
-    schema = "conv_id bigint, n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, formatted_chars bigint, n_examples bigint, example_chars bigint"
-    return pieces.select("conv_id", "piece", "start", "loss_start", "loss_end").mapInArrow(_read, schema)
+    told = _by_conversation(pieces.select("conv_id", "piece"), _Turns)
+    trained = _by_conversation(examples(pieces).select("conv_id", "reply", "end"), _Replies).withColumnRenamed("conv_id", "trained_id")
+    none = F.lit(0).cast("bigint")
+    return told.join(trained, F.col("conv_id").eqNullSafe(F.col("trained_id")), "left").select(
+        "conv_id",
+        "n_turns",
+        "turns_sha256",
+        F.coalesce("loss_chars", none).alias("loss_chars"),
+        F.coalesce("loss_sha256", F.sha2(F.lit(""), 256)).alias("loss_sha256"),
+        "formatted_chars",
+        F.coalesce("n_examples", none).alias("n_examples"),
+        F.coalesce("example_chars", none).alias("example_chars"),
+    )

@@ -2,20 +2,18 @@
 
 from __future__ import annotations
 
+from collections import Counter
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakemill.llm.lines import BLANKS
+from lakemill.llm.lines import BLANKS, let
 
 SHINGLE = 5
-ONE_IN = 8
+#: A text of n shingles has none below the fraction with odds of 1 in 2^n, so short texts, too, can be found in long ones.
+ONE_IN = 2
 BUCKET_ROWS = 20_000
-_LOWEST = -(1 << 63)
-
-
-def let(value: Column, use) -> Column:
-    """``use(value)`` with the value worked out once."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
+_LOWEST, _HIGHEST = -(1 << 63), (1 << 63) - 1
 
 
 def words_of(text: Column) -> Column:
@@ -85,13 +83,16 @@ def fingerprints(docs: DataFrame, text_col: str = "text", k: int = SHINGLE, one_
     return docs.withColumn("sketch", sketch(F.col(text_col), k, one_in))
 
 
-def _bounds(ids: DataFrame, bucket_rows: int) -> list[int]:
+def _bounds(ids: DataFrame, bucket_rows: int) -> tuple[list[int], dict[int, int]]:
+    """Lower bounds of the id ranges, and into how many parts an id that fills more than one range is cut."""
     n = ids.count()
     parts = max(int(ids.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-n // bucket_rows))
     if n == 0 or parts < 2:
-        return []
+        return [], {}
     points = [i / parts for i in range(1, parts)]
-    return sorted(set(ids.agg(F.percentile_approx("__k", points, max(10_000, 20 * parts))).first()[0]))
+    found = Counter(ids.agg(F.percentile_approx("__k", points, max(10_000, 20 * parts))).first()[0])
+    hot = {k: times + 1 for k, times in found.items() if times > 1}
+    return sorted({*found, *(k + 1 for k in hot if k < _HIGHEST)}), hot
 
 
 def _bucket(key: Column, bounds: list[int]) -> Column:
@@ -110,26 +111,42 @@ def with_next(docs: DataFrame, id_col: str, tie_col: str, carry: list[str], buck
     After the last row comes the first. Rows are dealt into id ranges of about
     ``bucket_rows`` rows whose bounds come from an approximate quantile of the id column
     alone, and each range is one window; the first row of the following range is added to
-    it for the time being. So no task sees all rows, and texts are shuffled once. Null ids
-    come last; rows with one id are ordered by ``tie_col``. One row: its own successor.
+    it for the time being. An id that fills several ranges is cut by ``tie_col`` into as many. So no task
+    sees all rows, and texts are shuffled once. Null ids come last; rows with one id are ordered
+    by ``tie_col``, a bigint spread over its whole range, such as a hash. Rows equal in both meet in
+    one range. One row: its own successor.
     """
+    spark = docs.sparkSession
     key = F.coalesce(F.col(id_col), F.lit(_LOWEST))
-    ids = docs.select(key.alias("__k"))
-    bounds = _bounds(ids, bucket_rows)
+    bounds, hot = _bounds(docs.select(key.alias("__k")), bucket_rows)
     placed = docs.withColumn("__k", key).withColumn("__b", _bucket(F.col("__k"), bounds))
+    if hot:  # fewer ids than ranges
+        cuts = F.broadcast(spark.createDataFrame(list(hot.items()), "__hot bigint, __parts int"))
+        share = F.floor((F.col(tie_col) / F.lit(float(1 << 64)) + 0.5) * F.col("__parts")).cast("int")
+        part = F.coalesce(F.least(share, F.col("__parts") - 1), F.lit(0))
+        placed = placed.join(cuts, F.col("__k") == F.col("__hot"), "left").withColumn("__p", part)
+        # The first of a part is known by its tie; of any other range all rows of the largest id come along.
+        first = F.min(F.when(F.col("__hot").isNotNull(), F.col(tie_col)))
+        placed = placed.drop("__parts")
+    else:
+        placed, first = placed.withColumn("__p", F.lit(0)), F.lit(None).cast("bigint")
     # One row per range: the largest id of each.
-    tops = sorted(ids.groupBy(_bucket(F.col("__k"), bounds).alias("b")).agg(F.max("__k").alias("k")).collect(), reverse=True)
-    moves = [(tops[(i + 1) % len(tops)]["k"], tops[i]["b"]) for i in range(len(tops))]
-    spark = docs.sparkSession
-    heads = F.broadcast(spark.createDataFrame(moves, "__head bigint, __to int")) if moves else None
+    tops = placed.groupBy("__b", "__p").agg(F.max("__k").alias("k"), first.alias("t")).collect()
+    tops.sort(key=lambda r: (-r["__b"], r["__p"]))
+    following = tops[1:] + tops[:1]
+    moves = [(after["k"], after["t"], now["__b"], now["__p"]) for now, after in zip(tops, following, strict=True)]
+    placed = placed.drop("__hot")
     rows = placed.withColumn("__guest", F.lit(False))
-    if heads is not None:
-        guests = placed.join(heads, F.col("__k") == F.col("__head")).withColumn("__b", F.col("__to")).drop("__head", "__to")
+    if moves:
+        heads = F.broadcast(spark.createDataFrame(moves, "__head bigint, __head_tie bigint, __to int, __to_part int"))
+        met = (F.col("__k") == F.col("__head")) & (F.col("__head_tie").isNull() | (F.col(tie_col) == F.col("__head_tie")))
+        guests = placed.join(heads, met).withColumn("__b", F.col("__to")).withColumn("__p", F.col("__to_part"))
+        guests = guests.dropDuplicates(["__b", "__p", tie_col]).drop("__head", "__head_tie", "__to", "__to_part")
         rows = rows.unionByName(guests.withColumn("__guest", F.lit(True)))
-    order = Window.partitionBy("__b").orderBy("__guest", F.col("__k").desc(), F.col(tie_col))
+    order = Window.partitionBy("__b", "__p").orderBy("__guest", F.col("__k").desc(), F.col(tie_col))
     for c in carry:
         rows = rows.withColumn(f"next_{c}", F.lead(c).over(order))
-    return rows.filter(~F.col("__guest")).drop("__k", "__b", "__guest")
+    return rows.filter(~F.col("__guest")).drop("__k", "__b", "__p", "__guest")
 
 
 def edit_likeness(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

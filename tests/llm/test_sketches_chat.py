@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from lakemill.llm import chat, sketches
@@ -42,14 +43,71 @@ def test_sketch_keeps_exactly_the_low_hashes_and_merges(spark):
     a, b = words(rng, 300), words(rng, 500)
     df = spark.createDataFrame([(a, b)], "a string, b string")
     both = df.select(
-        sketches.shingle_hashes(F.col("a")).alias("h"), sketches.sketch(F.col("a")).alias("s"), sketches.sketch(F.col("b")).alias("t")
-    ).withColumn("m", sketches.merge(F.col("s"), F.col("t"))).first()
+        sketches.shingle_hashes(F.col("a")).alias("h"), sketches.sketch(F.col("a"), one_in=8).alias("s"), sketches.sketch(F.col("b"), one_in=8).alias("t")
+    ).withColumn("m", sketches.merge(F.col("s"), F.col("t"), one_in=8)).first()
     below = -(1 << 63) + (1 << 61)
     assert len(both["h"]) == 296
     assert both["s"] == sorted({x for x in both["h"] if x < below})
     assert both["m"] == sorted(set(both["s"]) | set(both["t"]))
 
 
+def test_next_row_where_one_id_has_a_third_of_the_rows(spark):
+    rng = random.Random(5)
+    tie = lambda: rng.randrange(-(1 << 63), 1 << 63)
+    rows = [(i, tie()) for i in range(300)] + [(None, tie()) for _ in range(300)] + [(150, tie()) for _ in range(200)]
+    rows += [(150, rows[-1][1])] * 2
+    rows = [(i, t, f"{i}:{t}") for i, t in rows]
+    df = spark.createDataFrame(rows, "id bigint, tie bigint, text string").repartition(5)
+    plain = df.select(F.coalesce("id", F.lit(-(1 << 63))).alias("__k"))
+    assert sketches._bounds(plain, 20)[1]
+    down = [r[2] for r in sorted(rows, key=lambda r: (-(r[0] if r[0] is not None else -(1 << 63)), r[1]))]
+    got = [(r["text"], r["next_text"]) for r in sketches.with_next(df, "id", "tie", ["text"], bucket_rows=20).collect()]
+    assert sorted(got) == sorted(zip(down, down[1:] + down[:1], strict=True))
+
+
+def plain_sketch(text, k=5, one_in=sketches.ONE_IN):
+    """Hashes of word runs by the public hash function, each word's seeded with the hash so far."""
+    ws = text.lower().split()
+    runs = [ws[i : i + k] for i in range(max(len(ws) - k + 1, min(len(ws), 1)))]
+    found = set()
+    for run in runs:
+        h = 42
+        for w in run:
+            h = xxhash.xxh64_intdigest(w.encode(), h)
+        found.add(h - (1 << 64) if h >> 63 else h)
+    low = {h for h in found if h < -(1 << 63) + (1 << 64) // one_in}
+    return low or set(sorted(found)[:1])
+
+
+def plain_likeness(a, b):
+    a, b = plain_sketch(a), plain_sketch(b)
+    return 1.0 if not a and not b else len(a & b) / min(len(a), len(b)) if a and b else 0.0
+
+
+def test_likeness_against_plain_hashes(spark):
+    rng = random.Random(6)
+    rows = [(i, words(rng, rng.choice([0, 1, 4, 5, 6, 12, 40, 300]), "abcd")) for i in range(80)] + [(90, None), (91, "x" * 9 + " y")]
+    got = {r["doc_id"]: r for r in sketches.edit_likeness(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    ordered = sorted(rows, key=lambda r: -r[0])
+    for (i, text), (_, after) in zip(ordered, ordered[1:] + ordered[:1], strict=True):
+        text, after = text or "", after or ""
+        m = len(text) // 3
+        edited = text[: len(text) - m] + after[:m]
+        hexed = lambda t: "".join(f"{h & (1 << 64) - 1:016x}" for h in sorted(plain_sketch(t)))
+        assert (got[i]["fingerprint"], got[i]["edited_fingerprint"]) == (hexed(text), hexed(edited))
+        assert got[i]["near_edited"] == pytest.approx(plain_likeness(text, edited))
+        assert got[i]["near_next"] == pytest.approx(plain_likeness(text, after))
+
+
+def test_short_texts_are_found_in_long_ones(spark):
+    rng = random.Random(8)
+    long_texts = [words(rng, 300, "abcdefghijklmnop") for _ in range(200)]
+    rows = [(" ".join(t.split()[50:62]), t) for t in long_texts]
+    both = spark.createDataFrame(rows, "a string, b string")
+    near = [r["x"] for r in both.select(sketches.containment(sketches.sketch(F.col("a")), sketches.sketch(F.col("b"))).alias("x")).collect()]
+    assert sum(x == 1.0 for x in near) >= 195
+
+
 def test_sketches_of_odd_rows(spark):
     got = sketches.edit_likeness(odd(spark, ["sketch", "tie"])).collect()
     assert len(got) == 11
@@ -103,4 +161,10 @@ def test_each_reply_is_one_example_with_all_turns_before_it(spark):
         assert chat.unescape(r["text"][r["loss_start"] : r["loss_end"]]) == reply
         assert r["text"].count(chat.TAIL) == turns
     assert got[1]["text"].startswith(got[0]["text"])
+    told = chat.read_back(pieces).first()
+    made = chat.examples(pieces).collect()
+    assert [chat.unescape(r["reply"]) for r in made] == ["hello", "### there"]
+    assert (told["n_examples"], told["example_chars"]) == (2, sum(len(r["text"]) for r in got))
+    silent = chat.read_back(chat.format_turns(spark.createDataFrame([(3, 0, "user", "alone")], TURNS))).first()
+    assert (silent["loss_chars"], silent["n_examples"], silent["loss_sha256"]) == (0, 0, hashlib.sha256(b"").hexdigest())
     assert chat.read_back(chat.format_turns(spark.createDataFrame([], TURNS))).count() == 0
