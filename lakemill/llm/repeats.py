@@ -17,7 +17,8 @@ it can match, and only what is still open is indexed:
    streamed backwards through the runs; a place whose interval begins earlier is a repeat.
    An anchor with very many stretches would make a hot group: its windows are dealt by
    their own hashes instead, again only the first of each batch.
-3. Spans found by all of these are gathered per document and cut out of the text.
+3. Spans found by all of these are dealt by document, packed, gathered there into one row
+   per document, and cut out of the text.
 """
 
 from __future__ import annotations
@@ -50,6 +51,7 @@ RUN = (("h", "u8"), ("u", "u8"), ("id", "i8"), ("tag", "i8"), ("lo", "i4"), ("n"
 REP = (("h", "u8"), ("id", "i8"), ("tag", "i8"), ("lo", "i4"), ("n", "u2"))
 WINDOW = (("a", "u8"), ("b", "u8"), ("id", "i8"), ("tag", "i8"), ("lo", "i4"))
 FOUND = (("id", "i8"), ("tag", "i8"), ("lo", "i4"), ("hi", "i4"))
+STILL_OPEN = (("id", "i8"), ("tag", "i8"), ("h", "u8"), ("lo", "i4"), ("n", "u2"), ("hot", "u1"))
 #: Per document, row by row: spans, and stretches still open.
 SPANS = np.dtype([("lo", "<i4"), ("hi", "<i4")])
 OPEN = np.dtype([("h", "<u8"), ("lo", "<i4"), ("n", "<u2"), ("hot", "u1")])
@@ -204,7 +206,20 @@ def _by_document(found: list[np.ndarray], opened: list[np.ndarray]) -> pa.Record
     return pa.RecordBatch.from_arrays(columns, ["key", "tag", "spans", "reps"])
 
 
-NOTHING_OPEN = [np.empty(0, t) for t in ("i8", "i8", "u8", "i4", "u2", "u1")]
+def _to_documents(shards: int, found: list[np.ndarray], opened: list[np.ndarray] | None = None) -> Iterator[pa.RecordBatch]:
+    """Spans, and open stretches, packed for the shards of their documents."""
+    parts = dealt("found", doc_shard(found[0], found[1], shards), FOUND, found)
+    if opened is not None:
+        parts += dealt("open", doc_shard(opened[0], opened[1], shards), STILL_OPEN, opened)
+    if parts:
+        yield _part_batch(parts)
+
+
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row for each document of a partition, which has all of a shard; documents with open stretches have ``reps``."""
+    blobs = _blobs(batches)
+    if blobs:
+        yield _by_document(unpack(FOUND, blobs.get("found", [])), unpack(STILL_OPEN, blobs.get("open", [])))
 
 
 def pairs(lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
@@ -226,7 +241,7 @@ def _blobs(batches: Iterator[pa.RecordBatch]) -> dict[str, list[bytes]]:
     return out
 
 
-def _first_of_equal(span: int, hot: int):
+def _first_of_equal(shards: int, span: int, hot: int):
     """Of a shard's equal stretches all but the first are repeats; different ones with one anchor stay open."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -248,7 +263,7 @@ def _first_of_equal(span: int, hot: int):
         once = _distinct(known)
         known = [c[once] for c in known]
         found = [np.concatenate([k, c[~new]]) for k, c in zip(known, (ids, tags, lo, far.astype(np.int32)), strict=True)]
-        yield _by_document(found, [*(c[opened] for c in (ids, tags, h, lo, n)), (kinds[group[opened]] > hot).astype(np.uint8)])
+        yield from _to_documents(shards, found, [*(c[opened] for c in (ids, tags, h, lo, n)), (kinds[group[opened]] > hot).astype(np.uint8)])
 
     return run
 
@@ -400,7 +415,7 @@ def _open_texts(blobs: list[bytes]) -> tuple[list[np.ndarray], list[bytes]]:
     return unpack(REP, rows), texts
 
 
-def _indexed(span: int):
+def _indexed(shards: int, span: int):
     """Repeats among the open texts of a shard, by indexes over whole anchors' texts, and among its single windows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -434,8 +449,7 @@ def _indexed(span: int):
             found.append([ids[owner], tags[owner], places, places + span])
             a = b
         merged = [np.concatenate(c) for c in zip(*found, strict=True)]
-        if len(merged[0]):
-            yield _by_document(merged, NOTHING_OPEN).select(["key", "tag", "spans"])
+        yield from _to_documents(shards, merged)
 
     return run
 
@@ -486,14 +500,18 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         F.coalesce(F.col(id_col).cast("bigint"), F.lit(_LOWEST)).alias("key"), F.xxhash64(text).alias("tag"), text.alias("text")
     )
     runs = own.mapInArrow(_anchors(shards, span), PART)
-    known = cut(runs.repartition(shards, "shard").mapInArrow(_first_of_equal(span, hot), DOC))
-    opened = known.filter(F.length("reps") > 0).groupBy(F.col("key").alias("k"), F.col("tag").alias("t")).agg(F.collect_list("reps").alias("all"))
+
+    def gathered(parts: DataFrame) -> DataFrame:
+        return parts.repartition(shards, "shard").mapInArrow(_gathered, DOC)
+
+    # One row per document, however many shards its stretches lie in.
+    known = cut(gathered(runs.repartition(shards, "shard").mapInArrow(_first_of_equal(shards, span, hot), PART)))
+    opened = known.filter(F.length("reps") > 0).select(F.col("key").alias("k"), F.col("tag").alias("t"), F.array("reps").alias("all"))
     same = (F.col("key") == F.col("k")) & (F.col("tag") == F.col("t"))
     wide = own.join(opened, same).select("key", "tag", "text", F.col("all").alias("reps"))
-    late = wide.mapInArrow(_texts_of_open(shards, span), PART).repartition(shards, "shard").mapInArrow(_indexed(span), "key bigint, tag bigint, spans binary")
-    spans = known.select("key", "tag", "spans").filter(F.length("spans") > 0).unionByName(late)
-    gathered = spans.groupBy(F.col("key").alias("k"), F.col("tag").alias("t")).agg(F.collect_list("spans").alias("spans"))
-    done = own.join(gathered, same, "left").select("key", "text", "spans")
+    late = gathered(wide.mapInArrow(_texts_of_open(shards, span), PART).repartition(shards, "shard").mapInArrow(_indexed(shards, span), PART))
+    spans = known.unionByName(late).filter(F.length("spans") > 0).groupBy(F.col("key").alias("k"), F.col("tag").alias("t")).agg(F.collect_list("spans").alias("spans"))
+    done = own.join(spans, same, "left").select("key", "text", "spans")
     schema = "key bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary"
     cut_texts = done.mapInArrow(_cut(keep_bytes), schema)
     back = F.when(F.col("key") != _LOWEST, F.col("key")).alias(id_col)

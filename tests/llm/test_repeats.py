@@ -129,3 +129,19 @@ def test_long_row_given_twice_keeps_its_bytes(spark):
     df = spark.createDataFrame([(1, text), (1, text), (2, "-" + text[100:400]), (None, text + "+"), (None, text + "+")], DOCS).repartition(4)
     got = sorted((r["doc_id"] or 0, r["n_bytes"], r["n_removed"]) for r in repeats.remove_repeats(df).collect())
     assert got == [(0, 501, 0), (0, 501, 0), (1, 500, 500), (1, 500, 500), (2, 301, 300)]
+
+
+def test_rows_of_found_places_do_not_grow_with_the_shards(spark, monkeypatch):
+    rng = random.Random(13)
+    passages = ["".join(rng.choices("abcdefghij", k=150)) for _ in range(60)]
+    rows = [(i, "-".join(rng.sample(passages, 20))) for i in range(80)]
+    noted, real = [], repeats.cut
+    monkeypatch.setattr(repeats, "cut", lambda df: noted.append(real(df)) or noted[-1])
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        got = {r["doc_id"]: tuple(r)[1:] for r in repeats.remove_repeats(spark.createDataFrame(rows, DOCS).repartition(5)).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert got == brute(rows)
+    assert noted[0].count() <= len(rows)
