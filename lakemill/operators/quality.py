@@ -66,9 +66,10 @@ def most_mentioned(entities: DataFrame, bridge: DataFrame, n: int = 20) -> DataF
 
 def samples_per_type(entities: DataFrame, bridge: DataFrame, n: int = 5) -> DataFrame:
     """The first n names of each type, in order."""
-    named = entities.join(bridge.filter(F.col("entityName").isNotNull()), "entityID").select(
-        "entityType", "entityDetail", "entityName"
-    )
+    # Types are few, so joining all names to them would bring those of a type to one task: each id is cut to n names first.
+    names = bridge.filter(F.col("entityName").isNotNull()).select("entityID", "entityName")
+    few = first_in_group(names, ["entityID"], ["entityName"], n).drop("rn")
+    named = entities.join(few, "entityID").select("entityType", "entityDetail", "entityName")
     return first_in_group(named, ["entityType"], ["entityName"], n).withColumnRenamed("entityName", "sample_value")
 
 

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lakemill.functions import minitext, scalar, spans
-from lakemill.operators import aggregates, bounds, keys, windows
+from lakemill.operators import aggregates, bounds, keys, quality, windows
 from lakemill.plans import silver, social
 from lakemill.operators import scoring
 from lakemill.sinks.tables import Lake, write
@@ -203,3 +203,14 @@ def test_object_store_settings():
     assert conf["spark.hadoop.fs.s3a.endpoint"] == "http://store:9000"
     assert (conf["spark.hadoop.fs.s3a.access.key"], conf["spark.hadoop.fs.s3a.secret.key"]) == ("key", "word")
     assert conf["spark.hadoop.fs.s3a.connection.ssl.enabled"] == "true" == conf["spark.hadoop.fs.s3a.path.style.access"]
+
+
+def test_samples_cut_names_before_they_meet_their_type(spark):
+    entities = spark.createDataFrame([(1, "MAJ", "m"), (2, "ORG", "o"), (3, "MAJ", "m")], "entityID int, entityType string, entityDetail string")
+    bridge = spark.createDataFrame([(1 + i % 3, f"n{i // 6:03}") for i in range(90)] + [(2, None), (9, "a")], "entityID int, entityName string")
+    got = quality.samples_per_type(entities, bridge)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" in plan[plan.rindex("Join") :]
+    assert rows(got, "entityType", "sample_value", "rn") == sorted(
+        [("MAJ", f"n{i // 4:03}", i + 1) for i in range(5)] + [("ORG", f"n{i // 2:03}", i + 1) for i in range(5)]
+    )
