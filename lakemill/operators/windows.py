@@ -1,7 +1,8 @@
 """Measures that compare rows of one group.
 
 A window puts a whole group in one task. Where that could be too much, the group is
-either aggregated first or ranked through a distributed sort.
+either aggregated first or ranked through a distributed sort. Groups are counted in
+``counted``, if given: stored rows with the same groups, so that ``df`` is not worked out for that.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ def group_mean(
     digits: int = 2,
     group_rows: int = GROUP_ROWS,
     n_rows: int | None = None,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Each row with its group's mean.
 
@@ -30,7 +32,7 @@ def group_mean(
     """
     window = Window.partitionBy(*by)
     exact = F.col(value).cast(MONEY)
-    hot = hot_groups(df, by, group_rows, n_rows)
+    hot = hot_groups(df if counted is None else counted, by, group_rows, n_rows)
     if hot is None:
         return df.withColumn(name, F.round(F.avg(exact).over(window), digits).cast("double"))
     cold = join_keys(df, checked_broadcast(hot), by, "left_anti")
@@ -50,6 +52,7 @@ def period_delta(
     ties: tuple[str, ...] = (),
     group_rows: int = GROUP_ROWS,
     n_rows: int | None = None,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Change against the previous period that exists, 0 in the first.
 
@@ -59,7 +62,7 @@ def period_delta(
     """
     window = Window.partitionBy(*by).orderBy(period, *ties)
     before = "__before"
-    hot = hot_groups(df, by, group_rows, n_rows)
+    hot = hot_groups(df if counted is None else counted, by, group_rows, n_rows)
     if hot is None:
         paired = df.withColumn(before, F.lag(value).over(window))
     else:
@@ -85,6 +88,7 @@ def rank_in_group(
     dense: bool = False,
     group_rows: int = GROUP_ROWS,
     n_rows: int | None = None,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """``row_number`` (or ``dense_rank``) inside each group.
 
@@ -93,7 +97,7 @@ def rank_in_group(
     """
     window = Window.partitionBy(*by).orderBy(*order_columns(order))
     rank = F.dense_rank() if dense else F.row_number()
-    hot = hot_groups(df, by, group_rows, n_rows)
+    hot = hot_groups(df if counted is None else counted, by, group_rows, n_rows)
     if hot is None:
         return df.withColumn(name, rank.over(window))
     cold = join_keys(df, checked_broadcast(hot), by, "left_anti").withColumn(name, rank.over(window))

@@ -67,20 +67,20 @@ def fact_benchmark(benchmark: DataFrame, dims: dict[str, DataFrame], group_rows:
     )
     # Read by each of the steps below, so it is made once. No group has more rows than all.
     facts = cut(resolved)
-    n_rows = facts.count()
+    n_rows, stored = facts.count(), facts
     method = ["selectionMethodKey", "gradingScaleKey"]
-    facts = windows.group_mean(facts, ["timeKey", "schoolKey", "majorKey", *method], "score", "avgScoreByMajor", group_rows=group_rows, n_rows=n_rows)
+    facts = windows.group_mean(facts, ["timeKey", "schoolKey", "majorKey", *method], "score", "avgScoreByMajor", group_rows=group_rows, n_rows=n_rows, counted=stored)
     facts = windows.period_delta(
         facts, ["schoolKey", "majorKey", *method, "subjectGroupKey"], "timeKey", "avgScoreByMajor", "yearlyScoreGap",
-        ties=("schoolId", "majorId", "subjectGroupId", "score"), group_rows=group_rows, n_rows=n_rows,
+        ties=("schoolId", "majorId", "subjectGroupId", "score"), group_rows=group_rows, n_rows=n_rows, counted=stored,
     )
     facts = windows.rank_in_group(
         facts, ["timeKey", "schoolKey", *method], ["-avgScoreByMajor", "majorKey"], "rankAmongMajors", dense=True,
-        group_rows=group_rows, n_rows=n_rows,
+        group_rows=group_rows, n_rows=n_rows, counted=stored,
     )
     facts = windows.rank_in_group(
         facts, ["timeKey", "majorKey", *method], ["-avgScoreByMajor", "schoolKey"], "rankAmongSchools", dense=True,
-        group_rows=group_rows, n_rows=n_rows,
+        group_rows=group_rows, n_rows=n_rows, counted=stored,
     )
     order = ["timeKey", "schoolKey", "majorKey", *method, "subjectGroupKey", "score", "schoolId", "majorId"]
     return surrogate_key(facts, "benchmarkKey", order).select(
