@@ -115,7 +115,8 @@ def train_heads(spark, sf):
     fitted = heads.fit_heads(
         rows.filter("split = 'train'"), "id", "text", "tags", "topics", "intent", ["UNIVERSITY", "LANGUAGE", "CAREER"], features=1 << 12, iterations=10
     )
-    found = heads.score_posts(rows, "id", "text", fitted)
+    # Written once: the report reads it for each head, and the result once more.
+    found = cut(heads.score_posts(rows, "id", "text", fitted))
     report = heads.evaluate_heads(found.filter("split = 'test'"), "tags", "topics", "intent")
     good = report.filter("head = 'overall'").select((F.col("f1") >= 0.6).alias("good"))
     scored = F.col("Label_NER").isNotNull() & F.col("Label_Topic").isNotNull() & F.col("Label_Intent").isNotNull()

@@ -6,7 +6,7 @@ from lakemill.catalogue.entities import TOKENS, rule_tags, span_sql, tag_sql
 from lakemill.catalogue.registry import query, table, wide_table
 from lakemill.functions.scalar import words
 from lakemill.operators import evaluation, scoring, training
-from lakemill.session import spread
+from lakemill.session import cut, spread
 
 GOOD, BAD = ["the", "la", "der"], ["of", "de", "die"]
 
@@ -157,9 +157,10 @@ def train_tags(spark, sf):
     rows = spread(table(spark, sf, "conversations")).select(
         F.concat_ws("/", "conv_id", "turn").alias("id"), words("text").alias("tokens"), words(rule_tags("text")).alias("tags")
     )
-    parts = evaluation.hash_split(rows, "id", {"train": 70, "test": 30})
+    parts = cut(evaluation.hash_split(rows, "id", {"train": 70, "test": 30}))
     model = training.fit_tags(parts.filter("split = 'train'"), "id", "tokens", "tags", features=1 << 12, iterations=10)
-    tagged = parts.join(training.predict_tags(model, parts, "id", "tokens"), "id", "left")
+    # Written once: the verdict and the result read it.
+    tagged = cut(parts.join(training.predict_tags(model, parts, "id", "tokens"), "id", "left"))
     truth = tagged.filter("split = 'test'").select(F.array_join("tags", " ").alias("truth"), "predicted")
     quality = evaluation.evaluate_ner(truth, "truth", "predicted")
     aligned = F.size(words(F.coalesce("predicted", F.lit("")))) == F.size("tokens")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from math import log
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import HashingTF, IDF, RegexTokenizer, StringIndexer
 from pyspark.ml.functions import vector_to_array
@@ -18,23 +18,30 @@ from lakemill.session import cut
 FEATURES = 1 << 14
 
 
-def _features(text: str, size: int) -> list:
-    return [
-        RegexTokenizer(inputCol=text, outputCol="__words", pattern=r"\s+"),
-        HashingTF(inputCol="__words", outputCol="__tf", numFeatures=size),
-        IDF(inputCol="__tf", outputCol="__features"),
-    ]
+def _counted(text: str, size: int) -> list:
+    return [RegexTokenizer(inputCol=text, outputCol="__words", pattern=r"\s+"), HashingTF(inputCol="__words", outputCol="__tf", numFeatures=size)]
+
+
+def _held_features(df: DataFrame, text: str, keep: list[str], size: int) -> tuple[list, DataFrame]:
+    """The fitted feature stages, and ``keep`` with the features.
+
+    Many passes read them, so word counts are worked out once and written, not the texts.
+    """
+    counted = _counted(text, size)
+    held = df.select(text, *keep)
+    for stage in counted:
+        held = stage.transform(held)
+    held = cut(held.select(*keep, "__tf"))
+    weighed = IDF(inputCol="__tf", outputCol="__features").fit(held)
+    return [*counted, weighed], weighed.transform(held).drop("__tf")
 
 
 def fit_single_label(df: DataFrame, text: str, label: str, features: int = FEATURES, iterations: int = 20) -> PipelineModel:
-    """Intent head: one label per row. The input is read in many passes, so it is held."""
-    held = cut(df.select(text, label))
-    stages = [
-        StringIndexer(inputCol=label, outputCol="__label", stringOrderType="alphabetAsc"),
-        *_features(text, features),
-        LogisticRegression(featuresCol="__features", labelCol="__label", maxIter=iterations, regParam=0.01),
-    ]
-    return Pipeline(stages=stages).fit(held)
+    """Intent head: one label per row."""
+    stages, ready = _held_features(df, text, [label], features)
+    index = StringIndexer(inputCol=label, outputCol="__label", stringOrderType="alphabetAsc").fit(ready)
+    head = LogisticRegression(featuresCol="__features", labelCol="__label", maxIter=iterations, regParam=0.01)
+    return PipelineModel(stages=[index, *stages, head.fit(index.transform(ready))])
 
 
 def predict_single_label(model: PipelineModel, df: DataFrame, name: str = "predicted") -> DataFrame:
@@ -48,10 +55,9 @@ def predict_single_label(model: PipelineModel, df: DataFrame, name: str = "predi
 
 def fit_multi_label(df: DataFrame, text: str, labels: str, names: list[str], features: int = FEATURES, iterations: int = 20):
     """Topic head: one classifier per label over shared features."""
-    held = cut(df.select(text, labels))
-    shared = Pipeline(stages=_features(text, features)).fit(held)
+    stages, held = _held_features(df, text, [labels], features)
     marks = {f"__is_{i}": F.array_contains(labels, n).cast("double") for i, n in enumerate(names)}
-    ready = shared.transform(held).withColumns(marks)
+    ready = held.withColumns(marks)
     heads = [
         LogisticRegression(
             featuresCol="__features", labelCol=f"__is_{i}", maxIter=iterations, regParam=0.01,
@@ -59,7 +65,7 @@ def fit_multi_label(df: DataFrame, text: str, labels: str, names: list[str], fea
         ).fit(ready)
         for i in range(len(names))
     ]
-    return shared, heads
+    return PipelineModel(stages=stages), heads
 
 
 def predict_multi_label(model, df: DataFrame, names: list[str], threshold: float = 0.5, name: str = "predicted") -> DataFrame:

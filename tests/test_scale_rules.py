@@ -8,14 +8,15 @@ import pytest
 from pyspark.sql import functions as F
 
 from lakemill.functions import minitext, scalar, spans
-from lakemill.operators import aggregates, bounds, keys, quality, windows
+from lakemill.catalogue import flows
+from lakemill.operators import aggregates, bounds, keys, quality, training, windows
 from lakemill.plans import silver, social
 from lakemill.operators import scoring
 from lakemill.sinks.tables import Lake, write
 from lakemill.sources import csv_files
 from lakemill.streaming import ledger
 
-from .conftest import RUN_TS, rows
+from .conftest import RUN_TS, SMALL, rows
 from .test_files import load, put
 
 
@@ -214,3 +215,20 @@ def test_samples_cut_names_before_they_meet_their_type(spark):
     assert rows(got, "entityType", "sample_value", "rn") == sorted(
         [("MAJ", f"n{i // 4:03}", i + 1) for i in range(5)] + [("ORG", f"n{i // 2:03}", i + 1) for i in range(5)]
     )
+
+
+def test_fact_benchmark_counts_groups_in_stored_rows(spark, monkeypatch):
+    seen, real = [], windows.hot_groups
+    monkeypatch.setattr(windows, "hot_groups", lambda df, *rest: seen.append(df.columns) or real(df, *rest))
+    assert flows.fact_benchmark(spark, SMALL).count() > 0
+    assert len(seen) == 4 and not any("avgScoreByMajor" in columns for columns in seen)
+
+
+def test_heads_are_fitted_on_written_features(spark, monkeypatch):
+    seen, real = [], training.cut
+    monkeypatch.setattr(training, "cut", lambda df: seen.append(df.columns) or real(df))
+    df = spark.createDataFrame([("a b", "x", ["p"]), ("b c", "y", ["q"])] * 5, "text string, label string, labels array<string>")
+    model = training.fit_single_label(df, "text", "label", 64, 3)
+    assert {r["label"] == r["predicted"] for r in training.predict_single_label(model, df).collect()} == {True}
+    training.fit_multi_label(df, "text", "labels", ["p", "q"], 64, 3)
+    assert seen == [["label", "__tf"], ["labels", "__tf"]]
