@@ -99,6 +99,8 @@ def complete_sum(facts: DataFrame, by: list[str], member: str, value: str, membe
     return totals.filter("__have = __need").select(*by, group, F.col("__sum").cast("double").alias(name))
 
 
+#: Ten-thousandths; values below the bound, in sums of at most so many, stay whole numbers below 2⁵³ of them.
+SCORE_UNITS, PLAIN_SCORE, PLAIN_MEMBERS = 10_000.0, 1e5, 1_000_000
 #: First members up to which the index of groups is looked up inside the row.
 INDEX_MEMBERS = 200
 
@@ -119,6 +121,10 @@ def complete_sum_of_maps(df: DataFrame, keep: list[str], scores: str, members: D
     distinct sets of keys are joined to it, which are far fewer than the rows, and the
     rows to what their set holds. Either way sums are made in the row, before the groups
     found are exploded, so no map is copied. A member whose value is NULL is missing.
+
+    Sums are those of decimals with four places. Values that have no more places and are
+    not large are summed as whole ten-thousandths, which a double holds exactly: the sum's
+    quotient is then the double nearest to the decimal sum, as is the decimal's cast.
     """
     index = group_index(members, group)
     keys = F.map_keys(F.map_filter(scores, lambda _k, v: v.isNotNull()))
@@ -142,14 +148,21 @@ def complete_sum_of_maps(df: DataFrame, keep: list[str], scores: str, members: D
         complete = cut(held.groupBy("__keys").agg(F.collect_list("__g").alias("__found")))
         met = keyed.join(checked_broadcast(complete), "__keys")
     zero = F.lit(0).cast("decimal(28,4)")
-
-    def total(held: Column, g: Column) -> Column:
-        add = lambda acc, k: (acc + F.try_element_at(held, k).cast(SCORE)).cast("decimal(28,4)")
-        return F.struct(g["group"].alias("group"), F.aggregate(g["members"], zero, add).alias("total"))
-
-    sums = let(F.struct(F.col("__map").alias("m"), F.col("__found").alias("f")), lambda s: F.transform(s["f"], lambda g: total(s["m"], g)))
+    units = lambda v: F.rint(v * SCORE_UNITS)
+
+    def total(s: Column, g: Column) -> Column:
+        add = lambda acc, k: (acc + F.try_element_at(s["m"], k).cast(SCORE)).cast("decimal(28,4)")
+        count = lambda acc, k: acc + units(F.try_element_at(s["m"], k))
+        exact = F.aggregate(g["members"], zero, add).cast("double")
+        whole = F.aggregate(g["members"], F.lit(0.0), count) / SCORE_UNITS
+        few = s["plain"] & (F.size(g["members"]) <= PLAIN_MEMBERS)
+        return F.struct(g["group"].alias("group"), F.when(few, whole).otherwise(exact).alias("total"))
+
+    plain = F.forall(F.map_values("__map"), lambda v: v.isNull() | ((F.abs(v) < PLAIN_SCORE) & (units(v) / SCORE_UNITS == v)))
+    held = F.struct(F.col("__map").alias("m"), F.col("__found").alias("f"), plain.alias("plain"))
+    sums = let(held, lambda s: F.transform(s["f"], lambda g: total(s, g)))
     each = met.select(*keep, F.explode(sums).alias("__sum"))
-    return each.select(*keep, F.col("__sum.group").alias(group), F.col("__sum.total").cast("double").alias(name))
+    return each.select(*keep, F.col("__sum.group").alias(group), F.col("__sum.total").alias(name))
 
 
 def vocabulary(df: DataFrame, labels: str, name: str = "label") -> DataFrame:

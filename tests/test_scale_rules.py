@@ -2,6 +2,7 @@
 
 import gzip
 import os
+from decimal import ROUND_HALF_UP, Decimal
 
 import pyarrow.parquet as pq
 import pytest
@@ -33,6 +34,30 @@ def test_group_totals_do_not_depend_on_the_number_of_groups(spark, n_groups):
     assert rows(got) == [("a", 0, 3.0), ("a", 0, 6.0)]
 
 
+def test_totals_are_those_of_decimals_and_plain_scores_are_summed_as_whole_numbers(spark):
+    values = [(0.1, 0.2, 0.3), (8.25, 7.75, -0.0), (-0.0, -0.0, -0.0), (0.00005, 1.0, 2.0), (1e5, 0.1, 0.2), (99999.9999, 99999.9999, 0.0001), (-3.3, 1.1, 2.2), (1e9, 0.1, 0.7)]
+    df = spark.createDataFrame([(i, dict(enumerate(v))) for i, v in enumerate(values)], "id int, scores map<int,double>")
+    sums = aggregates.complete_sum_of_maps(df, ["id"], "scores", members(spark, 1), "grp", "total")
+    places = Decimal("0.0001")
+    want = [(i, 0, float(sum(Decimal(repr(x)).quantize(places, ROUND_HALF_UP) for x in v))) for i, v in enumerate(values)]
+    assert rows(sums) == want
+    assert "rint(" in sums._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_students_are_sorted_by_a_hash_of_their_ids_first(spark):
+    raw = spark.createDataFrame([("01000001", "Q:1", "/b/2020/a.csv"), ("01000001", "Q:2", "/b/2020/b.csv"), ("01000001", "Q:3", "/b/2021/a.csv")], "SBD string, DiemThi string, path string")
+    got = silver.student_scores(raw, spark.createDataFrame([(1, "Q")], "subjectId int, subjectName string"))
+    assert rows(got, "studentId", "scores") == [("010000012020", {1: 2.0}), ("010000012021", {1: 3.0})]
+    assert "xxhash64(studentId" in got._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_only_texts_with_other_white_space_than_blanks_are_stripped_of_all(spark):
+    texts = [f"{x}Q{x}:{x}1.5{x},{x}T:2" for x in scalar.SPACE] + ["Q\u2603:1,T: 2 "]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").coalesce(1)
+    got = df.select(minitext.parse_map("t"), F.col("t").rlike(minitext.OTHER_SPACE)).collect()
+    assert [tuple(r) for r in got] == [({"Q": 1.5, "T": 2.0}, x != " ") for x in scalar.SPACE] + [({"Q\u2603": 1.0, "T": 2.0}, True)]
+
+
 @pytest.mark.parametrize("limit", [0, 10**6])
 def test_totals_of_rows_and_of_maps_agree_on_both_sides_of_the_bound(spark, limit, monkeypatch):
     monkeypatch.setattr(bounds, "BROADCAST_ROWS", limit)
