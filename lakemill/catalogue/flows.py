@@ -6,7 +6,7 @@ from lakemill.catalogue.measures import score_text
 from lakemill.catalogue.registry import mean2, query, table, wide_table
 from lakemill.operators import changes
 from lakemill.plans import silver, social, star
-from lakemill.session import cut
+from lakemill.session import cut, discard, release, stored
 
 RUN_TS = "2025-01-01 00:00:00"
 
@@ -63,10 +63,13 @@ def keyed(df, name, key, *attributes):
                ORDER BY avg_score DESC, "schoolKey") AS INTEGER) AS "rankAmongSchools" FROM r""",
 )
 def fact_benchmark(spark, sf):
-    raw = cut(raw_benchmark(spark, sf))
+    raw, raw_folder = stored(raw_benchmark(spark, sf), "raw")
+    release(spark)
     methods, scales = silver.selection_method(raw, RUN_TS), silver.grading_scale(raw, RUN_TS)
     groups = spark.createDataFrame([(1, "A", "x"), (2, "R", "y")], "subjectGroupId int, subjectGroupName string, subjectCombination string")
-    scores = cut(silver.benchmark(raw, methods, groups, scales))
+    scores, scores_folder = stored(silver.benchmark(raw, methods, groups, scales), "scores")
+    discard(spark, raw_folder)
+    release(spark)
     dims = {
         "dim_time": star.dim_time(scores),
         "dim_school": keyed(table(spark, sf, "supplier"), "s_suppkey", "schoolId"),
@@ -75,7 +78,9 @@ def fact_benchmark(spark, sf):
         "dim_selection_method": star.dim_selection_method(methods),
         "dim_grading_scale": star.dim_grading_scale(scales),
     }
-    return star.fact_benchmark(scores, dims)
+    facts = star.fact_benchmark(scores, dims)
+    discard(spark, scores_folder)
+    return facts
 
 
 SUBJECTS = [(1, "Q"), (2, "D"), (3, "T")]

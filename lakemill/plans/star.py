@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 from lakemill.functions.minitext import split_trim
 from lakemill.operators import aggregates as agg
 from lakemill.operators import windows
-from lakemill.operators.bounds import GROUP_ROWS
+from lakemill.operators.bounds import GROUP_ROWS, hot_groups
 from lakemill.operators.joins import Dim, star_resolve
 from lakemill.operators.keys import surrogate_key, year_dimension
-from lakemill.session import cut
+from lakemill.session import discard, release, stored
 
 
 def dimension(rows: DataFrame, key: str, natural: str, attributes: list[str]) -> DataFrame:
@@ -65,25 +65,38 @@ def fact_benchmark(benchmark: DataFrame, dims: dict[str, DataFrame], group_rows:
             Dim(dims["dim_grading_scale"], "gradingScaleId", "gradingScaleId", ("gradingScaleKey",)),
         ],
     )
-    # Read by each of the steps below, so it is made once. No group has more rows than all.
-    facts = cut(resolved)
-    n_rows, stored = facts.count(), facts
     method = ["selectionMethodKey", "gradingScaleKey"]
-    facts = windows.group_mean(facts, ["timeKey", "schoolKey", "majorKey", *method], "score", "avgScoreByMajor", group_rows=group_rows, n_rows=n_rows, counted=stored)
+    # Ids order rows without a key; a key settles its id, so those are not carried through every step.
+    spark, named = resolved.sparkSession, ("school", "major", "subjectGroup")
+    ids = [F.when(F.col(f"{d}Key").isNull(), F.col(f"{d}Id")).alias(f"{d}Id") for d in named]
+    # Read by each of the steps below, so it is made once. No group has more rows than all.
+    slim = resolved.select("timeKey", *[f"{d}Key" for d in named], *method, *ids, "score")
+    kept, folder = stored(slim, "facts")
+    del resolved, slim
+    release(spark)
+    n_rows, facts = kept.count(), kept
+    # Three of the measures compare rows of one school and method: they are shuffled once for these, unless that is too much for a task.
+    if hot_groups(kept, ["schoolKey", *method], group_rows, n_rows) is None:
+        facts = kept.repartition("schoolKey", *method)
+    facts = windows.group_mean(facts, ["timeKey", "schoolKey", "majorKey", *method], "score", "avgScoreByMajor", group_rows=group_rows, n_rows=n_rows, counted=kept)
     facts = windows.period_delta(
         facts, ["schoolKey", "majorKey", *method, "subjectGroupKey"], "timeKey", "avgScoreByMajor", "yearlyScoreGap",
-        ties=("schoolId", "majorId", "subjectGroupId", "score"), group_rows=group_rows, n_rows=n_rows, counted=stored,
+        ties=("schoolId", "majorId", "subjectGroupId", "score"), group_rows=group_rows, n_rows=n_rows, counted=kept,
     )
     facts = windows.rank_in_group(
         facts, ["timeKey", "schoolKey", *method], ["-avgScoreByMajor", "majorKey"], "rankAmongMajors", dense=True,
-        group_rows=group_rows, n_rows=n_rows, counted=stored,
+        group_rows=group_rows, n_rows=n_rows, counted=kept,
     )
     facts = windows.rank_in_group(
         facts, ["timeKey", "majorKey", *method], ["-avgScoreByMajor", "schoolKey"], "rankAmongSchools", dense=True,
-        group_rows=group_rows, n_rows=n_rows, counted=stored,
+        group_rows=group_rows, n_rows=n_rows, counted=kept,
     )
     order = ["timeKey", "schoolKey", "majorKey", *method, "subjectGroupKey", "score", "schoolId", "majorId"]
-    return surrogate_key(facts, "benchmarkKey", order).select(
+    numbered = surrogate_key(facts, "benchmarkKey", order)
+    discard(spark, folder)
+    del facts
+    release(spark)
+    return numbered.select(
         "benchmarkKey", "subjectGroupKey", "timeKey", "majorKey", "schoolKey", *method,
         *[F.col(c).cast("float").alias(c) for c in ("score", "avgScoreByMajor", "yearlyScoreGap")],
         "rankAmongMajors", "rankAmongSchools",

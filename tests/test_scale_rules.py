@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from lakemill.functions import minitext, scalar, spans
 from lakemill.catalogue import flows
 from lakemill.operators import aggregates, bounds, keys, quality, training, windows
-from lakemill.plans import silver, social
+from lakemill.plans import silver, social, star
 from lakemill.operators import scoring
 from lakemill.sinks.tables import Lake, write
 from lakemill.sources import csv_files
@@ -249,6 +249,22 @@ def test_fact_benchmark_counts_groups_in_stored_rows(spark, monkeypatch):
     assert len(seen) == 4 and not any("avgScoreByMajor" in columns for columns in seen)
 
 
+def test_fact_benchmark_keeps_little_on_disk(spark, monkeypatch):
+    seen, real = [], star.surrogate_key
+    monkeypatch.setattr(star, "surrogate_key", lambda df, name, order: seen.append((name, df)) or real(df, name, order))
+    before = {p for p in os.listdir(spark.conf.get("spark.checkpoint.dir")) if p.startswith(("raw-", "scores-", "facts-"))}
+    facts = flows.fact_benchmark(spark, SMALL)
+    assert facts.count() > 0
+    after = {p for p in os.listdir(spark.conf.get("spark.checkpoint.dir")) if p.startswith(("raw-", "scores-", "facts-"))}
+    assert after <= before
+    measured = dict(seen)["benchmarkKey"]
+    plan = measured._jdf.queryExecution().optimizedPlan().toString()
+    physical = measured._jdf.queryExecution().executedPlan().toString()
+    # Once for three measures and once for the last, of rows without the ids that keys settle.
+    assert physical.count("Exchange ") == 2
+    assert "year#" not in plan and "selectionMethodId" not in plan
+
+
 def test_heads_are_fitted_on_written_features(spark, monkeypatch):
     seen, real = [], training.cut
     monkeypatch.setattr(training, "cut", lambda df: seen.append(df.columns) or real(df))
